@@ -38,7 +38,9 @@ def with_experience(jobs: DataFrame) -> DataFrame:
 
 def day_count(jobs: DataFrame, day) -> DataFrame:
     """FLT1 + AGG6: ``select count(*) from jobs where query_day = day``."""
-    return jobs.filter(F.col("query_day") == _day(day)).agg(F.count(F.lit(1)).alias("total_jobs"))
+    d = _day(day)
+    counted = jobs.filter(F.col("query_day") == d).agg(F.count(F.lit(1)).alias("total_jobs"))
+    return counted.select(d.alias("query_day"), "total_jobs")
 
 
 def top_paid(jobs: DataFrame, day, k: int = TOP_K, tie_break: tuple[str, ...] = (), extra: tuple[str, ...] = ()) -> DataFrame:

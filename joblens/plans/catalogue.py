@@ -12,10 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsonwire import decode_value
 from ..functions.places import explode_places
+from ..functions.text import fold_ascii
+from ..operators import digest as D
 from ..operators import reports as R
 from ..operators.clean import clean_listings, parse_listings
+from ..operators.routing import with_route
+from ..operators.upsert import upsert
+from ..schemas import JOB_WIRE
+from ..sinks.topic import job_messages
 from ..sources.listings import read_listings
+from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +76,80 @@ def q_place_rows(spark, sf_dir):
     return explode_places(jobs(spark, sf_dir).select("listing_id", "address"), out="place")
 
 
+# --- wire format, fold ------------------------------------------------------
+
+def q_fold_text(spark, sf_dir):
+    """STR9 over whole conversation texts."""
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return conv.select("conv_id", "turn", "role", fold_ascii("text").alias("text_ascii"))
+
+
+def q_fold_listings(spark, sf_dir):
+    """STR9 on the three text fields of the wire branch."""
+    return jobs(spark, sf_dir).select(
+        "listing_id",
+        *[fold_ascii(c).alias(c) for c in ("position", "company", "address")],
+    )
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """SNK2 message (key + JSON value, binary) -> SRC2 -> SRC3 typed row."""
+    messages = job_messages(jobs(spark, sf_dir).drop("listing_id"))
+    parsed = messages.select(
+        decode_value("key").alias("key"),
+        F.from_json(decode_value("value"), JOB_WIRE).alias("data"),
+    )
+    return parsed.select("key", "data.*")
+
+
+def q_json_props(spark, sf_dir):
+    """from_json on the events' ``props`` payloads."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "props"])
+    return ev.select("event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.k")
+
+
+# --- digest -----------------------------------------------------------------
+
+def q_daily_count(spark, sf_dir):
+    j = jobs(spark, sf_dir)
+    return D.day_count(j, D.latest_day(j))
+
+
+def q_top_paid(spark, sf_dir):
+    j = jobs(spark, sf_dir)
+    return D.top_paid(j, D.latest_day(j), tie_break=("listing_id",), extra=("listing_id",))
+
+
+def q_digest_by_day(spark, sf_dir):
+    return D.digest_by_day(jobs(spark, sf_dir), k=3, tie_break=("listing_id",))
+
+
+# --- upsert, routing --------------------------------------------------------
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def q_upsert_latest(spark, sf_dir):
+    """DOM10: history (views, signups) merged with the other events; the
+    latest event per user wins wherever it sits."""
+    ev = read_table(spark, sf_dir, "events", EVENT_COLUMNS)
+    history = ev.filter(F.col("event_type").isin("view", "signup"))
+    updates = ev.filter(~F.col("event_type").isin("view", "signup"))
+    return upsert(history, updates, keys=["user_id"], version="event_id")
+
+
+EVENT_ROUTES = {"view": "views", "click": "clicks"}
+
+
+def q_route_topics(spark, sf_dir):
+    """DOM9: messages routed by topic; the last handler takes all others."""
+    ev = read_table(spark, sf_dir, "events", ["event_type", "value"])
+    routed = with_route(ev, "event_type", EVENT_ROUTES, "other")
+    return routed.groupBy("route", "event_type").agg(
+        F.count(F.lit(1)).alias("messages"), F.round(F.sum("value"), 2).alias("total_value")
+    )
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "address_report": q_address_report,
@@ -81,4 +163,17 @@ def queries() -> dict[str, Query]:
     }
     for site in ("topcv", "careerlink", "careerviet", "vietnamworks"):
         out[f"salary_{site}"] = _salary(site)
+    out.update(
+        {
+            "fold_text": q_fold_text,
+            "fold_listings": q_fold_listings,
+            "json_roundtrip": q_json_roundtrip,
+            "json_props": q_json_props,
+            "daily_count": q_daily_count,
+            "top_paid": q_top_paid,
+            "digest_by_day": q_digest_by_day,
+            "upsert_latest": q_upsert_latest,
+            "route_topics": q_route_topics,
+        }
+    )
     return out

@@ -175,6 +175,67 @@ PLACE_ROWS = (
 )
 
 
+def _fold(x: str) -> str:
+    """ASCII fold in DuckDB terms: strip_accents, then the letters that have
+    no decomposition."""
+    out = f"translate(strip_accents({x}), 'ĐđÐðØøŁłĦħŦŧıĸ', 'DdDdOoLlHhTtiq')"
+    for a, b in (("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"), ("Þ", "Th"), ("þ", "th"), ("Ŋ", "NG"), ("ŋ", "ng")):
+        out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+FOLD_TEXT = f"select conv_id, turn, role, {_fold('text')} as text_ascii from conversations"
+
+FOLD_LISTINGS = (
+    _with(LISTINGS, PARSED)
+    + f"\nselect listing_id, {_fold('position')} as position, {_fold('company')} as company, {_fold('address')} as address from jobs"
+)
+
+JSON_ROUNDTRIP = (
+    _with(LISTINGS, PARSED)
+    + f"""
+select {_fold('position')} as key, {_fold('position')} as position, {_fold('company')} as company,
+       {_fold('address')} as address, source, query_day,
+       cast(min_salary as float) as min_salary, cast(max_salary as float) as max_salary, final_exp
+from jobs"""
+)
+
+JSON_PROPS = "select event_id, try_cast(json_extract_string(props, '$.k') as integer) as k from events"
+
+LATEST = "(select max(query_day) from jobs)"
+
+DAILY_COUNT = _with(LISTINGS, PARSED) + f"\nselect {LATEST} as query_day, count(*) as total_jobs from jobs where query_day = {LATEST}"
+
+TOP_PAID = (
+    _with(LISTINGS, PARSED)
+    + f"""
+select listing_id, source, position, company, address, max_salary, final_exp as experience
+from jobs where query_day = {LATEST}
+order by max_salary desc, listing_id limit 10"""
+)
+
+DIGEST_BY_DAY = (
+    _with(LISTINGS, PARSED)
+    + """
+select query_day, listing_id, source, position, company, address, max_salary, experience, rank, total_jobs
+from (select *, final_exp as experience,
+             row_number() over (partition by query_day order by max_salary desc, listing_id) as rank,
+             count(*) over (partition by query_day) as total_jobs
+      from jobs)
+where rank <= 3"""
+)
+
+UPSERT_LATEST = """
+select event_id, ts, user_id, event_type, value, props
+from (select *, row_number() over (partition by user_id order by event_id desc) as rn from events)
+where rn = 1"""
+
+ROUTE_TOPICS = """
+select case when event_type = 'view' then 'views' when event_type = 'click' then 'clicks' else 'other' end as route,
+       event_type, count(*) as messages, round(sum(value), 2) as total_value
+from events group by all"""
+
+
 def oracle_queries() -> dict[str, str]:
     out = {
         "address_report": report_sql("address_cleaned", "address"),
@@ -188,4 +249,17 @@ def oracle_queries() -> dict[str, str]:
     }
     for site in ("topcv", "careerlink", "careerviet", "vietnamworks"):
         out[f"salary_{site}"] = salary_sql(site)
+    out.update(
+        {
+            "fold_text": FOLD_TEXT,
+            "fold_listings": FOLD_LISTINGS,
+            "json_roundtrip": JSON_ROUNDTRIP,
+            "json_props": JSON_PROPS,
+            "daily_count": DAILY_COUNT,
+            "top_paid": TOP_PAID,
+            "digest_by_day": DIGEST_BY_DAY,
+            "upsert_latest": UPSERT_LATEST,
+            "route_topics": ROUTE_TOPICS,
+        }
+    )
     return out
