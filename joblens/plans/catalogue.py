@@ -24,6 +24,11 @@ from ..schemas import JOB_WIRE
 from ..sinks.topic import job_messages
 from ..sources.listings import read_listings
 from ..sources.tables import read_table
+from ..session import shared_dir
+from ..sinks.jobs_table import read_jobs, write_jobs
+from ..sinks.report_table import read_report_table
+from ..streaming.upsert_stream import start_keyed_upsert
+from .pipeline import RunPaths, publish_jobs, run_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,6 +155,53 @@ def q_route_topics(spark, sf_dir):
     )
 
 
+# --- streaming, tables -------------------------------------------------------
+
+def q_stream_reports(spark, sf_dir):
+    """SNK2 -> SRC1-3 -> AGG7 (update mode, 4 micro-batches) -> SNK3 ->
+    SRC4 -> DOM9 -> SNK4: the report tables after both streams finish."""
+    paths = RunPaths(shared_dir(spark, "stream_reports", unique=True))
+    publish_jobs(jobs(spark, sf_dir).drop("listing_id"), paths, files=4)
+    return run_reports(spark, paths)
+
+
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def q_stream_upsert(spark, sf_dir):
+    """Events replayed as a 4-file stream into a keyed table (latest
+    event per user), one snapshot per micro-batch."""
+    root = shared_dir(spark, "stream_upsert", unique=True)
+    read_table(spark, sf_dir, "events", EVENT_COLUMNS).repartition(4).write.parquet(f"{root}/feed")
+    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", "1").parquet(f"{root}/feed")
+    schema = spark.read.parquet(f"{root}/feed").schema
+    q = start_keyed_upsert(stream, f"{root}/table", ["user_id"], "event_id", schema, f"{root}/_checkpoint")
+    q.awaitTermination()
+    return read_report_table(spark, f"{root}/table", schema)
+
+
+TABLE_TIE_BREAK = ("source", "position", "company", "address", "experience")
+
+
+def _jobs_table(spark, sf_dir):
+    path = shared_dir(spark, "jobs_table", unique=True)
+    write_jobs(jobs(spark, sf_dir).hint("rebalance", "query_day"), path)
+    return read_jobs(spark, path)
+
+
+def q_jobs_table_count(spark, sf_dir):
+    """SNK1 + SRC5 + FLT1 + AGG6: the latest day's count, read through the
+    day-partitioned table (the day filter prunes partitions)."""
+    table = _jobs_table(spark, sf_dir)
+    return D.day_count(table, D.latest_day(table))
+
+
+def q_jobs_table_top(spark, sf_dir):
+    """TOP1 through the table (float salaries, ``experience`` column)."""
+    table = _jobs_table(spark, sf_dir)
+    return D.top_paid(table, D.latest_day(table), tie_break=TABLE_TIE_BREAK)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "address_report": q_address_report,
@@ -174,6 +226,10 @@ def queries() -> dict[str, Query]:
             "digest_by_day": q_digest_by_day,
             "upsert_latest": q_upsert_latest,
             "route_topics": q_route_topics,
+            "stream_reports": q_stream_reports,
+            "stream_upsert": q_stream_upsert,
+            "jobs_table_count": q_jobs_table_count,
+            "jobs_table_top": q_jobs_table_top,
         }
     )
     return out

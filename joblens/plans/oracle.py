@@ -236,6 +236,33 @@ select case when event_type = 'view' then 'views' when event_type = 'click' then
 from events group by all"""
 
 
+# The streaming reports read the wire copy, whose address text is folded.
+STREAM_REPORTS = (
+    "select dimension, key, min_salary, max_salary, avg_salary, total_jobs from ("
+    + MARKET.replace("  from jobs)", f"  from (select * replace ({_fold('address')} as address) from jobs))", 1)
+    + ")"
+)
+
+TABLE = """
+jtable as (
+  select source, position, company, address, query_day, cast(min_salary as float) min_salary,
+         cast(max_salary as float) max_salary, final_exp as experience from jobs)"""
+
+JOBS_TABLE_COUNT = (
+    _with(LISTINGS, PARSED, TABLE)
+    + "\nselect (select max(query_day) from jtable) as query_day, count(*) as total_jobs"
+    + " from jtable where query_day = (select max(query_day) from jtable)"
+)
+
+JOBS_TABLE_TOP = (
+    _with(LISTINGS, PARSED, TABLE)
+    + """
+select source, position, company, address, max_salary, experience from jtable
+where query_day = (select max(query_day) from jtable)
+order by max_salary desc, source, position, company, address, experience limit 10"""
+)
+
+
 def oracle_queries() -> dict[str, str]:
     out = {
         "address_report": report_sql("address_cleaned", "address"),
@@ -260,6 +287,10 @@ def oracle_queries() -> dict[str, str]:
             "digest_by_day": DIGEST_BY_DAY,
             "upsert_latest": UPSERT_LATEST,
             "route_topics": ROUTE_TOPICS,
+            "stream_reports": STREAM_REPORTS,
+            "stream_upsert": UPSERT_LATEST,
+            "jobs_table_count": JOBS_TABLE_COUNT,
+            "jobs_table_top": JOBS_TABLE_TOP,
         }
     )
     return out

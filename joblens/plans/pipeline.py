@@ -1,0 +1,90 @@
+"""End-to-end run: pages or raw listings -> jobs table + topic -> reports ->
+report tables -> digest.  The reference chained these as separate services;
+here every step is a Spark job and the streaming steps run with
+``availableNow`` so a run ends.
+
+All paths live under ``root``, which callers take from the shared folder
+(``joblens.session.shared_dir``), never from a machine-local temp dir.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.clean import clean_listings
+from ..operators.digest import daily_digest
+from ..sinks.jobs_table import read_jobs, write_jobs
+from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, job_messages, write_topic
+from ..streaming.reports import (
+    read_report_tables,
+    read_topic_stream,
+    start_market_stream,
+    start_report_maintenance,
+)
+
+
+@dataclass(frozen=True)
+class RunPaths:
+    root: str
+
+    @property
+    def jobs(self) -> str:
+        return f"{self.root}/jobs"
+
+    @property
+    def jobs_topic(self) -> str:
+        return f"{self.root}/topics/{JOBS_TOPIC}"
+
+    @property
+    def report_topics(self) -> str:
+        return f"{self.root}/topics/reports"
+
+    @property
+    def tables(self) -> str:
+        return f"{self.root}/tables"
+
+    def checkpoint(self, name: str) -> str:
+        return f"{self.root}/_checkpoints/{name}"
+
+
+def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None) -> None:
+    """SNK2 into the topic folder; ``files`` splits it into that many files
+    (each becomes one micro-batch downstream when read one file at a time)."""
+    messages = job_messages(jobs)
+    if files:
+        messages = messages.repartition(files)
+    write_topic(messages, paths.jobs_topic)
+
+
+def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_per_trigger: int | None = 1) -> DataFrame:
+    """Both streaming queries to completion; returns the report tables."""
+    q1 = start_market_stream(
+        read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=files_per_trigger),
+        paths.report_topics,
+        paths.checkpoint("market"),
+    )
+    q1.awaitTermination()
+    q2 = start_report_maintenance(
+        read_topic_stream(spark, paths.report_topics, list(REPORT_TOPICS.values())),
+        paths.tables,
+        paths.checkpoint("maintenance"),
+        report_date,
+    )
+    q2.awaitTermination()
+    return read_report_tables(spark, paths.tables)
+
+
+def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
+    """One day's run: clean, append to the table, publish from the written
+    table (both sinks hold the same rows), maintain reports, digest."""
+    paths = RunPaths(root)
+    jobs = clean_listings(raw, report_date)
+    write_jobs(jobs.hint("rebalance", "query_day"), paths.jobs)
+    day_rows = read_jobs(spark, paths.jobs).filter(F.col("query_day") == F.lit(str(report_date)).cast("date"))
+    publish_jobs(day_rows.withColumnRenamed("experience", "final_exp"), paths, files)
+    reports = run_reports(spark, paths, report_date)
+    count, top = daily_digest(read_jobs(spark, paths.jobs), report_date)
+    return reports, count, top

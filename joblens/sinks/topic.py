@@ -54,18 +54,19 @@ def report_messages(market: DataFrame) -> DataFrame:
     """
     topic = F.element_at(F.create_map(*[x for kv in REPORT_TOPICS.items() for x in map(F.lit, kv)]), F.col("dimension"))
     key_col = {"address": "address_cleaned", "source": "source", "exp": "final_exp"}
+    extra = ["version"] if "version" in market.columns else []
+    measures = ["min_salary", "max_salary", "avg_salary", "total_jobs", *extra]
+    dim = F.col("dimension")
     value = (
-        F.when(
-            F.col("dimension") == "address",
-            F.to_json(F.struct("address_cleaned", "min_salary", "max_salary", "avg_salary", "total_jobs")),
-        )
-        .when(
-            F.col("dimension") == "source",
-            F.to_json(F.struct("source", "min_salary", "max_salary", "avg_salary", "total_jobs")),
-        )
-        .otherwise(F.to_json(F.struct("final_exp", "min_salary", "max_salary", "avg_salary", "total_jobs")))
+        F.when(dim == "address", F.to_json(F.struct("address_cleaned", *measures)))
+        .when(dim == "source", F.to_json(F.struct("source", *measures)))
+        .otherwise(F.to_json(F.struct("final_exp", *measures)))
+    )
+    key = (
+        F.when(dim == "address", F.col(key_col["address"]))
+        .when(dim == "source", F.col(key_col["source"]))
+        .otherwise(F.col(key_col["exp"]).cast("string"))
     )
-    key = F.coalesce(*[F.col(c).cast("string") for c in key_col.values()])
     return market.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"), topic.alias("topic"))
 
 
