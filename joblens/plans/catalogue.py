@@ -23,7 +23,8 @@ from ..operators.upsert import upsert
 from ..schemas import JOB_WIRE
 from ..sinks.topic import job_messages
 from ..sources.listings import read_listings
-from ..sources.tables import read_table
+from ..sources import html as H
+from ..sources.tables import read_table, spread
 from ..session import shared_dir
 from ..sinks.jobs_table import read_jobs, write_jobs
 from ..sinks.report_table import read_report_table
@@ -202,6 +203,36 @@ def q_jobs_table_top(spark, sf_dir):
     return D.top_paid(table, D.latest_day(table), tie_break=TABLE_TIE_BREAK)
 
 
+# --- pages ---------------------------------------------------------------------
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages", ["page_id", "html"])
+
+
+def q_extract_nav(spark, sf_dir):
+    """SRC6 + flat-markup SRC7 with JVM regex functions only."""
+    return H.nav_links(_pages(spark, sf_dir))
+
+
+NAV_FIELDS = {"text": H.FieldSpec("a"), "href": H.FieldSpec("a", attr="href")}
+
+
+def q_extract_nav_dom(spark, sf_dir):
+    """SRC7 through the DOM extractor (selectors ``nav`` / ``li`` / ``a``)."""
+    pages = spread(_pages(spark, sf_dir))
+    return H.extract_items(pages, "nav", "li", NAV_FIELDS, keep=("page_id",))
+
+
+def q_page_titles(spark, sf_dir):
+    return H.page_titles(_pages(spark, sf_dir))
+
+
+def q_page_titles_dom(spark, sf_dir):
+    pages = spread(_pages(spark, sf_dir))
+    items = H.extract_items(pages, "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",))
+    return items.filter(F.col("item") == 1).select("page_id", "title")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "address_report": q_address_report,
@@ -230,6 +261,10 @@ def queries() -> dict[str, Query]:
             "stream_upsert": q_stream_upsert,
             "jobs_table_count": q_jobs_table_count,
             "jobs_table_top": q_jobs_table_top,
+            "extract_nav": q_extract_nav,
+            "extract_nav_dom": q_extract_nav_dom,
+            "page_titles": q_page_titles,
+            "page_titles_dom": q_page_titles_dom,
         }
     )
     return out

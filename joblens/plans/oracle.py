@@ -263,6 +263,38 @@ order by max_salary desc, source, position, company, address, experience limit 1
 )
 
 
+def _unescape(x: str) -> str:
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+def _inner_text(x: str) -> str:
+    no_tags = "regexp_replace(" + x + r", '<[^>]*>', ' ', 'g')"
+    return "trim(regexp_replace(" + _unescape(no_tags) + r", '\s+', ' ', 'g'))"
+
+
+NAV_RE = r"(?s)<nav\b[^>]*>(.*?)</nav>"
+HREF_RE = r"""(?s)<li\b[^>]*>\s*<a\b[^>]*?href="([^"]*)\""""
+TEXT_RE = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>(.*?)</a>"
+TITLE_RE = r"(?s)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>"
+
+EXTRACT_NAV = (
+    "with n as (select page_id, regexp_extract(html, '" + NAV_RE + "', 1) as nav from pages),\n"
+    "l as (select page_id, regexp_extract_all(nav, '" + HREF_RE + "', 1) as hrefs,\n"
+    "             regexp_extract_all(nav, '" + TEXT_RE + "', 1) as texts from n),\n"
+    "idx as (select page_id, hrefs, texts,\n"
+    "        unnest(generate_series(1, greatest(len(hrefs), len(texts)))) as i from l)\n"
+    "select page_id, cast(i as integer) as item, " + _inner_text("texts[i]") + " as text, "
+    + _unescape("hrefs[i]") + " as href from idx"
+)
+
+PAGE_TITLES = (
+    "select page_id, " + _inner_text("regexp_extract(html, '" + TITLE_RE + "', 1)") + " as title\n"
+    "from pages where regexp_matches(html, '" + TITLE_RE + "')"
+)
+
+
 def oracle_queries() -> dict[str, str]:
     out = {
         "address_report": report_sql("address_cleaned", "address"),
@@ -291,6 +323,10 @@ def oracle_queries() -> dict[str, str]:
             "stream_upsert": UPSERT_LATEST,
             "jobs_table_count": JOBS_TABLE_COUNT,
             "jobs_table_top": JOBS_TABLE_TOP,
+            "extract_nav": EXTRACT_NAV,
+            "extract_nav_dom": EXTRACT_NAV,
+            "page_titles": PAGE_TITLES,
+            "page_titles_dom": PAGE_TITLES,
         }
     )
     return out
