@@ -29,6 +29,33 @@ def read_jobs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(JOBS_TABLE).parquet(path).select(*JOBS_TABLE.fieldNames())
 
 
+def day_partitions(spark: SparkSession, path: str) -> list[str]:
+    """Committed ``query_day`` partitions, from directory names only.
+
+    Metadata, not data: one listing of the table root (one entry per day),
+    so finding the newest day never scans the rows.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    prefix = "query_day="
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
+def read_jobs_day(spark: SparkSession, path: str, day) -> DataFrame:
+    """FLT1 at the file level: list and read only that day's directory
+    (``basePath`` keeps ``query_day`` as a column)."""
+    return (
+        spark.read.schema(JOBS_TABLE)
+        .option("basePath", path)
+        .parquet(f"{path.rstrip('/')}/query_day={day}")
+        .select(*JOBS_TABLE.fieldNames())
+    )
+
+
 def write_jobs_jdbc(jobs: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
     """SNK1 against a database, for deployments that keep the table there.
 
