@@ -11,10 +11,11 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java regex with Unicode classes, so NBSP, ideographic space etc. count as
-# whitespace the way Python's str.strip()/str.split() treat them.
-_WS = r"(?U)\s+"
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's whitespace (``str.isspace()``): the characters ``str.strip()``
+# and ``str.split()`` cut at, derived from the running interpreter.
+PY_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]"
+_WS = _WS_CLASS + "+"
 
 # Python float()/int() literal grammar (digits may carry single underscores);
 # Spark's cast alone would also accept forms Python rejects ("1.5d", hex).
@@ -31,8 +32,9 @@ def col_of(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """STR1: Python ``str.strip()`` (all Unicode whitespace, both ends)."""
-    return F.regexp_replace(col_of(c), _EDGE_WS, "")
+    """STR1: Python ``str.strip()`` (all Unicode whitespace, both ends);
+    ``btrim`` with an explicit set is far cheaper than a regex."""
+    return F.btrim(col_of(c), F.lit(PY_WHITESPACE))
 
 
 def ws_tokens(c: Column | str) -> Column:

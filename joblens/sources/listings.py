@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.salary import SOURCES
-from .tables import read_table
+from .tables import read_table, spread
 
 # The texts of the derived postings (FIXTURES.md section 3).
 ADDRESSES = (
@@ -29,8 +29,12 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o
 
 
 def _pick(options: list[Column], index: Column) -> Column:
-    """1-based choice among column expressions."""
-    return F.element_at(F.array(*options), index.cast("int"))
+    """1-based choice among column expressions; only the chosen one is
+    evaluated (an array would build every option per row)."""
+    out = None
+    for i, option in enumerate(options, start=1):
+        out = F.when(index == i, option) if out is None else out.when(index == i, option)
+    return out
 
 
 def _s(*parts) -> Column:
@@ -96,4 +100,7 @@ def listings_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def read_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings_from_orders(read_table(spark, sf_dir, "orders", ORDER_COLUMNS))
+    """Listings over the pruned ``orders`` scan.  Cleaning is CPU-bound
+    (regex splits per row), so a scan with fewer splits than cores is
+    spread first; a big input already has enough splits and is left as is."""
+    return listings_from_orders(spread(read_table(spark, sf_dir, "orders", ORDER_COLUMNS)))
