@@ -19,6 +19,7 @@ per task, not the jobs.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,31 +73,52 @@ def market_stream(messages: DataFrame) -> DataFrame:
     return market_reports(job_places(jobs))
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int | None):
+    """Pin the state partitions of a stateful query at its first start
+    (the checkpoint keeps the number afterwards)."""
+    key = "spark.sql.shuffle.partitions"
+    if not n:
+        yield
+        return
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_market_stream(
     messages: DataFrame,
     report_topic_target: str,
     checkpoint: str,
     fmt: str = "folder",
     trigger: dict | None = None,
+    state_partitions: int | None = 8,
 ) -> StreamingQuery:
     """Query 1: reports in update mode, published as keyed messages.
 
     Each micro-batch emits only the keys it changed (STM2); the batch id
     rides along as ``version`` so consumers can order updates (Q6).
+    The state shuffle carries partial aggregates only (one row per report
+    key per input task), so a few state partitions serve any input size;
+    raise ``state_partitions`` only if the place cardinality explodes.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         versioned = batch.withColumn("version", F.lit(batch_id).cast("long"))
         write_topic(report_messages(versioned), report_topic_target, fmt)
 
-    return (
+    writer = (
         market_stream(messages)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with _shuffle_partitions(messages.sparkSession, state_partitions):
+        return writer.start()
 
 
 # Payload schemas of the three report topics (measures + version).
