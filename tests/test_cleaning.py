@@ -116,7 +116,7 @@ def test_python_float_grammar(spark):
 
 
 def test_whitespace_tokens(spark):
-    vals = ["  a  b\tc ", "", "x", " y "]
+    vals = ["  a  b\tc ", "", "x", "\u00a0y\u00a0", "\u00a0z\u3000w\u2009", "\x1cq\x1f", "\u200bkeep"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(ws_tokens("v")).collect()]
     assert got == [v.split() for v in vals]

@@ -1,6 +1,7 @@
 """Digest semantics and physical-plan checks."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -84,7 +85,8 @@ def test_day_filter_prunes_partitions(spark, workdir):
     table = read_jobs(spark, f"{workdir}/jobs")
     q = D.day_count(table, "1996-01-02")
     q.collect()
-    assert "PartitionFilters: [isnotnull(query_day), (query_day = " in plan(q)
+    assert re.search(r"PartitionFilters: \[isnotnull\(query_day#\d+\), \(query_day#\d+ = 1996-01-02\)\]", plan(q))
+    assert "ReadSchema: struct<>" in plan(q)  # a count reads no column data
     # same answer as the unpartitioned frame
     want = jobs.filter(F.col("query_day") == "1996-01-02").count()
     assert q.collect()[0].total_jobs == want
