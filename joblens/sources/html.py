@@ -237,6 +237,10 @@ def extract_items(
 ) -> DataFrame:
     """SRC7: one output row per item found on a page (``item`` is 1-based).
 
+    Pages reach Python in Arrow batches capped by
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default), so a
+    worker holds a bounded slice of pages however large the input is.
+
     With ``site_col`` + ``sites``, each page uses its own site's container,
     item and field selectors (all sites must share the field names).
     Missing fields are null here; ``with_missing_as_na`` applies PRJ1.
