@@ -19,9 +19,19 @@ def to_table_rows(jobs: DataFrame) -> DataFrame:
     return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOBS_TABLE])
 
 
-def write_jobs(jobs: DataFrame, path: str) -> None:
-    """SNK1: append one run's rows, one directory per day."""
-    to_table_rows(jobs).write.mode("append").partitionBy("query_day").parquet(path)
+def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False) -> None:
+    """SNK1: one directory per day.
+
+    Default: append, as the reference did (a rerun stores the day twice).
+    ``replace_days=True`` overwrites only the days present in ``jobs``
+    (dynamic partition overwrite), so a rerun after a failure is idempotent.
+    """
+    writer = to_table_rows(jobs).write.partitionBy("query_day")
+    if replace_days:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:

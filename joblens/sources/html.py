@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.clean import NOT_AVAILABLE
+from ..operators.clean import NOT_AVAILABLE, with_missing_as_na
 
 # --------------------------------------------------------------------------
 # A small DOM
@@ -339,9 +339,7 @@ def extract_listings(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_
         sites[name] = (box, item, full)
     any_fields = {f: FieldSpec("*") for f in LISTING_FIELDS}
     raw = extract_items(pages, "", "", any_fields, keep=keep, site_col="source", sites=sites)
-    filled = raw.withColumns(
-        {f: F.coalesce(F.col(f), F.lit(NOT_AVAILABLE)) for f in ("position", "company", "salary", "address")}
-    )
+    filled = with_missing_as_na(raw, ("position", "company", "salary", "address"))
     return filled.withColumn("exp", F.when(F.col("source") == "topcv", F.coalesce(F.col("exp"), F.lit(NOT_AVAILABLE))))
 
 

@@ -31,7 +31,7 @@ from ..operators.reports import job_places, market_reports
 from ..operators.routing import REPORT_DEFAULT, REPORT_ROUTES, split_routes
 from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, report_table_schema
 from ..sinks.report_table import read_report_table, upsert_report_table
-from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, TOPIC_SCHEMA, report_messages, write_topic
+from ..sinks.topic import TOPIC_SCHEMA, report_messages, write_topic
 
 
 def read_topic_stream(
@@ -217,13 +217,3 @@ def read_report_tables(spark: SparkSession, table_root: str) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
-
-
-__all__ = [
-    "JOBS_TOPIC",
-    "read_topic_stream",
-    "market_stream",
-    "start_market_stream",
-    "start_report_maintenance",
-    "read_report_tables",
-]

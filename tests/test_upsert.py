@@ -43,3 +43,32 @@ def test_late_old_version_cannot_overwrite(spark, workdir):
     upsert_report_table(spark, path, spark.createDataFrame([("a", 9.0, 5)], SCHEMA), ["k"], "version", 5, schema)
     upsert_report_table(spark, path, spark.createDataFrame([("a", 1.0, 3)], SCHEMA), ["k"], "version", 3, schema)
     assert rows(read_report_table(spark, path, schema)) == [("a", 9.0, 5)]
+
+
+def test_jdbc_statements():
+    from joblens.sinks.jdbc_upsert import merge_sql, on_conflict_sql
+
+    m = merge_sql("address_report", "stg", ["query_date", "address"], ["query_date", "address", "min_salary", "version"], "version")
+    assert m.startswith("MERGE INTO address_report t USING stg s ON (")
+    assert 'WHEN MATCHED AND t."version" <= s."version" THEN UPDATE SET "min_salary" = s."min_salary", "version" = s."version"' in m
+    assert '"query_date" = s.' not in m.split("UPDATE SET")[1].split("WHEN NOT")[0]  # keys are not updated
+    c = on_conflict_sql("r", "stg", ["k"], ["k", "v", "version"], "version")
+    assert 'ON CONFLICT ("k") DO UPDATE SET "v" = EXCLUDED."v"' in c and c.endswith('WHERE r."version" <= EXCLUDED."version"')
+
+
+def test_jobs_table_replace_days(spark, workdir):
+    import datetime as dt
+
+    from joblens.schemas import JOB
+    from joblens.sinks.jobs_table import read_jobs, write_jobs
+
+    day = dt.date(2024, 1, 2)
+    jobs = spark.createDataFrame([("p", "c", "a", "topcv", day, 0.0, 1.0, 0)], JOB)
+    other = spark.createDataFrame([("q", "c", "a", "topcv", dt.date(2024, 1, 1), 0.0, 1.0, 0)], JOB)
+    path = f"{workdir}/jobs"
+    write_jobs(other, path)
+    write_jobs(jobs, path)
+    write_jobs(jobs, path)  # the reference's rerun: the day twice
+    assert read_jobs(spark, path).count() == 3
+    write_jobs(jobs, path, replace_days=True)  # idempotent rerun
+    assert read_jobs(spark, path).count() == 2
