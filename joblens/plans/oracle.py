@@ -219,7 +219,7 @@ DIGEST_BY_DAY = (
     + """
 select query_day, listing_id, source, position, company, address, max_salary, experience, rank, total_jobs
 from (select *, final_exp as experience,
-             row_number() over (partition by query_day order by max_salary desc, listing_id) as rank,
+             cast(row_number() over (partition by query_day order by max_salary desc, listing_id) as integer) as rank,
              count(*) over (partition by query_day) as total_jobs
       from jobs)
 where rank <= 3"""
