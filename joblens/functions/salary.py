@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from .text import (
     col_of,
-    contains,
     drop_commas,
     part,
     py_float,
     py_int,
-    startswith,
     strip_ws,
     token,
+    first_ws_token,
+    ws_token,
     ws_tokens,
 )
 
@@ -63,65 +63,79 @@ def floor_div(x: Column, d: float) -> Column:
     return F.floor((x - F.pmod(x, F.lit(d))) / F.lit(d) + F.lit(0.5)).cast("double")
 
 
-def _convert(x: Column, unit: Column, usd: Column) -> Column:
+UNITS = {"plain": 0, "pair": 1, "usd": 2, "single": 3}
+
+
+def _convert_hi(x: Column, unit: Column, usd: Column) -> Column:
     """MTH1 + MTH2 by the rule's unit."""
     dollars = x * F.lit(USD_TO_MVND)
     single = F.when(dollars > F.lit(ANNUAL_THRESHOLD), floor_div(dollars, MONTHS)).otherwise(dollars)
-    return (
-        F.when(unit == "usd", dollars)
-        .when(usd & (unit == "pair"), dollars)
-        .when(usd & (unit == "single"), single)
-        .otherwise(x)
-    )
+    to_dollars = (unit == UNITS["usd"]) | (usd & (unit == UNITS["pair"]))
+    return F.when(to_dollars, dollars).when(usd & (unit == UNITS["single"]), single).otherwise(x)
 
 
-def _first(text: Column) -> Column:
-    """First whitespace token of a text (``.split()[0]``)."""
-    return token(ws_tokens(text), 0)
+def _convert_lo(x: Column, unit: Column, usd: Column) -> Column:
+    """MTH1 for a lower bound (no rule with a lower bound is ``single``)."""
+    to_dollars = (unit == UNITS["usd"]) | (usd & (unit == UNITS["pair"]))
+    return F.when(to_dollars, x * F.lit(USD_TO_MVND)).otherwise(x)
 
 
-# Derived texts the rules read; computed once per row in their own
-# projection rather than inside every rule.
+# Rule conditions use plain contains/startswith: a null text makes the
+# condition null, which a CASE WHEN treats as not matching.
+
+# Every text a rule reads, computed once per row in one flat projection;
+# the rules below only pick among these columns.  (Inlining the token
+# expressions into each rule made the generated method too long for the
+# JIT compiler.)
 def _prepared() -> dict[str, Column]:
-    s = F.col("_s")
+    s, n = F.col("_s"), F.col("_n")
+    after = part(n, ":", 1)  # s.replace(',', '').split(':')[1]
+    tok_after = ws_tokens(after)
     return {
-        "_usd": contains(s, "USD"),
-        "_tok": ws_tokens(s),  # s.split()
-        "_tok_n": ws_tokens(F.col("_n")),  # s.replace(',', '').split()
-        "_dash": F.split(F.col("_n"), " - "),  # s.replace(',', '').split(' - ')
-        "_after": part(F.col("_n"), ":", 1),  # ...split(':')[1]
+        "_usd": s.contains("USD"),
+        "_tok1": drop_commas(ws_token(s, 1)),  # s.split()[1].replace(',', '')
+        "_tok_n": ws_tokens(n),  # s.replace(',', '').split()
+        "_d0": part(n, " - ", 0),  # ...split(' - ')[0]
+        "_d0_first": first_ws_token(part(n, " - ", 0)),  # ...split(' - ')[0].split()[0]
+        "_d1_first": first_ws_token(part(n, " - ", 1)),  # ...split(' - ')[1].split()[0]
+        "_after1": token(tok_after, 1),  # ...split(':')[1].split()[1]
+        "_after2": token(tok_after, 2),  # ...split(':')[1].split()[2]
+        "_a0": part(after, " - ", 0),  # ...split(':')[1].split(' - ')[0]
+        "_a0_first": first_ws_token(part(after, " - ", 0)),
+        "_a1_first": first_ws_token(part(after, " - ", 1)),
     }
 
 
+PREPARED = ("_usd", "_tok1", "_tok_n", "_d0", "_d0_first", "_d1_first", "_after1", "_after2", "_a0", "_a0_first", "_a1_first")
+
+
 def topcv_rules() -> list[Rule]:
     """DOM2 (also DOM6): ``Tới X [USD|triệu]`` and ``X - Y [USD|triệu]``."""
-    s, dash = F.col("_s"), F.col("_dash")
+    s = F.col("_s")
     return [
-        Rule(startswith(s, "Tới"), None, drop_commas(token(F.col("_tok"), 1)), "single"),
-        Rule(contains(s, "-"), token(dash, 0), _first(token(dash, 1)), "pair"),
+        Rule(s.startswith("Tới"), None, F.col("_tok1"), "single"),
+        Rule(s.contains("-"), F.col("_d0"), F.col("_d1_first"), "pair"),
     ]
 
 
 def careerlink_rules() -> list[Rule]:
     """DOM3: ``[Trên] X triệu`` (token count picks the number) and ranges."""
-    s, dash, toks = F.col("_s"), F.col("_dash"), F.col("_tok_n")
+    s, toks = F.col("_s"), F.col("_tok_n")
     single = F.when(F.size(toks) == 2, token(toks, 0)).otherwise(token(toks, 1))
     return [
-        Rule(contains(s, "triệu") & ~contains(s, "-"), None, single, "single"),
-        Rule(contains(s, "-"), _first(token(dash, 0)), _first(token(dash, 1)), "pair"),
+        Rule(s.contains("triệu") & ~s.contains("-"), None, single, "single"),
+        Rule(s.contains("-"), F.col("_d0_first"), F.col("_d1_first"), "pair"),
     ]
 
 
 def careerviet_rules() -> list[Rule]:
     """DOM4: text after ``Lương:``; Trên / Lên đến / Tr range / USD range."""
-    s, after = F.col("_s"), F.col("_after")
-    after_toks = ws_tokens(after)
-    rng = F.split(after, " - ")
+    s = F.col("_s")
     return [
-        Rule(contains(s, "Trên") & ~contains(s, "-"), None, token(after_toks, 1), "single"),
-        Rule(contains(s, "Lên đến"), None, token(after_toks, 2), "single"),
-        Rule(contains(s, "-") & contains(s, "Tr"), _first(token(rng, 0)), _first(token(rng, 1)), "plain"),
-        Rule(contains(s, "-") & contains(s, "USD"), token(rng, 0), _first(token(rng, 1)), "usd"),
+        Rule(s.contains("Trên") & ~s.contains("-"), None, F.col("_after1"), "single"),
+        Rule(s.contains("Lên đến"), None, F.col("_after2"), "single"),
+        Rule(s.contains("-") & s.contains("Tr"), F.col("_a0_first"), F.col("_a1_first"), "plain"),
+        Rule(s.contains("-") & s.contains("USD"), F.col("_a0"), F.col("_a1_first"), "usd"),
     ]
 
 
@@ -148,6 +162,13 @@ def _switch(code: Column, cases: list[tuple[int, Column]], default: Column | Non
     return expr.otherwise(default) if default is not None else expr
 
 
+def _lookup(code: Column, values: list) -> Column:
+    """``values[code]`` (null for a null code)."""
+    if not values:
+        return F.lit(None)
+    return F.element_at(F.array(*[F.lit(v) for v in values]), code + 1)
+
+
 def with_salary(df, salary: str = "salary", source: str = "source", site: str | None = None):
     """DOM7: min_salary, max_salary (double) and salary_ok for every row.
 
@@ -177,8 +198,9 @@ def with_salary(df, salary: str = "salary", source: str = "source", site: str |
         {
             "_lo_text": _switch(code, [(k, r.lo) for k, r in numbered if r.lo is not None]),
             "_hi_text": _switch(code, [(k, r.hi) for k, r in numbered]),
-            "_unit": _switch(code, [(k, F.lit(r.unit)) for k, r in numbered]),
-            "_has_lo": _switch(code, [(k, F.lit(r.lo is not None)) for k, r in numbered], F.lit(False)),
+            # per-rule constants: a lookup in a literal array (rule ids are 0..n-1)
+            "_unit": _lookup(code, [UNITS[r.unit] for _, r in numbered]),
+            "_has_lo": F.coalesce(_lookup(code, [r.lo is not None for _, r in numbered]), F.lit(False)),
         }
     )
     staged = staged.withColumns({"_lo": py_float(F.col("_lo_text")), "_hi": py_float(F.col("_hi_text"))})
@@ -189,14 +211,11 @@ def with_salary(df, salary: str = "salary", source: str = "source", site: str |
     unit, usd = F.col("_unit"), F.col("_usd")
     return staged.withColumns(
         {
-            "min_salary": F.when(good & F.col("_has_lo"), _convert(F.col("_lo"), unit, usd)).otherwise(_zero()),
-            "max_salary": F.when(good, _convert(F.col("_hi"), unit, usd)).otherwise(_zero()),
+            "min_salary": F.when(good & F.col("_has_lo"), _convert_lo(F.col("_lo"), unit, usd)).otherwise(_zero()),
+            "max_salary": F.when(good, _convert_hi(F.col("_hi"), unit, usd)).otherwise(_zero()),
             "salary_ok": F.col("_ok"),
         }
-    ).drop(
-        "_s", "_n", "_usd", "_tok", "_tok_n", "_dash", "_after", "_rule",
-        "_lo_text", "_hi_text", "_unit", "_has_lo", "_lo", "_hi", "_ok",
-    )
+    ).drop("_s", "_n", *PREPARED, "_rule", "_lo_text", "_hi_text", "_unit", "_has_lo", "_lo", "_hi", "_ok")
 
 
 def with_experience(df, exp: str = "exp", source: str = "source"):
@@ -204,7 +223,7 @@ def with_experience(df, exp: str = "exp", source: str = "source"):
     Adds ``final_exp`` (int) and ``exp_ok``."""
     e = strip_ws(F.col(exp))
     staged = df.withColumn("_e", e)
-    applies = (F.col(source) == "topcv") & contains(F.col("_e"), "năm")
+    applies = (F.col(source) == "topcv") & F.col("_e").contains("năm")
     staged = staged.withColumns({"_applies": F.coalesce(applies, F.lit(False)), "_years": py_int(token(ws_tokens(F.col("_e")), -2))})
     return staged.withColumns(
         {

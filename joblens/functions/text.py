@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 # Python's whitespace (``str.isspace()``): the characters ``str.strip()``
 # and ``str.split()`` cut at, derived from the running interpreter.
 PY_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]"
-_WS = _WS_CLASS + "+"
+_WS_OTHER = PY_WHITESPACE.replace(" ", "")
 
 # Python float()/int() literal grammar (digits may carry single underscores);
 # Spark's cast alone would also accept forms Python rejects ("1.5d", hex).
@@ -38,9 +37,26 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def ws_tokens(c: Column | str) -> Column:
-    """STR5: Python ``str.split()``: runs of whitespace, no empty tokens."""
-    s = strip_ws(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, _WS))
+    """STR5: Python ``str.split()``: runs of whitespace, no empty tokens.
+
+    Every whitespace character becomes a space (``translate``), the text is
+    cut at single spaces (no regex) and the empty pieces between adjacent
+    cuts are dropped, which is exactly splitting at runs.
+    """
+    spaced = F.translate(col_of(c), _WS_OTHER, " " * len(_WS_OTHER))
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+def ws_token(c: Column | str, k: int) -> Column:
+    """``s.split()[k]``; null when out of range."""
+    return token(ws_tokens(c), k)
+
+
+def first_ws_token(c: Column | str) -> Column:
+    """``s.split()[0]`` without building an array; ``''`` when there is no
+    token (it parses to null, like the missing token it stands for)."""
+    spaced = F.translate(col_of(c), _WS_OTHER, " " * len(_WS_OTHER))
+    return F.substring_index(F.ltrim(spaced), " ", 1)
 
 
 def token(arr: Column, k: int) -> Column:
@@ -49,10 +65,10 @@ def token(arr: Column, k: int) -> Column:
     return F.try_element_at(arr, F.lit(k + 1 if k >= 0 else k))
 
 
-def part(c: Column | str, sep_regex: str, k: int) -> Column:
-    """STR7: ``s.split(sep)[k]`` for a literal separator without regex
-    metacharacters (``' - '``, ``':'``)."""
-    return token(F.split(col_of(c), sep_regex), k)
+def part(c: Column | str, sep: str, k: int) -> Column:
+    """STR7: ``s.split(sep)[k]`` for a literal separator (``' - '``, ``':'``);
+    ``''`` when there is no such part (parsed to null downstream)."""
+    return F.split_part(col_of(c), F.lit(sep), F.lit(k + 1))
 
 
 def drop_commas(c: Column | str) -> Column:
@@ -64,13 +80,13 @@ def py_float(c: Column | str) -> Column:
     """CST1: ``float(token)``; null where Python would raise (or the token
     is missing, pandas NaN)."""
     c = col_of(c)
-    return F.when(c.rlike(_PY_FLOAT), F.regexp_replace(c, "_", "").try_cast("double"))
+    return F.when(c.rlike(_PY_FLOAT), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def py_int(c: Column | str) -> Column:
     """CST1: ``int(token)``; null where Python would raise."""
     c = col_of(c)
-    return F.when(c.rlike(_PY_INT), F.regexp_replace(c, "_", "").try_cast("int"))
+    return F.when(c.rlike(_PY_INT), F.replace(c, F.lit("_"), F.lit("")).try_cast("int"))
 
 
 def contains(c: Column | str, needle: str) -> Column:

@@ -25,76 +25,68 @@ ADDRESSES = (
     "Cần Thơ,",
 )
 
+# Salary formats per site (FIXTURES.md section 3), six variants each, as
+# templates: {a} {b} are amounts in millions, {u1} {u2} USD amounts with
+# thousands separators.
+SALARY_TEMPLATES = {
+    "topcv": ("Thoả thuận", "Tới {b} triệu", "Tới {u1} USD", "{a} - {b} triệu", "{u1} - {u2} USD", "Trên {a} triệu"),
+    "careerlink": ("Thương lượng", "{a} triệu", "Trên {a} triệu", "{a} triệu - {b} triệu", "{u1} USD - {u2} USD", "Trên {u1} USD"),
+    "careerviet": ("Lương: Cạnh tranh", "Lương: Trên {a} Tr VND", "Lương: Lên đến {b} Tr VND",
+                   "Lương: {a} Tr - {b} Tr VND", "Lương: {u1} - {u2} USD", "Lương: Trên {u1} USD"),
+    "itviec": ("Sign in to view salary",) * 6,
+    "vietnamworks": ("Thương lượng", "Tới {u1} USD", "{a} - {b} triệu", "{u1} - {u2} USD", "Tới $ {u1} /tháng", "{a}tr-{b}tr ₫/tháng"),
+}
+EXP_TEMPLATES = ("Không yêu cầu", "{y} năm", "Dưới 1 năm", "Trên 5 năm")
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice"]
 
 
-def _pick(options: list[Column], index: Column) -> Column:
-    """1-based choice among column expressions; only the chosen one is
-    evaluated (an array would build every option per row)."""
-    out = None
-    for i, option in enumerate(options, start=1):
-        out = F.when(index == i, option) if out is None else out.when(index == i, option)
-    return out
+def _at(values, index: Column) -> Column:
+    """``values[index]`` for a 0-based index into a constant list (the
+    array literal is folded once; only the lookup runs per row)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def _s(*parts) -> Column:
-    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+def _fill(template: Column, **values: Column) -> Column:
+    out = template
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), value)
+    return out
 
 
 def listings_from_orders(orders: DataFrame) -> DataFrame:
     """orders -> (listing_id, variant, query_day, source, position, company,
-    address, exp, salary)."""
-    k = F.col("o_orderkey")
-    a = (F.floor(F.col("o_totalprice") / 10000).cast("bigint") + 1).alias("a")
+    address, exp, salary); one narrow projection."""
     base = orders.select(
-        k.alias("k"),
+        F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("c"),
         F.col("o_orderpriority").alias("p"),
         F.col("o_orderdate").cast("date").alias("query_day"),
-        a,
+        (F.floor(F.col("o_totalprice") / 10000).cast("bigint") + 1).alias("a"),
+        F.expr("o_orderkey % 5").alias("site"),
         F.expr("(o_orderkey div 5) % 6").alias("variant"),
         F.expr("(o_orderkey div 3) % 5 + 1").alias("exp_years"),
-        F.expr("(o_orderkey div 7) % 6 + 1").alias("address_pick"),
-        F.expr("(o_orderkey div 11) % 4 + 1").alias("exp_pick"),
+        F.expr("(o_orderkey div 7) % 6").alias("address_pick"),
+        F.expr("(o_orderkey div 11) % 4").alias("exp_pick"),
+    )
+    k, a, v, site = F.col("k"), F.col("a"), F.col("variant"), F.col("site")
+    templates = [t for name in SOURCES for t in SALARY_TEMPLATES[name]]
+    salary = _fill(
+        _at(templates, site * 6 + v),
+        a=a.cast("string"),
+        b=(a + 1 + k % 10).cast("string"),
+        u1=F.format_number(a * 100, 0),
+        u2=F.format_number(a * 100 + 500, 0),
     )
-    k, a, v = F.col("k"), F.col("a"), F.col("variant")
-    b = (a + 1 + k % 10).cast("string")
-    a_s = a.cast("string")
-    u1 = F.format_number(a * 100, 0)
-    u2 = F.format_number(a * 100 + 500, 0)
-    idx = v + 1
-    salary_by_site = [
-        [_s("Thoả thuận"), _s("Tới ", b, " triệu"), _s("Tới ", u1, " USD"),
-         _s(a_s, " - ", b, " triệu"), _s(u1, " - ", u2, " USD"), _s("Trên ", a_s, " triệu")],
-        [_s("Thương lượng"), _s(a_s, " triệu"), _s("Trên ", a_s, " triệu"),
-         _s(a_s, " triệu - ", b, " triệu"), _s(u1, " USD - ", u2, " USD"), _s("Trên ", u1, " USD")],
-        [_s("Lương: Cạnh tranh"), _s("Lương: Trên ", a_s, " Tr VND"), _s("Lương: Lên đến ", b, " Tr VND"),
-         _s("Lương: ", a_s, " Tr - ", b, " Tr VND"), _s("Lương: ", u1, " - ", u2, " USD"),
-         _s("Lương: Trên ", u1, " USD")],
-        None,
-        [_s("Thương lượng"), _s("Tới ", u1, " USD"), _s(a_s, " - ", b, " triệu"),
-         _s(u1, " - ", u2, " USD"), _s("Tới $ ", u1, " /tháng"), _s(a_s, "tr-", b, "tr ₫/tháng")],
-    ]
-    site = k % 5
-    salary = F.when(site == 3, F.lit("Sign in to view salary"))
-    for i, options in enumerate(salary_by_site):
-        if options is not None:
-            salary = salary.when(site == i, _pick(options, idx))
-    exp_options = [
-        _s("Không yêu cầu"),
-        _s(F.col("exp_years").cast("string"), " năm"),
-        _s("Dưới 1 năm"),
-        _s("Trên 5 năm"),
-    ]
     return base.select(
         k.alias("listing_id"),
         v.alias("variant"),
         F.col("query_day"),
-        _pick([F.lit(s) for s in SOURCES], site + 1).alias("source"),
-        _s("Kỹ sư ", F.col("p")).alias("position"),
-        _s("Công ty ", F.col("c").cast("string")).alias("company"),
-        _pick([F.lit(s) for s in ADDRESSES], F.col("address_pick")).alias("address"),
-        _pick(exp_options, F.col("exp_pick")).alias("exp"),
+        _at(SOURCES, site).alias("source"),
+        F.concat(F.lit("Kỹ sư "), F.col("p")).alias("position"),
+        F.concat(F.lit("Công ty "), F.col("c").cast("string")).alias("company"),
+        _at(ADDRESSES, F.col("address_pick")).alias("address"),
+        _fill(_at(EXP_TEMPLATES, F.col("exp_pick")), y=F.col("exp_years").cast("string")).alias("exp"),
         salary.alias("salary"),
     )
 
