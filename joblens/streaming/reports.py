@@ -73,20 +73,24 @@ def market_stream(messages: DataFrame) -> DataFrame:
     return market_reports(job_places(jobs))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None):
-    """Pin the state partitions of a stateful query at its first start
-    (the checkpoint keeps the number afterwards)."""
-    key = "spark.sql.shuffle.partitions"
-    if not n:
-        yield
-        return
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def _start_conf(spark: SparkSession, settings: dict[str, str]):
+    """Session settings a stateful query reads when it starts (its
+    checkpoint keeps them afterwards); restored once it has started."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_market_stream(
@@ -96,6 +100,7 @@ def start_market_stream(
     fmt: str = "folder",
     trigger: dict | None = None,
     state_partitions: int | None = 8,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Query 1: reports in update mode, published as keyed messages.
 
@@ -103,7 +108,8 @@ def start_market_stream(
     rides along as ``version`` so consumers can order updates (Q6).
     The state shuffle carries partial aggregates only (one row per report
     key per input task), so a few state partitions serve any input size;
-    raise ``state_partitions`` only if the place cardinality explodes.
+    raise ``state_partitions`` only if the place cardinality explodes, and
+    pass ``state_store="rocksdb"`` to keep state off the JVM heap.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
@@ -117,7 +123,12 @@ def start_market_stream(
         .foreachBatch(publish)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    with _shuffle_partitions(messages.sparkSession, state_partitions):
+    settings = {}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store == "rocksdb":
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    with _start_conf(messages.sparkSession, settings):
         return writer.start()
 
 

@@ -121,3 +121,33 @@ def test_stream_equals_batch_with_restart(spark, workdir):
     # every snapshot folder is complete
     tables = os.listdir(paths.tables)
     assert sorted(tables) == ["address_report", "exp_report", "source_report"]
+
+
+def test_rocksdb_state_store(spark, workdir):
+    """Same update-mode output on the RocksDB state store."""
+    from joblens.streaming.reports import start_market_stream
+
+    paths = RunPaths(workdir)
+    _write_jobs_topic(spark, paths, JOBS, "all")
+    q = start_market_stream(
+        read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC]),
+        paths.report_topics,
+        paths.checkpoint("rocks"),
+        state_store="rocksdb",
+    )
+    q.awaitTermination()
+    assert os.path.isdir(paths.checkpoint("rocks") + "/state")
+    from joblens.functions.jsonwire import parse_json
+    from joblens.streaming.reports import REPORT_PAYLOADS
+
+    msgs = spark.read.parquet(paths.report_topics)
+    got = {}
+    for kind, (field, payload) in REPORT_PAYLOADS.items():
+        topic = {"address": "address_report", "source": "source_report", "exp": "exp_report"}[kind]
+        for r in parse_json(msgs.filter(F.col("topic") == topic), payload).collect():
+            got[(kind, None if r[field] is None else str(r[field]))] = (r.min_salary, r.max_salary, r.avg_salary, r.total_jobs)
+    assert got == GOLDEN
+    from joblens.streaming.reports import ROCKSDB
+
+    # the session setting is restored once the query has started
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB
