@@ -15,11 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.salary import with_experience, with_salary
-from ..schemas import JOB, JOB_COLUMNS
+from ..schemas import JOB, JOB_COLUMNS, RAW_FIELDS
 
 NOT_AVAILABLE = "Not Available"  # fixed value: text of a missing field
 
 
+def name_fields(df: DataFrame, names: tuple[str, ...] = RAW_FIELDS) -> DataFrame:
+    """PRJ3: name positional fields (``_1, _2, ...`` from rows built as
+    lists) in the raw listing order; sites without ``exp`` pass four names."""
+    return df.toDF(*names[: len(df.columns)])
+
+
 def with_missing_as_na(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """PRJ1: a field the page did not have becomes ``Not Available``.
     (An element with empty text stays ``""``.)"""

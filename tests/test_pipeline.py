@@ -43,3 +43,12 @@ def test_pipeline_end_to_end(spark, workdir):
     batch = R.market_reports(R.job_places(clean_listings(raw, DAY).withColumn("address", F.expr("address"))))
     assert got[("source", "topcv")].total_jobs == {r.key: r for r in batch.collect()}["topcv"].total_jobs
     assert got[("source", "careerviet")].total_jobs == 2  # one job, two places (Q1)
+
+
+def test_positional_fields_are_named(spark):
+    from joblens.operators.clean import name_fields
+
+    four = spark.createDataFrame([("Dev", "Cty", "15 triệu", "Huế")])
+    assert name_fields(four).columns == ["position", "company", "salary", "address"]
+    five = spark.createDataFrame([("Dev", "Cty", "Tới 5 triệu", "Huế", "2 năm")])
+    assert name_fields(five).columns == ["position", "company", "salary", "address", "exp"]
