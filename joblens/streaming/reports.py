@@ -79,7 +79,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 @contextmanager
 def _start_conf(spark: SparkSession, settings: dict[str, str]):
     """Session settings a stateful query reads when it starts (its
-    checkpoint keeps them afterwards); restored once it has started."""
+    checkpoint keeps them afterwards); restored once it has started.
+    Start stateful queries of one session from one thread at a time."""
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
