@@ -71,9 +71,15 @@ def report_messages(market: DataFrame) -> DataFrame:
 
 
 def write_topic(messages: DataFrame, target: str, fmt: str = "folder", options: dict | None = None) -> None:
-    """Batch write of messages: Kafka (``fmt='kafka'``, ``target`` = the
-    bootstrap servers) or a topic folder (``target`` = path, appended)."""
+    """Batch write of messages (appended):
+
+    * ``kafka``: ``target`` = bootstrap servers, the ``topic`` column routes;
+    * ``folder``: parquet with Kafka's columns (key, value, topic);
+    * ``text``: JSON lines, one value per line (keys and topics dropped).
+    """
     if fmt == "kafka":
         messages.write.format("kafka").option("kafka.bootstrap.servers", target).options(**(options or {})).save()
+    elif fmt == "text":
+        messages.select(F.col("value").cast("string").alias("value")).write.mode("append").text(target)
     else:
         messages.select("key", "value", "topic").write.mode("append").parquet(target)

@@ -46,7 +46,8 @@ def read_topic_stream(
 
     ``fmt='kafka'``: ``source`` = bootstrap servers; earliest offsets, no
     failure on data loss (the reference's options).  ``fmt='folder'``: a
-    topic folder written by ``write_topic`` (same columns).
+    topic folder written by ``write_topic`` (same columns).  ``fmt='text'``:
+    JSON lines, each line a value of the first topic (no key).
     """
     if fmt == "kafka":
         reader = (
@@ -58,10 +59,16 @@ def read_topic_stream(
             .options(**(options or {}))
         )
         return reader.load().select("key", "value", "topic")
-    reader = spark.readStream.schema(TOPIC_SCHEMA).options(**(options or {}))
+    reader = spark.readStream.options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(source).filter(F.col("topic").isin(*topics))
+    if fmt == "text":
+        return reader.text(source).select(
+            F.lit(None).cast("binary").alias("key"),
+            F.col("value").cast("binary").alias("value"),
+            F.lit(topics[0]).alias("topic"),
+        )
+    return reader.schema(TOPIC_SCHEMA).parquet(source).filter(F.col("topic").isin(*topics))
 
 
 def market_stream(messages: DataFrame) -> DataFrame:
