@@ -188,7 +188,7 @@ def _jobs_table_day(spark, sf_dir):
     """Write the cleaned jobs into a day-partitioned table, then open only
     the newest day (found from the partition names, not by a scan)."""
     path = shared_dir(spark, "jobs_table", unique=True)
-    write_jobs(jobs(spark, sf_dir).hint("rebalance", "query_day"), path)
+    write_jobs(jobs(spark, sf_dir), path)
     day = day_partitions(spark, path)[-1]
     return read_jobs_day(spark, path, day), day
 

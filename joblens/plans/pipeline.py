@@ -82,7 +82,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, report_date, fi
     table (both sinks hold the same rows), maintain reports, digest."""
     paths = RunPaths(root)
     jobs = clean_listings(raw, report_date)
-    write_jobs(jobs.hint("rebalance", "query_day"), paths.jobs)
+    write_jobs(jobs, paths.jobs)
     day_rows = read_jobs(spark, paths.jobs).filter(F.col("query_day") == F.lit(str(report_date)).cast("date"))
     publish_jobs(day_rows.withColumnRenamed("experience", "final_exp"), paths, files)
     reports = run_reports(spark, paths, report_date)

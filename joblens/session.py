@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +84,20 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+@contextmanager
+def temporary_conf(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the jobs started inside the block, restored
+    afterwards (run such blocks from one thread per session)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

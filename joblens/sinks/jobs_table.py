@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import JOBS_TABLE
+from ..session import temporary_conf
 
 
 def to_table_rows(jobs: DataFrame) -> DataFrame:
@@ -22,16 +23,24 @@ def to_table_rows(jobs: DataFrame) -> DataFrame:
 def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False) -> None:
     """SNK1: one directory per day.
 
+    Rows are rebalanced on ``query_day`` first: every day goes to one
+    writer (one file per day) unless it is big, in which case AQE splits it
+    over several writers.  Coalescing small shuffle partitions would not
+    save a single file here (each day sits in one partition anyway), it
+    would only serialise the writers, so it is off for this write.
+
     Default: append, as the reference did (a rerun stores the day twice).
     ``replace_days=True`` overwrites only the days present in ``jobs``
     (dynamic partition overwrite), so a rerun after a failure is idempotent.
     """
-    writer = to_table_rows(jobs).write.partitionBy("query_day")
+    rows = to_table_rows(jobs).hint("rebalance", "query_day")
+    writer = rows.write.partitionBy("query_day")
     if replace_days:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
-    writer.parquet(path)
+    with temporary_conf(jobs.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        writer.parquet(path)
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:

@@ -19,7 +19,6 @@ per task, not the jobs.
 from __future__ import annotations
 
 import datetime as dt
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +29,7 @@ from ..functions.jsonwire import parse_json
 from ..operators.reports import job_places, market_reports
 from ..operators.routing import REPORT_DEFAULT, REPORT_ROUTES, split_routes
 from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, report_table_schema
+from ..session import temporary_conf
 from ..sinks.report_table import read_report_table, upsert_report_table
 from ..sinks.topic import TOPIC_SCHEMA, report_messages, write_topic
 
@@ -83,24 +83,6 @@ def market_stream(messages: DataFrame) -> DataFrame:
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def _start_conf(spark: SparkSession, settings: dict[str, str]):
-    """Session settings a stateful query reads when it starts (its
-    checkpoint keeps them afterwards); restored once it has started.
-    Start stateful queries of one session from one thread at a time."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def start_market_stream(
     messages: DataFrame,
     report_topic_target: str,
@@ -136,7 +118,7 @@ def start_market_stream(
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if state_store == "rocksdb":
         settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
-    with _start_conf(messages.sparkSession, settings):
+    with temporary_conf(messages.sparkSession, settings):  # read once, at start
         return writer.start()
 
 
