@@ -19,6 +19,7 @@ import datetime as dt
 
 from .operators.digest import daily_digest
 from .plans.pipeline import RunPaths, run_pipeline, run_reports
+from .schemas import PAGE
 from .session import build_session
 from .sinks.jobs_table import read_jobs_day
 from .sources.html import extract_listings
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session("joblens-" + args.cmd, master=args.master)
     day = _date(args.date)
     if args.cmd == "pipeline":
-        raw = extract_listings(spark.read.parquet(args.pages)).drop("page_no", "item")
+        raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
         reports, count, top = run_pipeline(spark, raw, args.root, day)
         reports.orderBy("dimension", "key").show(200, truncate=False)
     elif args.cmd == "reports":

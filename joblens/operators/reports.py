@@ -112,11 +112,3 @@ def market_reports(places: DataFrame) -> DataFrame:
         "avg_salary",
         total.alias("total_jobs"),
     )
-
-
-def split_market_report(market: DataFrame, kind: str) -> DataFrame:
-    """One report out of the AGG7 frame, with the report's own columns."""
-    key, _ = REPORTS[kind]
-    return market.filter(F.col("dimension") == kind).select(
-        key, "min_salary", "max_salary", "avg_salary", "total_jobs"
-    )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from ..functions.jsonwire import row_json
 from ..functions.text import fold_ascii
 
 # The topic names of the reference.
@@ -37,7 +38,7 @@ def job_messages(jobs: DataFrame, topic: str = JOBS_TOPIC) -> DataFrame:
     Only the wire copy is folded; the jobs table keeps the original text.
     """
     folded = jobs.withColumns({c: fold_ascii(c) for c in FOLDED if c in jobs.columns})
-    value = F.to_json(F.struct(*[F.col(c) for c in folded.columns]), {"ignoreNullFields": "false"})
+    value = row_json(folded, keep_nulls=True)
     return folded.select(
         F.col("position").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
