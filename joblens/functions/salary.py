@@ -169,17 +169,10 @@ def _lookup(code: Column, values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), code + 1)
 
 
-def with_salary(df, salary: str = "salary", source: str = "source", site: str | None = None):
-    """DOM7: min_salary, max_salary (double) and salary_ok for every row.
-
-    One pass over mixed sources, in four flat projections: derived texts;
-    the id of the deciding rule (last match first, per site); the two bound
-    texts that rule names; parse once, convert by the rule's unit.
-    ``site`` fixes the site for a single-site frame.
-    """
-    staged = df.withColumn("_s", strip_ws(F.col(salary))).withColumn("_n", drop_commas(F.col("_s")))
-    staged = staged.withColumns(_prepared())
-
+def _salary_stages(source: str, site: str | None) -> list[dict[str, Column]]:
+    """The projections of ``with_salary`` (over columns ``_s`` and ``_n``):
+    derived texts; the id of the deciding rule (last match first, per site);
+    the two bound texts that rule names; parse once; convert by unit."""
     numbered: list[tuple[int, Rule]] = []
     rule_id = None
     for name in ([site] if site else SOURCES):
@@ -193,29 +186,56 @@ def with_salary(df, salary: str = "salary", source: str = "source", site: str |
         picked = chain if site else F.when(F.col(source) == name, chain)
         rule_id = picked if rule_id is None else F.coalesce(rule_id, picked)
     code = F.col("_rule")
-    staged = staged.withColumn("_rule", rule_id if rule_id is not None else F.lit(None).cast("int"))
-    staged = staged.withColumns(
+    matched = code.isNotNull()
+    unit, usd = F.col("_unit"), F.col("_usd")
+    good = matched & F.col("_ok")
+    return [
+        _prepared(),
+        {"_rule": rule_id if rule_id is not None else F.lit(None).cast("int")},
         {
             "_lo_text": _switch(code, [(k, r.lo) for k, r in numbered if r.lo is not None]),
             "_hi_text": _switch(code, [(k, r.hi) for k, r in numbered]),
             # per-rule constants: a lookup in a literal array (rule ids are 0..n-1)
             "_unit": _lookup(code, [UNITS[r.unit] for _, r in numbered]),
             "_has_lo": F.coalesce(_lookup(code, [r.lo is not None for _, r in numbered]), F.lit(False)),
-        }
-    )
-    staged = staged.withColumns({"_lo": py_float(F.col("_lo_text")), "_hi": py_float(F.col("_hi_text"))})
-    matched = code.isNotNull()
-    ok = ~matched | (F.col("_hi").isNotNull() & (~F.col("_has_lo") | F.col("_lo").isNotNull()))
-    staged = staged.withColumn("_ok", ok)
-    good = matched & F.col("_ok")
-    unit, usd = F.col("_unit"), F.col("_usd")
-    return staged.withColumns(
+        },
+        {"_lo": py_float(F.col("_lo_text")), "_hi": py_float(F.col("_hi_text"))},
+        {"_ok": ~matched | (F.col("_hi").isNotNull() & (~F.col("_has_lo") | F.col("_lo").isNotNull()))},
         {
             "min_salary": F.when(good & F.col("_has_lo"), _convert_lo(F.col("_lo"), unit, usd)).otherwise(_zero()),
             "max_salary": F.when(good, _convert_hi(F.col("_hi"), unit, usd)).otherwise(_zero()),
             "salary_ok": F.col("_ok"),
-        }
-    ).drop("_s", "_n", *PREPARED, "_rule", "_lo_text", "_hi_text", "_unit", "_has_lo", "_lo", "_hi", "_ok")
+        },
+    ]
+
+
+_STAGE_CACHE: dict[tuple, list[dict[str, Column]]] = {}
+
+
+def _cached_stages(source: str, site: str | None) -> list[dict[str, Column]]:
+    """Column expressions are immutable and reusable across DataFrames of
+    one SparkContext; building them costs a couple of thousand JVM calls,
+    so they are built once per context."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    key = (sc.applicationId if sc is not None else None, source, site)
+    if key not in _STAGE_CACHE:
+        _STAGE_CACHE.clear()
+        _STAGE_CACHE[key] = _salary_stages(source, site)
+    return _STAGE_CACHE[key]
+
+
+def with_salary(df, salary: str = "salary", source: str = "source", site: str | None = None):
+    """DOM7: min_salary, max_salary (double) and salary_ok for every row.
+
+    One pass over mixed sources in a few flat projections (see
+    ``_salary_stages``); ``site`` fixes the site for a single-site frame.
+    """
+    staged = df.withColumn("_s", strip_ws(F.col(salary))).withColumn("_n", drop_commas(F.col("_s")))
+    for stage in _cached_stages(source, site):
+        staged = staged.withColumns(stage)
+    return staged.drop("_s", "_n", *PREPARED, "_rule", "_lo_text", "_hi_text", "_unit", "_has_lo", "_lo", "_hi", "_ok")
 
 
 def with_experience(df, exp: str = "exp", source: str = "source"):
