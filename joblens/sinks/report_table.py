@@ -1,7 +1,9 @@
 """Keyed report tables with an ordered, idempotent upsert (SNK4).
 
-Layout: ``<path>/snap=<seq>-v<version>/`` holds a complete copy of the
-table after applying update batch ``version``; a snapshot counts once
+Layout: ``<path>/snap=<seq>-v<version>[-w<writer>]/`` holds a complete copy
+of the table after applying update batch ``version`` of ``writer`` (a
+streaming query's id, so a stream restarted on a new checkpoint, whose batch
+ids start again at 0, is not mistaken for a replay); a snapshot counts once
 Spark's commit wrote its ``_SUCCESS`` marker.  An upsert reads the newest
 complete snapshot, merges the update batch with DOM10 (latest row version
 per key wins) and writes snapshot ``seq + 1``.  Hence
@@ -31,8 +33,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """Committed snapshots as (seq, batch version), by seq."""
+def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """Committed snapshots as (seq, batch version, writer), by seq."""
     fs, root, jvm = _fs(spark, path)
     if not fs.exists(root):
         return []
@@ -42,13 +44,15 @@ def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int]]:
         if status.isDirectory() and name.startswith(SNAP):
             marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
             if fs.exists(marker):
-                seq, _, version = name[len(SNAP):].partition("-v")
-                out.append((int(seq), int(version)))
+                seq, _, rest = name[len(SNAP):].partition("-v")
+                version, _, writer = rest.partition("-w")
+                out.append((int(seq), int(version), writer))
     return sorted(out)
 
 
-def snapshot_path(path: str, seq: int, version: int) -> str:
-    return f"{path.rstrip('/')}/{SNAP}{seq:012d}-v{version}"
+def snapshot_path(path: str, seq: int, version: int, writer: str = "") -> str:
+    suffix = f"-w{writer}" if writer else ""
+    return f"{path.rstrip('/')}/{SNAP}{seq:012d}-v{version}{suffix}"
 
 
 def read_report_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -56,8 +60,7 @@ def read_report_table(spark: SparkSession, path: str, schema: StructType) -> Dat
     done = snapshots(spark, path)
     if not done:
         return spark.createDataFrame([], schema)
-    seq, version = done[-1]
-    return spark.read.schema(schema).parquet(snapshot_path(path, seq, version))
+    return spark.read.schema(schema).parquet(snapshot_path(path, *done[-1]))
 
 
 def upsert_report_table(
@@ -68,18 +71,19 @@ def upsert_report_table(
     version_col: str,
     version: int,
     schema: StructType,
+    writer: str = "",
 ) -> bool:
-    """Merge update batch ``version`` into the table.
+    """Merge update batch ``version`` (of ``writer``) into the table.
 
     Returns False (and writes nothing) when that batch was applied before,
     which makes a replayed micro-batch harmless.  Batches may arrive in any
     order: rows carry ``version_col`` and the newest row per key wins.
     """
     done = snapshots(spark, path)
-    if any(v == version for _, v in done):
+    if any(v == version and w == writer for _, v, w in done):
         return False
     seq = done[-1][0] + 1 if done else 0
     current = read_report_table(spark, path, schema)
     merged = upsert(current, updates.select(*schema.fieldNames()), keys, version_col)
-    merged.write.mode("overwrite").parquet(snapshot_path(path, seq, version))
+    merged.write.mode("overwrite").parquet(snapshot_path(path, seq, version, writer))
     return True

@@ -32,6 +32,7 @@ from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, report_table_schema
 from ..session import temporary_conf
 from ..sinks.report_table import read_report_table, upsert_report_table
 from ..sinks.topic import TOPIC_SCHEMA, report_messages, write_topic
+from .upsert_stream import QueryToken
 
 
 def read_topic_stream(
@@ -172,8 +173,11 @@ def start_report_maintenance(
     """Query 2 (STM5): route each micro-batch by topic and upsert each part
     into its report table, keyed by (query_date, dimension)."""
 
+    token = QueryToken(checkpoint)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        writer = token.get(spark)
         batch = batch.persist()
         try:
             for kind, part in split_routes(batch, REPORT_ROUTES, REPORT_DEFAULT).items():
@@ -186,6 +190,7 @@ def start_report_maintenance(
                     version_col="version",
                     version=batch_id,
                     schema=report_table_schema(kind),
+                    writer=writer,
                 )
         finally:
             batch.unpersist()

@@ -8,13 +8,35 @@ a bucketed layout that rewrites only the touched buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..sinks.report_table import upsert_report_table
 
 
+def query_token(spark: SparkSession, checkpoint: str) -> str:
+    """Short id of the streaming query that owns ``checkpoint`` (from the
+    checkpoint's metadata file, written when the query first started)."""
+    text = "\n".join(r.value for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"].replace("-", "")[:12]
+
+
+class QueryToken:
+    """Lazily read once per started query, inside its first micro-batch."""
+
+    def __init__(self, checkpoint: str) -> None:
+        self.checkpoint = checkpoint
+        self.value: str | None = None
+
+    def get(self, spark: SparkSession) -> str:
+        if self.value is None:
+            self.value = query_token(spark, self.checkpoint)
+        return self.value
+
+
 def start_keyed_upsert(
     stream: DataFrame,
     table: str,
@@ -24,8 +46,11 @@ def start_keyed_upsert(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
+    token = QueryToken(checkpoint)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_report_table(batch.sparkSession, table, batch, keys, version_col, batch_id, schema)
+        spark = batch.sparkSession
+        upsert_report_table(spark, table, batch, keys, version_col, batch_id, schema, writer=token.get(spark))
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

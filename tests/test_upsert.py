@@ -33,7 +33,7 @@ def test_report_table_replay_is_noop(spark, workdir):
     assert upsert_report_table(spark, path, b0, ["k"], "version", 0, schema)
     assert upsert_report_table(spark, path, b1, ["k"], "version", 1, schema)
     assert not upsert_report_table(spark, path, b0, ["k"], "version", 0, schema)  # replay
-    assert [v for _, v in snapshots(spark, path)] == [0, 1]
+    assert [v for _, v, _ in snapshots(spark, path)] == [0, 1]
     assert rows(read_report_table(spark, path, schema)) == [("a", 7.0, 1), ("b", 2.0, 0)]
 
 
@@ -72,3 +72,19 @@ def test_jobs_table_replace_days(spark, workdir):
     assert read_jobs(spark, path).count() == 3
     write_jobs(jobs, path, replace_days=True)  # idempotent rerun
     assert read_jobs(spark, path).count() == 2
+
+
+def test_new_checkpoint_is_not_a_replay(spark, workdir):
+    """A stream restarted on a fresh checkpoint starts at batch 0 again; its
+    batches must be applied, not skipped as replays."""
+    from joblens.streaming.upsert_stream import start_keyed_upsert
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = f"{workdir}/t"
+    for n, value in enumerate((1.0, 2.0)):
+        feed = f"{workdir}/feed{n}"
+        spark.createDataFrame([("a", value, n)], SCHEMA).write.parquet(feed)
+        stream = spark.readStream.schema(schema).parquet(feed)
+        start_keyed_upsert(stream, table, ["k"], "version", schema, f"{workdir}/ck{n}").awaitTermination()
+    assert rows(read_report_table(spark, table, schema)) == [("a", 2.0, 1)]
+    assert len({w for _, _, w in snapshots(spark, table)}) == 2
