@@ -66,7 +66,10 @@ def day_partitions(spark: SparkSession, path: str) -> list[str]:
 
 def read_jobs_day(spark: SparkSession, path: str, day) -> DataFrame:
     """FLT1 at the file level: list and read only that day's directory
-    (``basePath`` keeps ``query_day`` as a column)."""
+    (``basePath`` keeps ``query_day`` as a column); a day without postings
+    is an empty frame, so its count is 0."""
+    if str(day) not in day_partitions(spark, path):
+        return spark.createDataFrame([], JOBS_TABLE)
     return (
         spark.read.schema(JOBS_TABLE)
         .option("basePath", path)

@@ -88,3 +88,17 @@ def test_new_checkpoint_is_not_a_replay(spark, workdir):
         start_keyed_upsert(stream, table, ["k"], "version", schema, f"{workdir}/ck{n}").awaitTermination()
     assert rows(read_report_table(spark, table, schema)) == [("a", 2.0, 1)]
     assert len({w for _, _, w in snapshots(spark, table)}) == 2
+
+
+def test_day_without_postings_counts_zero(spark, workdir):
+    import datetime as dt
+
+    from joblens.operators.digest import daily_digest
+    from joblens.schemas import JOB
+    from joblens.sinks.jobs_table import read_jobs_day, write_jobs
+
+    path = f"{workdir}/jobs"
+    write_jobs(spark.createDataFrame([("p", "c", "a", "topcv", dt.date(2024, 1, 1), 0.0, 1.0, 0)], JOB), path)
+    count, top = daily_digest(read_jobs_day(spark, path, "2024-01-02"), "2024-01-02")
+    assert count.collect()[0].total_jobs == 0 and top.count() == 0
+    assert read_jobs_day(spark, path, dt.date(2024, 1, 1)).count() == 1
