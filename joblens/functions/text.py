@@ -16,14 +16,28 @@ from pyspark.sql import functions as F
 PY_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _WS_OTHER = PY_WHITESPACE.replace(" ", "")
 
+
+def _pads_number(ch: str) -> bool:
+    try:
+        float(ch + "1" + ch)
+        return True
+    except ValueError:
+        return False
+
+
+# The whitespace float()/int() ignore around a literal: all of the above
+# except the four information separators (\x1c-\x1f), which split() cuts at
+# but number parsing rejects.
+NUMBER_PADDING = "".join(c for c in PY_WHITESPACE if _pads_number(c))
+
 # Python float()/int() literal grammar (digits may carry single underscores);
 # Spark's cast alone would also accept forms Python rejects ("1.5d", hex).
 _DIGITS = r"\d(?:_?\d)*"
 _PY_FLOAT = (
-    r"^\s*[+-]?(?:(?:" + _DIGITS + r"\.?(?:" + _DIGITS + r")?|\." + _DIGITS + r")"
-    r"(?:[eE][+-]?" + _DIGITS + r")?|(?i:inf|infinity|nan))\s*$"
+    r"^[+-]?(?:(?:" + _DIGITS + r"\.?(?:" + _DIGITS + r")?|\." + _DIGITS + r")"
+    r"(?:[eE][+-]?" + _DIGITS + r")?|(?i:inf|infinity|nan))$"
 )
-_PY_INT = r"^\s*[+-]?" + _DIGITS + r"\s*$"
+_PY_INT = r"^[+-]?" + _DIGITS + r"$"
 
 
 def col_of(c: Column | str) -> Column:
@@ -79,13 +93,13 @@ def drop_commas(c: Column | str) -> Column:
 def py_float(c: Column | str) -> Column:
     """CST1: ``float(token)``; null where Python would raise (or the token
     is missing, pandas NaN)."""
-    c = col_of(c)
+    c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
     return F.when(c.rlike(_PY_FLOAT), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def py_int(c: Column | str) -> Column:
     """CST1: ``int(token)``; null where Python would raise."""
-    c = col_of(c)
+    c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
     return F.when(c.rlike(_PY_INT), F.replace(c, F.lit("_"), F.lit("")).try_cast("int"))
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from joblens.functions.places import explode_places
-from joblens.functions.text import fold_ascii, py_float, strip_ws, ws_tokens
+from joblens.functions.text import fold_ascii, py_float, py_int, strip_ws, ws_tokens
 from joblens.operators.clean import parse_listings
 
 SALARY = [
@@ -20,6 +20,8 @@ SALARY = [
     ("topcv", "Trên 20 triệu", 0, 0, True),
     ("topcv", "10-15 triệu", 0, 0, False),
     ("topcv", "  Tới 30 triệu  ", 0, 30, True),
+    ("topcv", "5\u00a0 - 10 triệu", 5, 10, True),  # float() ignores NBSP padding
+    ("vietnamworks", "5\x1c - 10 triệu", 0, 0, False),  # ...but not \x1c
     ("careerlink", "Thương lượng", 0, 0, True),
     ("careerlink", "15 triệu", 0, 15, True),
     ("careerlink", "Trên 15 triệu", 0, 15, True),
@@ -103,16 +105,18 @@ def test_places(spark):
 
 
 def test_python_float_grammar(spark):
-    vals = ["12", "1_000", "1e3", " 7 ", "1.5d", "0x10", "$", "", None, "-3.5", ".5", "inf"]
+    vals = ["12", "1_000", "1e3", " 7 ", "1.5d", "0x10", "$", "", None, "-3.5", ".5", "inf",
+            "5\u00a0", "\u30007", "\x1c3", "\t8\n", "1 2"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
-    got = [r[0] for r in df.select(py_float("v")).collect()]
-    want = []
-    for v in vals:
-        try:
-            want.append(float(v))
-        except (TypeError, ValueError):
-            want.append(None)
-    assert got == want
+    for fn, py in ((py_float, float), (py_int, int)):
+        got = [r[0] for r in df.select(fn("v")).collect()]
+        want = []
+        for v in vals:
+            try:
+                want.append(py(v))
+            except (TypeError, ValueError):
+                want.append(None)
+        assert got == want, fn.__name__
 
 
 def test_whitespace_tokens(spark):

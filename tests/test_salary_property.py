@@ -17,13 +17,13 @@ def number():
     return st.one_of(
         st.integers(0, 9999).map(str),
         st.integers(1, 9999).map(lambda n: f"{n:,}"),
-        st.sampled_from(["1.5", "2_000", "1e3", ".5", "10tr", "abc"]),
+        st.sampled_from(["1.5", "2_000", "1e3", ".5", "10tr", "abc", "5\u00a0", "\u30007", "8\x1c"]),
     )
 
 
 def texts():
     part = st.one_of(number(), st.sampled_from(WORDS))
-    sep = st.sampled_from([" ", "  ", " - ", "-", ": ", "\t", ""])
+    sep = st.sampled_from([" ", "  ", " - ", "-", ": ", "\t", "", "\u00a0", "\u3000", "\x1c", " -\u00a0"])
     return st.lists(st.tuples(part, sep), min_size=0, max_size=6).map(lambda xs: "".join(a + b for a, b in xs))
 
 
