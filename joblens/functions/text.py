@@ -94,7 +94,10 @@ def py_float(c: Column | str) -> Column:
     """CST1: ``float(token)``; null where Python would raise (or the token
     is missing, pandas NaN)."""
     c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
-    return F.when(c.rlike(_PY_FLOAT), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
+    value = F.replace(c, F.lit("_"), F.lit("")).try_cast("double")
+    # Spark's cast rejects a signed NaN, which float() accepts
+    signed_nan = F.when(c.rlike(r"^[+-](?i:nan)$"), F.lit(float("nan")))
+    return F.when(c.rlike(_PY_FLOAT), F.coalesce(value, signed_nan))
 
 
 def py_int(c: Column | str) -> Column:

@@ -17,7 +17,7 @@ def number():
     return st.one_of(
         st.integers(0, 9999).map(str),
         st.integers(1, 9999).map(lambda n: f"{n:,}"),
-        st.sampled_from(["1.5", "2_000", "1e3", ".5", "10tr", "abc", "5\u00a0", "\u30007", "8\x1c"]),
+        st.sampled_from(["1.5", "2_000", "1e3", ".5", "10tr", "abc", "5\u00a0", "\u30007", "8\x1c", "+nan", "-inf"]),
     )
 
 
