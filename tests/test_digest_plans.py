@@ -90,3 +90,16 @@ def test_day_filter_prunes_partitions(spark, workdir):
     # same answer as the unpartitioned frame
     want = jobs.filter(F.col("query_day") == "1996-01-02").count()
     assert q.collect()[0].total_jobs == want
+
+
+def test_no_row_caps_or_sampling(spark):
+    """Only the top-k queries limit rows; nothing samples.  (Streaming and
+    table queries are checked through their final reads.)"""
+    top_k = {"top_paid", "jobs_table_top"}
+    for name, q in catalogue.queries().items():
+        if name.startswith(("stream_", "jobs_table_")) and name not in top_k:
+            continue
+        p = plan(q(spark, SF))
+        assert "Sample" not in p, name
+        has_limit = "Limit" in p.replace("WindowGroupLimit", "")
+        assert has_limit == (name in top_k), name
