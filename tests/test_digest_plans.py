@@ -101,5 +101,5 @@ def test_no_row_caps_or_sampling(spark):
             continue
         p = plan(q(spark, SF))
         assert "Sample" not in p, name
-        has_limit = "Limit" in p.replace("WindowGroupLimit", "")
+        has_limit = "TakeOrderedAndProject" in p or "Limit" in p.replace("WindowGroupLimit", "")
         assert has_limit == (name in top_k), name
