@@ -92,7 +92,8 @@ def drop_commas(c: Column | str) -> Column:
 
 def py_float(c: Column | str) -> Column:
     """CST1: ``float(token)``; null where Python would raise (or the token
-    is missing, pandas NaN)."""
+    is missing, pandas NaN).  Known limit: float() also reads non-ASCII
+    decimal digits (full-width, Arabic-Indic); here those give null."""
     c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
     value = F.replace(c, F.lit("_"), F.lit("")).try_cast("double")
     # Spark's cast rejects a signed NaN, which float() accepts
