@@ -7,7 +7,7 @@ Layers
 ``operators``  DataFrame -> DataFrame compositions (clean, reports, digest, upsert).
 ``sinks``      writers (partitioned jobs table, topic files, report tables, JDBC).
 ``streaming``  Structured Streaming wiring of the same operators.
-``plans``      the query catalogue, the end-to-end pipeline and plan checks.
+``plans``      the query catalogue, the end-to-end daily run.
 """
 
 __version__ = "0.1.0"

@@ -1,6 +1,6 @@
 """Command line: the reference's jobs, as Spark jobs.
 
-    python -m joblens pipeline --pages PAGES --root ROOT [--date D]
+    python -m joblens run --pages PAGES --root ROOT [--date D]
         pages (parquet: source, page_no, html) -> jobs table + topic ->
         reports -> report tables -> digest
     python -m joblens reports --root ROOT [--date D]
@@ -18,7 +18,7 @@ import argparse
 import datetime as dt
 
 from .operators.digest import daily_digest
-from .plans.pipeline import RunPaths, run_pipeline, run_reports
+from .plans.daily_run import RunPaths, run_day, run_reports
 from .schemas import PAGE
 from .session import build_session
 from .sinks.jobs_table import read_jobs_day
@@ -32,7 +32,7 @@ def _date(text: str | None) -> dt.date:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="joblens")
     sub = parser.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline")
+    p = sub.add_parser("run")
     p.add_argument("--pages", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--date")
@@ -49,9 +49,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session("joblens-" + args.cmd, master=args.master)
     day = _date(args.date)
-    if args.cmd == "pipeline":
+    if args.cmd == "run":
         raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
-        reports, count, top = run_pipeline(spark, raw, args.root, day)
+        reports, count, top = run_day(spark, raw, args.root, day)
         reports.orderBy("dimension", "key").show(200, truncate=False)
     elif args.cmd == "reports":
         reports = run_reports(spark, RunPaths(args.root), day)

@@ -29,7 +29,7 @@ from ..sources import html as H
 from ..sources.listings import read_listings
 from ..sources.tables import read_table, spread
 from ..streaming.upsert_stream import start_keyed_upsert
-from .pipeline import RunPaths, publish_jobs, run_reports
+from .daily_run import RunPaths, publish_jobs, run_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 

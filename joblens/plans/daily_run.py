@@ -77,7 +77,7 @@ def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_pe
     return read_report_tables(spark, paths.tables)
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
+def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
     """One day's run: clean, append to the table, publish from the written
     table (both sinks hold the same rows), maintain reports, digest."""
     paths = RunPaths(root)

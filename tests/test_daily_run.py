@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from joblens.operators import reports as R
 from joblens.operators.clean import clean_listings, union_sources
-from joblens.plans.pipeline import run_pipeline
+from joblens.plans.daily_run import run_day
 from joblens.sources.html import extract_listings
 from test_extract import CAREERLINK, CAREERVIET, ITVIEC, TOPCV, VNW
 
@@ -30,9 +30,9 @@ def test_union_sources_keeps_topcv_exp(spark):
     assert rows["topcv"].query_day == DAY
 
 
-def test_pipeline_end_to_end(spark, workdir):
+def test_daily_run_end_to_end(spark, workdir):
     raw = extract_listings(pages(spark)).drop("page_no", "item")
-    reports, count, top = run_pipeline(spark, raw, workdir, DAY, files=2)
+    reports, count, top = run_day(spark, raw, workdir, DAY, files=2)
     assert count.collect()[0].total_jobs == 7
     best = top.collect()
     assert best[0].max_salary == 50.0 and best[0].source == "vietnamworks"

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from joblens.operators import reports as R
-from joblens.plans.pipeline import RunPaths, publish_jobs, run_reports
+from joblens.plans.daily_run import RunPaths, publish_jobs, run_reports
 from joblens.schemas import JOB
 from joblens.sinks.topic import JOBS_TOPIC
 from joblens.streaming.reports import market_stream, read_topic_stream
