@@ -1,8 +1,9 @@
 """Command line: the reference's jobs, as Spark jobs.
 
+    python -m joblens ingest --pages PAGES --root ROOT [--date D]
+        pages (parquet: source, page_no, html) -> listings -> jobs table + topic
     python -m joblens run --pages PAGES --root ROOT [--date D]
-        pages (parquet: source, page_no, html) -> jobs table + topic ->
-        reports -> report tables -> digest
+        ingest, then both report streams, then the digest
     python -m joblens reports --root ROOT [--date D]
         run both report streams to the end of their input (availableNow)
     python -m joblens digest --table JOBS_TABLE [--date D] [--top 10]
@@ -18,7 +19,7 @@ import argparse
 import datetime as dt
 
 from .operators.digest import daily_digest
-from .plans.daily_run import RunPaths, run_day, run_reports
+from .plans.daily_run import RunPaths, ingest_day, run_day, run_reports
 from .schemas import PAGE
 from .session import build_session
 from .sinks.jobs_table import read_jobs_day
@@ -36,6 +37,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--pages", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--date")
+    i = sub.add_parser("ingest")
+    i.add_argument("--pages", required=True)
+    i.add_argument("--root", required=True)
+    i.add_argument("--date")
     r = sub.add_parser("reports")
     r.add_argument("--root", required=True)
     r.add_argument("--date")
@@ -43,14 +48,18 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--table", required=True)
     d.add_argument("--date")
     d.add_argument("--top", type=int, default=10)
-    for s in (p, r, d):
+    for s in (p, i, r, d):
         s.add_argument("--master")
     args = parser.parse_args(argv)
 
     spark = build_session("joblens-" + args.cmd, master=args.master)
     day = _date(args.date)
-    if args.cmd == "run":
+    if args.cmd in ("run", "ingest"):
         raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
+        if args.cmd == "ingest":
+            rows = ingest_day(spark, raw, args.root, day)
+            print(f"ingested {rows.count()} postings for {day}")
+            return 0
         reports, count, top = run_day(spark, raw, args.root, day)
         reports.orderBy("dimension", "key").show(200, truncate=False)
     elif args.cmd == "reports":

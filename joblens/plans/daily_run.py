@@ -12,11 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.clean import clean_listings
 from ..operators.digest import daily_digest
-from ..sinks.jobs_table import read_jobs, write_jobs
+from ..sinks.jobs_table import read_jobs_day, write_jobs
 from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, job_messages, write_topic
 from ..streaming.reports import (
     read_report_tables,
@@ -59,7 +58,7 @@ def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None) ->
     write_topic(messages, paths.jobs_topic)
 
 
-def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_per_trigger: int | None = 1) -> DataFrame:
+def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_per_trigger: int | None = None) -> DataFrame:
     """Both streaming queries to completion; returns the report tables."""
     q1 = start_market_stream(
         read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=files_per_trigger),
@@ -77,14 +76,22 @@ def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_pe
     return read_report_tables(spark, paths.tables)
 
 
-def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
-    """One day's run: clean, append to the table, publish from the written
-    table (both sinks hold the same rows), maintain reports, digest."""
+def ingest_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None) -> DataFrame:
+    """The scrape job's sinks: clean the raw listings, append them to the
+    jobs table, and publish the day's rows read back from the written table
+    (so the table and the topic hold the same rows).  Returns the day's rows."""
     paths = RunPaths(root)
-    jobs = clean_listings(raw, report_date)
-    write_jobs(jobs, paths.jobs)
-    day_rows = read_jobs(spark, paths.jobs).filter(F.col("query_day") == F.lit(str(report_date)).cast("date"))
+    write_jobs(clean_listings(raw, report_date), paths.jobs)
+    day_rows = read_jobs_day(spark, paths.jobs, report_date)
     publish_jobs(day_rows.withColumnRenamed("experience", "final_exp"), paths, files)
+    return day_rows
+
+
+def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
+    """One day's run: ingest, maintain reports (both streams to the end of
+    their input), digest.  Returns (report tables, day count, top paid)."""
+    paths = RunPaths(root)
+    day_rows = ingest_day(spark, raw, root, report_date, files)
     reports = run_reports(spark, paths, report_date)
-    count, top = daily_digest(read_jobs(spark, paths.jobs), report_date)
+    count, top = daily_digest(day_rows, report_date)
     return reports, count, top
