@@ -30,11 +30,22 @@ from .text import (
     ws_tokens,
 )
 
-# Fixed values of the reference's cleaning rules.
+# Fixed values of the reference's cleaning rules: sites, the words and
+# separators the texts are read by, and the conversion constants.
+SOURCES = ("topcv", "careerlink", "careerviet", "itviec", "vietnamworks")
+YEARS_WORD = "năm"  # experience: "X năm"
+UP_TO = "Tới"  # "Tới X USD" / "Tới X triệu"
+USD = "USD"
+RANGE_MARK = "-"
+RANGE_SEP = " - "
+MILLION = "triệu"  # careerlink "X triệu" / "Trên X triệu"
+ABOVE = "Trên"  # careerviet "Lương: Trên X Tr VND"
+LABEL_SEP = ":"
+UP_TO_CV = "Lên đến"  # careerviet "Lương: Lên đến X Tr VND"
+MILLION_SHORT = "Tr"
 USD_TO_MVND = 25000 / 1000000  # 1 USD = 25,000 VND, salaries in millions
 ANNUAL_THRESHOLD = 100.0  # a single USD bound above this is read as yearly
 MONTHS = 12.0
-SOURCES = ("topcv", "careerlink", "careerviet", "itviec", "vietnamworks")
 
 
 def _zero() -> Column:
@@ -89,20 +100,20 @@ def _convert_lo(x: Column, unit: Column, usd: Column) -> Column:
 # JIT compiler.)
 def _prepared() -> dict[str, Column]:
     s, n = F.col("_s"), F.col("_n")
-    after = part(n, ":", 1)  # s.replace(',', '').split(':')[1]
+    after = part(n, LABEL_SEP, 1)  # s.replace(',', '').split(':')[1]
     tok_after = ws_tokens(after)
     return {
-        "_usd": s.contains("USD"),
+        "_usd": s.contains(USD),
         "_tok1": drop_commas(ws_token(s, 1)),  # s.split()[1].replace(',', '')
         "_tok_n": ws_tokens(n),  # s.replace(',', '').split()
-        "_d0": part(n, " - ", 0),  # ...split(' - ')[0]
-        "_d0_first": first_ws_token(part(n, " - ", 0)),  # ...split(' - ')[0].split()[0]
-        "_d1_first": first_ws_token(part(n, " - ", 1)),  # ...split(' - ')[1].split()[0]
+        "_d0": part(n, RANGE_SEP, 0),  # ...split(' - ')[0]
+        "_d0_first": first_ws_token(part(n, RANGE_SEP, 0)),  # ...split(' - ')[0].split()[0]
+        "_d1_first": first_ws_token(part(n, RANGE_SEP, 1)),  # ...split(' - ')[1].split()[0]
         "_after1": token(tok_after, 1),  # ...split(':')[1].split()[1]
         "_after2": token(tok_after, 2),  # ...split(':')[1].split()[2]
-        "_a0": part(after, " - ", 0),  # ...split(':')[1].split(' - ')[0]
-        "_a0_first": first_ws_token(part(after, " - ", 0)),
-        "_a1_first": first_ws_token(part(after, " - ", 1)),
+        "_a0": part(after, RANGE_SEP, 0),  # ...split(':')[1].split(' - ')[0]
+        "_a0_first": first_ws_token(part(after, RANGE_SEP, 0)),
+        "_a1_first": first_ws_token(part(after, RANGE_SEP, 1)),
     }
 
 
@@ -113,8 +124,8 @@ def topcv_rules() -> list[Rule]:
     """DOM2 (also DOM6): ``Tới X [USD|triệu]`` and ``X - Y [USD|triệu]``."""
     s = F.col("_s")
     return [
-        Rule(s.startswith("Tới"), None, F.col("_tok1"), "single"),
-        Rule(s.contains("-"), F.col("_d0"), F.col("_d1_first"), "pair"),
+        Rule(s.startswith(UP_TO), None, F.col("_tok1"), "single"),
+        Rule(s.contains(RANGE_MARK), F.col("_d0"), F.col("_d1_first"), "pair"),
     ]
 
 
@@ -123,8 +134,8 @@ def careerlink_rules() -> list[Rule]:
     s, toks = F.col("_s"), F.col("_tok_n")
     single = F.when(F.size(toks) == 2, token(toks, 0)).otherwise(token(toks, 1))
     return [
-        Rule(s.contains("triệu") & ~s.contains("-"), None, single, "single"),
-        Rule(s.contains("-"), F.col("_d0_first"), F.col("_d1_first"), "pair"),
+        Rule(s.contains(MILLION) & ~s.contains(RANGE_MARK), None, single, "single"),
+        Rule(s.contains(RANGE_MARK), F.col("_d0_first"), F.col("_d1_first"), "pair"),
     ]
 
 
@@ -132,10 +143,10 @@ def careerviet_rules() -> list[Rule]:
     """DOM4: text after ``Lương:``; Trên / Lên đến / Tr range / USD range."""
     s = F.col("_s")
     return [
-        Rule(s.contains("Trên") & ~s.contains("-"), None, F.col("_after1"), "single"),
-        Rule(s.contains("Lên đến"), None, F.col("_after2"), "single"),
-        Rule(s.contains("-") & s.contains("Tr"), F.col("_a0_first"), F.col("_a1_first"), "plain"),
-        Rule(s.contains("-") & s.contains("USD"), F.col("_a0"), F.col("_a1_first"), "usd"),
+        Rule(s.contains(ABOVE) & ~s.contains(RANGE_MARK), None, F.col("_after1"), "single"),
+        Rule(s.contains(UP_TO_CV), None, F.col("_after2"), "single"),
+        Rule(s.contains(RANGE_MARK) & s.contains(MILLION_SHORT), F.col("_a0_first"), F.col("_a1_first"), "plain"),
+        Rule(s.contains(RANGE_MARK) & s.contains(USD), F.col("_a0"), F.col("_a1_first"), "usd"),
     ]
 
 
@@ -243,7 +254,7 @@ def with_experience(df, exp: str = "exp", source: str = "source"):
     Adds ``final_exp`` (int) and ``exp_ok``."""
     e = strip_ws(F.col(exp))
     staged = df.withColumn("_e", e)
-    applies = (F.col(source) == "topcv") & F.col("_e").contains("năm")
+    applies = (F.col(source) == "topcv") & F.col("_e").contains(YEARS_WORD)
     staged = staged.withColumns({"_applies": F.coalesce(applies, F.lit(False)), "_years": py_int(token(ws_tokens(F.col("_e")), -2))})
     return staged.withColumns(
         {
