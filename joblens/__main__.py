@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--table", required=True)
     d.add_argument("--date")
     d.add_argument("--top", type=int, default=10)
+    for s in (p, i):
+        s.add_argument("--replace-day", action="store_true", help="overwrite the day instead of appending (idempotent rerun)")
     for s in (p, i, r, d):
         s.add_argument("--master")
     args = parser.parse_args(argv)
@@ -57,10 +59,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd in ("run", "ingest"):
         raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
         if args.cmd == "ingest":
-            rows = ingest_day(spark, raw, args.root, day)
+            rows = ingest_day(spark, raw, args.root, day, replace_day=args.replace_day)
             print(f"ingested {rows.count()} postings for {day}")
             return 0
-        reports, count, top = run_day(spark, raw, args.root, day)
+        reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day)
         reports.orderBy("dimension", "key").show(200, truncate=False)
     elif args.cmd == "reports":
         reports = run_reports(spark, RunPaths(args.root), day)

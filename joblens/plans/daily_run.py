@@ -76,22 +76,29 @@ def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_pe
     return read_report_tables(spark, paths.tables)
 
 
-def ingest_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None) -> DataFrame:
+def ingest_day(
+    spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None, replace_day: bool = False
+) -> DataFrame:
     """The scrape job's sinks: clean the raw listings, append them to the
     jobs table, and publish the day's rows read back from the written table
-    (so the table and the topic hold the same rows).  Returns the day's rows."""
+    (so the table and the topic hold the same rows).  Returns the day's rows.
+
+    ``replace_day=True`` makes a rerun after a failure idempotent for the
+    table (the day is overwritten, not appended twice); the topic is
+    at-least-once either way, and the reports' consumers are keyed.
+    """
     paths = RunPaths(root)
-    write_jobs(clean_listings(raw, report_date), paths.jobs)
+    write_jobs(clean_listings(raw, report_date), paths.jobs, replace_days=replace_day)
     day_rows = read_jobs_day(spark, paths.jobs, report_date)
     publish_jobs(day_rows.withColumnRenamed("experience", "final_exp"), paths, files)
     return day_rows
 
 
-def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None):
+def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None, replace_day: bool = False):
     """One day's run: ingest, maintain reports (both streams to the end of
     their input), digest.  Returns (report tables, day count, top paid)."""
     paths = RunPaths(root)
-    day_rows = ingest_day(spark, raw, root, report_date, files)
+    day_rows = ingest_day(spark, raw, root, report_date, files, replace_day)
     reports = run_reports(spark, paths, report_date)
     count, top = daily_digest(day_rows, report_date)
     return reports, count, top

@@ -52,3 +52,13 @@ def test_positional_fields_are_named(spark):
     assert name_fields(four).columns == ["position", "company", "salary", "address"]
     five = spark.createDataFrame([("Dev", "Cty", "Tới 5 triệu", "Huế", "2 năm")])
     assert name_fields(five).columns == ["position", "company", "salary", "address", "exp"]
+
+
+def test_ingest_rerun_with_replace_is_idempotent(spark, workdir):
+    from joblens.plans.daily_run import ingest_day
+    from joblens.sinks.jobs_table import read_jobs
+
+    raw = extract_listings(pages(spark)).drop("page_no", "item")
+    ingest_day(spark, raw, workdir, DAY)
+    ingest_day(spark, raw, workdir, DAY, replace_day=True)  # rerun after a failure
+    assert read_jobs(spark, f"{workdir}/jobs").count() == 7
