@@ -170,7 +170,7 @@ EXP_YEARS = _with(LISTINGS, PARSED) + "\nselect listing_id, source, exp, final_e
 CLEAN_JOBS = _with(LISTINGS, PARSED) + "\nselect * from jobs"
 
 PLACE_ROWS = (
-    _with(LISTINGS, PARSED, PLACES.replace("select address,", "select listing_id, address,").replace("from jobs", "from jobs"))
+    _with(LISTINGS, PARSED, PLACES.replace("select address,", "select listing_id, address,"))
     + "\nselect listing_id, address, address_cleaned as place from places"
 )
 
@@ -275,7 +275,7 @@ def _inner_text(x: str) -> str:
 
 
 NAV_RE = r"(?s)<nav\b[^>]*>(.*?)</nav>"
-HREF_RE = r"""(?s)<li\b[^>]*>\s*<a\b[^>]*?href="([^"]*)\""""
+HREF_RE = r'(?s)<li\b[^>]*>\s*<a\b[^>]*?href="([^"]*)"'
 TEXT_RE = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>(.*?)</a>"
 TITLE_RE = r"(?s)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>"
 
