@@ -19,6 +19,7 @@ per task, not the jobs.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,19 +180,25 @@ def start_report_maintenance(
         spark = batch.sparkSession
         writer = token.get(spark)
         batch = batch.persist()
+
+        def upsert_one(kind_part) -> None:
+            kind, part = kind_part
+            dim, _ = REPORT_DIMENSIONS[kind]
+            upsert_report_table(
+                spark,
+                table_path(table_root, kind),
+                report_rows(part, kind, report_date),
+                keys=["query_date", dim],
+                version_col="version",
+                version=batch_id,
+                schema=report_table_schema(kind),
+                writer=writer,
+            )
+
         try:
-            for kind, part in split_routes(batch, REPORT_ROUTES, REPORT_DEFAULT).items():
-                dim, _ = REPORT_DIMENSIONS[kind]
-                upsert_report_table(
-                    spark,
-                    table_path(table_root, kind),
-                    report_rows(part, kind, report_date),
-                    keys=["query_date", dim],
-                    version_col="version",
-                    version=batch_id,
-                    schema=report_table_schema(kind),
-                    writer=writer,
-                )
+            # three independent small jobs: submitted together, Spark runs them side by side
+            with ThreadPoolExecutor(max_workers=3) as pool:
+                list(pool.map(upsert_one, split_routes(batch, REPORT_ROUTES, REPORT_DEFAULT).items()))
         finally:
             batch.unpersist()
 
