@@ -264,8 +264,9 @@ order by max_salary desc, source, position, company, address, experience limit 1
 
 
 def _unescape(x: str) -> str:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        x = f"replace({x}, '{a}', '{b}')"
+    """Basic entities, semicolon optional (legacy names), ``&amp`` last."""
+    for a, b in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "''"), ("&nbsp;?", " "), ("&amp;?", "&")):
+        x = f"regexp_replace({x}, '{a}', '{b}', 'g')"
     return x
 
 

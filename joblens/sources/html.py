@@ -346,13 +346,16 @@ def extract_listings(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_
 # --------------------------------------------------------------------------
 # Flat markup with JVM regex only
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+# The entities decoded on the regex path.  The semicolon is
+# optional, as HTML parsers accept these legacy names without it (``&amp``).
+_ENTITIES = (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&nbsp;?", " "), ("&amp;?", "&"))
 
 
 def unescape_basic(c: Column) -> Column:
-    """The five XML entities and ``&nbsp;`` (``&amp;`` last)."""
-    for a, b in _ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
+    """The five XML entities and ``&nbsp;`` (``&amp;`` last, so ``&amp;lt;``
+    stays ``&lt;``)."""
+    for pattern, text in _ENTITIES:
+        c = F.regexp_replace(c, pattern, text)
     return c
 
 

@@ -64,3 +64,11 @@ def test_nav_regex_equals_dom(spark):
     a = H.nav_links(pages)
     b = H.extract_items(pages, "nav", "li", {"text": H.FieldSpec("a"), "href": H.FieldSpec("a", attr="href")}, keep=("page_id",))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
+
+def test_legacy_entities_without_semicolon(spark):
+    html = "<html><body><article><h1>a &amp;lt; b&amp c &lt d&#39 e</h1></article></body></html>"
+    pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    regex = H.page_titles(pages).collect()[0].title
+    dom = H.extract_items(pages, "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",)).collect()[0].title
+    assert regex == dom == "a &lt; b& c < d' e"
