@@ -27,7 +27,7 @@ from ..sinks.report_table import read_report_table
 from ..sinks.topic import job_messages
 from ..sources import html as H
 from ..sources.listings import read_listings
-from ..sources.tables import read_table, spread
+from ..sources.tables import at_least, read_table, spread
 from ..streaming.upsert_stream import start_keyed_upsert
 from .daily_run import RunPaths, publish_jobs, run_reports
 
@@ -159,7 +159,7 @@ def q_route_topics(spark, sf_dir):
 # --- streaming, tables -------------------------------------------------------
 
 def q_stream_reports(spark, sf_dir):
-    """SNK2 -> SRC1-3 -> AGG7 (update mode, 4 micro-batches) -> SNK3 ->
+    """SNK2 -> SRC1-3 -> AGG7 (update mode, >= 4 micro-batches) -> SNK3 ->
     SRC4 -> DOM9 -> SNK4: the report tables after both streams finish."""
     paths = RunPaths(shared_dir(spark, "stream_reports", unique=True))
     publish_jobs(jobs(spark, sf_dir).drop("listing_id"), paths, files=4)
@@ -170,10 +170,11 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def q_stream_upsert(spark, sf_dir):
-    """Events replayed as a 4-file stream into a keyed table (latest
-    event per user), one snapshot per micro-batch."""
+    """Events replayed as a file stream (at least 4 files, one per
+    micro-batch) into a keyed table (latest event per user), one snapshot
+    per micro-batch."""
     root = shared_dir(spark, "stream_upsert", unique=True)
-    read_table(spark, sf_dir, "events", EVENT_COLUMNS).repartition(4).write.parquet(f"{root}/feed")
+    at_least(read_table(spark, sf_dir, "events", EVENT_COLUMNS), 4).write.parquet(f"{root}/feed")
     stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", "1").parquet(f"{root}/feed")
     schema = spark.read.parquet(f"{root}/feed").schema
     q = start_keyed_upsert(stream, f"{root}/table", ["user_id"], "event_id", schema, f"{root}/_checkpoint")

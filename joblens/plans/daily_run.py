@@ -17,6 +17,7 @@ from ..operators.clean import clean_listings
 from ..operators.digest import daily_digest
 from ..sinks.jobs_table import read_jobs_day, write_jobs
 from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, job_messages, write_topic
+from ..sources.tables import at_least
 from ..streaming.reports import (
     read_report_tables,
     read_topic_stream,
@@ -50,11 +51,12 @@ class RunPaths:
 
 
 def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None) -> None:
-    """SNK2 into the topic folder; ``files`` splits it into that many files
-    (each becomes one micro-batch downstream when read one file at a time)."""
+    """SNK2 into the topic folder; ``files`` asks for at least that many
+    files (each becomes one micro-batch downstream when read one file at a
+    time); a large input keeps its own, larger split."""
     messages = job_messages(jobs)
     if files:
-        messages = messages.repartition(files)
+        messages = at_least(messages, files)
     write_topic(messages, paths.jobs_topic)
 
 

@@ -32,3 +32,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df
+
+
+def at_least(df: DataFrame, n: int) -> DataFrame:
+    """At least ``n`` partitions (files, once written): a round-robin only
+    when the frame has fewer; a large frame keeps its own split."""
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
