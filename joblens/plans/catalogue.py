@@ -163,7 +163,7 @@ def q_stream_reports(spark, sf_dir):
     SRC4 -> DOM9 -> SNK4: the report tables after both streams finish."""
     paths = RunPaths(shared_dir(spark, "stream_reports", unique=True))
     publish_jobs(jobs(spark, sf_dir).drop("listing_id"), paths, files=4)
-    return run_reports(spark, paths, files_per_trigger=1)
+    return run_reports(spark, paths, batches=4)
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"

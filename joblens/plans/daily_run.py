@@ -60,10 +60,30 @@ def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None) ->
     write_topic(messages, paths.jobs_topic)
 
 
-def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, files_per_trigger: int | None = None) -> DataFrame:
-    """Both streaming queries to completion; returns the report tables."""
+def data_files(spark: SparkSession, path: str) -> int:
+    """Number of data files under a topic folder (one metadata listing)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    files = fs.listFiles(root, True)
+    n = 0
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        n += not name.startswith(("_", "."))
+    return n
+
+
+def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, batches: int | None = None) -> DataFrame:
+    """Both streaming queries to the end of their input; returns the report
+    tables.  ``batches`` replays the job topic in about that many
+    micro-batches (by files per trigger); default: all new files at once."""
+    per_trigger = None
+    if batches:
+        per_trigger = max(1, -(-data_files(spark, paths.jobs_topic) // batches))
     q1 = start_market_stream(
-        read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=files_per_trigger),
+        read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=per_trigger),
         paths.report_topics,
         paths.checkpoint("market"),
     )
