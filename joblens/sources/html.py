@@ -256,8 +256,8 @@ def extract_items(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for rec in pdf.itertuples(index=False):
-                rec = rec._asdict()
+            for values in zip(*(pdf[c] for c in cols)):
+                rec = dict(zip(cols, values))
                 spec = (container, item, fields)
                 if site_col:
                     spec = sites.get(rec[site_col]) if sites else None
