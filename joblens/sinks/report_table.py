@@ -12,14 +12,17 @@ per key wins) and writes snapshot ``seq + 1``.  Hence
 * replaying a micro-batch whose snapshot exists is a no-op (exactly once);
 * an older version arriving late cannot overwrite a newer row.
 
-Report tables hold one row per (day, place|site|years): small, so a full
-snapshot per micro-batch is cheap.  Listing uses the Hadoop FileSystem of
-the path, so this works on any cluster filesystem.
+With ``partition_col`` (report tables use ``query_date``) every value has
+its own snapshot series under ``<path>/<col>=<value>/``: a micro-batch
+rewrites only the dates it carries (one per run), so the cost of an update
+is bounded by a day's keys, not by the table's history.  Listing uses the
+Hadoop FileSystem of the path, so this works on any cluster filesystem.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.upsert import upsert
@@ -55,12 +58,43 @@ def snapshot_path(path: str, seq: int, version: int, writer: str = "") -> str:
     return f"{path.rstrip('/')}/{SNAP}{seq:012d}-v{version}{suffix}"
 
 
-def read_report_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The newest committed snapshot (empty frame with ``schema`` if none)."""
-    done = snapshots(spark, path)
-    if not done:
+def _partition_dirs(spark: SparkSession, path: str, col: str) -> list[str]:
+    fs, root, _ = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    prefix = f"{col}="
+    return sorted(
+        st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
+
+
+def read_report_table(spark: SparkSession, path: str, schema: StructType, partition_col: str | None = None) -> DataFrame:
+    """The newest committed snapshot (of every partition value, with
+    ``partition_col``); an empty frame with ``schema`` if there is none."""
+    if partition_col is None:
+        done = snapshots(spark, path)
+        paths = [snapshot_path(path, *done[-1])] if done else []
+    else:
+        paths = []
+        for name in _partition_dirs(spark, path, partition_col):
+            sub = f"{path.rstrip('/')}/{name}"
+            done = snapshots(spark, sub)
+            if done:
+                paths.append(snapshot_path(sub, *done[-1]))
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(snapshot_path(path, *done[-1]))
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _upsert_snapshot(spark, path, updates, keys, version_col, version, schema, writer) -> bool:
+    done = snapshots(spark, path)
+    if any(v == version and w == writer for _, v, w in done):
+        return False
+    seq = done[-1][0] + 1 if done else 0
+    current = read_report_table(spark, path, schema)
+    merged = upsert(current, updates.select(*schema.fieldNames()), keys, version_col)
+    merged.write.mode("overwrite").parquet(snapshot_path(path, seq, version, writer))
+    return True
 
 
 def upsert_report_table(
@@ -72,18 +106,22 @@ def upsert_report_table(
     version: int,
     schema: StructType,
     writer: str = "",
+    partition_col: str | None = None,
 ) -> bool:
     """Merge update batch ``version`` (of ``writer``) into the table.
 
     Returns False (and writes nothing) when that batch was applied before,
     which makes a replayed micro-batch harmless.  Batches may arrive in any
     order: rows carry ``version_col`` and the newest row per key wins.
+    With ``partition_col``, only the partition values present in
+    ``updates`` are rewritten (their distinct values are collected: a report
+    batch carries one run date).
     """
-    done = snapshots(spark, path)
-    if any(v == version and w == writer for _, v, w in done):
-        return False
-    seq = done[-1][0] + 1 if done else 0
-    current = read_report_table(spark, path, schema)
-    merged = upsert(current, updates.select(*schema.fieldNames()), keys, version_col)
-    merged.write.mode("overwrite").parquet(snapshot_path(path, seq, version, writer))
-    return True
+    if partition_col is None:
+        return _upsert_snapshot(spark, path, updates, keys, version_col, version, schema, writer)
+    applied = False
+    for (value,) in updates.select(partition_col).distinct().collect():
+        sub = f"{path.rstrip('/')}/{partition_col}={value}"
+        part = updates.filter(F.col(partition_col) == F.lit(value))
+        applied |= _upsert_snapshot(spark, sub, part, keys, version_col, version, schema, writer)
+    return applied

@@ -193,6 +193,7 @@ def start_report_maintenance(
                 version=batch_id,
                 schema=report_table_schema(kind),
                 writer=writer,
+                partition_col="query_date",
             )
 
         try:
@@ -215,7 +216,7 @@ def read_report_tables(spark: SparkSession, table_root: str) -> DataFrame:
     frames = []
     for kind in ("address", "source", "exp"):
         dim, _ = REPORT_DIMENSIONS[kind]
-        t = read_report_table(spark, table_path(table_root, kind), report_table_schema(kind))
+        t = read_report_table(spark, table_path(table_root, kind), report_table_schema(kind), "query_date")
         frames.append(
             t.select(
                 F.lit(kind).alias("dimension"),

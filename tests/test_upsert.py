@@ -102,3 +102,23 @@ def test_day_without_postings_counts_zero(spark, workdir):
     count, top = daily_digest(read_jobs_day(spark, path, "2024-01-02"), "2024-01-02")
     assert count.collect()[0].total_jobs == 0 and top.count() == 0
     assert read_jobs_day(spark, path, dt.date(2024, 1, 1)).count() == 1
+
+
+def test_partitioned_report_table_rewrites_only_touched_dates(spark, workdir):
+    import datetime as dt
+    import os
+
+    schema_ddl = "query_date date, k string, v double, version long"
+    schema = spark.createDataFrame([], schema_ddl).schema
+    path = f"{workdir}/t"
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    upsert_report_table(spark, path, spark.createDataFrame([(d1, "a", 1.0, 0), (d2, "a", 2.0, 0)], schema_ddl),
+                        ["query_date", "k"], "version", 0, schema, partition_col="query_date")
+    upsert_report_table(spark, path, spark.createDataFrame([(d2, "a", 5.0, 1)], schema_ddl),
+                        ["query_date", "k"], "version", 1, schema, partition_col="query_date")
+    assert not upsert_report_table(spark, path, spark.createDataFrame([(d2, "a", 5.0, 1)], schema_ddl),
+                                   ["query_date", "k"], "version", 1, schema, partition_col="query_date")  # replay
+    snaps = lambda d: [n for n in os.listdir(f"{path}/query_date={d}") if n.startswith("snap=")]
+    assert len(snaps(d1)) == 1 and len(snaps(d2)) == 2  # d1 was not rewritten
+    got = rows(read_report_table(spark, path, schema, "query_date"))
+    assert got == [(d1, "a", 1.0, 0), (d2, "a", 5.0, 1)]
