@@ -107,6 +107,7 @@ def upsert_report_table(
     schema: StructType,
     writer: str = "",
     partition_col: str | None = None,
+    partition_values: list | None = None,
 ) -> bool:
     """Merge update batch ``version`` (of ``writer``) into the table.
 
@@ -114,13 +115,16 @@ def upsert_report_table(
     which makes a replayed micro-batch harmless.  Batches may arrive in any
     order: rows carry ``version_col`` and the newest row per key wins.
     With ``partition_col``, only the partition values present in
-    ``updates`` are rewritten (their distinct values are collected: a report
-    batch carries one run date).
+    ``updates`` are rewritten: ``partition_values`` when the caller knows
+    them, else their distinct values are collected (a report batch carries
+    one run date).
     """
     if partition_col is None:
         return _upsert_snapshot(spark, path, updates, keys, version_col, version, schema, writer)
+    if partition_values is None:
+        partition_values = [r[0] for r in updates.select(partition_col).distinct().collect()]
     applied = False
-    for (value,) in updates.select(partition_col).distinct().collect():
+    for value in partition_values:
         sub = f"{path.rstrip('/')}/{partition_col}={value}"
         part = updates.filter(F.col(partition_col) == F.lit(value))
         applied |= _upsert_snapshot(spark, sub, part, keys, version_col, version, schema, writer)

@@ -179,6 +179,8 @@ def start_report_maintenance(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         writer = token.get(spark)
+        # the one run date every row of this batch is stamped with
+        day = report_date or spark.range(1).select(F.current_date()).first()[0]
         batch = batch.persist()
 
         def upsert_one(kind_part) -> None:
@@ -187,13 +189,14 @@ def start_report_maintenance(
             upsert_report_table(
                 spark,
                 table_path(table_root, kind),
-                report_rows(part, kind, report_date),
+                report_rows(part, kind, day),
                 keys=["query_date", dim],
                 version_col="version",
                 version=batch_id,
                 schema=report_table_schema(kind),
                 writer=writer,
                 partition_col="query_date",
+                partition_values=[day],
             )
 
         try:
