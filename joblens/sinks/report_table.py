@@ -17,6 +17,7 @@ its own snapshot series under ``<path>/<col>=<value>/``: a micro-batch
 rewrites only the dates it carries (one per run), so the cost of an update
 is bounded by a day's keys, not by the table's history.  Listing uses the
 Hadoop FileSystem of the path, so this works on any cluster filesystem.
+Each table has one writer (one maintenance query); readers need no lock.
 """
 
 from __future__ import annotations
