@@ -54,10 +54,9 @@ def _fill(template: Column, **values: Column) -> Column:
     return out
 
 
-def listings_from_orders(orders: DataFrame) -> DataFrame:
-    """orders -> (listing_id, variant, query_day, source, position, company,
-    address, exp, salary); one narrow projection."""
-    base = orders.select(
+def _derivation() -> tuple[list[Column], list[Column]]:
+    """The two projections of the derivation (over ``orders`` columns)."""
+    base = [
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("c"),
         F.col("o_orderpriority").alias("p"),
@@ -68,7 +67,7 @@ def listings_from_orders(orders: DataFrame) -> DataFrame:
         F.expr("(o_orderkey div 3) % 5 + 1").alias("exp_years"),
         F.expr("(o_orderkey div 7) % 6").alias("address_pick"),
         F.expr("(o_orderkey div 11) % 4").alias("exp_pick"),
-    )
+    ]
     k, a, v, site = F.col("k"), F.col("a"), F.col("variant"), F.col("site")
     templates = [t for name in SOURCES for t in SALARY_TEMPLATES[name]]
     salary = _fill(
@@ -78,7 +77,7 @@ def listings_from_orders(orders: DataFrame) -> DataFrame:
         u1=F.format_number(a * 100, 0),
         u2=F.format_number(a * 100 + 500, 0),
     )
-    return base.select(
+    out = [
         k.alias("listing_id"),
         v.alias("variant"),
         F.col("query_day"),
@@ -88,7 +87,23 @@ def listings_from_orders(orders: DataFrame) -> DataFrame:
         _at(ADDRESSES, F.col("address_pick")).alias("address"),
         _fill(_at(EXP_TEMPLATES, F.col("exp_pick")), y=F.col("exp_years").cast("string")).alias("exp"),
         salary.alias("salary"),
-    )
+    ]
+    return base, out
+
+
+_CACHE: dict = {}
+
+
+def listings_from_orders(orders: DataFrame) -> DataFrame:
+    """orders -> (listing_id, variant, query_day, source, position, company,
+    address, exp, salary); narrow projections only.  The expressions are
+    built once per Spark application (they are immutable and reusable)."""
+    app = orders.sparkSession.sparkContext.applicationId
+    if app not in _CACHE:
+        _CACHE.clear()
+        _CACHE[app] = _derivation()
+    base, out = _CACHE[app]
+    return orders.select(*base).select(*out)
 
 
 def read_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
