@@ -177,3 +177,15 @@ def test_json_lines_stream_equals_folder(spark, workdir):
     )
     q.awaitTermination()
     assert _as_dict(rows) == GOLDEN
+
+
+def test_replay_in_a_fixed_number_of_batches(spark, workdir):
+    from joblens.plans.daily_run import data_files
+    from joblens.sinks.topic import job_messages, write_topic
+
+    paths = RunPaths(workdir)
+    write_topic(job_messages(jobs_df(spark, JOBS * 4)).repartition(6), paths.jobs_topic)
+    assert data_files(spark, paths.jobs_topic) == 6
+    run_reports(spark, paths, batches=3)
+    offsets = os.listdir(paths.checkpoint("market") + "/offsets")
+    assert len([o for o in offsets if o.isdigit()]) == 3

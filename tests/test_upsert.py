@@ -122,3 +122,25 @@ def test_partitioned_report_table_rewrites_only_touched_dates(spark, workdir):
     assert len(snaps(d1)) == 1 and len(snaps(d2)) == 2  # d1 was not rewritten
     got = rows(read_report_table(spark, path, schema, "query_date"))
     assert got == [(d1, "a", 1.0, 0), (d2, "a", 5.0, 1)]
+
+
+def test_uncommitted_snapshot_is_ignored_and_retried(spark, workdir):
+    """A crash mid-write leaves a snapshot directory without _SUCCESS:
+    readers keep the previous snapshot and the retry takes its place."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from joblens.sinks.report_table import snapshot_path
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    path = f"{workdir}/t"
+    upsert_report_table(spark, path, spark.createDataFrame([("a", 1.0, 0)], SCHEMA), ["k"], "version", 0, schema)
+    partial = snapshot_path(path, 1, 9)
+    os.makedirs(partial)
+    pq.write_table(pa.table({"k": ["a"], "v": [666.0], "version": [9]}), f"{partial}/part-0.parquet")
+    assert rows(read_report_table(spark, path, schema)) == [("a", 1.0, 0)]
+    assert upsert_report_table(spark, path, spark.createDataFrame([("a", 2.0, 9)], SCHEMA), ["k"], "version", 9, schema)
+    assert rows(read_report_table(spark, path, schema)) == [("a", 2.0, 9)]
+    assert [s for s, _, _ in snapshots(spark, path)] == [0, 1]
