@@ -62,3 +62,13 @@ def test_ingest_rerun_with_replace_is_idempotent(spark, workdir):
     ingest_day(spark, raw, workdir, DAY)
     ingest_day(spark, raw, workdir, DAY, replace_day=True)  # rerun after a failure
     assert read_jobs(spark, f"{workdir}/jobs").count() == 7
+
+
+def test_command_line_ingest_then_digest(spark, workdir, capsys):
+    from joblens.__main__ import main
+
+    pages(spark).write.parquet(f"{workdir}/pages")
+    assert main(["ingest", "--pages", f"{workdir}/pages", "--root", f"{workdir}/run", "--date", str(DAY)]) == 0
+    assert main(["digest", "--table", f"{workdir}/run/jobs", "--date", str(DAY), "--top", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "ingested 7 postings" in out and "|         7|" in out and "vietnamworks" in out

@@ -72,3 +72,18 @@ def test_legacy_entities_without_semicolon(spark):
     regex = H.page_titles(pages).collect()[0].title
     dom = H.extract_items(pages, "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",)).collect()[0].title
     assert regex == dom == "a &lt; b& c < d' e"
+
+
+def test_selector_grammar():
+    html = ('<div id="main" class="card big"><span class="x">1</span><p><span class="x y">2</span></p>'
+            '<a href="/u?a=1&amp;b=2" data-k="v">link</a></div><div class="card"><span class="x">3</span></div>')
+    root = H.parse_html(html)
+    assert [H.text_of(n) for n in H.select_all(root, "#main span.x")] == ["1", "2"]
+    assert [H.text_of(n) for n in H.select_all(root, "div.card.big span.x.y")] == ["2"]
+    assert [H.text_of(n) for n in H.select_all(root, "div span")] == ["1", "2", "3"]
+    assert len(H.select_all(root, "* span")) == 3 and H.select_all(root, "div#nope") == []
+    card = H.select_all(root, "div.big")[0]
+    assert H.read_field(card, H.FieldSpec("span.x", nth=1)) == "2"
+    assert H.read_field(card, H.FieldSpec("span.x", nth=5)) is None
+    assert H.read_field(card, H.FieldSpec("a", attr="href")) == "/u?a=1&b=2"
+    assert H.read_field(card, H.FieldSpec("a", attr="missing")) is None
