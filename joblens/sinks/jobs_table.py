@@ -7,6 +7,8 @@ day twice stores it twice, as the reference did.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +63,9 @@ def day_partitions(spark: SparkSession, path: str) -> list[str]:
         return []
     prefix = "query_day="
     names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
-    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+    days = (n[len(prefix):] for n in names if n.startswith(prefix))
+    # rows without a day land in Hive's default partition, which is no day
+    return sorted(d for d in days if re.fullmatch(r"\d{4}-\d{2}-\d{2}", d))
 
 
 def read_jobs_day(spark: SparkSession, path: str, day) -> DataFrame:

@@ -144,3 +144,15 @@ def test_uncommitted_snapshot_is_ignored_and_retried(spark, workdir):
     assert upsert_report_table(spark, path, spark.createDataFrame([("a", 2.0, 9)], SCHEMA), ["k"], "version", 9, schema)
     assert rows(read_report_table(spark, path, schema)) == [("a", 2.0, 9)]
     assert [s for s, _, _ in snapshots(spark, path)] == [0, 1]
+
+
+def test_null_day_is_not_the_latest_day(spark, workdir):
+    import datetime as dt
+
+    from joblens.schemas import JOB
+    from joblens.sinks.jobs_table import day_partitions, write_jobs
+
+    path = f"{workdir}/jobs"
+    rows_ = [("p", "c", "a", "topcv", dt.date(2024, 1, 1), 0.0, 1.0, 0), ("q", "c", "a", "topcv", None, 0.0, 1.0, 0)]
+    write_jobs(spark.createDataFrame(rows_, JOB), path)
+    assert day_partitions(spark, path) == ["2024-01-01"]
