@@ -256,15 +256,15 @@ def extract_items(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for values in zip(*(pdf[c] for c in cols)):
-                rec = dict(zip(cols, values))
+            for row in zip(*(pdf[c] for c in cols)):
+                rec = dict(zip(cols, row))
                 spec = (container, item, fields)
                 if site_col:
                     spec = sites.get(rec[site_col]) if sites else None
                     if spec is None:
                         continue
-                for i, values in enumerate(extract_page(rec[html_col], *spec), start=1):
-                    rows.append({**{k: rec[k] for k in keep}, "item": i, **values})
+                for i, found in enumerate(extract_page(rec[html_col], *spec), start=1):
+                    rows.append({**{k: rec[k] for k in keep}, "item": i, **found})
             yield pd.DataFrame(rows, columns=[*keep, "item", *names])
 
     return pages.select(*cols).mapInPandas(run, out_schema)
