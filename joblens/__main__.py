@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--top", type=int, default=10)
     for s in (p, i):
         s.add_argument("--replace-day", action="store_true", help="overwrite the day instead of appending (idempotent rerun)")
+    for s in (p, r):
+        s.add_argument("--state-store", choices=["rocksdb"], help="report stream state off the heap")
     for s in (p, i, r, d):
         s.add_argument("--master")
     args = parser.parse_args(argv)
@@ -62,10 +64,10 @@ def main(argv: list[str] | None = None) -> int:
             rows = ingest_day(spark, raw, args.root, day, replace_day=args.replace_day)
             print(f"ingested {rows.count()} postings for {day}")
             return 0
-        reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day)
+        reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day, state_store=args.state_store)
         reports.orderBy("dimension", "key").show(200, truncate=False)
     elif args.cmd == "reports":
-        reports = run_reports(spark, RunPaths(args.root), day)
+        reports = run_reports(spark, RunPaths(args.root), day, state_store=args.state_store)
         reports.orderBy("dimension", "key").show(200, truncate=False)
         return 0
     else:

@@ -75,10 +75,13 @@ def data_files(spark: SparkSession, path: str) -> int:
     return n
 
 
-def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, batches: int | None = None) -> DataFrame:
+def run_reports(
+    spark: SparkSession, paths: RunPaths, report_date=None, batches: int | None = None, state_store: str | None = None
+) -> DataFrame:
     """Both streaming queries to the end of their input; returns the report
     tables.  ``batches`` replays the job topic in about that many
-    micro-batches (by files per trigger); default: all new files at once."""
+    micro-batches (by files per trigger); default: all new files at once.
+    ``state_store="rocksdb"`` applies when the report stream first starts."""
     per_trigger = None
     if batches:
         per_trigger = max(1, -(-data_files(spark, paths.jobs_topic) // batches))
@@ -86,6 +89,7 @@ def run_reports(spark: SparkSession, paths: RunPaths, report_date=None, batches:
         read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=per_trigger),
         paths.report_topics,
         paths.checkpoint("market"),
+        state_store=state_store,
     )
     q1.awaitTermination()
     q2 = start_report_maintenance(
@@ -116,11 +120,19 @@ def ingest_day(
     return day_rows
 
 
-def run_day(spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None, replace_day: bool = False):
+def run_day(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    report_date,
+    files: int | None = None,
+    replace_day: bool = False,
+    state_store: str | None = None,
+):
     """One day's run: ingest, maintain reports (both streams to the end of
     their input), digest.  Returns (report tables, day count, top paid)."""
     paths = RunPaths(root)
     day_rows = ingest_day(spark, raw, root, report_date, files, replace_day)
-    reports = run_reports(spark, paths, report_date)
+    reports = run_reports(spark, paths, report_date, state_store=state_store)
     count, top = daily_digest(day_rows, report_date)
     return reports, count, top

@@ -72,3 +72,13 @@ def test_command_line_ingest_then_digest(spark, workdir, capsys):
     assert main(["digest", "--table", f"{workdir}/run/jobs", "--date", str(DAY), "--top", "2"]) == 0
     out = capsys.readouterr().out
     assert "ingested 7 postings" in out and "|         7|" in out and "vietnamworks" in out
+
+
+def test_command_line_run_with_rocksdb(spark, workdir, capsys):
+    from joblens.__main__ import main
+
+    pages(spark).write.parquet(f"{workdir}/pages")
+    args = ["run", "--pages", f"{workdir}/pages", "--root", f"{workdir}/run", "--date", str(DAY), "--state-store", "rocksdb"]
+    assert main(args) == 0
+    out = capsys.readouterr().out
+    assert "|         7|" in out and "careerviet" in out  # the day's count, the site report
