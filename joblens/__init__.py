@@ -11,3 +11,28 @@ Layers
 """
 
 __version__ = "0.1.0"
+
+# The main entry points, importable from the package root.
+from .operators.clean import clean_listings, parse_listings  # noqa: E402
+from .operators.digest import daily_digest, digest_by_day  # noqa: E402
+from .operators.reports import job_places, market_reports, report  # noqa: E402
+from .operators.upsert import upsert  # noqa: E402
+from .plans.daily_run import ingest_day, run_day, run_reports  # noqa: E402
+from .session import build_session  # noqa: E402
+from .sources.html import extract_listings  # noqa: E402
+
+__all__ = [
+    "build_session",
+    "extract_listings",
+    "clean_listings",
+    "parse_listings",
+    "job_places",
+    "report",
+    "market_reports",
+    "daily_digest",
+    "digest_by_day",
+    "upsert",
+    "ingest_day",
+    "run_reports",
+    "run_day",
+]

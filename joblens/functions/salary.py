@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import (
@@ -237,7 +237,7 @@ def _cached_stages(source: str, site: str | None) -> list[dict[str, Column]]:
     return _STAGE_CACHE[key]
 
 
-def with_salary(df, salary: str = "salary", source: str = "source", site: str | None = None):
+def with_salary(df: DataFrame, salary: str = "salary", source: str = "source", site: str | None = None) -> DataFrame:
     """DOM7: min_salary, max_salary (double) and salary_ok for every row.
 
     One pass over mixed sources in a few flat projections (see
@@ -249,7 +249,7 @@ def with_salary(df, salary: str = "salary", source: str = "source", site: str |
     return staged.drop("_s", "_n", *PREPARED, "_rule", "_lo_text", "_hi_text", "_unit", "_has_lo", "_lo", "_hi", "_ok")
 
 
-def with_experience(df, exp: str = "exp", source: str = "source"):
+def with_experience(df: DataFrame, exp: str = "exp", source: str = "source") -> DataFrame:
     """DOM1: topcv ``... X năm`` -> X (the second-to-last token); 0 otherwise.
     Adds ``final_exp`` (int) and ``exp_ok``."""
     e = strip_ws(F.col(exp))
