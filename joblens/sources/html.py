@@ -18,17 +18,25 @@ extraction runs where the pages are:
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.clean import NOT_AVAILABLE, with_missing_as_na
 
+# The extractor's code runs in Python workers.  Pickling this module by
+# value ships the parser with each task, so executors need no installed
+# copy of the package (and a driver that only put it on its own sys.path
+# still works).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --------------------------------------------------------------------------
 # A small DOM
 

@@ -87,3 +87,11 @@ def test_selector_grammar():
     assert H.read_field(card, H.FieldSpec("span.x", nth=5)) is None
     assert H.read_field(card, H.FieldSpec("a", attr="href")) == "/u?a=1&b=2"
     assert H.read_field(card, H.FieldSpec("a", attr="missing")) is None
+
+
+def test_extractor_ships_its_code_to_workers():
+    """Workers need no installed package: the module pickles by value."""
+    from pyspark import cloudpickle
+
+    blob = cloudpickle.dumps(H.extract_page)
+    assert b"joblens.sources.html" not in blob or b"_TreeBuilder" in blob
