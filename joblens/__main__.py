@@ -31,7 +31,9 @@ def _date(text: str | None) -> dt.date:
 
 
 def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="joblens")
+    parser = argparse.ArgumentParser(
+        prog="joblens", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     sub = parser.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("run")
     p.add_argument("--pages", required=True)
