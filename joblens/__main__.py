@@ -1,4 +1,4 @@
-"""Command line: the reference's jobs, as Spark jobs.
+"""Command line: the daily job-market runs as Spark jobs.
 
     python -m joblens ingest --pages PAGES --root ROOT [--date D]
         pages (parquet: source, page_no, html) -> listings -> jobs table + topic
