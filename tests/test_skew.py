@@ -65,3 +65,27 @@ def test_latest_per_key_shuffle_is_limited_before_the_exchange(spark):
     assert len(rows) == len({r.user_id for r in rows}) == 1000
     assert [r.event_id for r in rows if r.user_id == 0] == [ROWS - 3]
     assert written and max(written) <= SLICES * 1000  # one row per key per task, not 30,000 for the hot key
+
+
+def test_per_day_top_k_with_a_hot_day(spark):
+    from joblens.operators.digest import digest_by_day
+
+    i = F.col("id")
+    jobs = spark.range(0, ROWS, 1, SLICES).select(
+        i.alias("listing_id"),
+        F.when(i % 3 == 0, F.lit("2025-01-01")).otherwise(F.date_format(F.date_add(F.lit("2024-01-01"), (i % 100).cast("int")), "yyyy-MM-dd")).cast("date").alias("query_day"),
+        F.lit("topcv").alias("source"), F.lit("p").alias("position"), F.lit("c").alias("company"), F.lit("a").alias("address"),
+        (i % 997).cast("double").alias("max_salary"), F.lit(0).alias("final_exp"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        digest = digest_by_day(jobs, k=3, tie_break=("listing_id",))
+        rows = digest.collect()
+        written = _exchange_records(digest)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    days = {r.query_day for r in rows}
+    hot = sorted((r for r in rows if str(r.query_day) == "2025-01-01"), key=lambda r: r.rank)
+    assert len(hot) == 3 and hot[0].total_jobs == ROWS // 3 and hot[0].max_salary == 996.0
+    # the window's exchange carries at most k rows per day per task (the counts' exchange one per day per task)
+    assert max(written) <= SLICES * len(days) * 3
