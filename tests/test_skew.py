@@ -89,3 +89,24 @@ def test_per_day_top_k_with_a_hot_day(spark):
     assert len(hot) == 3 and hot[0].total_jobs == ROWS // 3 and hot[0].max_salary == 996.0
     # the window's exchange carries at most k rows per day per task (the counts' exchange one per day per task)
     assert max(written) <= SLICES * len(days) * 3
+
+
+def test_table_write_splits_a_hot_day(spark, workdir):
+    import os
+
+    from joblens.schemas import JOB
+    from joblens.session import temporary_conf
+    from joblens.sinks.jobs_table import write_jobs
+
+    i = F.col("id")
+    jobs = spark.range(0, ROWS, 1, SLICES).select(
+        F.concat(F.lit("position "), i.cast("string")).alias("position"), F.lit("c").alias("company"),
+        F.lit("a").alias("address"), F.lit("topcv").alias("source"),
+        F.when(i % 3 == 0, F.lit("2025-01-01")).otherwise(F.lit("2025-01-02")).cast("date").alias("query_day"),
+        F.lit(0.0).alias("min_salary"), (i % 97).cast("double").alias("max_salary"), F.lit(0).alias("final_exp"),
+    ).select(*JOB.fieldNames())
+    with temporary_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536"}):
+        write_jobs(jobs, f"{workdir}/jobs")
+    files = lambda d: [f for f in os.listdir(f"{workdir}/jobs/query_day={d}") if f.endswith(".parquet")]
+    assert len(files("2025-01-01")) > 1 and len(files("2025-01-02")) > 1  # both days exceed 64 KB: split
+    assert spark.read.parquet(f"{workdir}/jobs").count() == ROWS
