@@ -33,7 +33,7 @@ def jobs_df(spark, rows=JOBS):
     return spark.createDataFrame(rows, JOB)
 
 
-def _as_dict(rows, key_name=None):
+def _as_dict(rows):
     return {(r.dimension, r.key): (r.min_salary, r.max_salary, r.avg_salary, r.total_jobs) for r in rows}
 
 
@@ -56,7 +56,7 @@ def test_null_experience_key_counts_zero(spark):
     assert got[("exp", None)][3] == 0  # count(final_exp) skips the null key
 
 
-def _write_jobs_topic(spark, paths, rows, name):
+def _write_jobs_topic(spark, paths, rows):
     from joblens.sinks.topic import job_messages, write_topic
 
     write_topic(job_messages(jobs_df(spark, rows)).coalesce(1), f"{paths.jobs_topic}")
@@ -65,7 +65,7 @@ def _write_jobs_topic(spark, paths, rows, name):
 def test_update_mode_emits_only_changed_keys(spark, workdir):
     """J1 in batch 0, J2+J3 in batch 1: batch 1 must not re-emit Ho Chi Minh or exp 2."""
     paths = RunPaths(workdir)
-    _write_jobs_topic(spark, paths, JOBS[:1], "b0")
+    _write_jobs_topic(spark, paths, JOBS[:1])
     emitted = []
 
     def keep(batch, batch_id):
@@ -84,7 +84,7 @@ def test_update_mode_emits_only_changed_keys(spark, workdir):
         q.awaitTermination()
 
     run()
-    _write_jobs_topic(spark, paths, JOBS[1:], "b1")
+    _write_jobs_topic(spark, paths, JOBS[1:])
     run()  # restart from the checkpoint: only the new file is read
     assert len(emitted) == 2
     second = emitted[1][1]
@@ -128,7 +128,7 @@ def test_rocksdb_state_store(spark, workdir):
     from joblens.streaming.reports import start_market_stream
 
     paths = RunPaths(workdir)
-    _write_jobs_topic(spark, paths, JOBS, "all")
+    _write_jobs_topic(spark, paths, JOBS)
     q = start_market_stream(
         read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC]),
         paths.report_topics,
