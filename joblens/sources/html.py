@@ -46,6 +46,7 @@ BLOCK = frozenset(
     "address article aside blockquote dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section table tr ul".split()
 )
+CELLS = frozenset({"td", "th"})
 # Start tags that implicitly close an open <p> (HTML parsing rules).
 CLOSES_P = BLOCK - {"dd", "dt", "tr"}
 
@@ -185,6 +186,8 @@ def _pieces(node: Node, out: list) -> None:
             _pieces(child, out)
     if block:
         out.append("\n")
+    elif node.tag in CELLS:
+        out.append(" ")  # cells of a row read as one line, space-separated
 
 
 def text_of(node: Node) -> str:

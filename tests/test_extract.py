@@ -95,3 +95,8 @@ def test_extractor_ships_its_code_to_workers():
 
     blob = cloudpickle.dumps(H.extract_page)
     assert b"joblens.sources.html" not in blob or b"_TreeBuilder" in blob
+
+
+def test_table_rows_read_as_lines():
+    root = H.parse_html("<table><tr><td>Hà Nội</td><td>10 triệu</td></tr><tr><th>a</th><th>b</th></tr></table>")
+    assert H.text_of(H.select_all(root, "table")[0]) == "Hà Nội 10 triệu\na b"
