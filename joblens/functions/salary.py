@@ -255,10 +255,13 @@ def with_experience(df: DataFrame, exp: str = "exp", source: str = "source") ->
     e = strip_ws(F.col(exp))
     staged = df.withColumn("_e", e)
     applies = (F.col(source) == "topcv") & F.col("_e").contains(YEARS_WORD)
-    staged = staged.withColumns({"_applies": F.coalesce(applies, F.lit(False)), "_years": py_int(token(ws_tokens(F.col("_e")), -2))})
+    staged = staged.withColumns(
+        {"_applies": F.coalesce(applies, F.lit(False)), "_years": py_int(token(ws_tokens(F.col("_e")), -2))}
+    )
+    parsed = F.col("_applies") & F.col("_years").isNotNull()
     return staged.withColumns(
         {
-            "final_exp": F.when(F.col("_applies") & F.col("_years").isNotNull(), F.col("_years")).otherwise(F.lit(0)).cast("int"),
+            "final_exp": F.when(parsed, F.col("_years")).otherwise(F.lit(0)).cast("int"),
             "exp_ok": ~F.col("_applies") | F.col("_years").isNotNull(),
         }
     ).drop("_e", "_applies", "_years")

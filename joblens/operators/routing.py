@@ -24,11 +24,15 @@ def route_column(topic: Column | str, routes: dict[str, str], default: str) -> C
     return F.lit(default) if expr is None else expr.otherwise(default)
 
 
-def with_route(df: DataFrame, topic: str = "topic", routes: dict[str, str] = REPORT_ROUTES, default: str = REPORT_DEFAULT) -> DataFrame:
+def with_route(
+    df: DataFrame, topic: str = "topic", routes: dict[str, str] = REPORT_ROUTES, default: str = REPORT_DEFAULT
+) -> DataFrame:
     return df.withColumn("route", route_column(topic, routes, default))
 
 
-def split_routes(df: DataFrame, routes: dict[str, str] = REPORT_ROUTES, default: str = REPORT_DEFAULT, topic: str = "topic") -> dict[str, DataFrame]:
+def split_routes(
+    df: DataFrame, routes: dict[str, str] = REPORT_ROUTES, default: str = REPORT_DEFAULT, topic: str = "topic"
+) -> dict[str, DataFrame]:
     """One filtered frame per handler (inside a ``foreachBatch``)."""
     routed = with_route(df, topic, routes, default)
     targets = list(dict.fromkeys([*routes.values(), default]))

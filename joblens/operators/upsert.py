@@ -26,7 +26,9 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str, tie_break: list
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def upsert(target: DataFrame | None, updates: DataFrame, keys: list[str], version: str, tie_break: list[str] | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame | None, updates: DataFrame, keys: list[str], version: str, tie_break: list[str] | None = None
+) -> DataFrame:
     """DOM10 as a pure DataFrame function (columns matched by name)."""
     both = updates if target is None else target.unionByName(updates.select(*target.columns))
     return latest_per_key(both, keys, version, tie_break)
