@@ -220,11 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 def score(docs: DataFrame, field: Field, name: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1 for each whole ``text``."""
 
-    @F.pandas_udf("double")
+    @F.arrow_udf("double")
     def scored(texts):
-        import pandas as pd
-
-        return pd.Series(score_local(pa.Array.from_pandas(texts, pa.string()), field))
+        return pa.array(score_local(texts, field))
 
     return docs.withColumn(name, scored(F.col("text")))
 

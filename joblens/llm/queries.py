@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_store
+from . import language, packing, quality, token_store, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_toxicity": toxicity.op4_toxicity,
+        "op5_quality": quality.op5_quality,
         "op6_token_store": token_store.op6_token_store,
+        "op7_language": language.op7_language,
         "op10_packing": packing.op10_packing,
     }
 

@@ -163,18 +163,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score")
     kept = np.flatnonzero(weights)
     shared = spark.sparkContext.broadcast((kept.astype(np.int32), weights[kept], bias))  # KEPT entries at most
 
-    @F.pandas_udf("double")
+    @F.arrow_udf("double")
     def scored(texts):
         kept, w, bias = shared.value
         index = np.full(BINS, -1, np.int32)
         index[kept] = np.arange(len(kept))
         out = np.full(len(texts), bias)
         if len(kept):
-            for a, b, d, f in present(pa.Array.from_pandas(texts, pa.string()), index):
+            for a, b, d, f in present(texts, index):
                 out[a:b] += np.bincount(d, weights=w[f], minlength=b - a)
-        import pandas as pd
-
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -40, 40))))
+        return pa.array(1 / (1 + np.exp(-np.clip(out, -40, 40))))
 
     return docs.withColumn(name, scored(F.col("text")))
 
