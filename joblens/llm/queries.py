@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, quality, token_store, toxicity
+from . import embedding_dedup, language, packing, quality, suffix_dedup, token_store, topk_search, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op3_topk_search": topk_search.op3_topk_search,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality": quality.op5_quality,
         "op6_token_store": token_store.op6_token_store,
         "op7_language": language.op7_language,
+        "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_packing": packing.op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL expresses on whole tables."""
+    return {"op3_topk_search": topk_search.OP3_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
