@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, temporary_conf
+
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Fixed by the contract of the trained operators: rows with this remainder
 #: of crc32(doc_id as text) modulo 4 are held out of all training.
@@ -28,10 +30,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lineage cut that
-    survives lost executors."""
+    survives lost executors.  The shuffles behind it are no longer needed, so
+    their files go when the write ends."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    with temporary_conf(spark, {FREE_SHUFFLES: "true"}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
