@@ -25,7 +25,7 @@ from .sampling import labelled_sample
 
 SAMPLE = 5_000  # labelled documents in the fit
 THRESHOLD = 0.7
-STEP = 4 << 20  # bytes of text worked on at once
+STEP = 1 << 20  # bytes of text worked on at once
 ROUNDS, RATE, PENALTY = 150, 0.05, 1.0
 UPPER, LOWER, DIGIT, BLANK, STOP, BAR, MARK, SYMBOL, QUOTE, WIDE, REST = range(11)
 KINDS = 11
@@ -63,7 +63,10 @@ def echoes(data: np.ndarray, kind: np.ndarray, line: np.ndarray, n: int) -> np.n
         return np.zeros(n)
     # Prefix sums of bytes and of bytes times place tell different words apart well enough for a feature.
     byte = data.astype(np.int64) ** 2
-    one, two = (np.concatenate([[0], np.cumsum(v)]) for v in (byte, byte * np.arange(len(data))))
+    one, two = np.zeros((2, len(data) + 1), np.int64)
+    np.cumsum(byte, out=one[1:])
+    byte *= np.arange(len(data))
+    np.cumsum(byte, out=two[1:])
     a = one[end] - one[start]
     b = two[end] - two[start] - a * start
     same = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (np.diff(end - start) == 0) & (line[start[1:]] == line[start[:-1]])
@@ -160,9 +163,12 @@ def fit(columns: list[pa.Array], y: np.ndarray) -> Field:
             firsts.append(first[1:] + lead)
             lead += len(x)
     x, first = np.concatenate(xs), np.concatenate(firsts)
-    mean, spread = x.mean(0, dtype=float), x.std(0, dtype=float) + 1e-3
+    del xs
+    mean = x.mean(0, dtype=float)
+    spread = np.array([x[:, k].std(dtype=float) for k in range(size)]) + 1e-3
     mean[3 * OWN], spread[3 * OWN] = 0, 1
-    x = ((x - mean) / spread).astype(np.float32)
+    x -= mean.astype(np.float32)  # in place: the matrix is the task's largest object
+    x /= spread.astype(np.float32)
     chain = np.diff(first)
     label = np.repeat(y.astype(float), chain)
     inner = np.ones(len(x), bool)  # lines with a line after them
