@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, language, packing, quality, suffix_dedup, token_store, topk_search, toxicity
+from . import embedding_dedup, jaccard_join, language, packing, quality, suffix_dedup, token_store, topk_search, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_topk_search": topk_search.op3_topk_search,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_quality": quality.op5_quality,
