@@ -221,16 +221,22 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     seen = saved(_bounded(stars, light, threshold), "pairs")
     links = saved(_links(seen, docs, threshold), "links")
-    # Rounds: 1, 8, 64, ... untested partners of each document and component.
-    take = 1
+    # Rounds: 4, 256, ... untested partners of each document and component,
+    # until a round leaves none untested.
+    take = 4
     while True:
         joined = components(links.select("a", "b"))
-        fresh = saved(_across(members, joined, light, seen, take, threshold), "pairs")
-        if fresh.isEmpty():
+        untested = saved(_across(members, joined, light, seen, threshold), "pairs")
+        fresh = untested.where(F.col("place") <= take).select("a", "b", F.lit(False).alias("same")).distinct()
+        if untested.isEmpty():
             break
+        last = untested.where(F.col("place") > take).isEmpty()
         seen = seen.unionByName(fresh)
         links = saved(links.unionByName(_links(fresh, docs, threshold)), "links")
-        take *= 8
+        if last:
+            joined = components(links.select("a", "b"))
+            break
+        take *= 64
     rows = signed.select("doc_id", F.col("n").alias("n_shingles")).join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
     linked = F.when(F.col("n_shingles") > 0, F.col("component"))
     return rows.select("doc_id", "n_shingles", F.coalesce(linked, "doc_id").alias("component_id"))
@@ -247,9 +253,9 @@ def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     return pairs.where("same").select("a", "b").unionByName(verified(pairs.where("not same").select("a", "b"), docs, threshold))
 
 
-def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, take: int, threshold: int) -> DataFrame:
+def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
     """Untested pairs of a tile that lie in different components and can link,
-    the ``take`` best bounded of each document with each other component."""
+    with their place, best bound first, among those of a document and component."""
     placed = members.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = placed.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("tile")
     open_ = saved(placed.join(mixed, "tile").select("tile", "doc_id", "component"), "open-tiles")
@@ -263,7 +269,7 @@ def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataF
     pairs = met.groupBy("p", "q", "qc").agg(F.min(differing).alias("gap")).withColumn("a", F.least("p", "q")).withColumn("b", F.greatest("p", "q"))
     pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
     nearest = F.row_number().over(Window.partitionBy("p", "qc").orderBy("gap", "q"))
-    return pairs.withColumn("place", nearest).where(F.col("place") <= take).select("a", "b", F.lit(False).alias("same")).distinct()
+    return pairs.select("a", "b", nearest.alias("place"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
