@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, jaccard_join, language, packing, quality, suffix_dedup, token_store, topk_search, toxicity
+from . import byte_bpe, embedding_dedup, jaccard_join, language, packing, quality, suffix_dedup, token_store, topk_search, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": quality.op5_quality,
         "op6_token_store": token_store.op6_token_store,
         "op7_language": language.op7_language,
+        "op8_byte_bpe": byte_bpe.op8_byte_bpe,
         "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_packing": packing.op10_packing,
     }
