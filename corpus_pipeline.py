@@ -1,17 +1,77 @@
-"""Corpus pipeline: each stage filters or rewrites ``documents`` with one of the corpus operators."""
+"""Corpus pipeline: toxicity, language, near duplicates, repeated strings, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on everything the stage
+before kept.  All but the last return the columns of ``documents``; the
+pieces of the last say where every kept document lies in the sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from joblens.llm import jaccard_join, language, packing, suffix_dedup, toxicity
+from joblens.llm.common import saved, table
+
+#: Cosine that chance reaches about once in six times in this many dimensions;
+#: a text below it has no language to speak of.
+LEAST_COSINE = language.DIMENSIONS**-0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    row = F.struct(*docs.columns).alias("row")
+    scored = toxicity.score(docs.select(row, F.col("text")), model, "toxic_score")
+    return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select("row.*")
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages: those without letters, or no
+    closer to any language than chance, go."""
+    row = F.struct(*docs.columns).alias("row")
+    found = language.predict(docs.select(row, F.col("text")), language.train(docs))
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of every component of linked documents; rows with a
+    null doc_id and texts without words stay."""
+    found = jaccard_join.jaccard_join(docs)
+    gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that start earlier elsewhere; a null text
+    stays null, and n_chars counts what is left."""
+    cut = suffix_dedup.remove_repeats(docs, into="_repeats")
+    text = F.when(F.col("text").isNotNull(), F.col("_repeats.readable"))
+    columns = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return cut.withColumns(columns).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    return packing.pack_pieces(saved(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", drop_unknown_language),
+    ("jaccard", drop_near_duplicates),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
 
 #: Trained classifiers and byte-level deduplication have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

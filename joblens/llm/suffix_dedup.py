@@ -113,9 +113,9 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, crc, text) with defined values for nulls."""
+    """(doc, crc, text) with defined values for nulls."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
 
 
 def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataFrame:
@@ -241,22 +241,23 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     return later.unionByName(ordered).unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, text, kept (binary, the remaining bytes), n_bytes, n_removed and
-    n_spans of every row."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into: str = "repeats") -> DataFrame:
+    """``docs`` with one more column ``into``: a struct of kept (binary, the
+    remaining bytes), readable (string, the same without the halves of
+    characters that a cut left), n_bytes, n_removed and n_spans."""
     found = repeated_ranges(docs, length, gram)
     runs = found.groupBy("doc", F.col("at").bitwiseAND(0xFFFFFFFF).alias("crc")).agg(
         F.collect_list(F.struct(F.shiftright("at", 32).alias("a"), (F.shiftright("at", 32) + F.col("strings") + (length - 1)).alias("b"))).alias("runs")
     )
 
-    @F.arrow_udf("kept binary, n_bytes long, n_removed long, n_spans long")
+    @F.arrow_udf("kept binary, readable string, n_bytes long, n_removed long, n_spans long")
     def strip(texts, runs):
         data, offsets = utf8(texts)
         flat = runs.flatten()
         a, b = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)) if len(flat) else (np.zeros(0, np.int64),) * 2
         sizes = np.array([0 if n is None else n for n in runs.value_lengths().to_pylist()], np.int64)
         ends = np.cumsum(sizes)
-        kept, lengths, removed, n_spans = [], [], [], []
+        kept, readable, lengths, removed, n_spans = [], [], [], [], []
         for i in range(len(texts)):
             raw = data[offsets[i] : offsets[i + 1]]
             own = slice(ends[i] - sizes[i], ends[i])
@@ -268,15 +269,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 gone = np.cumsum(depth)[: len(raw)] > 0
                 kept.append(raw[~gone].tobytes())
                 n, spans = int(gone.sum()), int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
+            readable.append(kept[-1].decode("utf-8", "ignore"))
             lengths.append(len(raw))
             removed.append(n)
             n_spans.append(spans)
-        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in (lengths, removed, n_spans))], names=["kept", "n_bytes", "n_removed", "n_spans"])
+        columns = [pa.array(kept, pa.binary()), pa.array(readable, pa.string()), *(pa.array(c, pa.int64()) for c in (lengths, removed, n_spans))]
+        return pa.StructArray.from_arrays(columns, names=["kept", "readable", "n_bytes", "n_removed", "n_spans"])
 
-    joined = keyed(docs).join(runs, ["doc", "crc"], "left").select("doc_id", "text", strip("text", "runs").alias("s"))
-    return joined.select("doc_id", "text", "s.kept", "s.n_bytes", "s.n_removed", "s.n_spans")
+    # The place of a row joins its runs; the row itself passes through as one struct.
+    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("crc"))
+    joined = rows.join(runs, ["doc", "crc"], "left").select("row", strip(F.col("row.text"), "runs").alias(into))
+    return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), into)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    found = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "repeats.*")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
