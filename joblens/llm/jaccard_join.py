@@ -274,3 +274,20 @@ def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataF
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP2_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) g from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) i from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 90 * (x.n + y.n - i)),
+e as (select a, b from l union select b, a from l),
+walk as (select a, b from e union select walk.a, e.b from walk join e on walk.b = e.a),
+m as (select a, min(b) m from walk group by a)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) component_id
+from documents d left join n on n.doc_id = d.doc_id left join m on m.a = d.doc_id
+"""

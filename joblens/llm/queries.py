@@ -26,4 +26,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL expresses on whole tables."""
-    return {"op3_topk_search": topk_search.OP3_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
+    return {
+        "op1_suffix_dedup": suffix_dedup.OP1_SQL,
+        "op2_jaccard_join": jaccard_join.OP2_SQL,
+        "op3_topk_search": topk_search.OP3_SQL,
+        "op9_embedding_dedup": embedding_dedup.OP9_SQL,
+    }
