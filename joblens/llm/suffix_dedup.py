@@ -285,3 +285,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "repeats.*")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h, octet_length(encode(coalesce(text, ''))) n from documents),
+s as (select doc_id, p, substr(h, (2 * p + 1)::bigint, 200) g from (select doc_id, h, unnest(range(0, greatest(n - 99, 0))) p from d)),
+f as (select doc_id, p from s qualify row_number() over (partition by g order by doc_id, p) > 1),
+t as (select doc_id, p, coalesce(p > lag(p) over (partition by doc_id order by p) + 100, true)::int fresh from f),
+r as (select doc_id, p, sum(fresh) over (partition by doc_id order by p) k from t),
+c as (select doc_id, k, min(p) a, max(p) + 100 b from r group by doc_id, k),
+g as (select c.doc_id, a, b, lag(b, 1, 0) over (partition by c.doc_id order by a) z from c),
+x as (select g.doc_id, sum(b - a) removed, count(*) spans, max(b) last, string_agg(substr(h, (2 * z + 1)::bigint, (2 * (a - z))::bigint), '' order by a) kept
+      from g join d using (doc_id) group by g.doc_id)
+select d.doc_id, n::bigint n_bytes, coalesce(removed, 0)::bigint n_removed, coalesce(spans, 0)::bigint n_spans,
+       sha256(unhex(case when x.doc_id is null then h else kept || substr(h, (2 * last + 1)::bigint) end)) kept_sha256
+from d left join x on x.doc_id = d.doc_id
+"""

@@ -35,7 +35,7 @@ def test_equals_brute_force(spark, monkeypatch, hot):
 
 
 def test_repeated_rows_other_columns_and_empty_table(spark):
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(500))
+    text = "".join(random.Random(1).choices("abcdefgh", k=500))
     rows = [(1, text, "a", 1), (1, text, "a", 1), (2, text, "b", 2), (3, None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, crc string, at int")
     out = suffix_dedup.remove_repeats(df)
@@ -46,7 +46,7 @@ def test_repeated_rows_other_columns_and_empty_table(spark):
 
 
 def test_readable_text_drops_halves_of_characters(spark):
-    text = "é" * 30 + "".join(random.Random(4).choice("abcdefgh") for _ in range(200)) + "é" * 30
+    text = "é" * 30 + "".join(random.Random(4).choices("abcdefgh", k=200)) + "é" * 30
     df = spark.createDataFrame([(1, text), (2, "x" + text[10:])], "doc_id long, text string")
     for r in suffix_dedup.remove_repeats(df).collect():
         assert r.repeats.readable == bytes(r.repeats.kept).decode("utf-8", "ignore")

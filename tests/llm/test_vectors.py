@@ -41,7 +41,7 @@ def test_search_equals_brute_force(spark, shard, block):
 
 def test_search_few_candidates_large_components_and_empty(spark):
     assert search(spark, [(0, [1.0, 2.0], 0), (1, [2.0, 1.0], 0)]) == [(0, 1, 1, 2 * 512 * 256)]
-    big = [(0, [3e7, 1.0], 0), (1, [3e7, 2.0], 0), (2, [3e7, 2.0], 0), (50, [-3e7, 0.0], 0)]
+    big = [(0, [3e6, 1.0], 0), (1, [3e6, 2.0], 0), (2, [3e6, 2.0], 0), (50, [-3e6, 0.0], 0)]
     assert search(spark, big) == plain(big)
     assert search(spark, []) == []
 
