@@ -132,8 +132,8 @@ def search(q: np.ndarray, q_ids: np.ndarray, tree, x: np.ndarray, x_ids: np.ndar
             continue
         own = order[a:b]
         score = products(q[rows], x[own])
-        score[q_ids[rows][:, None] == x_ids[own][None, :]] = -LONG - 1
-        useful = score >= best.kth()[rows][:, None]
+        other = q_ids[rows][:, None] != x_ids[own][None, :]
+        useful = (score >= best.kth()[rows][:, None]) & other
         some = np.flatnonzero(useful.any(1))
         if len(some):
             best.add(rows[some], np.where(useful[some], score[some], -LONG - 1), np.where(useful[some], x_ids[own][None, :], LONG))
