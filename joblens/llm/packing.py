@@ -84,48 +84,50 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
     """Drain the emptiest bins by trades that raise the sum of squared fills.
 
-    The giving bin is always the emptiest underfull one, the taking bin is at
-    least as full, and each trade moves net length from the first to the
-    second, so the sum of squares rises and the search ends.
+    The giving bin is the emptiest underfull one not yet tried, the taking bin
+    is at least as full, and each trade moves net length from the first to the
+    second, so the sum of squares rises and the search ends.  Passes repeat
+    while one of them traded.
     """
     size = sizes.tolist()
-    open_bins = [b for b in bins if sum(size[i] for i in b) < capacity]
-    done = [b for b in bins if sum(size[i] for i in b) >= capacity]
-    fills = {k: sum(size[i] for i in b) for k, b in enumerate(open_bins)}
-    live = dict(enumerate(open_bins))
-    order = sorted((f, k) for k, f in fills.items())  # by fill
-    stuck: list[int] = []
-    while order and steps > 0:
-        _, giver = order.pop(0)
-        moved = True
-        while moved and live[giver] and steps > 0:
-            moved = False
-            for i in sorted(live[giver], key=lambda i: -size[i]):
-                steps -= 1
-                # Move: the fullest bin with enough room.
-                at = bisect_right(order, (capacity - size[i], 1 << 60)) - 1
-                if at >= 0 and size[i]:
-                    taker = order[at][1]
-                    out, back = [i], []
-                else:
-                    taker, out, back = _exchange(live, fills, order, giver, i, size, capacity)
-                if taker is None:
-                    continue
-                del order[bisect_left(order, (fills[taker], taker))]
-                live[giver] = [x for x in live[giver] if x not in out] + back
-                live[taker] = [x for x in live[taker] if x not in back] + out
-                net = sum(size[x] for x in out) - sum(size[x] for x in back)
-                fills[giver] -= net
-                fills[taker] += net
-                if fills[taker] < capacity:
-                    insort(order, (fills[taker], taker))
-                else:
-                    done.append(live.pop(taker))
-                moved = True
-                break
-        stuck.append(giver)
-    rest = [live[k] for k in [*stuck, *(k for _, k in order)] if live.get(k)]
-    return done + rest
+    fill_of = lambda b: sum(size[i] for i in b)
+    done = [b for b in bins if fill_of(b) >= capacity]
+    live = dict(enumerate(b for b in bins if fill_of(b) < capacity))
+    traded = True
+    while traded and steps > 0:
+        traded = False
+        fills = {k: fill_of(b) for k, b in live.items()}
+        order = sorted((f, k) for k, f in fills.items())  # bins that can still take, by fill
+        while order and steps > 0:
+            _, giver = order.pop(0)
+            moved = True
+            while moved and live[giver] and steps > 0:
+                moved = False
+                for i in sorted(live[giver], key=lambda i: -size[i]):
+                    steps -= 1
+                    # Move: the fullest bin with enough room.
+                    at = bisect_right(order, (capacity - size[i], 1 << 60)) - 1
+                    if at >= 0 and size[i]:
+                        taker, out, back = order[at][1], [i], []
+                    else:
+                        taker, out, back = _exchange(live, fills, order, giver, i, size, capacity)
+                    if taker is None:
+                        continue
+                    del order[bisect_left(order, (fills[taker], taker))]
+                    live[giver] = [x for x in live[giver] if x not in out] + back
+                    live[taker] = [x for x in live[taker] if x not in back] + out
+                    net = fill_of(out) - fill_of(back)
+                    fills[giver] -= net
+                    fills[taker] += net
+                    if fills[taker] < capacity:
+                        insort(order, (fills[taker], taker))
+                    else:
+                        done.append(live.pop(taker))
+                    moved = traded = True
+                    break
+            if not live[giver]:
+                del live[giver]
+    return done + list(live.values())
 
 
 def _exchange(live, fills, order, giver, i, size, capacity, look: int = 64):
