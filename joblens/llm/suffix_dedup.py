@@ -147,15 +147,36 @@ def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataF
 
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     """Rank of every suffix of ``data`` by its first ``length`` bytes, by
-    prefix doubling; shorter suffixes sort before those they begin."""
-    rank, n = data.astype(np.int64) + 1, 1
-    while n < length:
-        step = min(n, length - n)
-        later = np.zeros(len(rank), np.int64)
-        later[: max(len(rank) - step, 0)] = rank[step:]
-        rank = np.unique(rank * (rank.max() + 1 if len(rank) else 1) + later, return_inverse=True)[1].astype(np.int64) + 1
+    prefix doubling; shorter suffixes sort before those they begin.  A rank is
+    the number of smaller suffixes, so one that is alone keeps it for good and
+    only ties are sorted again."""
+    size = len(data)
+    n = min(7, length)  # bytes, each plus one to leave 0 for the end, in one 63-bit number
+    key = np.zeros(size, np.int64)
+    for k in range(n):
+        key *= 257
+        key[: max(size - k, 0)] += data[k:].astype(np.int64) + 1
+    rank = np.zeros(size + 1, np.int64)  # the last one is the empty suffix
+
+    def place(at: np.ndarray, key: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Rank the suffixes ``at`` by a key that begins with their rank
+        ``base``; returns those still tied."""
+        order = np.argsort(key)
+        key, base = key[order], base[order]
+        new, other = np.ones((2, len(at)), bool)
+        new[1:], other[1:] = key[1:] != key[:-1], base[1:] != base[:-1]
+        heads = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        first = np.flatnonzero(other)[np.cumsum(other) - 1]
+        rank[at[order]] = base + heads[group] - first
+        return at[order[np.diff(np.append(heads, len(at)))[group] > 1]]
+
+    tied = place(np.arange(size), key, np.ones(size, np.int64)) if size else np.zeros(0, np.int64)
+    while n < length and len(tied):
+        step, own = min(n, length - n), rank[tied]
+        tied = place(tied, own * (size + 1) + rank[np.minimum(tied + step, size)], own)
         n += step
-    return rank
+    return rank[:size]
 
 
 def repeats_in_order(rows: list[tuple[int, int, bytes, int]], length: int) -> list[tuple[int, int, int]]:
