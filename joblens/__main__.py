@@ -19,7 +19,7 @@ import argparse
 import datetime as dt
 
 from .operators.digest import daily_digest
-from .plans.daily_run import RunPaths, ingest_day, run_day, run_reports
+from .plans.daily_run import RunPaths, Topics, ingest_day, run_day, run_reports
 from .schemas import PAGE
 from .session import build_session
 from .sinks.jobs_table import read_jobs_day
@@ -30,6 +30,14 @@ def _date(text: str | None) -> dt.date:
     return dt.date.fromisoformat(text) if text else dt.date.today()
 
 
+def _report(reports, out: str | None) -> None:
+    """All report rows to ``out``; a line that says how many there are."""
+    if out:
+        reports.write.mode("overwrite").parquet(out)
+        reports = reports.sparkSession.read.parquet(out)
+    reports.groupBy("query_date", "dimension").count().orderBy("query_date", "dimension").show(reports.count() + 1, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(
         prog="joblens", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
@@ -53,24 +61,32 @@ def main(argv: list[str] | None = None) -> int:
     for s in (p, i):
         s.add_argument("--replace-day", action="store_true", help="overwrite the day instead of appending (idempotent rerun)")
     for s in (p, r):
+        s.add_argument("--out", help="folder (parquet) for all report rows")
         s.add_argument("--state-store", choices=["rocksdb"], help="report stream state off the heap")
+    for s in (p, i, r):
+        s.add_argument("--kafka", metavar="SERVERS", help="send and read messages through Kafka instead of topic folders")
+        s.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE")
+    r.add_argument("--every", metavar="INTERVAL", help="keep both streams running with this trigger, e.g. '1 minute'")
     for s in (p, i, r, d):
         s.add_argument("--master")
     args = parser.parse_args(argv)
 
     spark = build_session("joblens-" + args.cmd, master=args.master)
     day = _date(args.date)
+    topics = Topics()
+    if getattr(args, "kafka", None):
+        topics = Topics("kafka", args.kafka, dict(o.split("=", 1) for o in args.kafka_option))
     if args.cmd in ("run", "ingest"):
         raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
         if args.cmd == "ingest":
-            rows = ingest_day(spark, raw, args.root, day, replace_day=args.replace_day)
-            print(f"ingested {rows.count()} postings for {day}")
+            rows = ingest_day(spark, raw, args.root, day, replace_day=args.replace_day, topics=topics)
+            print(f"{rows.count()} postings of {day} in the table")
             return 0
-        reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day, state_store=args.state_store)
-        reports.orderBy("dimension", "key").show(200, truncate=False)
+        reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day, state_store=args.state_store, topics=topics)
+        _report(reports, args.out)
     elif args.cmd == "reports":
-        reports = run_reports(spark, RunPaths(args.root), day, state_store=args.state_store)
-        reports.orderBy("dimension", "key").show(200, truncate=False)
+        trigger = {"processingTime": args.every} if args.every else None
+        _report(run_reports(spark, RunPaths(args.root), day, state_store=args.state_store, topics=topics, trigger=trigger), args.out)
         return 0
     else:
         count, top = daily_digest(read_jobs_day(spark, args.table, day), day, args.top)

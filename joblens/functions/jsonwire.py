@@ -25,10 +25,11 @@ def decode_value(value: Column | str = "value") -> Column:
     return v.cast("string")
 
 
-def parse_json(df: DataFrame, schema: StructType = JOB_WIRE, value: str = "value") -> DataFrame:
+def parse_json(df: DataFrame, schema: StructType = JOB_WIRE, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """SRC3: typed row from a JSON payload (PERMISSIVE).
 
     Garbage or null payloads become all-null rows; a single bad field becomes
-    null on its own.  Pass a narrower schema to parse only what is used.
+    null on its own.  Pass a narrower schema to parse only what is used;
+    ``keep`` names columns of ``df`` to carry along.
     """
-    return df.select(F.from_json(decode_value(value), schema).alias("data")).select("data.*")
+    return df.select(*keep, F.from_json(decode_value(value), schema).alias("data")).select(*keep, "data.*")

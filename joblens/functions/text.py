@@ -120,22 +120,29 @@ def startswith(c: Column | str, prefix: str) -> Column:
 # --------------------------------------------------------------------------
 # STR9: ASCII transliteration.
 #
-# The map is derived, not listed: every letter of the Latin blocks (Latin-1
-# Supplement, Extended-A/B, Extended Additional, which holds the Vietnamese
-# tone letters) is decomposed (NFKD) and keeps its ASCII part; combining
-# marks are deleted.  Letters with no decomposition come from the short
-# fixed list below.
-
-# Transliterations of letters that have no Unicode
-# decomposition (these are the values the wire text must carry).
+# The map is derived, not listed: every letter, number form, presentation and
+# full-width form of the blocks below is decomposed (NFKD) and keeps its ASCII
+# part; dashes become "-", spaces " "; combining marks are deleted.
+# Characters with no such decomposition come from the short fixed list.
+
+# Transliterations without a Unicode decomposition (these are
+# the values the wire text must carry).
 FOLD_EXTRAS = {
     "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o",
     "Ł": "L", "ł": "l", "Ħ": "H", "ħ": "h", "Ŧ": "T", "ŧ": "t",
     "ı": "i", "ĸ": "q", "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE",
     "œ": "oe", "Þ": "Th", "þ": "th", "Ŋ": "NG", "ŋ": "ng",
+    "Ɓ": "B", "ɓ": "b", "Ɗ": "D", "ɗ": "d", "ƒ": "f", "Ƙ": "K", "ƙ": "k",
+    "‘": "'", "’": "'", "‚": ",", "‛": "'", "“": '"', "”": '"', "„": ",,", "‟": '"',
+    "‹": "<", "›": ">", "«": "<<", "»": ">>", "•": "*", "·": "*", "×": "x", "÷": "/",
+    "⁄": "/", "¡": "!", "¿": "?", "₫": "d", "€": "EUR", "£": "GBP", "¥": "JPY",
+    "—": "--", "―": "--",
 }
 
-_LATIN_BLOCKS = ((0x00C0, 0x024F), (0x1E00, 0x1EFF))
+_BLOCKS = (
+    (0x00A0, 0x024F), (0x0250, 0x02AF), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x2070, 0x20CF),
+    (0x2100, 0x218F), (0x3000, 0x3000), (0xFB00, 0xFB06), (0xFF00, 0xFFEF),
+)
 _COMBINING = (0x0300, 0x036F)
 
 
@@ -144,17 +151,19 @@ def fold_tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
     """(matching, replace, deleted, multi-char pairs) for ``translate``."""
     single: dict[str, str] = {}
     multi: dict[str, str] = {}
-    for lo, hi in _LATIN_BLOCKS:
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            if unicodedata.category(ch)[0] != "L":
-                continue
+    for lo, hi in _BLOCKS:
+        for ch in map(chr, range(lo, hi + 1)):
+            kind = unicodedata.category(ch)
+            plain = unicodedata.normalize("NFKD", ch).replace("\u2044", "/")
             if ch in FOLD_EXTRAS:
                 out = FOLD_EXTRAS[ch]
+            elif kind == "Pd":
+                out = "-"
+            elif kind == "Zs":
+                out = " "
             else:
-                out = "".join(
-                    x for x in unicodedata.normalize("NFKD", ch) if ord(x) < 128
-                )
+                # A spacing accent decomposes to a blank and a mark: it has no letter.
+                out = "".join(x for x in plain if ord(x) < 128).strip()
             if not out or out == ch:
                 continue
             (single if len(out) == 1 else multi)[ch] = out
@@ -165,13 +174,18 @@ def fold_tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
 
 
 def fold_ascii(c: Column | str) -> Column:
-    """STR9: ``Hà Nội`` -> ``Ha Noi``, ``straße`` -> ``strasse``.
+    """STR9: ``Hà Nội`` -> ``Ha Noi``, ``straße`` -> ``strasse``, ``Rịa – Vũng``
+    -> ``Ria - Vung``.
 
-    Characters outside the Latin letter blocks pass through unchanged
-    (documented limit; the wire side only needs Vietnamese and Latin-1).
+    Scripts other than Latin pass through unchanged (documented limit).
+    Replacements by several letters run only on texts that hold such a
+    character.
     """
     matching, replace, deleted, multi = fold_tables()
-    out = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), multi, col_of(c))
+    text = col_of(c)
+    many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), multi, text)
+    held = "[" + "".join(ch for ch, _ in multi) + "]"
+    out = F.when(text.rlike(held), many).otherwise(text)
     # translate deletes characters of ``matching`` that have no replacement,
     # so the combining marks go last.
     return F.translate(out, matching + deleted, replace)

@@ -47,13 +47,14 @@ def _report_day(df: DataFrame, report_date: dt.date | str | Column | None) -> Co
     return F.lit(str(report_date)).cast("date")
 
 
-def parse_listings(df: DataFrame, report_date=None) -> DataFrame:
+def parse_listings(df: DataFrame, report_date=None, site: str | None = None) -> DataFrame:
     """Raw listings + parsed salary/experience, with the row-level
-    ``salary_ok`` / ``exp_ok`` flags; raw ``salary`` and ``exp`` kept."""
+    ``salary_ok`` / ``exp_ok`` flags; raw ``salary`` and ``exp`` kept.
+    ``site`` evaluates one site's rules only, for a frame that holds no other."""
     if "exp" not in df.columns:
         df = df.withColumn("exp", F.lit(None).cast("string"))
     df = df.withColumn("query_day", _report_day(df, report_date))
-    return with_experience(with_salary(df))
+    return with_experience(with_salary(df, site=site))
 
 
 def clean_listings(df: DataFrame, report_date=None, keep: tuple[str, ...] = ()) -> DataFrame:

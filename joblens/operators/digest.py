@@ -77,5 +77,6 @@ def digest_by_day(jobs: DataFrame, k: int = 3, tie_break: tuple[str, ...] = ())
         .withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
     )
-    counts = jobs.groupBy("query_day").agg(F.count(F.lit(1)).alias("total_jobs"))
-    return top.join(counts, "query_day")
+    counts = jobs.groupBy(F.col("query_day").alias("_day")).agg(F.count(F.lit(1)).alias("total_jobs"))
+    # Postings without a day are a day of their own.
+    return top.join(counts, F.col("query_day").eqNullSafe(F.col("_day"))).drop("_day")

@@ -1,7 +1,8 @@
 """Latest-wins keyed merge (DOM10; the semantics of SNK4).
 
 ``upsert(target, updates, keys, version)``: for every key keep the row with
-the highest version, wherever it came from.  Hence
+the highest version (a column, or several compared in order), wherever it
+came from.  Hence
 
 * re-applying a batch changes nothing (idempotent under replay);
 * applying version 1 then version 0 leaves version 1 (order-insensitive);
@@ -20,14 +21,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], version: str, tie_break: list[str] | None = None) -> DataFrame:
-    order = [F.col(version).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in (tie_break or [])]
+def latest_per_key(df: DataFrame, keys: list[str], version: str | list[str], tie_break: list[str] | None = None) -> DataFrame:
+    versions = [version] if isinstance(version, str) else version
+    order = [F.col(c).desc_nulls_last() for c in [*versions, *(tie_break or [])]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def upsert(
-    target: DataFrame | None, updates: DataFrame, keys: list[str], version: str, tie_break: list[str] | None = None
+    target: DataFrame | None, updates: DataFrame, keys: list[str], version: str | list[str], tie_break: list[str] | None = None
 ) -> DataFrame:
     """DOM10 as a pure DataFrame function (columns matched by name)."""
     both = updates if target is None else target.unionByName(updates.select(*target.columns))

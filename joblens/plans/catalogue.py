@@ -17,7 +17,7 @@ from ..functions.places import explode_places
 from ..functions.text import fold_ascii
 from ..operators import digest as D
 from ..operators import reports as R
-from ..operators.clean import clean_listings, parse_listings
+from ..operators.clean import clean_listings, name_fields, parse_listings, union_sources, with_missing_as_na
 from ..operators.routing import with_route
 from ..operators.upsert import upsert
 from ..schemas import JOB_WIRE
@@ -27,9 +27,11 @@ from ..sinks.report_table import read_report_table
 from ..sinks.topic import job_messages
 from ..sources import html as H
 from ..sources.listings import read_listings
-from ..sources.tables import at_least, read_table, spread
+from ..sources.tables import read_table
 from ..streaming.upsert_stream import start_keyed_upsert
-from .daily_run import RunPaths, publish_jobs, run_reports
+from .daily_run import RunPaths, ingest_day, publish_jobs, run_reports
+
+REPORT_DATE = "2025-03-14"  # the run date that the report queries are given
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,9 +63,10 @@ def q_market_reports(spark, sf_dir):
 
 def _salary(site: str | None):
     def q(spark, sf_dir):
-        df = parse_listings(read_listings(spark, sf_dir))
+        listings = read_listings(spark, sf_dir)
         if site:
-            df = df.filter(F.col("source") == site)
+            listings = listings.filter(F.col("source") == site)
+        df = parse_listings(listings, site=site)
         return df.select("listing_id", "source", "variant", "salary", "min_salary", "max_salary", "salary_ok")
 
     q.__name__ = f"q_salary_{site or 'all'}"
@@ -91,13 +94,30 @@ def q_fold_text(spark, sf_dir):
 
 
 def q_fold_listings(spark, sf_dir):
-    """STR9 on the three text fields of the wire branch."""
-    return jobs(spark, sf_dir).select(
+    """STR9 on the three text fields of the wire branch, with a quoted name, a
+    full-width one and a place behind an en dash."""
+    return _symbols(jobs(spark, sf_dir)).select(
         "listing_id",
         *[fold_ascii(c).alias(c) for c in ("position", "company", "address")],
     )
 
 
+def _symbols(df):
+    return df.withColumns(
+        {
+            "position": F.concat(F.lit("\u201c"), "position", F.lit("\u201d \u2026 \u00bd")),
+            "company": F.concat("company", F.lit("\u3000\uff21\uff22\uff11 \u00d7 \u2022")),
+            "address": F.concat("address", F.lit(" \u2013 V\u0169ng T\u00e0u")),
+        }
+    )
+
+
+def q_fold_places(spark, sf_dir):
+    """STR9 then DOM8: a dash of any kind separates places once folded."""
+    folded = _symbols(jobs(spark, sf_dir)).select("listing_id", fold_ascii("address").alias("address"))
+    return explode_places(folded, out="place")
+
+
 def q_json_roundtrip(spark, sf_dir):
     """SNK2 message (key + JSON value, binary) -> SRC2 -> SRC3 typed row."""
     messages = job_messages(jobs(spark, sf_dir).drop("listing_id"))
@@ -163,18 +183,60 @@ def q_stream_reports(spark, sf_dir):
     SRC4 -> DOM9 -> SNK4: the report tables after both streams finish."""
     paths = RunPaths(shared_dir(spark, "stream_reports", unique=True))
     publish_jobs(jobs(spark, sf_dir).drop("listing_id"), paths, files=4)
-    return run_reports(spark, paths, batches=4)
+    return run_reports(spark, paths, REPORT_DATE, batches=4)
+
+
+def _halves(spark, sf_dir):
+    listings = read_listings(spark, sf_dir)
+    return [listings.filter(F.col("listing_id") % 2 == k) for k in (0, 1)]
+
+
+def q_ingest_twice(spark, sf_dir):
+    """Two ingests of one day (each listing in one of them): the reports
+    count every posting once, stamped with the run's date (DTE1)."""
+    root = shared_dir(spark, "ingest_twice", unique=True)
+    for half in _halves(spark, sf_dir):
+        ingest_day(spark, half, root, REPORT_DATE)
+        reports = run_reports(spark, RunPaths(root), REPORT_DATE)
+    return reports
+
+
+def q_stream_restart(spark, sf_dir):
+    """STM3: half the postings, then the report stream starts over on a new
+    checkpoint (batch ids from 0 again) and replays all of them."""
+    paths = RunPaths(shared_dir(spark, "stream_restart", unique=True))
+    for k, half in enumerate(_halves(spark, sf_dir)):
+        publish_jobs(clean_listings(half), paths)
+        reports = run_reports(spark, paths, REPORT_DATE, checkpoint=f"market-{k}")
+    return reports
+
+
+SITES = ("topcv", "careerlink", "careerviet", "itviec", "vietnamworks")
+
+
+def q_clean_union(spark, sf_dir):
+    """PRJ3 + PRJ1 + SET1 + DTE1: per-site frames with positional columns
+    (only topcv has a fifth), some fields missing, named, filled, united and
+    cleaned for one run date."""
+    listings = read_listings(spark, sf_dir)
+    frames = []
+    for site in SITES:
+        fields = ["position", "company", "salary", "address", *(["exp"] if site == "topcv" else [])]
+        lost = F.when(F.col("listing_id") % 7 != 0, F.col("company")).alias("company")
+        rows = listings.filter(F.col("source") == site).select("listing_id", *[lost if f == "company" else F.col(f) for f in fields])
+        named = name_fields(rows.drop("listing_id").toDF(*[f"_{k + 1}" for k in range(len(fields))]))
+        frames.append(with_missing_as_na(named, tuple(fields)).withColumn("source", F.lit(site)))
+    return clean_listings(union_sources(frames), REPORT_DATE)
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def q_stream_upsert(spark, sf_dir):
-    """Events replayed as a file stream (at least 4 files, one per
-    micro-batch) into a keyed table (latest event per user), one snapshot
+    """Events replayed as a file stream (4 files, one per micro-batch) into a keyed table (latest event per user), one snapshot
     per micro-batch."""
     root = shared_dir(spark, "stream_upsert", unique=True)
-    at_least(read_table(spark, sf_dir, "events", EVENT_COLUMNS), 4).write.parquet(f"{root}/feed")
+    read_table(spark, sf_dir, "events", EVENT_COLUMNS).repartition(4).write.parquet(f"{root}/feed")
     stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", "1").parquet(f"{root}/feed")
     schema = spark.read.parquet(f"{root}/feed").schema
     q = start_keyed_upsert(stream, f"{root}/table", ["user_id"], "event_id", schema, f"{root}/_checkpoint")
@@ -217,25 +279,10 @@ def q_extract_nav(spark, sf_dir):
     return H.nav_links(_pages(spark, sf_dir))
 
 
-NAV_FIELDS = {"text": H.FieldSpec("a"), "href": H.FieldSpec("a", attr="href")}
-
-
-def q_extract_nav_dom(spark, sf_dir):
-    """SRC7 through the DOM extractor (selectors ``nav`` / ``li`` / ``a``)."""
-    pages = spread(_pages(spark, sf_dir))
-    return H.extract_items(pages, "nav", "li", NAV_FIELDS, keep=("page_id",))
-
-
 def q_page_titles(spark, sf_dir):
     return H.page_titles(_pages(spark, sf_dir))
 
 
-def q_page_titles_dom(spark, sf_dir):
-    pages = spread(_pages(spark, sf_dir))
-    items = H.extract_items(pages, "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",))
-    return items.filter(F.col("item") == 1).select("page_id", "title")
-
-
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "address_report": q_address_report,
@@ -253,6 +300,7 @@ def queries() -> dict[str, Query]:
         {
             "fold_text": q_fold_text,
             "fold_listings": q_fold_listings,
+            "fold_places": q_fold_places,
             "json_roundtrip": q_json_roundtrip,
             "json_props": q_json_props,
             "daily_count": q_daily_count,
@@ -261,13 +309,14 @@ def queries() -> dict[str, Query]:
             "upsert_latest": q_upsert_latest,
             "route_topics": q_route_topics,
             "stream_reports": q_stream_reports,
+            "ingest_twice": q_ingest_twice,
+            "stream_restart": q_stream_restart,
+            "clean_union": q_clean_union,
             "stream_upsert": q_stream_upsert,
             "jobs_table_count": q_jobs_table_count,
             "jobs_table_top": q_jobs_table_top,
             "extract_nav": q_extract_nav,
-            "extract_nav_dom": q_extract_nav_dom,
             "page_titles": q_page_titles,
-            "page_titles_dom": q_page_titles_dom,
         }
     )
     return out

@@ -9,15 +9,18 @@ All paths live under ``root``, which callers take from the shared folder
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import clean_listings
 from ..operators.digest import daily_digest
-from ..sinks.jobs_table import read_jobs_day, write_jobs
+from ..schemas import JOBS_TABLE
+from ..session import make_folder
+from ..sinks.jobs_table import day_partitions, read_jobs_day, to_table_rows, write_jobs
 from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, job_messages, write_topic
-from ..sources.tables import at_least
 from ..streaming.reports import (
     read_report_tables,
     read_topic_stream,
@@ -26,6 +29,23 @@ from ..streaming.reports import (
 )
 
 
+@dataclass(frozen=True)
+class Topics:
+    """Where messages travel: topic folders below the run's root, or Kafka.
+
+    ``Topics("kafka", "host:9092", {...})`` sends and reads through the
+    Kafka connector (the caller puts its package on the classpath; it is not
+    installed here, so that form stays untested).
+    """
+
+    fmt: str = "folder"
+    servers: str | None = None
+    options: dict = field(default_factory=dict)
+
+    def target(self, folder: str) -> str:
+        return self.servers if self.fmt == "kafka" else folder
+
+
 @dataclass(frozen=True)
 class RunPaths:
     root: str
@@ -46,18 +66,20 @@ class RunPaths:
     def tables(self) -> str:
         return f"{self.root}/tables"
 
+    def run(self, run_id: str) -> str:
+        return f"{self.root}/_runs/{run_id}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
 
-def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None) -> None:
-    """SNK2 into the topic folder; ``files`` asks for at least that many
-    files (each becomes one micro-batch downstream when read one file at a
-    time); a large input keeps its own, larger split."""
+def publish_jobs(jobs: DataFrame, paths: RunPaths, files: int | None = None, topics: Topics = Topics()) -> None:
+    """SNK2 into the job topic.  ``files`` deals the messages over that many
+    files (a replay in several micro-batches reads them one by one)."""
     messages = job_messages(jobs)
     if files:
-        messages = at_least(messages, files)
-    write_topic(messages, paths.jobs_topic)
+        messages = messages.repartition(files)
+    write_topic(messages, topics.target(paths.jobs_topic), topics.fmt, topics.options)
 
 
 def data_files(spark: SparkSession, path: str) -> int:
@@ -76,48 +98,90 @@ def data_files(spark: SparkSession, path: str) -> int:
 
 
 def run_reports(
-    spark: SparkSession, paths: RunPaths, report_date=None, batches: int | None = None, state_store: str | None = None
+    spark: SparkSession,
+    paths: RunPaths,
+    report_date=None,
+    batches: int | None = None,
+    state_store: str | None = None,
+    topics: Topics = Topics(),
+    trigger: dict | None = None,
+    checkpoint: str = "market",
 ) -> DataFrame:
-    """Both streaming queries to the end of their input; returns the report
-    tables.  ``batches`` replays the job topic in about that many
-    micro-batches (by files per trigger); default: all new files at once.
-    ``state_store="rocksdb"`` applies when the report stream first starts."""
+    """Both streaming queries, started together; returns the report tables.
+
+    By default they run to the end of their input (``availableNow``): when
+    the first has ended, the second runs once more for what was published
+    after it looked.  With a ``trigger`` such as ``{"processingTime": "1
+    minute"}`` both keep running until one of them ends.
+
+    ``batches`` replays the job topic in about that many micro-batches (by
+    files per trigger); default: all new files at once.
+    ``state_store="rocksdb"`` applies when the report stream first starts;
+    ``checkpoint`` names the report stream's checkpoint.
+    """
     per_trigger = None
-    if batches:
-        per_trigger = max(1, -(-data_files(spark, paths.jobs_topic) // batches))
-    q1 = start_market_stream(
-        read_topic_stream(spark, paths.jobs_topic, [JOBS_TOPIC], max_files_per_trigger=per_trigger),
-        paths.report_topics,
-        paths.checkpoint("market"),
+    if topics.fmt == "folder":
+        for folder in (paths.jobs_topic, paths.report_topics):
+            make_folder(spark, folder)
+        if batches:
+            per_trigger = max(1, -(-data_files(spark, paths.jobs_topic) // batches))
+
+    def maintenance():
+        return start_report_maintenance(
+            read_topic_stream(spark, topics.target(paths.report_topics), list(REPORT_TOPICS.values()), topics.fmt, options=topics.options),
+            paths.tables,
+            paths.checkpoint("maintenance"),
+            report_date,
+            trigger,
+        )
+
+    market = start_market_stream(
+        read_topic_stream(spark, topics.target(paths.jobs_topic), [JOBS_TOPIC], topics.fmt, per_trigger, topics.options),
+        topics.target(paths.report_topics),
+        paths.checkpoint(checkpoint),
+        topics.fmt,
+        trigger,
         state_store=state_store,
+        options=topics.options,
     )
-    q1.awaitTermination()
-    q2 = start_report_maintenance(
-        read_topic_stream(spark, paths.report_topics, list(REPORT_TOPICS.values())),
-        paths.tables,
-        paths.checkpoint("maintenance"),
-        report_date,
-    )
-    q2.awaitTermination()
+    tables = maintenance()
+    if trigger and "availableNow" not in trigger:
+        spark.streams.awaitAnyTermination()
+    else:
+        market.awaitTermination()
+        tables.awaitTermination()
+        maintenance().awaitTermination()
     return read_report_tables(spark, paths.tables)
 
 
 def ingest_day(
-    spark: SparkSession, raw: DataFrame, root: str, report_date, files: int | None = None, replace_day: bool = False
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    report_date,
+    files: int | None = None,
+    replace_day: bool = False,
+    topics: Topics = Topics(),
 ) -> DataFrame:
-    """The scrape job's sinks: clean the raw listings, append them to the
-    jobs table, and publish the day's rows read back from the written table
-    (so the table and the topic hold the same rows).  Returns the day's rows.
-
-    ``replace_day=True`` makes a rerun after a failure idempotent for the
-    table (the day is overwritten, not appended twice); the topic is
-    at-least-once either way, and the reports' consumers are keyed.
+    """The scrape job's sinks: clean the raw listings, write them once to a
+    folder of this run, and from there append them to the jobs table and
+    publish them, so the table and the topic get the same rows, and only
+    those of this run.  Returns the day's rows.
+
+    ``replace_day=True`` makes a rerun after a failure idempotent: the day is
+    overwritten in the table, and a day that the table already held is not
+    published again (the reports count every message).
     """
     paths = RunPaths(root)
-    write_jobs(clean_listings(raw, report_date), paths.jobs, replace_days=replace_day)
-    day_rows = read_jobs_day(spark, paths.jobs, report_date)
-    publish_jobs(day_rows.withColumnRenamed("experience", "final_exp"), paths, files)
-    return day_rows
+    staged = paths.run(uuid.uuid4().hex)
+    to_table_rows(clean_listings(raw, report_date)).write.parquet(staged)
+    rows = spark.read.schema(JOBS_TABLE).parquet(staged)
+    again = replace_day and str(report_date) in day_partitions(spark, paths.jobs)
+    jobs = rows.withColumnRenamed("experience", "final_exp")
+    write_jobs(jobs, paths.jobs, replace_days=replace_day)
+    if not again:
+        publish_jobs(jobs, paths, files, topics)
+    return read_jobs_day(spark, paths.jobs, report_date)
 
 
 def run_day(
@@ -128,11 +192,12 @@ def run_day(
     files: int | None = None,
     replace_day: bool = False,
     state_store: str | None = None,
+    topics: Topics = Topics(),
 ):
     """One day's run: ingest, maintain reports (both streams to the end of
-    their input), digest.  Returns (report tables, day count, top paid)."""
+    their input), digest.  Returns (the day's report rows, day count, top paid)."""
     paths = RunPaths(root)
-    day_rows = ingest_day(spark, raw, root, report_date, files, replace_day)
-    reports = run_reports(spark, paths, report_date, state_store=state_store)
+    day_rows = ingest_day(spark, raw, root, report_date, files, replace_day, topics)
+    reports = run_reports(spark, paths, report_date, state_store=state_store, topics=topics)
     count, top = daily_digest(day_rows, report_date)
-    return reports, count, top
+    return reports.where(F.col("query_date") == F.lit(str(report_date)).cast("date")), count, top

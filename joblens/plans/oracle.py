@@ -184,11 +184,33 @@ def _fold(x: str) -> str:
     return out
 
 
+def _fold_symbols(x: str) -> str:
+    """Character by character: full-width forms by their distance from ASCII,
+    the symbols of the test texts by a list."""
+    wide = "case when unicode(ch) between 65281 and 65374 then chr(unicode(ch) - 65248)"
+    listed = {"\u3000": " ", "\u2013": "-", "\u201c": '"', "\u201d": '"', "\u2026": "...", "\u00bd": "1/2", "\u00d7": "x", "\u2022": "*"}
+    cases = " ".join(f"when ch = '{k}' then '{v}'" for k, v in listed.items())
+    return f"array_to_string(list_transform(string_split({_fold(x)}, ''), lambda ch: {wide} {cases} else ch end), '')"
+
+
 FOLD_TEXT = f"select conv_id, turn, role, {_fold('text')} as text_ascii from conversations"
 
+SYMBOLS = """
+marked as (
+  select listing_id, chr(8220) || position || chr(8221) || ' ' || chr(8230) || ' ' || chr(189) as position,
+         company || chr(12288) || chr(65313) || chr(65314) || chr(65297) || ' ' || chr(215) || ' ' || chr(8226) as company,
+         address || ' ' || chr(8211) || ' Vũng Tàu' as address from jobs)"""
+
 FOLD_LISTINGS = (
-    _with(LISTINGS, PARSED)
-    + f"\nselect listing_id, {_fold('position')} as position, {_fold('company')} as company, {_fold('address')} as address from jobs"
+    _with(LISTINGS, PARSED, SYMBOLS)
+    + "\nselect listing_id, " + ", ".join(f"{_fold_symbols(c)} as {c}" for c in ("position", "company", "address")) + " from marked"
+)
+
+FOLD_PLACES = (
+    _with(LISTINGS, PARSED, SYMBOLS, f"folded as (select listing_id, {_fold_symbols('address')} as address from marked)")
+    + r"""
+select listing_id, address,
+       trim(unnest(string_split(regexp_replace(address, '[\n\r&,\-]+', '|', 'g'), '|')), ' ') as place from folded"""
 )
 
 JSON_ROUNDTRIP = (
@@ -243,6 +265,15 @@ STREAM_REPORTS = (
     + ")"
 )
 
+REPORTS = f"select date '2025-03-14' as query_date, * from ({STREAM_REPORTS})"
+
+CLEAN_UNION = (
+    _with(LISTINGS, PARSED)
+    + """
+select position, case when listing_id % 7 = 0 then 'Not Available' else company end as company, address, source,
+       date '2025-03-14' as query_day, min_salary, max_salary, final_exp from jobs"""
+)
+
 TABLE = """
 jtable as (
   select source, position, company, address, query_day, cast(min_salary as float) min_salary,
@@ -271,28 +302,27 @@ def _unescape(x: str) -> str:
 
 
 def _inner_text(x: str) -> str:
-    no_tags = "regexp_replace(" + x + r", '<[^>]*>', ' ', 'g')"
-    return "trim(regexp_replace(" + _unescape(no_tags) + r", '\s+', ' ', 'g'))"
-
+    """Text pieces between tags: what follows the first ``>`` of every ``<`` split."""
+    pieces = f"list_transform(string_split({x}, '<'), lambda t, i: case when i = 1 then t else substr(t, instr(t, '>') + 1) end)"
+    joined = f"array_to_string({pieces}, ' ')"
+    return "array_to_string(list_filter(string_split(translate(" + _unescape(joined) + ", chr(10) || chr(9) || chr(13), '   '), ' '), lambda w: w <> ''), ' ')"
 
-NAV_RE = r"(?s)<nav\b[^>]*>(.*?)</nav>"
-HREF_RE = r'(?s)<li\b[^>]*>\s*<a\b[^>]*?href="([^"]*)"'
-TEXT_RE = r"(?s)<li\b[^>]*>\s*<a\b[^>]*>(.*?)</a>"
-TITLE_RE = r"(?s)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>"
 
+# Markup taken apart by splitting, without patterns.
 EXTRACT_NAV = (
-    "with n as (select page_id, regexp_extract(html, '" + NAV_RE + "', 1) as nav from pages),\n"
-    "l as (select page_id, regexp_extract_all(nav, '" + HREF_RE + "', 1) as hrefs,\n"
-    "             regexp_extract_all(nav, '" + TEXT_RE + "', 1) as texts from n),\n"
-    "idx as (select page_id, hrefs, texts,\n"
-    "        unnest(generate_series(1, greatest(len(hrefs), len(texts)))) as i from l)\n"
-    "select page_id, cast(i as integer) as item, " + _inner_text("texts[i]") + " as text, "
-    + _unescape("hrefs[i]") + " as href from idx"
+    "with n as (select page_id, split_part(split_part(html, '<nav', 2), '</nav>', 1) as nav from pages),\n"
+    "p as (select page_id, list_filter(string_split(nav, '<li'), lambda t: contains(t, '<a ')) as items from n),\n"
+    "i as (select page_id, unnest(items) as li, generate_subscripts(items, 1) as item from p),\n"
+    "a as (select page_id, item, split_part(split_part(li, '<a ', 2), '</a>', 1) as a from i),\n"
+    "b as (select page_id, item, split_part(a, '>', 1) as attrs, substr(a, instr(a, '>') + 1) as body from a)\n"
+    "select page_id, cast(item as integer) as item, " + _inner_text("body") + " as text,\n"
+    "  case when contains(attrs, 'href=\"') then " + _unescape("split_part(split_part(attrs, 'href=\"', 2), '\"', 1)") + " end as href from b"
 )
 
 PAGE_TITLES = (
-    "select page_id, " + _inner_text("regexp_extract(html, '" + TITLE_RE + "', 1)") + " as title\n"
-    "from pages where regexp_matches(html, '" + TITLE_RE + "')"
+    "with t as (select page_id, split_part(split_part(html, '<article', 2), '<h1', 2) as h from pages)\n"
+    "select page_id, " + _inner_text("substr(split_part(h, '</h1>', 1), instr(h, '>') + 1)") + " as title\n"
+    "from t where contains(h, '</h1>')"
 )
 
 
@@ -313,6 +343,7 @@ def oracle_queries() -> dict[str, str]:
         {
             "fold_text": FOLD_TEXT,
             "fold_listings": FOLD_LISTINGS,
+            "fold_places": FOLD_PLACES,
             "json_roundtrip": JSON_ROUNDTRIP,
             "json_props": JSON_PROPS,
             "daily_count": DAILY_COUNT,
@@ -320,14 +351,15 @@ def oracle_queries() -> dict[str, str]:
             "digest_by_day": DIGEST_BY_DAY,
             "upsert_latest": UPSERT_LATEST,
             "route_topics": ROUTE_TOPICS,
-            "stream_reports": STREAM_REPORTS,
+            "stream_reports": REPORTS,
+            "ingest_twice": REPORTS,
+            "stream_restart": REPORTS,
+            "clean_union": CLEAN_UNION,
             "stream_upsert": UPSERT_LATEST,
             "jobs_table_count": JOBS_TABLE_COUNT,
             "jobs_table_top": JOBS_TABLE_TOP,
             "extract_nav": EXTRACT_NAV,
-            "extract_nav_dom": EXTRACT_NAV,
             "page_titles": PAGE_TITLES,
-            "page_titles_dom": PAGE_TITLES,
         }
     )
     return out

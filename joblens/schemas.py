@@ -87,8 +87,10 @@ MEASURES = (
     ("total_jobs", LongType()),
 )
 
-# Report tables: key (query_date, dimension), measures, and the version
-# (micro-batch id) that produced the row, used for latest-wins merges.
+# Report tables: key (query_date, dimension), measures, and the order of the
+# update that produced the row: start of its producer (milliseconds), the
+# producer's micro-batch id, the message's place in the consumer's batch.
+ROW_ORDER = ("started", "version", "place")
 REPORT_DIMENSIONS = {
     "address": ("address", StringType()),
     "source": ("source", StringType()),
@@ -98,7 +100,7 @@ REPORT_DIMENSIONS = {
 
 def report_table_schema(kind: str) -> StructType:
     dim = REPORT_DIMENSIONS[kind]
-    return _struct(("query_date", DateType()), dim, *MEASURES, ("version", LongType()))
+    return _struct(("query_date", DateType()), dim, *MEASURES, *((c, LongType()) for c in ROW_ORDER))
 
 
 # Re-aimed page scan: one row per fetched page.

@@ -1,14 +1,12 @@
 """Session construction and the shared working folder.
 
 Every job that cuts lineage or keeps streaming state writes below the folder
-the cluster names in ``spark.checkpoint.dir``.  We only pick our own folder
-when that setting is absent (local tests), never a machine-local temp dir on
-a cluster.
+the cluster names in ``spark.checkpoint.dir``.  Only a local master may go
+without that setting; elsewhere a missing one is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -56,13 +54,15 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder, setting one only where none is configured."""
+    """Return the shared folder; a local master may go without one (tests, a
+    laptop) and gets a temporary folder, a cluster may not."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_CONF, None
     )
     if not path:
-        # Only reached outside a cluster (tests, a laptop): nothing names a
-        # shared folder, so make one and record it for the rest of the session.
+        master = spark.sparkContext.master
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="joblens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -70,6 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder in the file system that ``path`` belongs to."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared checkpoint folder.
 
@@ -81,8 +87,7 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex)
     path = "/".join(pieces)
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    make_folder(spark, path)
     return path
 
 

@@ -11,6 +11,8 @@ statement text is unit-tested.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..operators.upsert import latest_per_key
@@ -22,7 +24,7 @@ def _q(name: str) -> str:
 
 def merge_sql(table: str, staging: str, keys: list[str], columns: list[str], version: str) -> str:
     """Standard ``MERGE`` (SQL:2003; PostgreSQL 15+, Derby, SQL Server...)."""
-    on = " AND ".join(f"t.{_q(k)} = s.{_q(k)}" for k in keys)
+    on = " AND ".join(f"t.{_q(k)} IS NOT DISTINCT FROM s.{_q(k)}" for k in keys)
     updates = ", ".join(f"{_q(c)} = s.{_q(c)}" for c in columns if c not in keys)
     cols = ", ".join(_q(c) for c in columns)
     vals = ", ".join(f"s.{_q(c)}" for c in columns)
@@ -56,7 +58,7 @@ def upsert_jdbc(
 ) -> None:
     """Latest row per key -> staging table (overwrite) -> one MERGE."""
     props = dict(properties or {})
-    staging = staging or f"{table}_staging"
+    staging = staging or f"{table}_staging_{uuid.uuid4().hex[:8]}"  # writers never share one
     rows = latest_per_key(updates, keys, version)
     rows.write.mode("overwrite").jdbc(url, staging, properties=props)
     sql = (merge_sql if dialect == "merge" else on_conflict_sql)(table, staging, keys, rows.columns, version)

@@ -91,11 +91,22 @@ def write_jobs_jdbc(jobs: DataFrame, url: str, table: str, properties: dict | No
     to_table_rows(jobs).write.mode("append").jdbc(url, table, properties=properties or {})
 
 
-def read_jobs_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None, num_partitions: int | None = None) -> DataFrame:
+def read_jobs_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict | None = None,
+    num_partitions: int | None = None,
+    column: str | None = None,
+    lower: str | int | None = None,
+    upper: str | int | None = None,
+) -> DataFrame:
     """SRC5 over JDBC; equality filters on ``query_day`` are pushed to the
-    database.  ``num_partitions`` splits the read on ``query_day`` ranges
-    only when the caller gives bounds in ``properties``."""
-    props = dict(properties or {})
-    if num_partitions:
-        props.setdefault("numPartitions", str(num_partitions))
-    return spark.read.jdbc(url, table, properties=props)
+    database.  A read in several tasks needs all of ``num_partitions``,
+    ``column``, ``lower`` and ``upper``."""
+    bounds = (num_partitions, column, lower, upper)
+    if any(b is not None for b in bounds):
+        if any(b is None for b in bounds):
+            raise ValueError("a partitioned JDBC read needs num_partitions, column, lower and upper")
+        return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper, numPartitions=num_partitions, properties=dict(properties or {}))
+    return spark.read.jdbc(url, table, properties=dict(properties or {}))

@@ -10,7 +10,10 @@ per key wins) and writes snapshot ``seq + 1``.  Hence
 
 * a crash mid-write leaves no marker, so readers keep the previous snapshot;
 * replaying a micro-batch whose snapshot exists is a no-op (exactly once);
-* an older version arriving late cannot overwrite a newer row.
+* an older version arriving late cannot overwrite a newer row;
+* only the newest ``KEEP`` snapshots of a series stay: a reader that opened
+  one keeps its files for that many further updates, and listing a table
+  stays as cheap after a year as on the first day.
 
 With ``partition_col`` (report tables use ``query_date``) every value has
 its own snapshot series under ``<path>/<col>=<value>/``: a micro-batch
@@ -29,6 +32,7 @@ from pyspark.sql.types import StructType
 from ..operators.upsert import upsert
 
 SNAP = "snap="
+KEEP = 5
 
 
 def _fs(spark: SparkSession, path: str):
@@ -95,6 +99,9 @@ def _upsert_snapshot(spark, path, updates, keys, version_col, version, schema, w
     current = read_report_table(spark, path, schema)
     merged = upsert(current, updates.select(*schema.fieldNames()), keys, version_col)
     merged.write.mode("overwrite").parquet(snapshot_path(path, seq, version, writer))
+    fs, _, jvm = _fs(spark, path)
+    for old in done[: max(0, len(done) + 1 - KEEP)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(snapshot_path(path, *old)), True)
     return True
 
 
@@ -103,7 +110,7 @@ def upsert_report_table(
     path: str,
     updates: DataFrame,
     keys: list[str],
-    version_col: str,
+    version_col: str | list[str],
     version: int,
     schema: StructType,
     writer: str = "",
@@ -114,7 +121,8 @@ def upsert_report_table(
 
     Returns False (and writes nothing) when that batch was applied before,
     which makes a replayed micro-batch harmless.  Batches may arrive in any
-    order: rows carry ``version_col`` and the newest row per key wins.
+    order: rows carry ``version_col`` (one or several columns) and the
+    newest row per key wins.
     With ``partition_col``, only the partition values present in
     ``updates`` are rewritten: ``partition_values`` when the caller knows
     them, else their distinct values are collected (a report batch carries

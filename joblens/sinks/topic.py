@@ -55,7 +55,7 @@ def report_messages(market: DataFrame) -> DataFrame:
     """
     topic = F.element_at(F.create_map(*[x for kv in REPORT_TOPICS.items() for x in map(F.lit, kv)]), F.col("dimension"))
     key_col = {"address": "address_cleaned", "source": "source", "exp": "final_exp"}
-    extra = ["version"] if "version" in market.columns else []
+    extra = [c for c in ("started", "version") if c in market.columns]
     measures = ["min_salary", "max_salary", "avg_salary", "total_jobs", *extra]
     dim = F.col("dimension")
     value = (

@@ -17,10 +17,12 @@ extraction runs where the pages are:
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -170,35 +172,29 @@ def select_all(scope: Node, selector: str | tuple[Compound, ...]) -> list[Node]:
     return [n for n in _descendants(scope) if _matches(n, compounds)]
 
 
-def _pieces(node: Node, out: list) -> None:
-    if node.tag in HIDDEN:
-        return
-    if node.tag == "br":
-        out.append("\n")
-        return
-    block = node.tag in BLOCK
-    if block:
-        out.append("\n")
-    for child in node.children:
-        if isinstance(child, str):
-            out.append(child)
-        else:
-            _pieces(child, out)
-    if block:
-        out.append("\n")
-    elif node.tag in CELLS:
-        out.append(" ")  # cells of a row read as one line, space-separated
+def _pieces(nodes: list, out: list) -> None:
+    """Text pieces of some nodes in document order; a loop, since unclosed
+    tags nest as deeply as a page is long."""
+    todo: list = list(reversed(nodes))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+        elif node.tag == "br":
+            out.append("\n")
+        elif node.tag not in HIDDEN:
+            edge = "\n" if node.tag in BLOCK else ""
+            # cells of a row read as one line, space-separated
+            todo.append(edge or (" " if node.tag in CELLS else ""))
+            todo.extend(reversed(node.children))
+            todo.append(edge)
 
 
 def text_of(node: Node) -> str:
     """Rendered text (``element.text``): lines from blocks and ``<br>``,
     whitespace collapsed within lines, blank lines dropped."""
     parts: list[str] = []
-    for child in node.children:
-        if isinstance(child, str):
-            parts.append(child)
-        else:
-            _pieces(child, parts)
+    _pieces(node.children, parts)
     lines = (re.sub("[ \t\r\f\v\u00a0]+", " ", line).strip() for line in "".join(parts).split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -255,6 +251,8 @@ def extract_items(
     With ``site_col`` + ``sites``, each page uses its own site's container,
     item and field selectors (all sites must share the field names).
     Missing fields are null here; ``with_missing_as_na`` applies PRJ1.
+    A page that cannot be read gives one row with ``item`` 0 and null fields
+    instead of failing the job.
     """
     keep_fields = [pages.schema[c] for c in keep]
     out_schema = StructType(
@@ -274,8 +272,13 @@ def extract_items(
                     spec = sites.get(rec[site_col]) if sites else None
                     if spec is None:
                         continue
-                for i, found in enumerate(extract_page(rec[html_col], *spec), start=1):
-                    rows.append({**{k: rec[k] for k in keep}, "item": i, **found})
+                kept = {k: rec[k] for k in keep}
+                try:
+                    items = extract_page(rec[html_col], *spec)
+                except Exception:  # noqa: BLE001  whatever a page holds, the others go on
+                    rows.append({**kept, "item": 0, **dict.fromkeys(names)})
+                    continue
+                rows.extend({**kept, "item": i, **found} for i, found in enumerate(items, start=1))
             yield pd.DataFrame(rows, columns=[*keep, "item", *names])
 
     return pages.select(*cols).mapInPandas(run, out_schema)
@@ -349,7 +352,7 @@ def extract_listings(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_
         full = {f: fields.get(f, FieldSpec("#--absent--")) for f in LISTING_FIELDS}
         sites[name] = (box, item, full)
     any_fields = {f: FieldSpec("*") for f in LISTING_FIELDS}
-    raw = extract_items(pages, "", "", any_fields, keep=keep, site_col="source", sites=sites)
+    raw = extract_items(pages, "", "", any_fields, keep=keep, site_col="source", sites=sites).filter(F.col("item") > 0)
     filled = with_missing_as_na(raw, ("position", "company", "salary", "address"))
     return filled.withColumn("exp", F.when(F.col("source") == "topcv", F.coalesce(F.col("exp"), F.lit(NOT_AVAILABLE))))
 
@@ -357,37 +360,53 @@ def extract_listings(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_
 # --------------------------------------------------------------------------
 # Flat markup with JVM regex only
 
-# The entities decoded on the regex path.  The semicolon is
-# optional, as HTML parsers accept these legacy names without it (``&amp``).
-_ENTITIES = (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"), ("&nbsp;?", " "), ("&amp;?", "&"))
+# Parsers accept these names without their semicolon (fixed values).
+_BARE = "amp|lt|gt|quot|nbsp"
+_ENTITY = rf"^(#[xX][0-9a-fA-F]{{1,6}};?|#[0-9]{{1,7}};?|[A-Za-z][A-Za-z0-9]{{1,31}};|(?:{_BARE}))"
 
 
-def unescape_basic(c: Column) -> Column:
-    """The five XML entities and ``&nbsp;`` (``&amp;`` last, so ``&amp;lt;``
-    stays ``&lt;``)."""
-    for pattern, text in _ENTITIES:
-        c = F.regexp_replace(c, pattern, text)
-    return c
+def unescape(c: Column) -> Column:
+    """Character references decoded in one pass (``&amp;lt;`` stays ``&lt;``):
+    decimal, hexadecimal, and the HTML 4 names of the standard library."""
+    names = F.from_json(F.lit(json.dumps({n: chr(cp) for n, cp in name2codepoint.items()})), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        found = F.regexp_extract(part, _ENTITY, 1)
+        name = F.rtrim(found, F.lit(";"))
+        digits = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 16)).when(name.startswith("#"), F.conv(F.substr(name, F.lit(2)), 10, 16))
+        number = F.conv(digits, 16, 10).cast("long")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        text = F.when(name.startswith("#"), char).otherwise(F.try_element_at(names, name))
+        return F.coalesce(F.when(found != "", F.concat(text, F.substr(part, F.length(found) + 1))), F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&")
+    return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), decoded), ""))
 
 
 def inner_text(c: Column) -> Column:
-    """Tags dropped, whitespace collapsed, entities decoded."""
+    """Tags dropped, entities decoded, whitespace collapsed."""
     no_tags = F.regexp_replace(c, r"<[^>]*>", " ")
-    return F.trim(F.regexp_replace(unescape_basic(no_tags), r"\s+", " "))
+    return F.trim(F.regexp_replace(unescape(no_tags), r"[\s\u00a0]+", " "))
+
+
+LINK = r"(?s)<li\b[^>]*>\s*<a\b.*?</a>"
+HREF = r'(?s)^<li\b[^>]*>\s*<a\b[^>]*?\shref="([^"]*)"'
 
 
 def nav_links(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """``nav li a`` of every page: (page_id, item, text, href)."""
+    """``nav li a`` of every page's first ``nav``: (page_id, item, text, href).
+
+    Text and href come from one match of the item, so an anchor without
+    ``href`` has a null one and shifts no other."""
     nav = F.regexp_extract(F.col("html"), r"(?s)<nav\b[^>]*>(.*?)</nav>", 1)
-    hrefs = F.regexp_extract_all(nav, F.lit(r'(?s)<li\b[^>]*>\s*<a\b[^>]*?href="([^"]*)"'), 1)
-    texts = F.regexp_extract_all(nav, F.lit(r"(?s)<li\b[^>]*>\s*<a\b[^>]*>(.*?)</a>"), 1)
-    links = pages.select(id_col, F.arrays_zip(hrefs.alias("href"), texts.alias("text")).alias("links"))
-    exploded = links.select(id_col, F.posexplode("links").alias("pos", "link"))
+    exploded = pages.select(id_col, F.posexplode(F.regexp_extract_all(nav, F.lit(LINK), 0)).alias("pos", "link"))
+    link = F.col("link")
     return exploded.select(
         id_col,
         (F.col("pos") + 1).cast("int").alias("item"),
-        inner_text(F.col("link.text")).alias("text"),
-        unescape_basic(F.col("link.href")).alias("href"),
+        inner_text(F.regexp_extract(link, r"(?s)<a\b[^>]*>(.*)</a>$", 1)).alias("text"),
+        F.when(link.rlike(HREF), unescape(F.regexp_extract(link, HREF, 1))).alias("href"),
     )
 
 

@@ -20,21 +20,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame that arrives in fewer splits than the cluster has
-    cores (a single-row-group file scans as one task).
+SPREAD_CONF = "joblens.spread.partitions"
 
-    Only for CPU-heavy per-row work (HTML parsing, Python batches).  On big
-    inputs the scan already has thousands of splits and this is a no-op, so
-    no shuffle is added where the data is large.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over ``joblens.spread.partitions`` partitions.
 
-def at_least(df: DataFrame, n: int) -> DataFrame:
-    """At least ``n`` partitions (files, once written): a round-robin only
-    when the frame has fewer; a large frame keeps its own split."""
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    Off unless the session sets that number: file splits belong to the session
+    and the data layout.  ``bench.py`` sets it for test files that hold a
+    single row group and so scan as one task.
+    """
+    n = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(n)) if n else df

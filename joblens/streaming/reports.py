@@ -19,6 +19,7 @@ per task, not the jobs.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, Stri
 from ..functions.jsonwire import parse_json
 from ..operators.reports import job_places, market_reports
 from ..operators.routing import REPORT_DEFAULT, REPORT_ROUTES, split_routes
-from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, report_table_schema
+from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, ROW_ORDER, report_table_schema
 from ..session import temporary_conf
 from ..sinks.report_table import read_report_table, upsert_report_table
 from ..sinks.topic import TOPIC_SCHEMA, report_messages, write_topic
@@ -93,20 +94,25 @@ def start_market_stream(
     trigger: dict | None = None,
     state_partitions: int | None = 8,
     state_store: str | None = None,
+    options: dict | None = None,
 ) -> StreamingQuery:
     """Query 1: reports in update mode, published as keyed messages.
 
-    Each micro-batch emits only the keys it changed (STM2); the batch id
-    rides along as ``version`` so consumers can order updates (Q6).
+    Each micro-batch emits only the keys it changed (STM2).  The start of
+    this query and the batch id ride along as ``started`` and ``version``, so
+    consumers can order updates (Q6), also those of a query that was started
+    again on a new checkpoint, whose batch ids begin at 0.
     The state shuffle carries partial aggregates only (one row per report
     key per input task), so a few state partitions serve any input size;
     raise ``state_partitions`` only if the place cardinality explodes, and
     pass ``state_store="rocksdb"`` to keep state off the JVM heap.
     """
 
+    started = int(time.time() * 1000)
+
     def publish(batch: DataFrame, batch_id: int) -> None:
-        versioned = batch.withColumn("version", F.lit(batch_id).cast("long"))
-        write_topic(report_messages(versioned), report_topic_target, fmt)
+        versioned = batch.withColumns({"started": F.lit(started).cast("long"), "version": F.lit(batch_id).cast("long")})
+        write_topic(report_messages(versioned), report_topic_target, fmt, options)
 
     writer = (
         market_stream(messages)
@@ -124,7 +130,7 @@ def start_market_stream(
         return writer.start()
 
 
-# Payload schemas of the three report topics (measures + version).
+# Payload schemas of the three report topics (measures, start, version).
 def _report_payload(dim: str, dtype) -> StructType:
     return StructType(
         [
@@ -133,6 +139,7 @@ def _report_payload(dim: str, dtype) -> StructType:
             StructField("max_salary", FloatType(), True),
             StructField("avg_salary", DoubleType(), True),
             StructField("total_jobs", LongType(), True),
+            StructField("started", LongType(), True),
             StructField("version", LongType(), True),
         ]
     )
@@ -145,18 +152,29 @@ REPORT_PAYLOADS = {
 }
 
 
-def report_rows(messages: DataFrame, kind: str, report_date) -> DataFrame:
+def report_rows(messages: DataFrame, kind: str, report_date, arrived: int = 0, batch: int = 0) -> DataFrame:
     """Typed report-table rows from one route's messages (absent JSON fields
-    become NULL, as ``.get(k, None)`` did)."""
+    become NULL, as ``.get(k, None)`` did).
+
+    A message without ``started`` and ``version`` (the plain wire form) is
+    ordered by its arrival: the consumer's clock, batch and place in it.
+    """
     field, payload = REPORT_PAYLOADS[kind]
     dim, _ = REPORT_DIMENSIONS[kind]
     schema = report_table_schema(kind)
-    parsed = parse_json(messages, payload)
+    parsed = parse_json(messages.withColumn("place", F.monotonically_increasing_id()), payload, keep=("place",))
     day = F.current_date() if report_date is None else F.lit(str(report_date)).cast("date")
+    order = {
+        "started": F.coalesce("started", F.lit(arrived)),
+        "version": F.when(F.col("started").isNull(), F.lit(batch)).otherwise(F.col("version")),
+        "place": F.col("place"),
+    }
+    measures = [f for f in schema.fields if f.name in ("min_salary", "max_salary", "avg_salary", "total_jobs")]
     return parsed.select(
         day.alias("query_date"),
         F.col(field).alias(dim),
-        *[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in ("min_salary", "max_salary", "avg_salary", "total_jobs", "version")],
+        *[F.col(f.name).cast(f.dataType) for f in measures],
+        *[order[c].cast("long").alias(c) for c in ROW_ORDER],
     )
 
 
@@ -181,6 +199,7 @@ def start_report_maintenance(
         writer = token.get(spark)
         # the one run date every row of this batch is stamped with
         day = report_date or spark.range(1).select(F.current_date()).first()[0]
+        arrived = int(time.time() * 1000)
         batch = batch.persist()
 
         def upsert_one(kind_part) -> None:
@@ -189,9 +208,9 @@ def start_report_maintenance(
             upsert_report_table(
                 spark,
                 table_path(table_root, kind),
-                report_rows(part, kind, day),
+                report_rows(part, kind, day, arrived, batch_id),
                 keys=["query_date", dim],
-                version_col="version",
+                version_col=list(ROW_ORDER),
                 version=batch_id,
                 schema=report_table_schema(kind),
                 writer=writer,
@@ -215,13 +234,15 @@ def start_report_maintenance(
 
 
 def read_report_tables(spark: SparkSession, table_root: str) -> DataFrame:
-    """All three report tables as (dimension, key, measures)."""
+    """All three report tables as (query_date, dimension, key, measures):
+    one row per day and key."""
     frames = []
     for kind in ("address", "source", "exp"):
         dim, _ = REPORT_DIMENSIONS[kind]
         t = read_report_table(spark, table_path(table_root, kind), report_table_schema(kind), "query_date")
         frames.append(
             t.select(
+                "query_date",
                 F.lit(kind).alias("dimension"),
                 F.col(dim).cast("string").alias("key"),
                 "min_salary",

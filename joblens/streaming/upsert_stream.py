@@ -18,10 +18,10 @@ from ..sinks.report_table import upsert_report_table
 
 
 def query_token(spark: SparkSession, checkpoint: str) -> str:
-    """Short id of the streaming query that owns ``checkpoint`` (from the
+    """Id of the streaming query that owns ``checkpoint`` (from the
     checkpoint's metadata file, written when the query first started)."""
     text = "\n".join(r.value for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
-    return json.loads(text)["id"].replace("-", "")[:12]
+    return json.loads(text)["id"].replace("-", "")
 
 
 class QueryToken:

@@ -1,7 +1,7 @@
 """Side-by-side check of ``queries()`` against ``oracle_sql()``.
 
-Same idea as the driver's gate: row count, column names, and an
-order-insensitive hash of the values (columns sorted by name).  Usable as a
+Same idea as the driver's gate: row count, column names and types, and an
+order-insensitive hash of the exact values (columns sorted by name).  Usable as a
 script: ``python tests/compare.py [sf_dir] [name ...]``.
 """
 
@@ -32,9 +32,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return float(f"{v:.12g}")
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -48,6 +46,18 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+# Names of one type in both systems.
+DUCK_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def types_differ(spark_types: dict[str, str], duck_types: dict[str, str]) -> dict[str, tuple[str, str]]:
+    """Columns whose types differ, as (Spark's, DuckDB's)."""
+    return {c: (t, duck_types.get(c)) for c, t in spark_types.items() if DUCK_TYPES.get(t, t) != duck_types.get(c)}
+
+
 def compare(spark, sf_dir: str, name: str, query, sql: str | None) -> dict:
     t0 = time.time()
     df = query(spark, sf_dir)
@@ -65,7 +75,8 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None) -> dict:
     out["oracle_rows"] = len(o_rows)
     out["cols_match"] = sorted(spark_cols) == sorted(o_cols)
     out["hash_match"] = digest(spark_cols, rows) == digest(o_cols, o_rows)
-    out["status"] = "ok" if (out["cols_match"] and out["hash_match"] and len(rows) == len(o_rows)) else "MISMATCH"
+    out["types_differ"] = types_differ(dict(df.dtypes), dict(zip(o_cols, map(str, rel.types))))
+    out["status"] = "ok" if (out["cols_match"] and not out["types_differ"] and out["hash_match"] and len(rows) == len(o_rows)) else "MISMATCH"
     if out["status"] != "ok":
         out["spark_cols"], out["oracle_cols"] = spark_cols, o_cols
     return out

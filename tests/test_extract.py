@@ -1,6 +1,8 @@
 """Listing extraction from site markup (SRC6, SRC7, PRJ1) and the DOM rules
 (unclosed tags, ``</p>`` inside scripts, entities, n-th match)."""
 
+from pyspark.sql import functions as F
+
 from joblens.sources import html as H
 
 TOPCV = """<html><body><div class="job-list-search-result">
@@ -94,9 +96,43 @@ def test_extractor_ships_its_code_to_workers():
     from pyspark import cloudpickle
 
     blob = cloudpickle.dumps(H.extract_page)
-    assert b"joblens.sources.html" not in blob or b"_TreeBuilder" in blob
+    assert b"_TreeBuilder" in blob and b"handle_starttag" in blob  # the class itself, not a reference
 
 
 def test_table_rows_read_as_lines():
     root = H.parse_html("<table><tr><td>Hà Nội</td><td>10 triệu</td></tr><tr><th>a</th><th>b</th></tr></table>")
     assert H.text_of(H.select_all(root, "table")[0]) == "Hà Nội 10 triệu\na b"
+
+
+def test_deep_nesting_and_unreadable_pages_do_not_fail_the_job(spark, monkeypatch):
+    deep = "<article><h1>" + "<b>" * 5000 + "title</h1></article>"
+    pages = spark.createDataFrame([(1, deep), (2, None), (3, "<article><h1>ok</h1></article>")], "page_id bigint, html string")
+    got = H.extract_items(pages, "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",)).collect()
+    assert [(r.page_id, r.item, r.title) for r in got] == [(1, 1, "title"), (3, 1, "ok")]
+
+    def broken(html, *spec):
+        raise RecursionError
+
+    monkeypatch.setattr(H, "extract_page", broken)
+    bad = H.extract_items(pages.where("page_id = 3"), "article", "h1", {"title": H.FieldSpec("")}, keep=("page_id",)).collect()
+    assert [(r.page_id, r.item, r.title) for r in bad] == [(3, 0, None)]
+
+
+def test_nav_links_pair_text_and_href_of_one_anchor(spark):
+    html = (
+        "<nav><ul><li><a href=\"/a\">A</a></li><li><a>No link</a></li><li class=x><a id=q href=\"/b?x=1&amp;y=2\">B &eacute;&#x27;&#233; <b>c</b></a></li></ul></nav>"
+        "<nav><ul><li><a href=\"/second\">other nav</a></li></ul></nav>"
+    )
+    pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    got = [(r.item, r.text, r.href) for r in H.nav_links(pages).collect()]
+    assert got == [(1, "A", "/a"), (2, "No link", None), (3, "B é'é c", "/b?x=1&y=2")]
+
+
+def test_character_references(spark):
+    import html as stdlib
+
+    texts = ["a &amp;lt; b", "&eacute;&Eacute;", "&#x27;&#39;&#X1F600;", "&unknown; &", "&#0; &#xD800;", "100% &copy 5", "&amp", "&lt&gt", "x & y &euro;&nbsp;z", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", H.unescape(F.col("t")).alias("u"))
+    for r in df.collect():
+        if r.t != "100% &copy 5":  # a bare name outside the five stays
+            assert r.u == stdlib.unescape(r.t), r.t

@@ -9,7 +9,7 @@ from joblens.operators import reports as R
 from joblens.plans.daily_run import RunPaths, publish_jobs, run_reports
 from joblens.schemas import JOB
 from joblens.sinks.topic import JOBS_TOPIC
-from joblens.streaming.reports import market_stream, read_topic_stream
+from joblens.streaming.reports import market_stream, read_report_tables, read_topic_stream, start_report_maintenance
 
 JOBS = [
     ("p1", "c", "Ha Noi & Ho Chi Minh", "topcv", None, 10.0, 20.0, 2),
@@ -189,3 +189,46 @@ def test_replay_in_a_fixed_number_of_batches(spark, workdir):
     run_reports(spark, paths, batches=3)
     offsets = os.listdir(paths.checkpoint("market") + "/offsets")
     assert len([o for o in offsets if o.isdigit()]) == 3
+
+
+def _message(key, value, topic="source_report"):
+    import json
+
+    return bytearray(key, "utf8"), bytearray(json.dumps(value), "utf8"), topic
+
+
+def test_plain_messages_are_ordered_by_arrival(spark, workdir):
+    """Messages in the plain wire form (no start, no version, also a null key)
+    replace what is older and are replaced by what comes later."""
+    import time
+
+    from joblens.sinks.topic import TOPIC_SCHEMA
+
+    def feed(rows):
+        spark.createDataFrame(rows, TOPIC_SCHEMA).coalesce(1).write.mode("append").parquet(f"{workdir}/topic")
+        stream = read_topic_stream(spark, f"{workdir}/topic", ["source_report"])
+        start_report_maintenance(stream, f"{workdir}/tables", f"{workdir}/ck", "2025-03-14").awaitTermination()
+        return {r.key: r.total_jobs for r in read_report_tables(spark, f"{workdir}/tables").collect()}
+
+    row = lambda source, n, **order: _message(source or "", {"source": source, "min_salary": 1.0, "max_salary": 2.0, "avg_salary": 1.5, "total_jobs": n, **order})
+    before = int(time.time() * 1000)
+    assert feed([row("a", 3, started=before, version=5), row("b", 1), row(None, 4)]) == {"a": 3, "b": 1, None: 4}
+    assert feed([row("a", 77), row("b", 2), row("b", 9), row(None, 5)]) == {"a": 77, "b": 9, None: 5}
+    later = int(time.time() * 1000) + 60_000
+    assert feed([row("a", 80, started=later, version=0)])["a"] == 80
+    assert feed([row("a", 1, started=later, version=-1)])["a"] == 80  # older batch of the same producer
+
+
+def test_new_report_checkpoint_replaces_stale_rows(spark, workdir):
+    """Three runs over growing input, then the report stream starts over on a
+    new checkpoint: its batch 0 is newer than the old batch 2."""
+    from joblens.plans.daily_run import RunPaths, publish_jobs, run_reports
+
+    paths = RunPaths(workdir)
+    job = lambda n: spark.createDataFrame([("p", "c", "Hue", "topcv", None, 0.0, float(n), 0)], JOB)
+    for n in (10, 20, 30):
+        publish_jobs(job(n), paths)
+        run_reports(spark, paths, "2025-03-14")
+    publish_jobs(job(99), paths)
+    got = run_reports(spark, paths, "2025-03-14", checkpoint="market-2").where("dimension = 'source'").collect()
+    assert [(r.key, r.total_jobs, r.max_salary) for r in got] == [("topcv", 4, 99.0)]

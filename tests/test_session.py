@@ -20,3 +20,15 @@ def test_temporary_conf_restores(spark):
         assert spark.conf.get(key) == "3"
     assert spark.conf.get(key) == before
     assert spark.conf.get("spark.joblens.test.unset", None) is None
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    bare = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        session = SimpleNamespace(conf=bare, sparkContext=SimpleNamespace(master=master, getConf=lambda: bare))
+        with pytest.raises(RuntimeError, match=CHECKPOINT_CONF):
+            ensure_checkpoint_dir(session)

@@ -36,3 +36,15 @@ def test_whitespace_matches_python(spark, texts):
         t = texts[r.i]
         assert r.s == t.strip() and r.toks == t.split(), repr(t)
         assert r.f == (t.split()[0] if t.split() else ""), repr(t)
+
+
+def test_fold_symbols(spark):
+    from joblens.functions.text import fold_ascii
+
+    cases = {
+        "Bà Rịa – Vũng Tàu": "Ba Ria - Vung Tau", "a—b": "a--b", "“x” ‘y’ …": "\"x\" 'y' ...", "ＡＢＣ１２！": "ABC12!",
+        "½ ª × № ₫ •": "1/2 a x No d *", "Ɓ ƒ": "B f", "x\u00a0y\u3000z": "x y z", "日本": "日本", "´ ¨": "´ ¨", "ﬁ Ⅳ": "fi IV",
+    }
+    df = spark.createDataFrame(list(cases.items()), "a string, b string")
+    for r in df.select("a", "b", fold_ascii("a").alias("f")).collect():
+        assert r.f == r.b, r.a

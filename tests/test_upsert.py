@@ -156,3 +156,24 @@ def test_null_day_is_not_the_latest_day(spark, workdir):
     rows_ = [("p", "c", "a", "topcv", dt.date(2024, 1, 1), 0.0, 1.0, 0), ("q", "c", "a", "topcv", None, 0.0, 1.0, 0)]
     write_jobs(spark.createDataFrame(rows_, JOB), path)
     assert day_partitions(spark, path) == ["2024-01-01"]
+
+
+def test_old_snapshots_go(spark, workdir):
+    from joblens.sinks.report_table import KEEP
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    path = f"{workdir}/t"
+    for n in range(20):
+        upsert_report_table(spark, path, spark.createDataFrame([("a", float(n), n), (f"k{n}", 0.0, n)], SCHEMA), ["k"], "version", n, schema)
+        assert len(snapshots(spark, path)) <= KEEP
+    assert read_report_table(spark, path, schema).count() == 21
+    assert not upsert_report_table(spark, path, spark.createDataFrame([("a", 0.0, 19)], SCHEMA), ["k"], "version", 19, schema)
+
+
+def test_partitioned_jdbc_read_needs_all_bounds(spark):
+    import pytest
+
+    from joblens.sinks.jobs_table import read_jobs_jdbc
+
+    with pytest.raises(ValueError):
+        read_jobs_jdbc(spark, "jdbc:none:", "jobs", num_partitions=4)
