@@ -100,18 +100,18 @@ def _convert_lo(x: Column, unit: Column, usd: Column) -> Column:
 # JIT compiler.)
 def _prepared() -> dict[str, Column]:
     s, n = F.col("_s"), F.col("_n")
-    after = part(n, LABEL_SEP, 1)  # s.replace(',', '').split(':')[1]
+    after = part(n, LABEL_SEP, 1)  # what follows the label
     tok_after = ws_tokens(after)
     return {
         "_usd": s.contains(USD),
-        "_tok1": drop_commas(ws_token(s, 1)),  # s.split()[1].replace(',', '')
-        "_tok_n": ws_tokens(n),  # s.replace(',', '').split()
-        "_d0": part(n, RANGE_SEP, 0),  # ...split(' - ')[0]
-        "_d0_first": first_ws_token(part(n, RANGE_SEP, 0)),  # ...split(' - ')[0].split()[0]
-        "_d1_first": first_ws_token(part(n, RANGE_SEP, 1)),  # ...split(' - ')[1].split()[0]
-        "_after1": token(tok_after, 1),  # ...split(':')[1].split()[1]
-        "_after2": token(tok_after, 2),  # ...split(':')[1].split()[2]
-        "_a0": part(after, RANGE_SEP, 0),  # ...split(':')[1].split(' - ')[0]
+        "_tok1": drop_commas(ws_token(s, 1)),  # second word, without thousands commas
+        "_tok_n": ws_tokens(n),  # words of the whole text
+        "_d0": part(n, RANGE_SEP, 0),  # all that stands left of the dash
+        "_d0_first": first_ws_token(part(n, RANGE_SEP, 0)),  # first word left of the dash
+        "_d1_first": first_ws_token(part(n, RANGE_SEP, 1)),  # first word right of the dash
+        "_after1": token(tok_after, 1),  # second word after the label
+        "_after2": token(tok_after, 2),  # third word after the label
+        "_a0": part(after, RANGE_SEP, 0),  # after the label, left of the dash
         "_a0_first": first_ws_token(part(after, RANGE_SEP, 0)),
         "_a1_first": first_ws_token(part(after, RANGE_SEP, 1)),
     }
