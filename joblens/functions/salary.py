@@ -70,8 +70,11 @@ class Rule:
 
 def floor_div(x: Column, d: float) -> Column:
     """MTH2: Python ``x // d`` for floats (exact remainder, then quotient),
-    which ``floor(x / d)`` misses when the quotient rounds up to an integer."""
-    return F.floor((x - F.pmod(x, F.lit(d))) / F.lit(d) + F.lit(0.5)).cast("double")
+    which ``floor(x / d)`` misses when the quotient rounds up to an integer.
+    From 2^52 on a double is whole and needs no rounding (``floor`` would
+    clip it to a long); infinite amounts give NaN, as in Python."""
+    whole = (x - F.pmod(x, F.lit(d))) / F.lit(d)
+    return F.when(F.abs(whole) < F.lit(2.0**52), F.floor(whole + F.lit(0.5)).cast("double")).otherwise(whole)
 
 
 UNITS = {"plain": 0, "pair": 1, "usd": 2, "single": 3}

@@ -7,6 +7,7 @@ Column names equal those of the matching oracle SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from ..operators.clean import clean_listings, name_fields, parse_listings, union
 from ..operators.routing import with_route
 from ..operators.upsert import upsert
 from ..schemas import JOB_WIRE
-from ..session import shared_dir
+from ..session import HUGE_METHODS, shared_dir
 from ..sinks.jobs_table import day_partitions, read_jobs_day, write_jobs
 from ..sinks.report_table import read_report_table
 from ..sinks.topic import job_messages
@@ -283,6 +284,19 @@ def q_page_titles(spark, sf_dir):
     return H.page_titles(_pages(spark, sf_dir))
 
 
+def _tuned(query: Query) -> Query:
+    """The listing plans fuse into methods the JIT compiler would refuse:
+    every query sets the limit beyond which Spark falls back to small
+    methods, so a session not built by ``build_session`` has it too."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set(*HUGE_METHODS)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "address_report": q_address_report,
@@ -319,4 +333,4 @@ def queries() -> dict[str, Query]:
             "page_titles": q_page_titles,
         }
     )
-    return out
+    return {name: _tuned(q) for name, q in out.items()}

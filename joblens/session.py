@@ -14,6 +14,10 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a fused
+# stage beyond that would run interpreted, so let Spark fall back to
+# per-expression code (small methods) for such stages.
+HUGE_METHODS = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def build_session(
@@ -37,10 +41,7 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        # HotSpot does not JIT-compile methods over 8000 bytes of bytecode;
-        # a fused stage beyond that would run interpreted, so let Spark fall
-        # back to per-expression code (small methods) for such stages.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
+        HUGE_METHODS[0]: HUGE_METHODS[1],
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

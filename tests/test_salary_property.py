@@ -74,3 +74,13 @@ def test_odd_numbers(spark):
         number, value = ODD[r.i]
         if number:
             assert (r.max_salary, r.salary_ok) == ((value, True) if value is not None else (0.0, False)), number
+
+
+def test_floor_division_of_huge_amounts(spark):
+    from joblens.functions.salary import floor_div
+    from pyspark.sql import functions as F
+
+    values = [150.0, 1e30, float("inf"), float("nan"), 119.99999999999999, 2.0**60]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(floor_div(F.col("v"), 12)).collect()]
+    for v, g in zip(values, got):
+        assert (math.isnan(g) and math.isnan(v // 12)) or math.isclose(g, v // 12, rel_tol=1e-15), v
