@@ -1,20 +1,37 @@
 """Stream -> keyed table maintenance for any keyed feed (STM5 + DOM10).
 
 Each micro-batch is merged into the table as one snapshot; the latest
-version per key wins, replays are no-ops.  The whole table is rewritten per
-batch, which suits report-sized tables; a very large keyed table would want
-a bucketed layout that rewrites only the touched buckets.
+version per key wins, replays are no-ops.  Without ``buckets`` the whole table
+is rewritten per batch, which suits report-sized tables; with them every
+bucket of the keys' hash is a series of its own, and a batch rewrites only the
+buckets it touches.
 """
 
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..sinks.report_table import upsert_report_table
+from ..sinks.report_table import read_report_table, upsert_report_table
+
+
+BUCKET = "_bucket"
+
+
+def with_bucket(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(BUCKET, IntegerType(), True)])
+
+
+def read_keyed_table(spark: SparkSession, table: str, schema: StructType, buckets: int | None = None) -> DataFrame:
+    """The newest rows of a table kept by ``start_keyed_upsert``."""
+    if not buckets:
+        return read_report_table(spark, table, schema)
+    return read_report_table(spark, table, with_bucket(schema), BUCKET).drop(BUCKET)
 
 
 def query_token(spark: SparkSession, checkpoint: str) -> str:
@@ -45,12 +62,28 @@ def start_keyed_upsert(
     schema: StructType,
     checkpoint: str,
     trigger: dict | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
+    """Keep ``table`` at the newest row per key of ``stream``; read it with
+    ``read_keyed_table``."""
     token = QueryToken(checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        upsert_report_table(spark, table, batch, keys, version_col, batch_id, schema, writer=token.get(spark))
+        writer = token.get(spark)
+        if not buckets:
+            upsert_report_table(spark, table, batch, keys, version_col, batch_id, schema, writer=writer)
+            return
+        dealt = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        try:
+            touched = [r[0] for r in dealt.select(BUCKET).distinct().collect()]  # at most ``buckets``
+            one = lambda b: upsert_report_table(
+                spark, table, dealt, keys, version_col, batch_id, with_bucket(schema), writer=writer, partition_col=BUCKET, partition_values=[b]
+            )
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                list(pool.map(one, touched))
+        finally:
+            dealt.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -1,6 +1,8 @@
 """Latest-wins upsert properties and the
 replay-safe report table."""
 
+import os
+
 from joblens.operators.upsert import upsert
 from joblens.sinks.report_table import read_report_table, snapshots, upsert_report_table
 
@@ -177,3 +179,22 @@ def test_partitioned_jdbc_read_needs_all_bounds(spark):
 
     with pytest.raises(ValueError):
         read_jobs_jdbc(spark, "jdbc:none:", "jobs", num_partitions=4)
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, workdir):
+    from joblens.streaming.upsert_stream import read_keyed_table, start_keyed_upsert
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table, feed = f"{workdir}/t", f"{workdir}/feed"
+
+    def run(rows_):
+        spark.createDataFrame(rows_, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+        start_keyed_upsert(spark.readStream.schema(schema).parquet(feed), table, ["k"], "version", schema, f"{workdir}/ck", buckets=8).awaitTermination()
+        return {p: len(snapshots(spark, f"{table}/{p}")) for p in os.listdir(table)}
+
+    first = run([(f"k{n}", 0.0, 0) for n in range(100)])
+    assert len(first) == 8 and set(first.values()) == {1}
+    second = run([("k5", 5.0, 1)])
+    assert sorted(second.values()) == [1] * 7 + [2]
+    got = {r.k: r.v for r in read_keyed_table(spark, table, schema, buckets=8).collect()}
+    assert len(got) == 100 and got["k5"] == 5.0
