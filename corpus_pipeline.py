@@ -19,20 +19,26 @@ from joblens.llm.common import saved, table
 LEAST_COSINE = language.DIMENSIONS**-0.5
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    row = F.struct(*docs.columns).alias("row")
-    scored = toxicity.score(docs.select(row, F.col("text")), model, "toxic_score")
-    return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select("row.*")
+    score = _free(docs, "toxic_score")
+    return toxicity.score(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages: those without letters, or no
     closer to any language than chance, go."""
-    row = F.struct(*docs.columns).alias("row")
-    found = language.predict(docs.select(row, F.col("text")), language.train(docs))
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select("row.*")
+    lang, score = _free(docs, "lang_pred"), _free(docs, "lang_score")
+    found = language.predict(docs, language.train(docs), names_out=(lang, score))
+    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_COSINE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

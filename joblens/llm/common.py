@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -59,6 +60,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def release() -> None:
+    """Give back what the allocators hold free: workers live on between tasks,
+    and the next stage counts on its share of the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def slices(offsets: np.ndarray, limit: int):
     """Row ranges [a, b) of at most ``limit`` bytes, or one longer row alone."""
     a, n = 0, len(offsets) - 1

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table, utf8
+from .common import held_out, release, slices, table, utf8
 from .pieces import LETTER, class_table, code_points
 from .sampling import bounded_share
 
@@ -122,8 +122,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -
     return {r["lang"]: np.array([x for _, x in r["v"]]) for r in got}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the cosine (0 where negative)."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS, names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its cosine (0 where negative)."""
     names = sorted(prototypes)
     # Rounded so that the order in which partial sums met cannot show.
     matrix = np.stack([prototypes[n] / (np.linalg.norm(prototypes[n]) or 1) for n in names], 1).round(9) if names else np.zeros((dimensions, 0))
@@ -138,10 +138,11 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
                 best = cosine.argmax(1)
                 best_of[a:b] = np.where(size > 0, np.array(names, object)[best], UNKNOWN)
                 score[a:b] = np.where(size > 0, np.clip(cosine[np.arange(b - a), best], 0, 1), 0.0)
+        release()
         return pa.StructArray.from_arrays([pa.array(best_of, pa.string()), pa.array(score)], names=["lang_pred", "score"])
 
     found = docs.withColumn("_found", predicted(F.col("text")))
-    return found.withColumn("lang_pred", F.col("_found.lang_pred")).withColumn("score", F.col("_found.score")).drop("_found")
+    return found.withColumn(names_out[0], F.col("_found.lang_pred")).withColumn(names_out[1], F.col("_found.score")).drop("_found")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .common import slices, spans
+from .common import release, slices, spans
 
 # Character classes.
 SPACE, BLANK, LETTER, NUMBER, OTHER, EDGE = range(6)  # BLANK is U+0020
@@ -105,7 +105,7 @@ class PieceEncoder:
 
     LONG = 200
 
-    def __init__(self, encode_words: Callable, keep: int = 1_500_000, step: int = 4 << 20):
+    def __init__(self, encode_words: Callable, keep: int = 1_000_000, step: int = 1 << 20):
         self.encode_words, self.keep, self.step = encode_words, keep, step
         self.classes = class_table()
         rng = np.random.default_rng(20240607)
@@ -184,6 +184,7 @@ class PieceEncoder:
             else:
                 ids, offs = np.zeros(0, np.uint32), np.zeros(r1 - r0 + 1, np.int64)
             yield r0, ids, offs
+        release()
 
 
 def byte_letters() -> dict[int, int]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table, utf8
+from .common import held_out, release, slices, table, utf8
 from .sampling import labelled_sample
 
 SAMPLE = 5_000  # labelled documents in the fit
@@ -213,6 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
             columns.append(batch.column(0))
             ys.append(batch.column(1).to_numpy(zero_copy_only=False))
         f = fit(columns, np.concatenate(ys) if ys else np.zeros(0, np.int32))
+        columns.clear()
+        release()
         yield pa.RecordBatch.from_pydict({k: [v.ravel().tolist()] for k, v in vars(f).items()})
 
     rows = labelled_sample(docs, labels, label, sample).orderBy("doc_id").select("text", "y").coalesce(1)
@@ -228,7 +230,9 @@ def score(docs: DataFrame, field: Field, name: str = "score") -> DataFrame:
 
     @F.arrow_udf("double")
     def scored(texts):
-        return pa.array(score_local(texts, field))
+        found = score_local(texts, field)
+        release()
+        return pa.array(found)
 
     return docs.withColumn(name, scored(F.col("text")))
 

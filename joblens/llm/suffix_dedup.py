@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, table, utf8
+from .common import release, saved, slices, table, utf8
 
 LENGTH = 100
 GRAM = 32  # bytes under the rolling hash, a power of two below LENGTH
@@ -244,6 +244,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                 size += len(raw)
         if held:
             yield emit()
+        release()
 
     cool = entries.where(F.col("kinds") <= HOT).repartition("trigger").sortWithinPartitions("trigger", "doc", "at")
     ordered = cool.select("trigger", "doc", "at", "strings", "raw").mapInArrow(sort, f"{PLACES}, strings int")
@@ -294,6 +295,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
             lengths.append(len(raw))
             removed.append(n)
             n_spans.append(spans)
+        release()
         columns = [pa.array(kept, pa.binary()), pa.array(readable, pa.string()), *(pa.array(c, pa.int64()) for c in (lengths, removed, n_spans))]
         return pa.StructArray.from_arrays(columns, names=["kept", "readable", "n_bytes", "n_removed", "n_spans"])
 

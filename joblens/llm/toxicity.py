@@ -23,18 +23,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table, utf8
+from .common import held_out, release, slices, table, utf8
 from .pieces import code_points
 from .sampling import labelled_sample
 
 SIZES = (3, 4, 5)  # characters
 BINS = 1 << 20
 KEPT = 8_000  # n-grams in the regression
-SAMPLE = 10_000  # labelled documents in the fit
+SAMPLE = 8_000  # labelled documents in the fit
 SMOOTHING = 0.5
 PENALTY = 1.0
 THRESHOLD = 0.3
-STEP = 2 << 20  # bytes of text worked on at once
+STEP = 1 << 20  # bytes of text worked on at once
+ROWS_STEP = 1 << 20  # features worked on at once in the regression
 
 
 def letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,26 +114,36 @@ def fit(columns: list[pa.Array], y: np.ndarray) -> tuple[np.ndarray, float]:
     index = np.full(BINS, -1, np.int32)
     index[chosen] = np.arange(len(chosen))
     r = ratio[chosen]
-    rows, feats, at = [], [], 0
+    feats, sizes = [], []
     for col in columns:
-        for a, _, d, f in present(col, index):
-            rows.append(d + at + a)
-            feats.append(f)
-        at += len(col)
-    w, bias = logistic(np.concatenate(rows), np.concatenate(feats), r, y.astype(float), len(chosen))
+        for a, b, d, f in present(col, index):
+            feats.append(f.astype(np.int16 if KEPT <= 1 << 15 else np.int32))
+            sizes.append(np.bincount(d, minlength=b - a))
+    w, bias = logistic(np.concatenate(feats), np.concatenate(sizes), r, y.astype(float), len(chosen))
     weights = np.zeros(BINS, np.float32)
     weights[chosen] = w * r
     return weights, bias
 
 
-def logistic(rows, feats, r, y, size: int, rounds: int = 200) -> tuple[np.ndarray, float]:
-    """Penalised logistic regression on features scaled by r, by Adam on the whole sample."""
+def logistic(feats: np.ndarray, sizes: np.ndarray, r: np.ndarray, y: np.ndarray, size: int, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Penalised logistic regression on features scaled by r, by Adam on the
+    whole sample.  ``feats`` holds the features of document after document,
+    ``sizes`` their counts; rows are taken some at a time to bound memory."""
     w, bias = np.zeros(size), float(np.log(y.mean() / (1 - y.mean())))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
+    ends = np.cumsum(sizes)
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]) + ROWS_STEP, ROWS_STEP)).clip(0, len(y)))
+    cuts = np.unique(np.concatenate([[0], cuts, [len(y)]]))
     for t in range(1, rounds + 1):
-        margin = bias + np.bincount(rows, weights=(w * r)[feats], minlength=len(y))
-        miss = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y
-        g = np.append(r * np.bincount(feats, weights=miss[rows], minlength=size) + PENALTY * w, miss.sum()) / len(y)
+        wr, g, missed = w * r, np.zeros(size), 0.0
+        for a, b in zip(cuts, cuts[1:]):
+            own = feats[ends[a] - sizes[a] : ends[b - 1]]
+            doc = np.repeat(np.arange(b - a), sizes[a:b])
+            margin = bias + np.bincount(doc, weights=wr[own], minlength=b - a)
+            miss = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y[a:b]
+            g += np.bincount(own, weights=miss[doc], minlength=size)
+            missed += miss.sum()
+        g = np.append(r * g + PENALTY * w, missed) / len(y)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9) * min(1, 4 * (1 - t / (rounds + 1)))
         w -= step[:-1]
@@ -149,6 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
             columns.append(batch.column(0))
             ys.append(batch.column(1).to_numpy(zero_copy_only=False))
         weights, bias = fit(columns, np.concatenate(ys) if ys else np.zeros(0, np.int32))
+        columns.clear()
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], names=["w", "b"])
 
     rows = labelled_sample(docs, labels, label, sample).orderBy("doc_id").select("text", "y").coalesce(1)
@@ -172,6 +185,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score")
         if len(kept):
             for a, b, d, f in present(texts, index):
                 out[a:b] += np.bincount(d, weights=w[f], minlength=b - a)
+        release()
         return pa.array(1 / (1 + np.exp(-np.clip(out, -40, 40))))
 
     return docs.withColumn(name, scored(F.col("text")))
