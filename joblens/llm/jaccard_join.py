@@ -16,9 +16,9 @@ step of a geometric band and they differ in at most d(band) shingles.
 
 In each tile every member first meets the tile's smallest document, which
 settles a group of copies in as many pairs as it has members.  Then members
-outside the tile's largest component meet the other components, best bounds
-first, until every pair that the bounds allow is either inside one component
-or has been intersected.  No link between different texts is lost; copies are
+outside the tile's largest component meet the members of the tile's other
+components, best bounds first, until every pair that the bounds allow is
+either inside one component or has been intersected.  No link between different texts is lost; copies are
 never expanded into all pairs.
 
 Edge cases: null, empty and wordless texts have an empty set and no links;
@@ -42,10 +42,10 @@ from .suffix_dedup import _mix, range_hash
 WORDS = 3
 THRESHOLD = 90  # percent
 BITS = 512
+WIDE_BITS, WIDE_FROM = 4096, 600  # sets of so many members carry a wide bitmap too
 LEVELS = 8  # cuts tried before empty parts are keys themselves
 STEP = 1 << 20  # bytes of text worked on at once
 GROUP = 2000  # sets compared with one other by one task
-LONGS = BITS // 64
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[ord("A") : ord("Z") + 1] += 32
 GAPS = b"\x20\x09\x0a\x0b\x0c\x0d"  # fixed value: separators of words
@@ -96,9 +96,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple
     return h[new], np.bincount(doc[new], minlength=n)
 
 
-def bitmap(h: np.ndarray) -> np.ndarray:
+def bitmap(h: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Parity bitmap of a set as longs."""
-    odd = np.bincount((h >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((h >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
@@ -132,7 +132,7 @@ def _sums(part: np.ndarray, h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, n, one, two, bits, tiles): size, 128-bit identity, bitmap and tiles of each set."""
+    """(doc_id, n, one, two, bits, wide, tiles): size, 128-bit identity, bitmaps and tiles of each set."""
 
     def sign(batches):
         high, differ = bands(threshold)
@@ -141,25 +141,35 @@ def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             for r0, r1 in slices(offsets, STEP):
                 h, size = shingles(data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0])
                 ends = np.cumsum(size)
-                one, two, bits, tiles = np.zeros((2, r1 - r0), np.int64).tolist() + [[], []]
+                one, two, bits, wide, tiles = np.zeros((2, r1 - r0), np.int64).tolist() + [[], [], []]
                 for k in range(r1 - r0):
                     own = h[ends[k] - size[k] : ends[k]]
                     if len(own):
                         one[k], two[k] = (int(v.view(np.int64)) for v in (_mix(own).sum(), _mix(own ^ np.uint64(0xABCDEF)).sum()))
                     bits.append(bitmap(own).tolist())
+                    wide.append(bitmap(own, WIDE_BITS).tolist() if len(own) >= WIDE_FROM else [])
                     tiles.append(tile_keys(own, high, differ).view(np.int64).tolist() if len(own) else [])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(r0, r1 - r0).cast(pa.int64()), pa.array(size), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(tiles, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "one", "two", "bits", "tiles"],
+                    [batch.column(0).slice(r0, r1 - r0).cast(pa.int64()), pa.array(size), pa.array(one, pa.int64()), pa.array(two, pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in (bits, wide, tiles))],
+                    names=["doc_id", "n", "one", "two", "bits", "wide", "tiles"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, one long, two long, bits array<long>, tiles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, one long, two long, bits array<long>, wide array<long>, tiles array<long>")
 
 
-def can_link(a: str, b: str, threshold: int = THRESHOLD):
+def differing(a: str, b: str, name: str, bits: int):
+    """Bits in which two bitmaps differ; null where one has no such bitmap."""
+    count = lambda k: F.bit_count(F.get(f"{a}.{name}", F.lit(k)).bitwiseXOR(F.get(f"{b}.{name}", F.lit(k))))
+    return sum((count(k) for k in range(1, bits // 64)), count(0))
+
+
+def can_link(a: str, b: str, name: str, bits: int, threshold: int = THRESHOLD):
     """Bit counts leave the pair enough overlap: 2 |x & y| <= |x| + |y| - differing bits."""
-    differing = sum((F.bit_count(F.col(f"{a}.bits")[k].bitwiseXOR(F.col(f"{b}.bits")[k])) for k in range(LONGS)), F.lit(0))
-    return differing * (100 + threshold) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - threshold)
+    return differing(a, b, name, bits) * (100 + threshold) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - threshold)
+
+
+def _both(threshold: int):
+    return can_link("x", "y", "bits", BITS, threshold) & F.coalesce(can_link("x", "y", "wide", WIDE_BITS, threshold), F.lit(True))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
@@ -211,12 +221,16 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and tested
     links (a, b) joined into components."""
     signed = saved(signatures(docs, threshold), "signatures")
-    best = F.max_by(F.struct("n", "one", "two", "bits", "tiles"), F.struct("n", "one", "two")).alias("s")
-    sets = saved(signed.where("doc_id is not null and n > 0").groupBy("doc_id").agg(best).select("doc_id", "s.*"), "sets")
-    light = sets.select("doc_id", F.struct("n", "one", "two", "bits").alias("s"))
-    members = sets.select("doc_id", F.explode("tiles").alias("tile"))
-    tiles = members.groupBy("tile").agg(F.count("*").alias("n"), F.min("doc_id").alias("head")).where("n > 1").select("tile", "head")
-    members = saved(members.join(tiles, "tile"), "tile-members")
+    good = signed.where("doc_id is not null and n > 0")
+    best = F.max_by(F.struct("n", "one", "two", "bits", "wide"), F.struct("n", "one", "two")).alias("s")
+    light = saved(good.groupBy("doc_id").agg(best), "sets")
+    every = good.select("doc_id", F.explode("tiles").alias("tile"))
+    shared = every.groupBy("tile").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).where("head <> tail").select("tile", "head")
+    found = saved(every.join(shared, "tile").distinct(), "tile-members")
+    # Tiles of the same members are one: a pair that agrees on many parts meets once.
+    who = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"who{k}") for k in (1, 2)]
+    tiles = found.groupBy("tile", "head").agg(F.count("*").alias("n"), *who).groupBy("n", "head", "who1", "who2").agg(F.min("tile").alias("tile"))
+    members = saved(found.join(tiles.select("tile"), "tile", "left_semi").select("tile", "doc_id", "head"), "tile-members")
 
     stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     seen = saved(_bounded(stars, light, threshold), "pairs")
@@ -242,11 +256,14 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return rows.select("doc_id", "n_shingles", F.coalesce(linked, "doc_id").alias("component_id"))
 
 
+def _with_sets(pairs: DataFrame, light: DataFrame) -> DataFrame:
+    return pairs.join(light.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(light.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
+
+
 def _bounded(pairs: DataFrame, light: DataFrame, threshold: int) -> DataFrame:
     """Pairs whose bounds allow a link; ``same`` marks equal sets."""
-    both = pairs.join(light.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(light.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
     same = (F.col("x.n") == F.col("y.n")) & (F.col("x.one") == F.col("y.one")) & (F.col("x.two") == F.col("y.two"))
-    return both.where(can_link("x", "y", threshold)).select("a", "b", same.alias("same"))
+    return _with_sets(pairs, light).where(_both(threshold)).select("a", "b", same.alias("same"))
 
 
 def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
@@ -254,22 +271,28 @@ def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
-    """Untested pairs of a tile that lie in different components and can link,
-    with their place, best bound first, among those of a document and component."""
-    placed = members.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = placed.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("tile")
-    open_ = saved(placed.join(mixed, "tile").select("tile", "doc_id", "component"), "open-tiles")
-    sizes = open_.groupBy("tile", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("tile").agg(F.max(F.struct("n", "component")).alias("m")).select("tile", F.col("m.component").alias("main"))
-    full = open_.join(light, "doc_id")
-    odd = full.join(main, "tile").where("component <> main").select("tile", F.col("doc_id").alias("p"), F.col("component").alias("pc"), F.col("s").alias("x"))
-    other = full.select("tile", F.col("doc_id").alias("q"), F.col("component").alias("qc"), F.col("s").alias("y"))
-    met = odd.join(other, "tile").where((F.col("pc") != F.col("qc")) & can_link("x", "y", threshold))
-    differing = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(LONGS)), F.lit(0))
-    pairs = met.groupBy("p", "q", "qc").agg(F.min(differing).alias("gap")).withColumn("a", F.least("p", "q")).withColumn("b", F.greatest("p", "q"))
-    pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    """Untested pairs that share a tile's components but lie in different ones
+    and can link, with their place, best bound first, among those of a document
+    and component.
+
+    Tiles only tell which document is near which component; the bitmaps of a
+    component's members then travel once a document, not once a tile.
+    """
+    own = F.coalesce("component", "doc_id")
+    placed = members.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("tile", "doc_id", own.alias("component"))
+    per_tile = saved(placed.groupBy("tile", "component").agg(F.count("*").alias("n")), "tile-components")
+    main = per_tile.groupBy("tile").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("tile", F.col("m.component").alias("main"))
+    odd = placed.join(main, "tile").where("component <> main").select("tile", F.col("doc_id").alias("p"), F.col("component").alias("pc"))
+    near = odd.join(per_tile.select("tile", F.col("component").alias("qc")), "tile").where("pc <> qc").select("p", "qc").distinct()
+    near = saved(near, "near")
+    slim = light.select("doc_id", F.struct("s.n", "s.bits").alias("s"))
+    inside = slim.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(F.col("doc_id").alias("q"), own.alias("qc"), F.col("s").alias("y"))
+    met = near.join(slim.select(F.col("doc_id").alias("p"), F.col("s").alias("x")), "p").join(inside, "qc").where(can_link("x", "y", "bits", BITS, threshold))
+    pairs = met.select("p", "q", "qc", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    close = _with_sets(saved(pairs, "pairs"), light).where(_both(threshold))
+    gap = F.coalesce(differing("x", "y", "wide", WIDE_BITS), differing("x", "y", "bits", BITS))
     nearest = F.row_number().over(Window.partitionBy("p", "qc").orderBy("gap", "q"))
-    return pairs.select("a", "b", nearest.alias("place"))
+    return close.select("a", "b", "p", "q", "qc", gap.alias("gap")).select("a", "b", nearest.alias("place"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
