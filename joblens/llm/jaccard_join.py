@@ -15,10 +15,11 @@ step of a geometric band and they differ in at most d(band) shingles.
 * **Exact check.**  Sorted hash arrays are intersected.
 
 In each tile every member first meets the tile's smallest document, which
-settles a group of copies in as many pairs as it has members.  Then members
-outside the tile's largest component meet the members of the tile's other
-components, best bounds first, until every pair that the bounds allow is
-either inside one component or has been intersected.  No link between different texts is lost; copies are
+settles a group of copies in as many pairs as it has members.  Tiles that
+share documents form a family; then documents outside a family's largest
+component meet those of its other components, best bounds first, until every
+pair that the bounds allow is either inside one component or has been
+intersected.  No link between different texts is lost; copies are
 never expanded into all pairs.
 
 Edge cases: null, empty and wordless texts have an empty set and no links;
@@ -232,7 +233,9 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     tiles = found.groupBy("tile", "head").agg(F.count("*").alias("n"), *who).groupBy("n", "head", "who1", "who2").agg(F.min("tile").alias("tile"))
     members = saved(found.join(tiles.select("tile"), "tile", "left_semi").select("tile", "doc_id", "head"), "tile-members")
 
-    stars = members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = saved(members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
+    # A family holds all documents that tiles connect, so every link lies within one.
+    families = components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("family"))
     seen = saved(_bounded(stars, light, threshold), "pairs")
     links = saved(_links(seen, docs, threshold), "links")
     # Rounds: 4, 256, ... untested partners of each document and component,
@@ -240,7 +243,7 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     take = 4
     while True:
         joined = components(links.select("a", "b"))
-        untested = saved(_across(members, joined, light, seen, threshold), "pairs")
+        untested = saved(_across(families, joined, light, seen, threshold), "pairs")
         fresh = untested.where(F.col("place") <= take).select("a", "b", F.lit(False).alias("same")).distinct()
         if untested.isEmpty():
             break
@@ -270,24 +273,20 @@ def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     return pairs.where("same").select("a", "b").unionByName(verified(pairs.where("not same").select("a", "b"), docs, threshold))
 
 
-def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
-    """Untested pairs that share a tile's components but lie in different ones
-    and can link, with their place, best bound first, among those of a document
-    and component.
-
-    Tiles only tell which document is near which component; the bitmaps of a
-    component's members then travel once a document, not once a tile.
-    """
-    own = F.coalesce("component", "doc_id")
-    placed = members.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("tile", "doc_id", own.alias("component"))
-    per_tile = saved(placed.groupBy("tile", "component").agg(F.count("*").alias("n")), "tile-components")
-    main = per_tile.groupBy("tile").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("tile", F.col("m.component").alias("main"))
-    odd = placed.join(main, "tile").where("component <> main").select("tile", F.col("doc_id").alias("p"), F.col("component").alias("pc"))
-    near = odd.join(per_tile.select("tile", F.col("component").alias("qc")), "tile").where("pc <> qc").select("p", "qc").distinct()
-    near = saved(near, "near")
-    slim = light.select("doc_id", F.struct("s.n", "s.bits").alias("s"))
-    inside = slim.join(joined.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(F.col("doc_id").alias("q"), own.alias("qc"), F.col("s").alias("y"))
-    met = near.join(slim.select(F.col("doc_id").alias("p"), F.col("s").alias("x")), "p").join(inside, "qc").where(can_link("x", "y", "bits", BITS, threshold))
+def _across(families: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
+    """Untested pairs of a family that lie in different components and can
+    link, with their place, best bound first, among those of a document and
+    component.  One side lies outside the family's largest component: a settled
+    family costs nothing, and bitmaps travel once a document."""
+    known = joined.select(F.col("id").alias("doc_id"), "component")
+    placed = families.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("family").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("family", F.col("m.component").alias("main"))
+    full = placed.join(main, "family").join(light.select("doc_id", F.struct("s.n", "s.bits").alias("s")), "doc_id")
+    full = saved(full.select("family", "doc_id", "component", "main", "s"), "families")
+    odd = full.where("component <> main").select("family", F.col("doc_id").alias("p"), F.col("component").alias("pc"), F.col("s").alias("x"))
+    other = full.select("family", F.col("doc_id").alias("q"), F.col("component").alias("qc"), F.col("s").alias("y"))
+    met = odd.join(other, "family").where((F.col("pc") != F.col("qc")) & can_link("x", "y", "bits", BITS, threshold))
     pairs = met.select("p", "q", "qc", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).join(seen.select("a", "b"), ["a", "b"], "left_anti")
     close = _with_sets(saved(pairs, "pairs"), light).where(_both(threshold))
     gap = F.coalesce(differing("x", "y", "wide", WIDE_BITS), differing("x", "y", "bits", BITS))
