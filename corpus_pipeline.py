@@ -18,6 +18,10 @@ from joblens.llm.common import saved, table
 #: a text below it has no language to speak of.
 LEAST_COSINE = language.DIMENSIONS**-0.5
 
+#: Near duplicates share so many percent of their shingles of so many words;
+#: the values of ``op2_jaccard_join`` are that query's alone.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _free(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
@@ -44,7 +48,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every component of linked documents; rows with a
     null doc_id and texts without words stay."""
-    found = jaccard_join.jaccard_join(docs)
+    found = jaccard_join.jaccard_join(docs, NEAR_PERCENT, NEAR_WORDS)
     gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -1,6 +1,6 @@
 """N-gram Jaccard join: size-banded tiles, bitmap bounds, exact intersections.
 
-A document's set holds the hashes of its distinct 3-word shingles.  Two sets
+A document's set holds the hashes of its distinct shingles of ``words`` words.  Two sets
 link when 100 * |x & y| >= threshold * |x | y|, so their sizes lie within one
 step of a geometric band and they differ in at most d(band) shingles.
 
@@ -23,7 +23,7 @@ intersected.  No link between different texts is lost; copies are
 never expanded into all pairs.
 
 Edge cases: null, empty and wordless texts have an empty set and no links;
-fewer than three words are one shingle; a null doc_id is kept as its own
+texts of fewer words than a shingle are one; a null doc_id is kept as its own
 component (null); repeated rows of a doc_id are one document if their sets
 are equal, else the largest set speaks for the doc_id in links and each row
 reports its own size; other columns are ignored.
@@ -31,6 +31,9 @@ reports its own size; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -103,12 +106,23 @@ def bitmap(h: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+@cache
+def parts_of(differ: int, least: int) -> int:
+    """Parts of a band: more than the differing members, by as many as sets of
+    ``least`` members are likely to leave empty, so that one cut is enough."""
+    for parts in range(differ + 2, 2 * differ + 3):
+        empty = parts * math.exp(-least / parts)
+        if parts - differ >= 2 + int(empty + math.sqrt(empty)):
+            return parts
+    return differ + 2
+
+
 def tile_keys(h: np.ndarray, high: np.ndarray, differ: np.ndarray) -> np.ndarray:
     """Tiles of one set: of its own band and, as a smaller set, of the next."""
     own = int(np.searchsorted(high, len(h)))
     out = []
     for band in (own, own + 1):
-        parts = int(differ[band]) + 2
+        parts = parts_of(int(differ[band]), int(high[max(band - 2, 0)]) + 1)
         for level in range(LEVELS):
             part = (_mix(h + np.uint64(level * 2 + 1)) % np.uint64(parts)).astype(np.int64)
             total = np.zeros(parts, np.uint64)
@@ -132,7 +146,7 @@ def _sums(part: np.ndarray, h: np.ndarray, parts: int) -> np.ndarray:
     return run[ends[1:]] - run[ends[:-1]]
 
 
-def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def signatures(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS) -> DataFrame:
     """(doc_id, n, one, two, bits, wide, tiles): size, 128-bit identity, bitmaps and tiles of each set."""
 
     def sign(batches):
@@ -140,7 +154,7 @@ def signatures(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for r0, r1 in slices(offsets, STEP):
-                h, size = shingles(data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0])
+                h, size = shingles(data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0], words)
                 ends = np.cumsum(size)
                 one, two, bits, wide, tiles = np.zeros((2, r1 - r0), np.int64).tolist() + [[], [], []]
                 for k in range(r1 - r0):
@@ -173,7 +187,7 @@ def _both(threshold: int):
     return can_link("x", "y", "bits", BITS, threshold) & F.coalesce(can_link("x", "y", "wide", WIDE_BITS, threshold), F.lit(True))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, threshold: int, words: int = WORDS) -> DataFrame:
     """Those pairs (a, b) whose sets link, by intersection of sorted arrays.
     The sets of one a are met by its b's; many b's are dealt over several groups."""
     count = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
@@ -187,7 +201,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for r0, r1 in slices(offsets, STEP):
-                h, size = shingles(data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0])
+                h, size = shingles(data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0], words)
                 ends = np.cumsum(size)
                 sets = [h[e - s : e].tobytes() for e, s in zip(ends, size)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(r0, r1 - r0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "members"])
@@ -218,10 +232,10 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     return met.select("a", "part", "doc_id", "role", "members").mapInArrow(intersect, "a long, b long")
 
 
-def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and tested
     links (a, b) joined into components."""
-    signed = saved(signatures(docs, threshold), "signatures")
+    signed = saved(signatures(docs, threshold, words), "signatures")
     good = signed.where("doc_id is not null and n > 0")
     best = F.max_by(F.struct("n", "one", "two", "bits", "wide"), F.struct("n", "one", "two")).alias("s")
     light = saved(good.groupBy("doc_id").agg(best), "sets")
@@ -237,7 +251,7 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     # A family holds all documents that tiles connect, so every link lies within one.
     families = components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("family"))
     seen = saved(_bounded(stars, light, threshold), "pairs")
-    links = saved(_links(seen, docs, threshold), "links")
+    links = saved(_links(seen, docs, threshold, words), "links")
     # Rounds: 4, 256, ... untested partners of each document and component,
     # until a round leaves none untested.
     take = 4
@@ -249,7 +263,7 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             break
         last = untested.where(F.col("place") > take).isEmpty()
         seen = seen.unionByName(fresh)
-        links = saved(links.unionByName(_links(fresh, docs, threshold)), "links")
+        links = saved(links.unionByName(_links(fresh, docs, threshold, words)), "links")
         if last:
             joined = components(links.select("a", "b"))
             break
@@ -269,8 +283,8 @@ def _bounded(pairs: DataFrame, light: DataFrame, threshold: int) -> DataFrame:
     return _with_sets(pairs, light).where(_both(threshold)).select("a", "b", same.alias("same"))
 
 
-def _links(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
-    return pairs.where("same").select("a", "b").unionByName(verified(pairs.where("not same").select("a", "b"), docs, threshold))
+def _links(pairs: DataFrame, docs: DataFrame, threshold: int, words: int) -> DataFrame:
+    return pairs.where("same").select("a", "b").unionByName(verified(pairs.where("not same").select("a", "b"), docs, threshold, words))
 
 
 def _across(families: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:

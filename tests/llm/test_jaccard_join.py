@@ -67,3 +67,16 @@ def test_set_sizes_follow_the_words():
     texts = ["a b c a b c", "A b", "", None, "x\x0by\x0cz w", "one\xa0two three", "a" * 9000]
     h, size = jaccard_join.shingles(*utf8(pa.array(texts)))
     assert size.tolist() == [len(shingle_set(t)) for t in texts] and len(h) == size.sum()
+
+
+def test_other_words_and_threshold_keep_tiles_few():
+    high, differ = jaccard_join.bands(80)
+    rng = np.random.default_rng(4)
+    for size in (9, 30, 57, 200, 1000, 3000):
+        for _ in range(20):
+            x = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            swapped = len(x) // 9  # x and y share 8/9 of each: a Jaccard index of 0.8 or more
+            y = np.sort(np.append(rng.permutation(x)[swapped:], rng.integers(0, 1 << 63, swapped, dtype=np.uint64)))
+            own, other = (jaccard_join.tile_keys(s, high, differ) for s in (x, y))
+            assert set(own.tolist()) & set(other.tolist())
+            assert len(own) < 0.7 * size + 12

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
-from brute import jaccard_join, remove_repeats
+from brute import jaccard_join, remove_repeats, smallest_reachable
 from pyspark.sql import functions as F
 
 from joblens.llm import language, toxicity
@@ -49,6 +49,28 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert rows(kept) == Counter(r for r in every if r[0] is None or reach[r[0]][1] == r[0])
 
 
+def near_copies():
+    """Copies of 200 distinct words: 4 scattered changes, a changed block, 12 scattered changes."""
+    for k, changed in enumerate([(), (20, 70, 120, 170), range(90, 107), range(10, 190, 15)]):
+        yield 9100 + k, " ".join(f"x{k}y{i}" if i in changed else f"w{i}" for i in range(200))
+
+
+def grams(text, n=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(len(w) - n, 0) + 1)} if w else set()
+
+
+def test_near_duplicates_are_of_five_words_and_four_fifths(spark, docs):
+    more = spark.createDataFrame([(d, t, "en", "x", 0) for d, t in near_copies()], docs.schema)
+    every = [(r.doc_id, r.text) for r in docs.unionByName(more).where("doc_id is not null").collect()]
+    sets = {d: grams(t) for d, t in every}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    reach = smallest_reachable(sets, links)
+    assert [reach[9100 + k] for k in range(4)] == [9100, 9100, 9100, 9103]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.unionByName(more), SF)
+    assert rows(kept.where("doc_id is not null")) == Counter(r for r in every if reach[r[0]] == r[0])
+
+
 def test_repeats_are_cut(spark, docs):
     cut = corpus_pipeline.cut_repeats(spark, docs, SF)
     assert cut.columns == docs.columns and cut.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
