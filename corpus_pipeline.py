@@ -64,7 +64,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
-    return packing.pack_pieces(saved(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces"))
+    return packing.pack_pieces(saved(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True), "pieces"))
 
 
 STAGES = [

@@ -35,12 +35,14 @@ SEARCH_STEPS = 20_000  # accepted or refused trades per group and round
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids: only longer documents
-    are cut, the first piece takes the remainder."""
+    are cut, the first piece takes the remainder.  ``added`` gives the added
+    tokens of the tokenizer file their own ids, as the library does on whole
+    texts; without it they are text like any other."""
 
     def cut(batches):
-        enc = worker_encoder("library", tokenizer, library_words)
+        enc = worker_encoder("library", tokenizer, library_words, added)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for r0, flat, offs in enc.encode(*utf8(batch.column(1))):
@@ -202,4 +204,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return pack_pieces(saved(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces"))
+    return pack_pieces(saved(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True), "pieces"))

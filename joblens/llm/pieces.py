@@ -6,11 +6,15 @@
 
 from the classes of neighbouring characters.  ``PieceEncoder`` gives every
 distinct piece of a task to an encoder once and spreads the ids back.
+Texts are first cut at the added tokens of a tokenizer file, where asked for:
+each yields its own id, and the text between is pieced as one of its own.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -101,13 +105,17 @@ class PieceEncoder:
     Known pieces are kept up to ``keep`` entries per task and forgotten
     together beyond that, which costs time only.  Pieces are told apart by a
     64-bit polynomial hash with random byte weights; longer ones by blake2b.
+    ``added`` maps strings (bytes) that are no pieces to their ids.
     """
 
     LONG = 200
 
-    def __init__(self, encode_words: Callable, keep: int = 1_000_000, step: int = 1 << 20):
+    def __init__(self, encode_words: Callable, keep: int = 1_000_000, step: int = 1 << 20, added: dict[bytes, int] | None = None):
         self.encode_words, self.keep, self.step = encode_words, keep, step
         self.classes = class_table()
+        # Longest first: of the strings that begin at a place the library takes the longest.
+        self.added = added or {}
+        self.find = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))).finditer if self.added else None
         rng = np.random.default_rng(20240607)
         self.weight = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.base = int(rng.integers(1 << 60, 1 << 61)) * 2 + 1
@@ -170,6 +178,10 @@ class PieceEncoder:
         for r0, r1 in slices(offsets, self.step):
             part = data[offsets[r0] : offsets[r1]]
             buf, starts = padded(part, offsets[r0 : r1 + 1] - offsets[r0])
+            ends = np.append(starts, len(buf))
+            tokens = [(m.start(), m.end(), self.added[m[0]]) for m in self.find(buf.tobytes())] if self.find else []
+            for x, y, _ in tokens:
+                buf[x:y] = EDGE_BYTE
             cut = split_pieces(buf, self.classes)
             a, b = cut[:-1], cut[1:]
             real = buf[a] != EDGE_BYTE
@@ -180,9 +192,13 @@ class PieceEncoder:
                 counts = self.size[idx]
                 ids = self.flat[spans(self.at[idx], counts)]
                 run = np.concatenate([[0], np.cumsum(counts)])
-                offs = run[np.searchsorted(a, np.append(starts, len(buf)))]
+                offs = run[np.searchsorted(a, ends)]
             else:
-                ids, offs = np.zeros(0, np.uint32), np.zeros(r1 - r0 + 1, np.int64)
+                ids, run, offs = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(r1 - r0 + 1, np.int64)
+            if tokens:
+                at, _, own = np.array(tokens, np.int64).T
+                ids = np.insert(ids, run[np.searchsorted(a, at)], own.astype(np.uint32))
+                offs = offs + np.searchsorted(at, ends)
             yield r0, ids, offs
         release()
 
@@ -210,14 +226,27 @@ def library_words(path: str) -> Callable:
     return encode
 
 
-def worker_encoder(kind: str, path: str, make: Callable) -> PieceEncoder:
-    """The encoder of this worker process, kept over its tasks."""
+def added_tokens(path: str) -> dict[bytes, int]:
+    """Strings that the tokenizers library takes out of a text before all else
+    (also without ``add_special_tokens``), and their ids."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    found = file.get("added_tokens") or []
+    if odd := [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] and file.get("normalizer")]:
+        raise ValueError(f"added tokens with rules of their own: {odd}")
+    return {t["content"].encode(): t["id"] for t in found}
+
+
+def worker_encoder(kind: str, path: str, make: Callable, added: bool = False) -> PieceEncoder:
+    """The encoder of this worker process, kept over its tasks; ``added`` cuts
+    texts at the file's added tokens."""
     import sys
     import types
 
     store = sys.modules.setdefault("_joblens_llm_worker", types.ModuleType("_joblens_llm_worker"))
     if not hasattr(store, "encoders"):
         store.encoders = {}
-    if (kind, path) not in store.encoders:
-        store.encoders[kind, path] = PieceEncoder(make(path))
-    return store.encoders[kind, path]
+    key = (kind, path, added)
+    if key not in store.encoders:
+        store.encoders[key] = PieceEncoder(make(path), added=added_tokens(path) if added else None)
+    return store.encoders[key]

@@ -145,14 +145,16 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, frame_bytes: int = FRAME_BYTES) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, frame_bytes: int = FRAME_BYTES, added: bool = False) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order into shards
     below ``path``.  Each task writes one new file; the manifest, committed by
     Spark, names the files of the attempts that count, so a repeated task
-    leaves an unnamed file and never a wrong one."""
+    leaves an unnamed file and never a wrong one.  ``added`` gives the added
+    tokens of the tokenizer file their own ids, as the library does on whole
+    texts; without it they are text like any other."""
 
     def write(batches):
-        enc = worker_encoder("library", tokenizer, library_words)
+        enc = worker_encoder("library", tokenizer, library_words, added)
         files, root = open_store(path)
         out = writer = None
         ids, n_docs, n_ids = [], 0, 0
@@ -230,5 +232,5 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = fresh_path(spark, "token-store")
-    write_store(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write_store(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return read_store(spark, path)

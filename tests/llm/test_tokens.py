@@ -213,3 +213,44 @@ def test_an_exchange_saves_a_bin():
     assert len(packing.local_search([[0, 1], [2], [3]], sizes, 100)) == 2  # 30 against 20, then 20 moves
     sizes = np.array([70, 25, 12, 18, 75])
     assert len(packing.local_search([[0, 1], [2, 3], [4]], sizes, 100)) == 2  # 12 and 18 against 25
+
+
+END = "<|endoftext|>"
+MARKED = [END, END * 2, f"a{END}b", f"x {END}  y", f"  {END}", f"a  {END}'s\n", END[:-1], END[4:], f"<|endof{END}text|>", f"é{END}漢 \x1c{END}", f"{END} " * 900]
+
+
+@pytest.fixture(scope="module")
+def whole():
+    """The library as it comes: added tokens in a text have their own ids."""
+    tok = Tokenizer.from_file(JSON)
+    return lambda t: tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_equal_the_library(whole):
+    rnd = random.Random(7)
+    mixed = MARKED + texts() + ["".join(rnd.choice([END, " ", "'s", "ab", "\n ", "1", END[:6], END[6:]]) for _ in range(rnd.randint(0, 25))) for _ in range(300)]
+    for step in (500, 1 << 20):
+        enc = pieces.PieceEncoder(pieces.library_words(JSON), step=step, added=pieces.added_tokens(JSON))
+        got = [f[a:b].tolist() for _, f, o in enc.encode(*utf8(pa.array(mixed))) for a, b in zip(o, o[1:])]
+        assert got == [whole(t) for t in mixed]
+
+
+def test_store_and_packing_give_added_tokens_their_ids(spark, whole, tmp_path):
+    rows = [(i, t) for i, t in enumerate(MARKED)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ids_of = {d: [*whole(t), 0] for d, t in rows}
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.op6_token_store(spark, str(tmp_path)).collect()}
+    starts = np.cumsum([0, *map(len, ids_of.values())])
+    assert got == {d: (starts[d], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for d, ids in ids_of.items()}
+    check_packing(packing.op10_packing(spark, str(tmp_path)).collect(), ids_of, 2048)
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    check_packing(corpus_pipeline.pack(spark, docs, str(tmp_path)).collect(), ids_of, 2048)
+
+
+def test_added_tokens_with_other_rules_are_refused(tmp_path):
+    odd = tmp_path / "odd.json"
+    odd.write_text('{"added_tokens": [{"id": 1, "content": "<x>", "single_word": false, "lstrip": true, "rstrip": false, "normalized": false}]}')
+    with pytest.raises(ValueError):
+        pieces.added_tokens(str(odd))
