@@ -14,11 +14,11 @@ step of a geometric band and they differ in at most d(band) shingles.
   bound the overlap from above; only pairs that can still link go on.
 * **Exact check.**  Sorted hash arrays are intersected.
 
-In each tile every member first meets the tile's smallest document, which
-settles a group of copies in as many pairs as it has members.  Tiles that
-share documents form a family; then documents outside a family's largest
-component meet those of its other components, best bounds first, until every
-pair that the bounds allow is either inside one component or has been
+Equal sets are linked to the smallest doc_id that has the set, and it alone
+stands in tiles.  In each tile every member first meets the tile's smallest
+document; then members outside a tile's largest component meet those of its
+other components, best bounds first, until every pair that shares a tile and
+that the bounds allow is either inside one component or has been
 intersected.  No link between different texts is lost; copies are
 never expanded into all pairs.
 
@@ -239,25 +239,32 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS
     good = signed.where("doc_id is not null and n > 0")
     best = F.max_by(F.struct("n", "one", "two", "bits", "wide"), F.struct("n", "one", "two")).alias("s")
     light = saved(good.groupBy("doc_id").agg(best), "sets")
-    every = good.select("doc_id", F.explode("tiles").alias("tile"))
-    shared = every.groupBy("tile").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("tail")).where("head <> tail").select("tile", "head")
-    found = saved(every.join(shared, "tile").distinct(), "tile-members")
+    # One shuffle of all tiles: those of a single document go where they arrive.
+    within = Window.partitionBy("tile")
+    every = good.select("doc_id", F.explode("tiles").alias("tile")).select("tile", "doc_id", F.min("doc_id").over(within).alias("head"), F.max("doc_id").over(within).alias("tail"))
+    shared = every.where("head <> tail").select("tile", "doc_id", "head").distinct()
+    # One document speaks for all that have its set: their tiles are the same.
+    identity = [F.col(f"s.{c}").alias(c) for c in ("n", "one", "two")]
+    owners = light.select("doc_id", *identity)
+    lead = owners.groupBy("n", "one", "two").agg(F.min("doc_id").alias("lead"))
+    twins = saved(owners.join(lead, ["n", "one", "two"]).select("doc_id", "lead"), "twins")
+    leads = twins.where("doc_id = lead").select("doc_id")
+    found = saved(shared.join(leads, "doc_id", "left_semi").select("tile", "doc_id", "head"), "tile-members")
     # Tiles of the same members are one: a pair that agrees on many parts meets once.
     who = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"who{k}") for k in (1, 2)]
     tiles = found.groupBy("tile", "head").agg(F.count("*").alias("n"), *who).groupBy("n", "head", "who1", "who2").agg(F.min("tile").alias("tile"))
     members = saved(found.join(tiles.select("tile"), "tile", "left_semi").select("tile", "doc_id", "head"), "tile-members")
 
     stars = saved(members.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    # A family holds all documents that tiles connect, so every link lies within one.
-    families = components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("family"))
     seen = saved(_bounded(stars, light, threshold), "pairs")
-    links = saved(_links(seen, docs, threshold, words), "links")
+    copies = twins.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
+    links = saved(_links(seen, docs, threshold, words).unionByName(copies), "links")
     # Rounds: 4, 256, ... untested partners of each document and component,
     # until a round leaves none untested.
     take = 4
     while True:
         joined = components(links.select("a", "b"))
-        untested = saved(_across(families, joined, light, seen, threshold), "pairs")
+        untested = saved(_across(members, joined, light, seen, threshold), "pairs")
         fresh = untested.where(F.col("place") <= take).select("a", "b", F.lit(False).alias("same")).distinct()
         if untested.isEmpty():
             break
@@ -287,21 +294,20 @@ def _links(pairs: DataFrame, docs: DataFrame, threshold: int, words: int) -> Dat
     return pairs.where("same").select("a", "b").unionByName(verified(pairs.where("not same").select("a", "b"), docs, threshold, words))
 
 
-def _across(families: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
-    """Untested pairs of a family that lie in different components and can
+def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataFrame, threshold: int) -> DataFrame:
+    """Untested pairs that share a tile, lie in different components and can
     link, with their place, best bound first, among those of a document and
-    component.  One side lies outside the family's largest component: a settled
-    family costs nothing, and bitmaps travel once a document."""
+    component.  One side lies outside the tile's largest component: a settled
+    tile costs nothing.  Tiles pair ids only; bitmaps join distinct pairs."""
     known = joined.select(F.col("id").alias("doc_id"), "component")
-    placed = families.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("family").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("family", F.col("m.component").alias("main"))
-    full = placed.join(main, "family").join(light.select("doc_id", F.struct("s.n", "s.bits").alias("s")), "doc_id")
-    full = saved(full.select("family", "doc_id", "component", "main", "s"), "families")
-    odd = full.where("component <> main").select("family", F.col("doc_id").alias("p"), F.col("component").alias("pc"), F.col("s").alias("x"))
-    other = full.select("family", F.col("doc_id").alias("q"), F.col("component").alias("qc"), F.col("s").alias("y"))
-    met = odd.join(other, "family").where((F.col("pc") != F.col("qc")) & can_link("x", "y", "bits", BITS, threshold))
-    pairs = met.select("p", "q", "qc", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    placed = members.select("tile", "doc_id").join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    sizes = placed.groupBy("tile", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("tile").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("tile", F.col("m.component").alias("main"))
+    full = saved(placed.join(main, "tile"), "open-tiles")
+    odd = full.where("component <> main").select("tile", F.col("doc_id").alias("p"), F.col("component").alias("pc"))
+    other = full.select("tile", F.col("doc_id").alias("q"), F.col("component").alias("qc"))
+    met = odd.join(other, "tile").where("pc <> qc").select("p", "q", "qc").distinct()
+    pairs = met.withColumns({"a": F.least("p", "q"), "b": F.greatest("p", "q")}).join(seen.select("a", "b"), ["a", "b"], "left_anti")
     close = _with_sets(saved(pairs, "pairs"), light).where(_both(threshold))
     gap = F.coalesce(differing("x", "y", "wide", WIDE_BITS), differing("x", "y", "bits", BITS))
     nearest = F.row_number().over(Window.partitionBy("p", "qc").orderBy("gap", "q"))
