@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embedding_dedup, jaccard_join, language, merkle, packing, piece_bpe, quality, suffix_dedup, token_store, topk_search, toxicity
+from . import byte_bpe, conversation, embedding_dedup, jaccard_join, language, merkle, packing, piece_bpe, quality, suffix_dedup, token_store, topk_search, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": byte_bpe.op8_byte_bpe,
         "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
         "op10_packing": packing.op10_packing,
+        "op11_conversation_repair": conversation.op11_conversation_repair,
         "op12_piece_bpe": piece_bpe.op12_piece_bpe,
         "op13_merkle_manifest": merkle.op13_merkle_manifest,
     }
@@ -33,6 +34,8 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard_join": jaccard_join.OP2_SQL,
         "op3_topk_search": topk_search.OP3_SQL,
         "op9_embedding_dedup": embedding_dedup.OP9_SQL,
+        "op11_conversation_repair": conversation.op11_conversation_repair,
         "op12_piece_bpe": piece_bpe.op12_piece_bpe,
+        "op11_conversation_repair": conversation.OP11_SQL,
         "op13_merkle_manifest": merkle.OP13_SQL,
     }
