@@ -6,6 +6,8 @@
         ingest, then both report streams, then the digest
     python -m joblens reports --root ROOT [--date D]
         run both report streams to the end of their input (availableNow)
+    python -m joblens recover --root ROOT [--date D]
+        finish the ingest runs (of one day, or all) that died after staging
     python -m joblens digest --table JOBS_TABLE [--date D] [--top 10]
         the day's job count and best-paid postings
 
@@ -16,20 +18,15 @@ checkpoints below it, so a rerun continues where the last one stopped.
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 
 from .operators.digest import daily_digest
-from .plans.daily_run import RunPaths, Topics, ingest_day, run_day, run_reports
+from .plans.daily_run import RunPaths, Topics, ingest_day, recover_runs, run_day, run_reports
 from .schemas import PAGE
-from .session import build_session
+from .session import build_session, run_date
 from .sinks.jobs_table import read_jobs_day
 from .sources.html import extract_listings
 
 
-def _date(text: str | None) -> dt.date:
-    return dt.date.fromisoformat(text) if text else dt.date.today()
-
-
 def _report(reports, out: str | None) -> None:
     """All report rows to ``out``; a line that says how many there are."""
     if out:
@@ -54,25 +51,29 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("reports")
     r.add_argument("--root", required=True)
     r.add_argument("--date")
+    r.add_argument("--append-only", action="store_true", help="plain aggregates, for a topic whose days are never replaced")
+    v = sub.add_parser("recover")
+    v.add_argument("--root", required=True)
+    v.add_argument("--date")
     d = sub.add_parser("digest")
     d.add_argument("--table", required=True)
     d.add_argument("--date")
     d.add_argument("--top", type=int, default=10)
     for s in (p, i):
-        s.add_argument("--replace-day", action="store_true", help="overwrite the day instead of appending (idempotent rerun)")
+        s.add_argument("--replace-day", action="store_true", help="the day gets these postings instead of what it had")
     for s in (p, r):
         s.add_argument("--out", help="folder (parquet) for all report rows")
         s.add_argument("--state-store", choices=["rocksdb"], help="report stream state off the heap")
-    for s in (p, i, r):
+    for s in (p, i, r, v):
         s.add_argument("--kafka", metavar="SERVERS", help="send and read messages through Kafka instead of topic folders")
         s.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE")
     r.add_argument("--every", metavar="INTERVAL", help="keep both streams running with this trigger, e.g. '1 minute'")
-    for s in (p, i, r, d):
+    for s in (p, i, r, v, d):
         s.add_argument("--master")
     args = parser.parse_args(argv)
 
     spark = build_session("joblens-" + args.cmd, master=args.master)
-    day = _date(args.date)
+    day = run_date(spark, args.date)
     topics = Topics()
     if getattr(args, "kafka", None):
         topics = Topics("kafka", args.kafka, dict(o.split("=", 1) for o in args.kafka_option))
@@ -84,9 +85,13 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         reports, count, top = run_day(spark, raw, args.root, day, replace_day=args.replace_day, state_store=args.state_store, topics=topics)
         _report(reports, args.out)
+    elif args.cmd == "recover":
+        for run in recover_runs(spark, args.root, topics, args.date):
+            print(f"finished run {run.run_id} of {run.day}")
+        return 0
     elif args.cmd == "reports":
         trigger = {"processingTime": args.every} if args.every else None
-        _report(run_reports(spark, RunPaths(args.root), day, state_store=args.state_store, topics=topics, trigger=trigger), args.out)
+        _report(run_reports(spark, RunPaths(args.root), day, state_store=args.state_store, topics=topics, trigger=trigger, append_only=args.append_only), args.out)
         return 0
     else:
         count, top = daily_digest(read_jobs_day(spark, args.table, day), day, args.top)

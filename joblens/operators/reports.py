@@ -29,9 +29,9 @@ REPORTS = {
 GROUPING_IDS = {"address": 3, "source": 5, "exp": 6}
 
 
-def job_places(jobs: DataFrame) -> DataFrame:
+def job_places(jobs: DataFrame, *keep: str) -> DataFrame:
     """DOM8 applied to jobs: the shared input of all three reports."""
-    return explode_places(jobs.select("address", "source", "min_salary", "max_salary", "final_exp"))
+    return explode_places(jobs.select("address", "source", "min_salary", "max_salary", "final_exp", *keep))
 
 
 def _measures(counted: str) -> list[Column]:

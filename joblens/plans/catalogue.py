@@ -29,6 +29,7 @@ from ..sinks.topic import job_messages
 from ..sources import html as H
 from ..sources.listings import read_listings
 from ..sources.tables import read_table
+from ..streaming.reports import read_changes
 from ..streaming.upsert_stream import start_keyed_upsert
 from .daily_run import RunPaths, ingest_day, publish_jobs, run_reports
 
@@ -184,7 +185,7 @@ def q_stream_reports(spark, sf_dir):
     SRC4 -> DOM9 -> SNK4: the report tables after both streams finish."""
     paths = RunPaths(shared_dir(spark, "stream_reports", unique=True))
     publish_jobs(jobs(spark, sf_dir).drop("listing_id"), paths, files=4)
-    return run_reports(spark, paths, REPORT_DATE, batches=4)
+    return run_reports(spark, paths, REPORT_DATE, batches=4, append_only=True)
 
 
 def _halves(spark, sf_dir):
@@ -208,10 +209,60 @@ def q_stream_restart(spark, sf_dir):
     paths = RunPaths(shared_dir(spark, "stream_restart", unique=True))
     for k, half in enumerate(_halves(spark, sf_dir)):
         publish_jobs(clean_listings(half), paths)
-        reports = run_reports(spark, paths, REPORT_DATE, checkpoint=f"market-{k}")
+        reports = run_reports(spark, paths, REPORT_DATE, checkpoint=f"market-{k}", append_only=True)
     return reports
 
 
+class _Died(RuntimeError):
+    """Stands for a driver that is lost at a step of a run."""
+
+
+def _ingest_dying(spark, raw, root, last, **options):
+    """An ingest that dies at ``last`` (before or after a step's work) and is run again."""
+
+    def at(step):
+        if step == last:
+            raise _Died(step)
+
+    try:
+        ingest_day(spark, raw, root, REPORT_DATE, at=at, **options)
+    except _Died:
+        ingest_day(spark, raw, root, REPORT_DATE, **options)
+
+
+def q_ingest_recovered(spark, sf_dir):
+    """SNK1 + SNK2 after lost runs: three ingests of one day, each killed at
+    another step (rows staged, rows in the table, messages out but not yet
+    marked) and run again: every posting once in table, topic and reports."""
+    root = shared_dir(spark, "ingest_recovered", unique=True)
+    listings = read_listings(spark, sf_dir)
+    for k, last in enumerate(("staged", "table written", "published")):
+        _ingest_dying(spark, listings.filter(F.col("listing_id") % 3 == k), root, last)
+    return run_reports(spark, RunPaths(root), REPORT_DATE)
+
+
+def q_replaced_day(spark, sf_dir):
+    """STM1 + SNK1: the day is ingested with three of five sites and reported,
+    then replaced by a set that shares two of them (and dies on the way): the
+    reports take back what went, whole keys with it."""
+    root = shared_dir(spark, "replaced_day", unique=True)
+    listings = read_listings(spark, sf_dir)
+    ingest_day(spark, listings.filter((F.col("listing_id") % 5).isin(0, 1, 2)), root, REPORT_DATE)
+    run_reports(spark, RunPaths(root), REPORT_DATE)
+    _ingest_dying(spark, listings.filter((F.col("listing_id") % 5).isin(1, 2, 4)), root, "table written", replace_day=True)
+    return run_reports(spark, RunPaths(root), REPORT_DATE)
+
+
+def q_report_changes(spark, sf_dir):
+    """STM2: the changelog of update mode; each batch brings other sites."""
+    root = shared_dir(spark, "report_changes", unique=True)
+    paths, listings = RunPaths(root), read_listings(spark, sf_dir)
+    for k in range(4):
+        publish_jobs(clean_listings(listings.filter(F.least(F.col("listing_id") % 5, F.lit(3)) == k)), paths)
+        run_reports(spark, paths, REPORT_DATE, append_only=True, changes=f"{root}/changes")
+    return read_changes(spark, f"{root}/changes")
+
+
 SITES = ("topcv", "careerlink", "careerviet", "itviec", "vietnamworks")
 
 
@@ -325,6 +376,9 @@ def queries() -> dict[str, Query]:
             "stream_reports": q_stream_reports,
             "ingest_twice": q_ingest_twice,
             "stream_restart": q_stream_restart,
+            "ingest_recovered": q_ingest_recovered,
+            "replaced_day": q_replaced_day,
+            "report_changes": q_report_changes,
             "clean_union": q_clean_union,
             "stream_upsert": q_stream_upsert,
             "jobs_table_count": q_jobs_table_count,

@@ -9,7 +9,7 @@ All paths live under ``root``, which callers take from the shared folder
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +18,17 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_listings
 from ..operators.digest import daily_digest
 from ..schemas import JOBS_TABLE
-from ..session import make_folder
-from ..sinks.jobs_table import day_partitions, read_jobs_day, to_table_rows, write_jobs
-from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, job_messages, write_topic
+from ..session import make_folder, run_date
+from ..sinks.jobs_table import keep_only_run, read_jobs_day, to_table_rows, write_jobs
+from ..sinks.topic import JOBS_TOPIC, REPORT_TOPICS, TOPIC_SCHEMA, job_messages, write_topic
 from ..streaming.reports import (
     read_report_tables,
     read_topic_stream,
     start_market_stream,
     start_report_maintenance,
 )
+from ..streaming.supervise import await_together
+from .run_ledger import IN_TABLE, PUBLISHED, REPLACES, STAGED, Run, RunLedger
 
 
 @dataclass(frozen=True)
@@ -66,8 +68,9 @@ class RunPaths:
     def tables(self) -> str:
         return f"{self.root}/tables"
 
-    def run(self, run_id: str) -> str:
-        return f"{self.root}/_runs/{run_id}"
+    @property
+    def runs(self) -> str:
+        return f"{self.root}/_runs"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
@@ -105,20 +108,29 @@ def run_reports(
     state_store: str | None = None,
     topics: Topics = Topics(),
     trigger: dict | None = None,
-    checkpoint: str = "market",
+    checkpoint: str | None = None,
+    append_only: bool = False,
+    changes: str | None = None,
 ) -> DataFrame:
     """Both streaming queries, started together; returns the report tables.
 
     By default they run to the end of their input (``availableNow``): when
-    the first has ended, the second runs once more for what was published
+    both have ended, the second runs once more for what was published
     after it looked.  With a ``trigger`` such as ``{"processingTime": "1
-    minute"}`` both keep running until one of them ends.
+    minute"}`` both keep running until one of them ends.  Either way the
+    first failure stops both and is raised here (STM4).
 
     ``batches`` replays the job topic in about that many micro-batches (by
     files per trigger); default: all new files at once.
+    ``append_only=True`` keeps plain aggregates (native, smallest state) for
+    a topic whose days are never replaced.
     ``state_store="rocksdb"`` applies when the report stream first starts;
-    ``checkpoint`` names the report stream's checkpoint.
+    ``checkpoint`` names the report stream's checkpoint; ``changes`` is a
+    folder for what each batch emitted.
     """
+    endless = bool(trigger) and "availableNow" not in trigger
+    if not endless:
+        report_date = run_date(spark, report_date)
     per_trigger = None
     if topics.fmt == "folder":
         for folder in (paths.jobs_topic, paths.report_topics):
@@ -138,57 +150,129 @@ def run_reports(
     market = start_market_stream(
         read_topic_stream(spark, topics.target(paths.jobs_topic), [JOBS_TOPIC], topics.fmt, per_trigger, topics.options),
         topics.target(paths.report_topics),
-        paths.checkpoint(checkpoint),
+        paths.checkpoint(checkpoint or ("market" if append_only else "market-signed")),
         topics.fmt,
         trigger,
         state_store=state_store,
         options=topics.options,
+        append_only=append_only,
+        changes=changes,
     )
-    tables = maintenance()
-    if trigger and "availableNow" not in trigger:
-        spark.streams.awaitAnyTermination()
-    else:
-        market.awaitTermination()
-        tables.awaitTermination()
-        maintenance().awaitTermination()
+    try:
+        tables = maintenance()
+    except BaseException:
+        market.stop()
+        raise
+    await_together(spark, [market, tables], endless)
+    if not endless:
+        await_together(spark, [maintenance()])
     return read_report_tables(spark, paths.tables)
 
 
+Step = Callable[[str], None]
+
+
+def _stage(spark: SparkSession, run: Run, raw: DataFrame, paths: RunPaths, files: int | None) -> None:
+    """The run's rows, and its outbox: a message per new row; for a replaced
+    day only the difference, rows that went as retractions."""
+    to_table_rows(clean_listings(raw, run.day)).write.mode("overwrite").parquet(run.rows)
+    rows = spark.read.schema(JOBS_TABLE).parquet(run.rows)
+    as_jobs = lambda df: df.withColumnRenamed("experience", "final_exp")
+    if REPLACES in run.marks:
+        held = read_jobs_day(spark, paths.jobs, run.day)
+        gone = job_messages(as_jobs(held.exceptAll(rows)), retract=True)
+        messages = job_messages(as_jobs(rows.exceptAll(held))).unionByName(gone)
+    else:
+        messages = job_messages(as_jobs(rows))
+    messages = messages.repartition(files) if files else messages
+    messages.select("key", "value", "topic").write.mode("overwrite").parquet(run.outbox)
+
+
+def _finish(spark: SparkSession, ledger: RunLedger, run: Run, paths: RunPaths, topics: Topics, at: Step) -> None:
+    """The steps of a staged run that have no marker yet."""
+    if IN_TABLE not in run.marks:
+        at("table")
+        rows = spark.read.schema(JOBS_TABLE).parquet(run.rows)
+        write_jobs(rows.withColumnRenamed("experience", "final_exp"), paths.jobs, run=run.run_id)
+        if REPLACES in run.marks:
+            keep_only_run(spark, paths.jobs, run.day, run.run_id)
+        at("table written")
+        run = ledger.mark(run, IN_TABLE)
+    at("publish")
+    if topics.fmt == "folder":
+        # staged messages become visible in one step, once
+        ledger.move(run.outbox, f"{paths.jobs_topic}/run={run.run_id}")
+    else:
+        # a crash between send and marker sends a second time
+        write_topic(spark.read.schema(TOPIC_SCHEMA).parquet(run.outbox), topics.target(paths.jobs_topic), topics.fmt, topics.options)
+    at("published")
+    ledger.mark(run, PUBLISHED)
+
+
+def recover_runs(spark: SparkSession, root: str, topics: Topics = Topics(), day=None) -> list[Run]:
+    """Finish every staged run that did not publish (of ``day``, or of all
+    days), oldest first; returns them.  A run that died before its rows were
+    staged left nothing and needs its raw listings: ``ingest_day`` again."""
+    paths = RunPaths(root)
+    ledger = RunLedger(spark, paths.runs)
+    found = [run for d in ([str(day)] if day else ledger.days()) for run in ledger.unfinished(d) if STAGED in run.marks]
+    for run in found:
+        _finish(spark, ledger, run, paths, topics, lambda step: None)
+    return found
+
+
 def ingest_day(
     spark: SparkSession,
     raw: DataFrame,
     root: str,
-    report_date,
+    report_date=None,
     files: int | None = None,
     replace_day: bool = False,
     topics: Topics = Topics(),
+    run_id: str | None = None,
+    at: Step = lambda step: None,
 ) -> DataFrame:
-    """The scrape job's sinks: clean the raw listings, write them once to a
-    folder of this run, and from there append them to the jobs table and
-    publish them, so the table and the topic get the same rows, and only
-    those of this run.  Returns the day's rows.
-
-    ``replace_day=True`` makes a rerun after a failure idempotent: the day is
-    overwritten in the table, and a day that the table already held is not
-    published again (the reports count every message).
+    """The scrape job's sinks as one run of the ledger: clean the raw
+    listings and stage them with their messages, put them into the jobs
+    table, publish the messages.  Each step is committed by a marker and
+    repeats without effect, so the table and the topic get the same rows,
+    once, wherever a run died.  Returns the day's rows.
+
+    A call after a failure is the rerun of the day's last unfinished run: it
+    goes on from the last marker (``raw`` counts only if nothing was staged).
+    ``run_id`` names the run instead; a finished one is not repeated.  Other
+    unfinished runs of the day are finished first.
+
+    ``replace_day=True`` gives the day these listings instead of what it
+    had: the table drops the day's other runs, and the topic gets the
+    difference, vanished postings as retractions.
+    ``at`` is called before and after each step's work.
     """
     paths = RunPaths(root)
-    staged = paths.run(uuid.uuid4().hex)
-    to_table_rows(clean_listings(raw, report_date)).write.parquet(staged)
-    rows = spark.read.schema(JOBS_TABLE).parquet(staged)
-    again = replace_day and str(report_date) in day_partitions(spark, paths.jobs)
-    jobs = rows.withColumnRenamed("experience", "final_exp")
-    write_jobs(jobs, paths.jobs, replace_days=replace_day)
-    if not again:
-        publish_jobs(jobs, paths, files, topics)
-    return read_jobs_day(spark, paths.jobs, report_date)
+    day = run_date(spark, report_date)
+    ledger = RunLedger(spark, paths.runs)
+    pending = ledger.unfinished(day)
+    if run_id is None and pending:
+        run_id = pending[-1].run_id
+    for other in pending:
+        if other.run_id != run_id and STAGED in other.marks:
+            _finish(spark, ledger, other, paths, topics, lambda step: None)
+    run = ledger.begin(day, run_id, replace_day)
+    if not run.finished:
+        if STAGED not in run.marks:
+            at("stage")
+            _stage(spark, run, raw, paths, files)
+            at("staged")
+            run = ledger.mark(run, STAGED)
+        _finish(spark, ledger, run, paths, topics, at)
+    return read_jobs_day(spark, paths.jobs, day)
 
 
 def run_day(
     spark: SparkSession,
     raw: DataFrame,
     root: str,
-    report_date,
+    report_date=None,
     files: int | None = None,
     replace_day: bool = False,
     state_store: str | None = None,
@@ -197,6 +281,7 @@ def run_day(
     """One day's run: ingest, maintain reports (both streams to the end of
     their input), digest.  Returns (the day's report rows, day count, top paid)."""
     paths = RunPaths(root)
+    report_date = run_date(spark, report_date)
     day_rows = ingest_day(spark, raw, root, report_date, files, replace_day, topics)
     reports = run_reports(spark, paths, report_date, state_store=state_store, topics=topics)
     count, top = daily_digest(day_rows, report_date)

@@ -259,14 +259,25 @@ from events group by all"""
 
 
 # The streaming reports read the wire copy, whose address text is folded.
-STREAM_REPORTS = (
-    "select dimension, key, min_salary, max_salary, avg_salary, total_jobs from ("
-    + MARKET.replace("  from jobs)", f"  from (select * replace ({_fold('address')} as address) from jobs))", 1)
+def stream_reports(which: str = "true") -> str:
+    wire = f"  from (select * replace ({_fold('address')} as address) from jobs where {which}))"
+    return "select dimension, key, min_salary, max_salary, avg_salary, total_jobs from (" + MARKET.replace("  from jobs)", wire, 1) + ")"
+
+
+def reports(which: str = "true") -> str:
+    return f"select date '2025-03-14' as query_date, * from ({stream_reports(which)})"
+
+
+REPORTS = reports()
+
+# Update mode as a table: what a batch changed is its running report less the one before.
+REPORT_CHANGES = "\nunion all\n".join(
+    f"select cast({k} as bigint) as batch, * from (select * from ({stream_reports(f'least(listing_id % 5, 3) <= {k}')})"
+    + (f" except select * from ({stream_reports(f'least(listing_id % 5, 3) < {k}')})" if k else "")
     + ")"
+    for k in range(4)
 )
 
-REPORTS = f"select date '2025-03-14' as query_date, * from ({STREAM_REPORTS})"
-
 CLEAN_UNION = (
     _with(LISTINGS, PARSED)
     + """
@@ -354,6 +365,9 @@ def oracle_queries() -> dict[str, str]:
             "stream_reports": REPORTS,
             "ingest_twice": REPORTS,
             "stream_restart": REPORTS,
+            "ingest_recovered": REPORTS,
+            "replaced_day": reports("listing_id % 5 in (1, 2, 4)"),
+            "report_changes": REPORT_CHANGES,
             "clean_union": CLEAN_UNION,
             "stream_upsert": UPSERT_LATEST,
             "jobs_table_count": JOBS_TABLE_COUNT,

@@ -68,6 +68,9 @@ JOB_WIRE_REPORT = _struct(
     ("final_exp", IntegerType()),
 )
 
+# ``sign`` -1 takes a posting back; messages without it add one.
+JOB_WIRE_SIGNED = _struct(*((f.name, f.dataType) for f in JOB_WIRE_REPORT), ("sign", IntegerType()))
+
 # Jobs table: the clean listing with final_exp stored as ``experience``.
 JOBS_TABLE = _struct(
     ("position", StringType()),

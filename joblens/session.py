@@ -7,9 +7,11 @@ without that setting; elsewhere a missing one is an error.
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 from contextlib import contextmanager
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +73,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def run_date(spark: SparkSession, given: dt.date | str | None = None, now: dt.datetime | None = None) -> dt.date:
+    """DTE1: the one date of a run, ``given`` or today in the session's time
+    zone (the clock of ``current_date()``, not the driver machine's).  Resolve
+    it once and pass it on: every step of a run then agrees, also at midnight."""
+    if given is not None:
+        return given if type(given) is dt.date else dt.date.fromisoformat(str(given)[:10])
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    return (now or dt.datetime.now(dt.timezone.utc)).astimezone(zone).date()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder in the file system that ``path`` belongs to."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,9 @@
 
 Parquet, partitioned by ``query_day``: the digest's day filter becomes a
 partition filter and reads one directory.  Appends never dedupe: running a
-day twice stores it twice, as the reference did.
+day twice stores it twice, as the reference did.  A run with an id writes its
+own folder inside the day, so repeating the run's write changes nothing; a
+table is written in one of the two forms, runs or plain files.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import JOBS_TABLE
 from ..session import temporary_conf
@@ -22,7 +25,10 @@ def to_table_rows(jobs: DataFrame) -> DataFrame:
     return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOBS_TABLE])
 
 
-def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False) -> None:
+RUN = "run"
+
+
+def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False, run: str | None = None) -> None:
     """SNK1: one directory per day.
 
     Rows are rebalanced on ``query_day`` first: every day goes to one
@@ -34,10 +40,13 @@ def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False) -> None:
     Default: append, as the reference did (a rerun stores the day twice).
     ``replace_days=True`` overwrites only the days present in ``jobs``
     (dynamic partition overwrite), so a rerun after a failure is idempotent.
+    ``run`` overwrites that run's part of its days only.
     """
     rows = to_table_rows(jobs).hint("rebalance", "query_day")
-    writer = rows.write.partitionBy("query_day")
-    if replace_days:
+    if run:
+        rows = rows.withColumn(RUN, F.lit(run))
+    writer = rows.write.partitionBy("query_day", *([RUN] if run else []))
+    if replace_days or run:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
@@ -45,6 +54,16 @@ def write_jobs(jobs: DataFrame, path: str, replace_days: bool = False) -> None:
         writer.parquet(path)
 
 
+def keep_only_run(spark: SparkSession, path: str, day, run: str) -> None:
+    """Take everything but ``run`` out of a day (a metadata operation)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/query_day={day}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        if status.getPath().getName() != f"{RUN}={run}":
+            fs.delete(status.getPath(), True)
+
+
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
     """SRC5: the table with its declared schema (no inference pass)."""
     return spark.read.schema(JOBS_TABLE).parquet(path).select(*JOBS_TABLE.fieldNames())
@@ -70,16 +89,13 @@ def day_partitions(spark: SparkSession, path: str) -> list[str]:
 
 def read_jobs_day(spark: SparkSession, path: str, day) -> DataFrame:
     """FLT1 at the file level: list and read only that day's directory
-    (``basePath`` keeps ``query_day`` as a column); a day without postings
-    is an empty frame, so its count is 0."""
+    with all its runs; a day without postings is an empty frame, so its
+    count is 0."""
     if str(day) not in day_partitions(spark, path):
         return spark.createDataFrame([], JOBS_TABLE)
-    return (
-        spark.read.schema(JOBS_TABLE)
-        .option("basePath", path)
-        .parquet(f"{path.rstrip('/')}/query_day={day}")
-        .select(*JOBS_TABLE.fieldNames())
-    )
+    inside = StructType([f for f in JOBS_TABLE if f.name != "query_day"])
+    rows = spark.read.schema(inside).option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}/query_day={day}")
+    return rows.withColumn("query_day", F.lit(str(day)).cast("date")).select(*JOBS_TABLE.fieldNames())
 
 
 def write_jobs_jdbc(jobs: DataFrame, url: str, table: str, properties: dict | None = None) -> None:

@@ -31,13 +31,16 @@ TOPIC_SCHEMA = StructType(
 FOLDED = ("position", "company", "address")
 
 
-def job_messages(jobs: DataFrame, topic: str = JOBS_TOPIC) -> DataFrame:
+def job_messages(jobs: DataFrame, topic: str = JOBS_TOPIC, retract: bool = False) -> DataFrame:
     """SNK2: key = folded position (UTF-8), value = the row as JSON with the
     three text fields ASCII-folded and nulls written as ``null``.
 
     Only the wire copy is folded; the jobs table keeps the original text.
+    ``retract`` takes published rows back: the same messages with ``sign`` -1.
     """
     folded = jobs.withColumns({c: fold_ascii(c) for c in FOLDED if c in jobs.columns})
+    if retract:
+        folded = folded.withColumn("sign", F.lit(-1))
     value = row_json(folded, keep_nulls=True)
     return folded.select(
         F.col("position").cast("binary").alias("key"),

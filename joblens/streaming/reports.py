@@ -30,10 +30,11 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, Stri
 from ..functions.jsonwire import parse_json
 from ..operators.reports import job_places, market_reports
 from ..operators.routing import REPORT_DEFAULT, REPORT_ROUTES, split_routes
-from ..schemas import JOB_WIRE_REPORT, REPORT_DIMENSIONS, ROW_ORDER, report_table_schema
-from ..session import temporary_conf
+from ..schemas import JOB_WIRE_SIGNED, REPORT_DIMENSIONS, ROW_ORDER, report_table_schema
+from ..session import run_date, temporary_conf
 from ..sinks.report_table import read_report_table, upsert_report_table
 from ..sinks.topic import TOPIC_SCHEMA, report_messages, write_topic
+from .retractions import retractable_reports
 from .upsert_stream import QueryToken
 
 
@@ -71,16 +72,24 @@ def read_topic_stream(
             F.col("value").cast("binary").alias("value"),
             F.lit(topics[0]).alias("topic"),
         )
+    # a run's messages lie in a folder of their own
+    reader = reader.option("recursiveFileLookup", "true")
     return reader.schema(TOPIC_SCHEMA).parquet(source).filter(F.col("topic").isin(*topics))
 
 
-def market_stream(messages: DataFrame) -> DataFrame:
+def market_stream(messages: DataFrame, append_only: bool = True) -> DataFrame:
     """STM1 + STM6: the batch report function applied to a stream.
 
-    Only the five fields the reports read are parsed (column pruning cannot
-    narrow ``from_json`` on its own)."""
-    jobs = parse_json(messages, JOB_WIRE_REPORT)
-    return market_reports(job_places(jobs))
+    Only the fields the reports read are parsed (column pruning cannot
+    narrow ``from_json`` on its own).  The aggregates of the append-only form
+    cannot take a posting back: a retraction fails the query there, and
+    ``append_only=False`` counts salaries instead (``streaming.retractions``).
+    """
+    jobs = parse_json(messages, JOB_WIRE_SIGNED)
+    if not append_only:
+        return retractable_reports(job_places(jobs, "sign"))
+    refused = F.raise_error(F.lit("the topic takes postings back: run the reports with append_only=False"))
+    return market_reports(job_places(jobs.where(F.when(F.col("sign").isNull(), F.lit(True)).otherwise(refused.cast("boolean")))))
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -95,9 +104,14 @@ def start_market_stream(
     state_partitions: int | None = 8,
     state_store: str | None = None,
     options: dict | None = None,
+    append_only: bool = True,
+    changes: str | None = None,
 ) -> StreamingQuery:
     """Query 1: reports in update mode, published as keyed messages.
 
+    ``changes`` also writes each batch's emitted rows to ``batch=<id>``
+    below that folder (STM2 as a table: ``read_changes``).
+
     Each micro-batch emits only the keys it changed (STM2).  The start of
     this query and the batch id ride along as ``started`` and ``version``, so
     consumers can order updates (Q6), also those of a query that was started
@@ -112,10 +126,13 @@ def start_market_stream(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         versioned = batch.withColumns({"started": F.lit(started).cast("long"), "version": F.lit(batch_id).cast("long")})
+        if changes:  # a replayed batch overwrites its own folder
+            versioned.drop("version").write.mode("overwrite").parquet(f"{changes.rstrip('/')}/batch={batch_id}")
+            versioned = batch.sparkSession.read.parquet(f"{changes.rstrip('/')}/batch={batch_id}").withColumn("version", F.lit(batch_id).cast("long"))
         write_topic(report_messages(versioned), report_topic_target, fmt, options)
 
     writer = (
-        market_stream(messages)
+        market_stream(messages, append_only)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
@@ -124,12 +141,19 @@ def start_market_stream(
     settings = {}
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    if state_store == "rocksdb":
+    if state_store == "rocksdb" or not append_only:
         settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
     with temporary_conf(messages.sparkSession, settings):  # read once, at start
         return writer.start()
 
 
+def read_changes(spark: SparkSession, changes: str) -> DataFrame:
+    """STM2: what each micro-batch emitted: batch, dimension, key, measures
+    (a null ``total_jobs``: the key has gone)."""
+    rows = spark.read.parquet(changes)
+    return rows.select(F.col("batch").cast("long").alias("batch"), "dimension", "key", F.col("min_salary").cast("double"), F.col("max_salary").cast("double"), "avg_salary", "total_jobs")
+
+
 # Payload schemas of the three report topics (measures, start, version).
 def _report_payload(dim: str, dtype) -> StructType:
     return StructType(
@@ -190,7 +214,8 @@ def start_report_maintenance(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Query 2 (STM5): route each micro-batch by topic and upsert each part
-    into its report table, keyed by (query_date, dimension)."""
+    into its report table, keyed by (query_date, dimension).  Without a
+    ``report_date`` (endless queries) a batch has the date it began on."""
 
     token = QueryToken(checkpoint)
 
@@ -198,7 +223,7 @@ def start_report_maintenance(
         spark = batch.sparkSession
         writer = token.get(spark)
         # the one run date every row of this batch is stamped with
-        day = report_date or spark.range(1).select(F.current_date()).first()[0]
+        day = run_date(spark, report_date)
         arrived = int(time.time() * 1000)
         batch = batch.persist()
 
@@ -235,13 +260,13 @@ def start_report_maintenance(
 
 def read_report_tables(spark: SparkSession, table_root: str) -> DataFrame:
     """All three report tables as (query_date, dimension, key, measures):
-    one row per day and key."""
+    one row per day and key.  A key without ``total_jobs`` has gone."""
     frames = []
     for kind in ("address", "source", "exp"):
         dim, _ = REPORT_DIMENSIONS[kind]
         t = read_report_table(spark, table_path(table_root, kind), report_table_schema(kind), "query_date")
         frames.append(
-            t.select(
+            t.where(F.col("total_jobs").isNotNull()).select(
                 "query_date",
                 F.lit(kind).alias("dimension"),
                 F.col(dim).cast("string").alias("key"),
