@@ -1,7 +1,8 @@
 """Command line: the daily job-market runs as Spark jobs.
 
     python -m joblens ingest --pages PAGES --root ROOT [--date D]
-        pages (parquet: source, page_no, html) -> listings -> jobs table + topic
+        pages (parquet: source, page_no, html) -> listings -> jobs table + topic;
+        pages without listings -> ROOT/unread_pages/DATE
     python -m joblens run --pages PAGES --root ROOT [--date D]
         ingest, then both report streams, then the digest
     python -m joblens reports --root ROOT [--date D]
@@ -24,7 +25,7 @@ from .plans.daily_run import RunPaths, Topics, ingest_day, recover_runs, run_day
 from .schemas import PAGE
 from .session import build_session, run_date
 from .sinks.jobs_table import read_jobs_day
-from .sources.html import extract_listings
+from .sources.markup import extract_listings, unread_pages
 
 
 def _report(reports, out: str | None) -> None:
@@ -78,7 +79,12 @@ def main(argv: list[str] | None = None) -> int:
     if getattr(args, "kafka", None):
         topics = Topics("kafka", args.kafka, dict(o.split("=", 1) for o in args.kafka_option))
     if args.cmd in ("run", "ingest"):
-        raw = extract_listings(spark.read.schema(PAGE).parquet(args.pages)).drop("page_no", "item")
+        pages = spark.read.schema(PAGE).parquet(args.pages)
+        raw = extract_listings(pages).drop("page_no", "item")
+        lost = f"{args.root.rstrip('/')}/unread_pages/{day}"
+        unread_pages(pages).write.mode("overwrite").parquet(lost)
+        for reason, n in spark.read.schema("source string, page_no int, reason string").parquet(lost).groupBy("reason").count().collect():
+            print(f"{n} pages not read ({reason}): {lost}")
         if args.cmd == "ingest":
             rows = ingest_day(spark, raw, args.root, day, replace_day=args.replace_day, topics=topics)
             print(f"{rows.count()} postings of {day} in the table")

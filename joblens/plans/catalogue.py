@@ -27,7 +27,9 @@ from ..sinks.jobs_table import day_partitions, read_jobs_day, write_jobs
 from ..sinks.report_table import read_report_table
 from ..sinks.topic import job_messages
 from ..sources import html as H
+from ..sources import markup
 from ..sources.listings import read_listings
+from ..sources.site_pages import site_pages
 from ..sources.tables import read_table
 from ..streaming.reports import read_changes
 from ..streaming.upsert_stream import start_keyed_upsert
@@ -335,6 +337,25 @@ def q_page_titles(spark, sf_dir):
     return H.page_titles(_pages(spark, sf_dir))
 
 
+def _rendered_pages(spark, sf_dir):
+    """The listings as pages of the five sites; some without a company, and
+    every tenth page of a site without its list."""
+    lost = F.when(F.col("listing_id") % 7 != 0, F.col("company"))
+    pages = site_pages(read_listings(spark, sf_dir).withColumn("company", lost))
+    broken = F.regexp_replace("html", "job-list-search-result|list-group|jobs-side-list|card-jobs-list|block-job-list", "redesigned")
+    return pages.withColumn("html", F.when(F.col("page_no") % 10 == 3, broken).otherwise(F.col("html")))
+
+
+def q_listing_pages(spark, sf_dir):
+    """SRC6 -> SRC7 -> PRJ1 over the five sites' markup, in the JVM."""
+    return markup.extract_listings(_rendered_pages(spark, sf_dir))
+
+
+def q_unread_pages(spark, sf_dir):
+    """The extractor's second output: pages without their list."""
+    return markup.unread_pages(_rendered_pages(spark, sf_dir))
+
+
 def _tuned(query: Query) -> Query:
     """The listing plans fuse into methods the JIT compiler would refuse:
     every query sets the limit beyond which Spark falls back to small
@@ -385,6 +406,8 @@ def queries() -> dict[str, Query]:
             "jobs_table_top": q_jobs_table_top,
             "extract_nav": q_extract_nav,
             "page_titles": q_page_titles,
+            "listing_pages": q_listing_pages,
+            "unread_pages": q_unread_pages,
         }
     )
     return {name: _tuned(q) for name, q in out.items()}

@@ -337,6 +337,20 @@ PAGE_TITLES = (
 )
 
 
+LISTING_PAGES = (
+    _with(LISTINGS)
+    + """
+select source, cast(listing_id // 100 as integer) as page_no, cast(row_number() over (partition by source, listing_id // 100 order by listing_id) as integer) as item,
+       position, case when listing_id % 7 = 0 then 'Not Available' else company end as company, salary, address, case when source = 'topcv' then exp end as exp
+from listings where listing_id // 100 % 10 <> 3"""
+)
+
+UNREAD_PAGES = (
+    _with(LISTINGS)
+    + "\nselect distinct source, cast(listing_id // 100 as integer) as page_no, 'no list' as reason from listings where listing_id // 100 % 10 = 3"
+)
+
+
 def oracle_queries() -> dict[str, str]:
     out = {
         "address_report": report_sql("address_cleaned", "address"),
@@ -374,6 +388,8 @@ def oracle_queries() -> dict[str, str]:
             "jobs_table_top": JOBS_TABLE_TOP,
             "extract_nav": EXTRACT_NAV,
             "page_titles": PAGE_TITLES,
+            "listing_pages": LISTING_PAGES,
+            "unread_pages": UNREAD_PAGES,
         }
     )
     return out

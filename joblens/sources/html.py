@@ -381,7 +381,8 @@ def unescape(c: Column) -> Column:
         return F.coalesce(F.when(found != "", F.concat(text, F.substr(part, F.length(found) + 1))), F.concat(F.lit("&"), part))
 
     parts = F.split(c, "&")
-    return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), decoded), ""))
+    # most texts have no reference: they skip the split
+    return F.when(~c.contains("&"), c).otherwise(F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), decoded), "")))
 
 
 def inner_text(c: Column) -> Column:
