@@ -5,8 +5,11 @@ All of these stay inside whole-stage codegen: no Python runs per row.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import unicodedata
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,11 +93,21 @@ def drop_commas(c: Column | str) -> Column:
     return F.translate(col_of(c), ",", "")
 
 
+@lru_cache(maxsize=1)
+def decimal_digits() -> tuple[str, str]:
+    """All decimal digits (category Nd) outside ASCII, and their values."""
+    found = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.digit(c)) for c in found)
+
+
+def _ascii_digits(c: Column) -> Column:
+    return F.translate(c, *decimal_digits())
+
+
 def py_float(c: Column | str) -> Column:
     """CST1: ``float(token)``; null where Python would raise (or the token
-    is missing, pandas NaN).  Known limit: float() also reads non-ASCII
-    decimal digits (full-width, Arabic-Indic); here those give null."""
-    c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
+    is missing, pandas NaN).  Decimal digits of any script count."""
+    c = _ascii_digits(F.btrim(col_of(c), F.lit(NUMBER_PADDING)))
     value = F.replace(c, F.lit("_"), F.lit("")).try_cast("double")
     # Spark's cast rejects a signed NaN, which float() accepts
     signed_nan = F.when(c.rlike(r"^[+-](?i:nan)$"), F.lit(float("nan")))
@@ -103,7 +116,7 @@ def py_float(c: Column | str) -> Column:
 
 def py_int(c: Column | str) -> Column:
     """CST1: ``int(token)``; null where Python would raise."""
-    c = F.btrim(col_of(c), F.lit(NUMBER_PADDING))
+    c = _ascii_digits(F.btrim(col_of(c), F.lit(NUMBER_PADDING)))
     return F.when(c.rlike(_PY_INT), F.replace(c, F.lit("_"), F.lit("")).try_cast("int"))
 
 
@@ -120,10 +133,10 @@ def startswith(c: Column | str, prefix: str) -> Column:
 # --------------------------------------------------------------------------
 # STR9: ASCII transliteration.
 #
-# The map is derived, not listed: every letter, number form, presentation and
-# full-width form of the blocks below is decomposed (NFKD) and keeps its ASCII
-# part; dashes become "-", spaces " "; combining marks are deleted.
-# Characters with no such decomposition come from the short fixed list.
+# The map is derived from all code points, not listed: a character keeps the
+# ASCII part of its decomposition (NFKD); a Latin letter without one has the
+# letter of its Unicode name; dashes and the minus sign become "-", spaces " ";
+# combining marks are deleted.  What is left comes from the short fixed list.
 
 # Transliterations without a Unicode decomposition (these are
 # the values the wire text must carry).
@@ -139,38 +152,46 @@ FOLD_EXTRAS = {
     "—": "--", "―": "--",
 }
 
-_BLOCKS = (
-    (0x00A0, 0x024F), (0x0250, 0x02AF), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x2070, 0x20CF),
-    (0x2100, 0x218F), (0x3000, 0x3000), (0xFB00, 0xFB06), (0xFF00, 0xFFEF),
-)
-_COMBINING = (0x0300, 0x036F)
+# Combining marks of Latin letters (blocks).
+_MARKS = ((0x0300, 0x036F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE20, 0xFE2F))
+_LATIN = re.compile(r"LATIN (CAPITAL|SMALL) LETTER ([A-Z]{1,2})(?: WITH .*)?")
+_MINUS = "\u2212"
+
+
+def _folded(ch: str) -> str:
+    """ASCII for one character; empty where it has none."""
+    if ch in FOLD_EXTRAS:
+        return FOLD_EXTRAS[ch]
+    kind = unicodedata.category(ch)
+    if kind == "Pd" or ch == _MINUS:
+        return "-"
+    if kind == "Zs":
+        return " "
+    out = ""
+    for x in unicodedata.normalize("NFKD", ch) if unicodedata.decomposition(ch) else "":
+        if ord(x) < 128:
+            out += x
+        elif x in FOLD_EXTRAS or x == _MINUS or unicodedata.category(x) == "Pd":
+            out += FOLD_EXTRAS.get(x, "-")
+        elif unicodedata.category(x) in ("Lu", "Ll", "Lo", "Lt"):
+            return ""  # partly in another script
+    if not out.strip():  # a spacing accent decomposes to a blank and a mark
+        name = _LATIN.fullmatch(unicodedata.name(ch, ""))
+        return (name[2].lower() if name[1] == "SMALL" else name[2]) if name else ""
+    return out.strip()
 
 
 @lru_cache(maxsize=1)
-def fold_tables() -> tuple[str, str, str, tuple[tuple[str, str], ...]]:
-    """(matching, replace, deleted, multi-char pairs) for ``translate``."""
+def fold_tables() -> tuple[str, str, str, dict[str, str]]:
+    """(matching, replace, deleted) for ``translate``, and what becomes
+    several letters."""
     single: dict[str, str] = {}
     multi: dict[str, str] = {}
-    for lo, hi in _BLOCKS:
-        for ch in map(chr, range(lo, hi + 1)):
-            kind = unicodedata.category(ch)
-            plain = unicodedata.normalize("NFKD", ch).replace("\u2044", "/")
-            if ch in FOLD_EXTRAS:
-                out = FOLD_EXTRAS[ch]
-            elif kind == "Pd":
-                out = "-"
-            elif kind == "Zs":
-                out = " "
-            else:
-                # A spacing accent decomposes to a blank and a mark: it has no letter.
-                out = "".join(x for x in plain if ord(x) < 128).strip()
-            if not out or out == ch:
-                continue
+    for ch in map(chr, range(0x80, sys.maxunicode + 1)):
+        if unicodedata.category(ch)[0] not in "CM" and (out := _folded(ch)):
             (single if len(out) == 1 else multi)[ch] = out
-    deleted = "".join(chr(cp) for cp in range(_COMBINING[0], _COMBINING[1] + 1))
-    matching = "".join(single)
-    replace = "".join(single.values())
-    return matching, replace, deleted, tuple(sorted(multi.items()))
+    deleted = "".join(chr(cp) for lo, hi in _MARKS for cp in range(lo, hi + 1))
+    return "".join(single), "".join(single.values()), deleted, multi
 
 
 def fold_ascii(c: Column | str) -> Column:
@@ -178,14 +199,17 @@ def fold_ascii(c: Column | str) -> Column:
     -> ``Ria - Vung``.
 
     Scripts other than Latin pass through unchanged (documented limit).
-    Replacements by several letters run only on texts that hold such a
-    character.
+    One ``translate`` does all single letters and marks.  What then lies
+    beyond ASCII is looked up character by character, each once, so texts
+    without such a character pay one comparison of lengths.
     """
     matching, replace, deleted, multi = fold_tables()
-    text = col_of(c)
-    many = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), multi, text)
-    held = "[" + "".join(ch for ch, _ in multi) + "]"
-    out = F.when(text.rlike(held), many).otherwise(text)
-    # translate deletes characters of ``matching`` that have no replacement,
-    # so the combining marks go last.
-    return F.translate(out, matching + deleted, replace)
+    # translate deletes characters that have no replacement: the marks go last
+    text = F.translate(col_of(c), matching + deleted, replace)
+    table = F.from_json(F.lit(json.dumps(multi)), "map<string,string>")
+
+    def spelled(t: Column) -> Column:
+        beyond = F.array_distinct(F.split(F.regexp_replace(t, r"[\x00-\x7f]+", ""), ""))
+        return F.aggregate(F.filter(beyond, lambda ch: ch != ""), t, lambda acc, ch: F.replace(acc, ch, F.coalesce(F.try_element_at(table, ch), ch)))
+
+    return F.get(F.transform(F.array(text), lambda t: F.when(F.octet_length(t) == F.char_length(t), t).otherwise(spelled(t))), 0)

@@ -24,7 +24,6 @@ from ..operators.upsert import upsert
 from ..schemas import JOB_WIRE
 from ..session import HUGE_METHODS, shared_dir
 from ..sinks.jobs_table import day_partitions, read_jobs_day, write_jobs
-from ..sinks.report_table import read_report_table
 from ..sinks.topic import job_messages
 from ..sources import html as H
 from ..sources import markup
@@ -32,7 +31,7 @@ from ..sources.listings import read_listings
 from ..sources.site_pages import site_pages
 from ..sources.tables import read_table
 from ..streaming.reports import read_changes
-from ..streaming.upsert_stream import start_keyed_upsert
+from ..streaming.upsert_stream import read_keyed_table, start_keyed_upsert
 from .daily_run import RunPaths, ingest_day, publish_jobs, run_reports
 
 REPORT_DATE = "2025-03-14"  # the run date that the report queries are given
@@ -99,7 +98,7 @@ def q_fold_text(spark, sf_dir):
 
 def q_fold_listings(spark, sf_dir):
     """STR9 on the three text fields of the wire branch, with a quoted name, a
-    full-width one and a place behind an en dash."""
+    full-width one and places behind an en dash, a minus sign and a small hyphen."""
     return _symbols(jobs(spark, sf_dir)).select(
         "listing_id",
         *[fold_ascii(c).alias(c) for c in ("position", "company", "address")],
@@ -111,7 +110,7 @@ def _symbols(df):
         {
             "position": F.concat(F.lit("\u201c"), "position", F.lit("\u201d \u2026 \u00bd")),
             "company": F.concat("company", F.lit("\u3000\uff21\uff22\uff11 \u00d7 \u2022")),
-            "address": F.concat("address", F.lit(" \u2013 V\u0169ng T\u00e0u")),
+            "address": F.concat("address", F.lit(" \u2013 V\u0169ng T\u00e0u \u2212 C\u00f4n \u0110\u1ea3o\ufe63\u2460")),
         }
     )
 
@@ -287,15 +286,15 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def q_stream_upsert(spark, sf_dir):
-    """Events replayed as a file stream (4 files, one per micro-batch) into a keyed table (latest event per user), one snapshot
-    per micro-batch."""
+    """Events replayed as a file stream (4 files, one per micro-batch) into a
+    keyed table (latest event per user)."""
     root = shared_dir(spark, "stream_upsert", unique=True)
     read_table(spark, sf_dir, "events", EVENT_COLUMNS).repartition(4).write.parquet(f"{root}/feed")
     stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", "1").parquet(f"{root}/feed")
     schema = spark.read.parquet(f"{root}/feed").schema
     q = start_keyed_upsert(stream, f"{root}/table", ["user_id"], "event_id", schema, f"{root}/_checkpoint")
     q.awaitTermination()
-    return read_report_table(spark, f"{root}/table", schema)
+    return read_keyed_table(spark, f"{root}/table", schema)
 
 
 TABLE_TIE_BREAK = ("source", "position", "company", "address", "experience")

@@ -188,7 +188,7 @@ def _fold_symbols(x: str) -> str:
     """Character by character: full-width forms by their distance from ASCII,
     the symbols of the test texts by a list."""
     wide = "case when unicode(ch) between 65281 and 65374 then chr(unicode(ch) - 65248)"
-    listed = {"\u3000": " ", "\u2013": "-", "\u201c": '"', "\u201d": '"', "\u2026": "...", "\u00bd": "1/2", "\u00d7": "x", "\u2022": "*"}
+    listed = {"\u3000": " ", "\u2013": "-", "\u2212": "-", "\ufe63": "-", "\u2460": "1", "\u201c": '"', "\u201d": '"', "\u2026": "...", "\u00bd": "1/2", "\u00d7": "x", "\u2022": "*"}
     cases = " ".join(f"when ch = '{k}' then '{v}'" for k, v in listed.items())
     return f"array_to_string(list_transform(string_split({_fold(x)}, ''), lambda ch: {wide} {cases} else ch end), '')"
 
@@ -199,7 +199,7 @@ SYMBOLS = """
 marked as (
   select listing_id, chr(8220) || position || chr(8221) || ' ' || chr(8230) || ' ' || chr(189) as position,
          company || chr(12288) || chr(65313) || chr(65314) || chr(65297) || ' ' || chr(215) || ' ' || chr(8226) as company,
-         address || ' ' || chr(8211) || ' Vũng Tàu' as address from jobs)"""
+         address || ' ' || chr(8211) || ' Vũng Tàu ' || chr(8722) || ' Côn Đảo' || chr(65123) || chr(9312) as address from jobs)"""
 
 FOLD_LISTINGS = (
     _with(LISTINGS, PARSED, SYMBOLS)

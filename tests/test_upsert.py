@@ -79,7 +79,7 @@ def test_jobs_table_replace_days(spark, workdir):
 def test_new_checkpoint_is_not_a_replay(spark, workdir):
     """A stream restarted on a fresh checkpoint starts at batch 0 again; its
     batches must be applied, not skipped as replays."""
-    from joblens.streaming.upsert_stream import start_keyed_upsert
+    from joblens.streaming.upsert_stream import read_keyed_table, start_keyed_upsert
 
     schema = spark.createDataFrame([], SCHEMA).schema
     table = f"{workdir}/t"
@@ -88,8 +88,7 @@ def test_new_checkpoint_is_not_a_replay(spark, workdir):
         spark.createDataFrame([("a", value, n)], SCHEMA).write.parquet(feed)
         stream = spark.readStream.schema(schema).parquet(feed)
         start_keyed_upsert(stream, table, ["k"], "version", schema, f"{workdir}/ck{n}").awaitTermination()
-    assert rows(read_report_table(spark, table, schema)) == [("a", 2.0, 1)]
-    assert len({w for _, _, w in snapshots(spark, table)}) == 2
+    assert rows(read_keyed_table(spark, table, schema)) == [("a", 2.0, 1)]
 
 
 def test_day_without_postings_counts_zero(spark, workdir):
@@ -189,12 +188,37 @@ def test_a_batch_rewrites_only_the_buckets_it_touches(spark, workdir):
 
     def run(rows_):
         spark.createDataFrame(rows_, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
-        start_keyed_upsert(spark.readStream.schema(schema).parquet(feed), table, ["k"], "version", schema, f"{workdir}/ck", buckets=8).awaitTermination()
-        return {p: len(snapshots(spark, f"{table}/{p}")) for p in os.listdir(table)}
+        start_keyed_upsert(spark.readStream.schema(schema).parquet(feed), table, ["k"], "version", schema, f"{workdir}/ck").awaitTermination()
+        return {p: sorted(f for f in os.listdir(f"{table}/{p}") if f.endswith(".parquet")) for p in os.listdir(table) if p.startswith("_bucket=")}
 
-    first = run([(f"k{n}", 0.0, 0) for n in range(100)])
-    assert len(first) == 8 and set(first.values()) == {1}
+    first = run([(f"k{n}", 0.0, 0) for n in range(200)])
+    assert len(first) == 16 and all(len(files) == 1 for files in first.values())
     second = run([("k5", 5.0, 1)])
-    assert sorted(second.values()) == [1] * 7 + [2]
-    got = {r.k: r.v for r in read_keyed_table(spark, table, schema, buckets=8).collect()}
-    assert len(got) == 100 and got["k5"] == 5.0
+    assert sum(second[p] != first[p] for p in first) == 1 and len(second) == 16
+    got = {r.k: r.v for r in read_keyed_table(spark, table, schema).collect()}
+    assert len(got) == 200 and got["k5"] == 5.0
+    held = spark.read.parquet(table).groupBy("_batch").count().collect()
+    assert {r["_batch"]: r["count"] for r in held} == {0: 199, 1: 1}
+
+
+def test_a_batch_that_died_while_buckets_were_out_is_repeated(spark, workdir):
+    """The redo copy stands; the old buckets are gone from the table."""
+    import shutil
+
+    from joblens.streaming.upsert_stream import merge_batch, read_keyed_table
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = f"{workdir}/t"
+    frame = lambda rows_: spark.createDataFrame(rows_, SCHEMA)
+    merge_batch(frame([(f"k{n}", 0.0, 0) for n in range(50)]), table, ["k"], "version", schema, 0, "w", 4)
+    update = frame([(f"k{n}", 1.0, 1) for n in range(10)])
+    merge_batch(update, table, ["k"], "version", schema, 1, "w", 4)
+    want = rows(read_keyed_table(spark, table, schema))
+    for lost in os.listdir(table):
+        if lost.startswith("_bucket="):
+            shutil.move(f"{table}/{lost}", f"{workdir}/lost-{lost}")
+    merge_batch(update, table, ["k"], "version", schema, 1, "w", 4)
+    assert rows(read_keyed_table(spark, table, schema)) == want and len(want) == 50
+    assert os.listdir(f"{table}_redo") == ["w-1"]
+    merge_batch(frame([]), table, ["k"], "version", schema, 2, "w", 4)
+    assert rows(read_keyed_table(spark, table, schema)) == want
