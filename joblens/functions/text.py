@@ -176,6 +176,8 @@ def _folded(ch: str) -> str:
         elif unicodedata.category(x) in ("Lu", "Ll", "Lo", "Lt"):
             return ""  # partly in another script
     if not out.strip():  # a spacing accent decomposes to a blank and a mark
+        if kind not in ("Lu", "Ll"):
+            return ""
         name = _LATIN.fullmatch(unicodedata.name(ch, ""))
         return (name[2].lower() if name[1] == "SMALL" else name[2]) if name else ""
     return out.strip()

@@ -29,7 +29,7 @@ from ..sources import html as H
 from ..sources import markup
 from ..sources.listings import read_listings
 from ..sources.site_pages import site_pages
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 from ..streaming.reports import read_changes
 from ..streaming.upsert_stream import read_keyed_table, start_keyed_upsert
 from .daily_run import RunPaths, ingest_day, publish_jobs, run_reports
@@ -342,7 +342,7 @@ def _rendered_pages(spark, sf_dir):
     lost = F.when(F.col("listing_id") % 7 != 0, F.col("company"))
     pages = site_pages(read_listings(spark, sf_dir).withColumn("company", lost))
     broken = F.regexp_replace("html", "job-list-search-result|list-group|jobs-side-list|card-jobs-list|block-job-list", "redesigned")
-    return pages.withColumn("html", F.when(F.col("page_no") % 10 == 3, broken).otherwise(F.col("html")))
+    return spread(pages.withColumn("html", F.when(F.col("page_no") % 10 == 3, broken).otherwise(F.col("html"))))
 
 
 def q_listing_pages(spark, sf_dir):
