@@ -41,8 +41,9 @@ def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v, dims) of the usable rows: v holds floor(scale * x) as doubles."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # The product keeps doubles whole; floor to a long and back would clip large ones.
-    floored = F.transform(v, lambda x: (x.cast("double") * scale) - F.pmod(x.cast("double") * scale, F.lit(1.0)))
+    # A double of 2^52 or more is whole; floor to a long and back would clip large ones.
+    whole = lambda x: F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x)
+    floored = F.transform(v, lambda x: whole(x.cast("double") * scale))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(finite & (F.size(v) > 0), F.lit(False)))
     return rows.select("vec_id", floored.alias("v"), F.size(v).alias("dims"))
 

@@ -100,3 +100,13 @@ def test_bounds_drop_no_pair():
     i, j = embedding_dedup.tile_links(x, x, axes, 0.9)
     u = x / np.sqrt((x * x).sum(1, keepdims=True))
     assert set(zip(i.tolist(), j.tolist())) == {(int(a), int(b)) for a, b in zip(*np.nonzero(u @ u.T >= 0.9))}
+
+
+def test_quantized_is_the_floor(spark):
+    from joblens.llm.topk_search import quantized
+
+    values = [-1e-20, 1e-20, -5e-324, -0.0, 0.5, -0.5, 1.0, -1.0, 0.00390625, -0.00390625, 1e14, -1e14 - 0.001, 1e300, -1e300]
+    got = quantized(spark.createDataFrame([(1, values)], "vec_id long, embedding array<double>")).first().v
+    import math
+
+    assert got == [float(math.floor(256 * x)) for x in values]
