@@ -28,7 +28,7 @@ phrase, 64 bits each) and of bytes in the suffix arrays.
 Edge cases: null text is empty; texts shorter than ``length`` lose nothing; a
 null doc_id sorts before all others; repeated rows (same doc_id and text) are
 one document and each row reports the same result; different texts under one
-doc_id compare by start, equal starts by the texts' crc32; other columns are
+doc_id compare by start, equal starts by the texts' hashes; other columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import release, saved, slices, table, utf8
@@ -47,7 +47,7 @@ HOT = 20_000  # different phrases of one trigger that one task may sort
 CHUNK = 1 << 21  # bytes in one suffix array
 STEP = 2 << 20  # bytes of text worked on at once
 FIRST = -(1 << 63)  # stands for a null doc_id
-PLACES = "doc long, at long"  # at: start << 32 | crc32 of the text
+PLACES = "doc long, at long, tag long"  # at: start << 32 | crc32 of the text; tag: another hash of it
 _POS = np.uint64((1 << 32) - 1)
 
 
@@ -113,9 +113,15 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, crc, text) with defined values for nulls."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    """(doc, crc, tag, text) with defined values for nulls."""
+    return docs.select(*_identity("doc_id", "text"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _identity(doc_id: str, text: str) -> list[Column]:
+    """Which text this is: its id, and 96 bits of hashes, since rows without
+    an id (or with one id) hold different texts."""
+    text = F.coalesce(F.col(text), F.lit(""))
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("tag")]
 
 
 def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataFrame:
@@ -126,7 +132,7 @@ def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataF
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             ids = batch.column("doc").to_numpy()
-            crc = batch.column("crc").to_numpy()
+            crc, tag = batch.column("crc").to_numpy(), batch.column("tag").to_numpy()
             for r0, r1 in slices(offsets, STEP):
                 own, off = data[offsets[r0] : offsets[r1]], offsets[r0 : r1 + 1] - offsets[r0]
                 doc, a, b, trigger = phrases(own, off, weight, length, gram)
@@ -137,12 +143,12 @@ def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataF
                 phrase = range_hash(own, a, b + length - 1)
                 at = (a - off[doc]) << 32 | crc[r0 + doc]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(trigger), _long(phrase), pa.array(ids[r0 + doc]), pa.array(at), pa.array((b - a).astype(np.int32))],
-                    names=["trigger", "phrase", "doc", "at", "strings"],
+                    [_long(trigger), _long(phrase), pa.array(ids[r0 + doc]), pa.array(at), pa.array(tag[r0 + doc]), pa.array((b - a).astype(np.int32))],
+                    names=["trigger", "phrase", "doc", "at", "tag", "strings"],
                 )
 
     schema = "trigger long, n long" if only_triggers else f"trigger long, phrase long, {PLACES}, strings int"
-    return docs.select("doc", "crc", "text").mapInArrow(run, schema)
+    return docs.select("doc", "crc", "tag", "text").mapInArrow(run, schema)
 
 
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
@@ -179,23 +185,24 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     return rank[:size]
 
 
-def repeats_in_order(rows: list[tuple[int, int, bytes, int]], length: int) -> list[tuple[int, int, int]]:
-    """(doc, at, strings) ranges of strings that an earlier place holds too,
-    among phrases (doc, at, bytes, strings); ``at`` is that of the range."""
-    data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
-    sizes = np.array([len(r[2]) for r in rows])
+def repeats_in_order(rows: list[tuple[int, int, int, bytes, int]], length: int) -> list[tuple[int, int, int, int]]:
+    """(doc, at, tag, strings) ranges of strings that an earlier place holds
+    too, among phrases (doc, at, tag, bytes, strings); ``at`` is that of the range."""
+    data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+    sizes = np.array([len(r[3]) for r in rows])
     first = np.cumsum(sizes) - sizes
-    strings = np.array([r[3] for r in rows])
+    strings = np.array([r[4] for r in rows])
     which = np.repeat(np.arange(len(rows)), strings)
     shift = np.arange(len(which)) - np.repeat(np.cumsum(strings) - strings, strings)
     rank = suffix_ranks(data, length)[first[which] + shift]
     doc = np.array([r[0] for r in rows])[which]
     at = np.array([r[1] for r in rows])[which] + (shift << 32)
-    order = np.lexsort((at, doc, rank))
-    r, d, p = rank[order], doc[order], at[order]
+    tag = np.array([r[2] for r in rows])[which]
+    order = np.lexsort((tag, at, doc, rank))
+    r, d, p, g = rank[order], doc[order], at[order], tag[order]
     head = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
     lead = np.repeat(head, np.diff(np.append(head, len(r))))
-    late = (d != d[lead]) | (p != p[lead])
+    late = (d != d[lead]) | (p != p[lead]) | (g != g[lead])
     gone = np.zeros(len(r), bool)
     gone[order] = late
     hit = np.flatnonzero(gone)
@@ -203,26 +210,26 @@ def repeats_in_order(rows: list[tuple[int, int, bytes, int]], length: int) -> li
         return []
     cut = np.flatnonzero(np.append(True, (np.diff(hit) != 1) | (which[hit][1:] != which[hit][:-1])))
     run = np.diff(np.append(cut, len(hit)))
-    return list(zip(doc[hit[cut]].tolist(), at[hit[cut]].tolist(), run.tolist()))
+    return list(zip(doc[hit[cut]].tolist(), at[hit[cut]].tolist(), tag[hit[cut]].tolist(), run.tolist()))
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc, at, strings): runs of strings that start earlier elsewhere."""
+    """(doc, at, tag, strings): runs of strings that start earlier elsewhere."""
     texts = keyed(docs)
     counts = parse(texts, length, gram, True).groupBy("trigger").agg(F.sum("n").alias("n"))
     common = saved(counts.where("n > 1").select("trigger"), "triggers")
     some = saved(parse(texts, length, gram, False).join(common, "trigger", "left_semi"), "phrases")
-    place = F.struct("doc", "at")
+    place = F.struct("doc", "at", "tag")
     firsts = saved(some.groupBy("trigger", "phrase").agg(F.min(place).alias("first"), F.first("strings").alias("strings")), "dictionary")
-    later = some.join(firsts.select("trigger", "phrase", "first"), ["trigger", "phrase"]).where(place != F.col("first")).select("doc", "at", "strings")
+    later = some.join(firsts.select("trigger", "phrase", "first"), ["trigger", "phrase"]).where(place != F.col("first")).select("doc", "at", "tag", "strings")
 
     shared = firsts.groupBy("trigger").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    entries = firsts.join(shared, "trigger").select("trigger", "kinds", "first.doc", "first.at", "strings")
+    entries = firsts.join(shared, "trigger").select("trigger", "kinds", "first.doc", "first.at", "first.tag", "strings")
     # The bytes of these phrases, cut from the texts of their first places.
-    wanted = entries.withColumn("crc", F.col("at").bitwiseAND(0xFFFFFFFF)).groupBy("doc", "crc").agg(F.collect_list(F.struct("trigger", "kinds", "at", "strings")).alias("cuts"))
+    wanted = entries.withColumn("crc", F.col("at").bitwiseAND(0xFFFFFFFF)).groupBy("doc", "crc", "tag").agg(F.collect_list(F.struct("trigger", "kinds", "at", "strings")).alias("cuts"))
     start = F.shiftright(F.col("c.at"), 32).cast("int")
-    cut = texts.join(wanted, ["doc", "crc"]).select("doc", F.col("text").cast("binary").alias("raw"), F.explode("cuts").alias("c"))
-    cut = cut.select("c.trigger", "c.kinds", "doc", "c.at", "c.strings", F.substring("raw", start + 1, F.col("c.strings") + F.lit(length - 1)).alias("raw"))
+    cut = texts.join(wanted, ["doc", "crc", "tag"]).select("doc", "tag", F.col("text").cast("binary").alias("raw"), F.explode("cuts").alias("c"))
+    cut = cut.select("c.trigger", "c.kinds", "doc", "c.at", "tag", "c.strings", F.substring("raw", start + 1, F.col("c.strings") + F.lit(length - 1)).alias("raw"))
     entries = saved(cut, "entries")
 
     def sort(batches):
@@ -231,35 +238,35 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
         def emit():
             found = repeats_in_order(held, length)
-            cols = list(zip(*found)) if found else [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32()))], names=["doc", "at", "strings"])
+            cols = list(zip(*found)) if found else [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["doc", "at", "tag", "strings"])
 
         for batch in batches:
-            for t, doc, at, strings, raw in zip(*(batch.column(c).to_pylist() for c in ("trigger", "doc", "at", "strings", "raw"))):
+            for t, doc, at, tag, strings, raw in zip(*(batch.column(c).to_pylist() for c in ("trigger", "doc", "at", "tag", "strings", "raw"))):
                 if t != trigger and size >= CHUNK:
                     yield emit()
                     held, size = [], 0
                 trigger = t
-                held.append((doc, at, raw, strings))
+                held.append((doc, at, tag, raw, strings))
                 size += len(raw)
         if held:
             yield emit()
         release()
 
     cool = entries.where(F.col("kinds") <= HOT).repartition("trigger").sortWithinPartitions("trigger", "doc", "at")
-    ordered = cool.select("trigger", "doc", "at", "strings", "raw").mapInArrow(sort, f"{PLACES}, strings int")
+    ordered = cool.select("trigger", "doc", "at", "tag", "strings", "raw").mapInArrow(sort, f"{PLACES}, strings int")
 
     def strings_of(batches):
         for batch in batches:
-            for doc, at, strings, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "at", "strings", "raw"))):
+            for doc, at, tag, strings, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "at", "tag", "strings", "raw"))):
                 a = np.arange(strings)
                 data = np.frombuffer(raw, np.uint8)
                 one, two = (range_hash(data, a, a + length, seed) for seed in (7, 8))
-                yield pa.RecordBatch.from_arrays([_long(one), _long(two), pa.array(np.full(strings, doc)), pa.array(at + (a << 32))], names=["one", "two", "doc", "at"])
+                yield pa.RecordBatch.from_arrays([_long(one), _long(two), pa.array(np.full(strings, doc)), pa.array(at + (a << 32)), pa.array(np.full(strings, tag))], names=["one", "two", "doc", "at", "tag"])
 
-    hot = entries.where(F.col("kinds") > HOT).select("doc", "at", "strings", "raw").mapInArrow(strings_of, f"one long, two long, {PLACES}")
+    hot = entries.where(F.col("kinds") > HOT).select("doc", "at", "tag", "strings", "raw").mapInArrow(strings_of, f"one long, two long, {PLACES}")
     lead = hot.groupBy("one", "two").agg(F.min(place).alias("first"))
-    single = hot.join(lead, ["one", "two"]).where(place != F.col("first")).select("doc", "at", F.lit(1).alias("strings"))
+    single = hot.join(lead, ["one", "two"]).where(place != F.col("first")).select("doc", "at", "tag", F.lit(1).alias("strings"))
     return later.unionByName(ordered).unionByName(single)
 
 
@@ -268,8 +275,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
     remaining bytes), readable (string, the same without the halves of
     characters that a cut left), n_bytes, n_removed and n_spans."""
     found = repeated_ranges(docs, length, gram)
-    runs = found.groupBy("doc", F.col("at").bitwiseAND(0xFFFFFFFF).alias("crc")).agg(
-        F.collect_list(F.struct(F.shiftright("at", 32).alias("a"), (F.shiftright("at", 32) + F.col("strings") + (length - 1)).alias("b"))).alias("runs")
+    # Equal rows give the same runs: a set of them.
+    runs = found.groupBy("doc", F.col("at").bitwiseAND(0xFFFFFFFF).alias("crc"), "tag").agg(
+        F.collect_set(F.struct(F.shiftright("at", 32).alias("a"), (F.shiftright("at", 32) + F.col("strings") + (length - 1)).alias("b"))).alias("runs")
     )
 
     @F.arrow_udf("kept binary, readable string, n_bytes long, n_removed long, n_spans long")
@@ -300,8 +308,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
         return pa.StructArray.from_arrays(columns, names=["kept", "readable", "n_bytes", "n_removed", "n_spans"])
 
     # The place of a row joins its runs; the row itself passes through as one struct.
-    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("crc"))
-    joined = rows.join(runs, ["doc", "crc"], "left").select("row", strip(F.col("row.text"), "runs").alias(into))
+    rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", *_identity("row.doc_id", "row.text"))
+    joined = rows.join(runs, ["doc", "crc", "tag"], "left").select("row", strip(F.col("row.text"), "runs").alias(into))
     return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), into)
 
 

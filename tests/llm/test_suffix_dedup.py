@@ -74,3 +74,38 @@ def test_every_string_has_exactly_one_phrase():
     strings = np.concatenate([np.arange(x, y) for x, y in zip(a, b)])
     want = [offsets[d] + i for d, t in enumerate(texts) for i in range(max(len(t) - 99, 0))]
     assert strings.tolist() == want
+
+
+def colliding(one, two):
+    """Both texts with a tail that gives them one crc32."""
+    import zlib
+
+    rnd = random.Random(9)
+    tails = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(200_000)]
+    first, second = zlib.crc32(one.encode()), zlib.crc32(two.encode())
+    seen = {zlib.crc32(t.encode(), first): t for t in tails}
+    t = next(t for t in tails if zlib.crc32(t.encode(), second) in seen)
+    out = one + seen[zlib.crc32(t.encode(), second)], two + t
+    assert zlib.crc32(out[0].encode()) == zlib.crc32(out[1].encode())
+    return out
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+@pytest.mark.parametrize("size", [301, 150])
+def test_texts_of_one_id_and_one_crc(spark, doc_id, size):
+    """Null ids, or one id twice: texts are told apart by more than crc32."""
+    rnd = random.Random(3)
+    noise = lambda n: "".join(rnd.choices("abcdefgh", k=n))
+    repeat = noise(301)
+    a, b = colliding(repeat, noise(size))
+    docs = [(doc_id, a), (doc_id, b), (100, repeat), (101, "z" + repeat[:120] + noise(50) + repeat[150:])]
+    got = {(r.doc_id, r.text): r.repeats.n_removed for r in suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got[doc_id, a] == got[doc_id, b] == 0
+    assert got[100, repeat] == 301 and got[docs[3]] == 120 + 151
+
+
+def test_many_equal_rows_keep_one_list_of_runs(spark):
+    text = "".join(random.Random(1).choices("abcdefgh", k=400))
+    rows = [(1, text)] + [(2, text)] * 300
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.repeats.n_removed, r.repeats.n_spans) for r in out.collect()) == [(1, 0, 0)] + [(2, 400, 1)] * 300
