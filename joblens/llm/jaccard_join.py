@@ -6,12 +6,14 @@ step of a geometric band and they differ in at most d(band) shingles.
 
 * **Tiles.**  Within a band the hash space is cut into more than d parts; sets
   that link are equal on at least one part, so a tile is a band, a part and
-  the hash of the set's members in it.  A passage that many texts share makes
-  no hot tile: a part's other members differ.  Sets with so many empty parts
+  the hash of the set's members in it.  A tile of many members (a family of
+  near copies) is compared in blocks of ``BLOCK`` by as many tasks.  Sets with so many empty parts
   that an empty one could be the only match also use further cuts.
 * **Bounds.**  Each set carries a bitmap in which every member flips one
   hashed bit.  Bits that differ count members that differ, so bit counts
-  bound the overlap from above; only pairs that can still link go on.
+  bound the overlap from above; only pairs that can still link go on.  The
+  bound holds for every size; sets of ``WIDE_FROM`` members or more, whose
+  differences would fill the small bitmap, carry a wide one as well.
 * **Exact check.**  Sorted hash arrays are intersected.
 
 Equal sets are linked to the smallest doc_id that has the set, and it alone
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, slices, table, utf8
+from .common import release, saved, slices, table, utf8
 from .graph import components
 from .suffix_dedup import _mix, range_hash
 
@@ -239,17 +241,17 @@ def jaccard_join(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS
     good = signed.where("doc_id is not null and n > 0")
     best = F.max_by(F.struct("n", "one", "two", "bits", "wide"), F.struct("n", "one", "two")).alias("s")
     light = saved(good.groupBy("doc_id").agg(best), "sets")
-    # One shuffle of all tiles: those of a single document go where they arrive.
-    within = Window.partitionBy("tile")
-    every = good.select("doc_id", F.explode("tiles").alias("tile")).select("tile", "doc_id", F.min("doc_id").over(within).alias("head"), F.max("doc_id").over(within).alias("tail"))
-    shared = every.where("head <> tail").select("tile", "doc_id", "head").distinct()
-    # One document speaks for all that have its set: their tiles are the same.
+    # One document speaks for all that have its set and stands in tiles alone.
     identity = [F.col(f"s.{c}").alias(c) for c in ("n", "one", "two")]
     owners = light.select("doc_id", *identity)
     lead = owners.groupBy("n", "one", "two").agg(F.min("doc_id").alias("lead"))
     twins = saved(owners.join(lead, ["n", "one", "two"]).select("doc_id", "lead"), "twins")
     leads = twins.where("doc_id = lead").select("doc_id")
-    found = saved(shared.join(leads, "doc_id", "left_semi").select("tile", "doc_id", "head"), "tile-members")
+    # One shuffle of all tiles: those of a single document go where they arrive.
+    within = Window.partitionBy("tile")
+    every = good.join(leads, "doc_id", "left_semi").select("doc_id", F.explode("tiles").alias("tile"))
+    every = every.select("tile", "doc_id", F.min("doc_id").over(within).alias("head"), F.max("doc_id").over(within).alias("tail"))
+    found = saved(every.where("head <> tail").select("tile", "doc_id", "head").distinct(), "tile-members")
     # Tiles of the same members are one: a pair that agrees on many parts meets once.
     who = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"who{k}") for k in (1, 2)]
     tiles = found.groupBy("tile", "head").agg(F.count("*").alias("n"), *who).groupBy("n", "head", "who1", "who2").agg(F.min("tile").alias("tile"))
@@ -298,20 +300,92 @@ def _across(members: DataFrame, joined: DataFrame, light: DataFrame, seen: DataF
     """Untested pairs that share a tile, lie in different components and can
     link, with their place, best bound first, among those of a document and
     component.  One side lies outside the tile's largest component: a settled
-    tile costs nothing.  Tiles pair ids only; bitmaps join distinct pairs."""
+    tile costs nothing.  The bitmaps of a tile are compared block by block in
+    arrays; only pairs that the bounds allow become rows."""
     known = joined.select(F.col("id").alias("doc_id"), "component")
     placed = members.select("tile", "doc_id").join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = placed.groupBy("tile", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("tile").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1").select("tile", F.col("m.component").alias("main"))
-    full = saved(placed.join(main, "tile"), "open-tiles")
-    odd = full.where("component <> main").select("tile", F.col("doc_id").alias("p"), F.col("component").alias("pc"))
-    other = full.select("tile", F.col("doc_id").alias("q"), F.col("component").alias("qc"))
-    met = odd.join(other, "tile").where("pc <> qc").select("p", "q", "qc").distinct()
-    pairs = met.withColumns({"a": F.least("p", "q"), "b": F.greatest("p", "q")}).join(seen.select("a", "b"), ["a", "b"], "left_anti")
-    close = _with_sets(saved(pairs, "pairs"), light).where(_both(threshold))
-    gap = F.coalesce(differing("x", "y", "wide", WIDE_BITS), differing("x", "y", "bits", BITS))
+    main = sizes.groupBy("tile").agg(F.count("*").alias("kinds"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("m")).where("kinds > 1")
+    main = main.select("tile", F.col("m.component").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    # A member meets every block of its tile once: each pair of blocks is a task's unit.
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    full = placed.join(main, "tile").select("tile", "doc_id", "component", F.when(F.col("component") != F.col("main"), True).otherwise(False).alias("odd"), own.alias("block"), "blocks")
+    units = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component", "odd"
+    )
+    rows = units.join(light.select("doc_id", F.col("s.n").alias("n"), F.col("s.bits").alias("bits"), F.col("s.wide").alias("wide")), "doc_id")
+    dealt = rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "block", "doc_id")
+    close = dealt.select(*UNIT).mapInArrow(_comparer(threshold), "p long, q long, qc long, gap int").distinct()
+    close = close.withColumns({"a": F.least("p", "q"), "b": F.greatest("p", "q")}).join(seen.select("a", "b"), ["a", "b"], "left_anti")
     nearest = F.row_number().over(Window.partitionBy("p", "qc").orderBy("gap", "q"))
-    return close.select("a", "b", "p", "q", "qc", gap.alias("gap")).select("a", "b", nearest.alias("place"))
+    return close.select("a", "b", nearest.alias("place"))
+
+
+BLOCK = 2048  # members of a tile in one block
+UNIT = ("tile", "i", "j", "block", "doc_id", "component", "odd", "n", "bits", "wide")
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which each row of one matrix of bitmaps differs from each of the other."""
+    out = np.zeros((len(x), len(y)), np.int32)
+    for k in range(x.shape[1]):
+        out += np.bitwise_count(x[:, None, k] ^ y[None, :, k])
+    return out
+
+
+def _comparer(threshold: int):
+    """Batches of units (``UNIT``, in order) -> pairs (p, q, component of q,
+    differing bits) of different components that the bounds allow; p lies
+    outside the tile's largest component."""
+
+    def compare(unit: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(unit).combine_chunks()
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        block, ids, component, odd, n = (rows.column(c).to_numpy() for c in ("block", "doc_id", "component", "odd", "n"))
+        flat = lambda c, width: rows.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, width)
+        bits, wide = flat("bits", BITS // 64), flat("wide", WIDE_BITS // 64)
+        has_wide = rows.column("wide").combine_chunks().value_lengths().to_numpy() > 0
+        wide_at = np.cumsum(has_wide) - 1
+        left, right = np.flatnonzero((block == i) & odd), np.flatnonzero(block == j)
+        sides = [(left, right)] + ([(np.flatnonzero((block == j) & odd), np.flatnonzero(block == i))] if i != j else [])
+        for ps, qs in sides:
+            for at in range(0, len(ps), 128):
+                p = ps[at : at + 128]
+                apart = _apart(bits[p], bits[qs])
+                ok = (component[p][:, None] != component[qs][None, :]) & (apart * (100 + threshold) <= (n[p][:, None] + n[qs][None, :]) * (100 - threshold))
+                a, b = np.nonzero(ok)
+                gap = apart[a, b]
+                a, b = p[a], qs[b]
+                both = np.flatnonzero(has_wide[a] & has_wide[b])
+                if len(both):
+                    far = np.bitwise_count(wide[wide_at[a[both]]] ^ wide[wide_at[b[both]]]).sum(1, dtype=np.int32)
+                    gap[both] = far
+                    keep = np.ones(len(a), bool)
+                    keep[both] = far * (100 + threshold) <= (n[a[both]] + n[b[both]]) * (100 - threshold)
+                    a, b, gap = a[keep], b[keep], gap[keep]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(component[b]), pa.array(gap, pa.int32())], names=["p", "q", "qc", "gap"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("tile", "i", "j")])
+            cuts = np.append(np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1), batch.num_rows)
+            for x, y in zip(cuts, cuts[1:]):
+                key = tuple(keys[:, x])
+                if held and key != now:
+                    yield from compare(held)
+                    held = []
+                now = key
+                held.append(batch.slice(int(x), int(y - x)))
+        if held:
+            yield from compare(held)
+        release()
+
+    return run
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from brute import jaccard_join as brute
 from brute import shingle_set
 
@@ -80,3 +81,35 @@ def test_other_words_and_threshold_keep_tiles_few():
             own, other = (jaccard_join.tile_keys(s, high, differ) for s in (x, y))
             assert set(own.tolist()) & set(other.tolist())
             assert len(own) < 0.7 * size + 12
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_family_of_near_misses_in_blocks(spark, monkeypatch, block):
+    """A template family whose members mostly miss each other, in one block and in many."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(250):
+        words = base[:]
+        for at in rnd.sample(range(120), rnd.choice([0, 1, 2, 3, 6, 9])):
+            words[at] = f"x{rnd.randrange(10**6)}"
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for threshold, words in ((90, 3), (80, 5)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(df, threshold, words).collect()}
+        sets = {d: {tuple(t.split()[k : k + words]) for k in range(120 - words + 1)} for d, t in docs}
+        root = {d: d for d in sets}
+
+        def find(d):
+            while root[d] != d:
+                d = root[d]
+            return d
+
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b]) if a < b else 0
+                if both and 100 * both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+        assert got == {d: (len(s), find(d)) for d, s in sets.items()}
