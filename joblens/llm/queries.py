@@ -34,8 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard_join": jaccard_join.OP2_SQL,
         "op3_topk_search": topk_search.OP3_SQL,
         "op9_embedding_dedup": embedding_dedup.OP9_SQL,
-        "op11_conversation_repair": conversation.op11_conversation_repair,
-        "op12_piece_bpe": piece_bpe.op12_piece_bpe,
         "op11_conversation_repair": conversation.OP11_SQL,
         "op13_merkle_manifest": merkle.OP13_SQL,
     }

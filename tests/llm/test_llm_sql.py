@@ -18,3 +18,9 @@ def test_every_operator_is_registered():
     names = set(entry.queries())
     assert "pipeline" in names
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
+
+
+def test_sql_is_text():
+    import __spark_entry__ as entry
+
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
