@@ -10,8 +10,8 @@ literal array of pieces.
 
 Edge cases: null and empty texts have no ids and decode to empty bytes; very
 long pieces (a text without breaks) merge through a heap; repeated rows are
-encoded one by one; bytes that have no rank of their own raise an error;
-other columns pass through untouched.
+encoded one by one; bytes that have no rank of their own raise an error; a
+column that has the name of the output is replaced, all others pass through.
 """
 
 from __future__ import annotations

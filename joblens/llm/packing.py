@@ -3,9 +3,11 @@
 Pieces are dealt at random into groups of a bounded number of pieces.  Each
 group starts from best-fit decreasing; then underfull bins trade documents: a
 move, a one-for-one or a two-for-one exchange is made when it raises the sum
-of squared fills, which drains the emptiest bins until they disappear.  The
-underfull bins of all groups then meet in fewer groups, round after round,
-until one group holds what is left.  Only lengths travel, never texts.
+of squared fills, which drains the emptiest bins until they disappear.  All
+bins of a group are candidates of every trade, and a group ends when none is
+left.  The underfull bins of all groups, as wholes, are then dealt anew, round
+after round, until one group holds what is left or a round empties at most
+``least_gain`` of them.  Only lengths travel, never texts.
 
 Edge cases: a null or empty text is one piece holding only the end id; a
 document of exactly the capacity is one piece; repeated rows are packed as
@@ -16,7 +18,7 @@ are ignored.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from itertools import chain, combinations_with_replacement
 
 import numpy as np
 import pandas as pd
@@ -30,8 +32,8 @@ from .pieces import library_words, worker_encoder
 CAPACITY = 2048
 END_ID = 0
 GROUP = 16_384  # pieces packed together by one task
-OPEN_FILL = 0.97  # a bin below this share of the capacity is packed again
-SEARCH_STEPS = 20_000  # accepted or refused trades per group and round
+LEAST_GAIN = 0.001  # the rounds end with one that empties no more than this share of the bins
+NEVER = 1 << 60
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
 
@@ -83,120 +85,173 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
+class Live:
+    """Underfull bins, indexed by what a trade needs to know of them.
+
+    An item of size v in a bin of fill f is entered at its base f - v, the fill
+    without it; size 0 at base f stands for giving nothing back, a move.  One
+    bit set a base says which sizes are there, another says which bases are in
+    use, so the best trade is found among all bins without a walk over them.
+    """
+
+    def __init__(self, bins: list[list[int]], size: list[int], capacity: int):
+        self.bins, self.size, self.capacity = bins, size, capacity
+        self.fill = [sum(size[i] for i in b) for b in bins]
+        self.sizes, self.bases = [0] * (capacity + 1), 0
+        self.where: dict[tuple[int, int], set[int]] = {}
+        # Totals for which no bin of at least this fill takes part in a trade.
+        self.barren = np.full(2 * capacity + 1, NEVER)
+
+    def add(self, k: int) -> None:
+        fill = self.fill[k]
+        for v in {0, *(self.size[i] for i in self.bins[k])}:
+            base = fill - v
+            self.where.setdefault((base, v), set()).add(k)
+            self.sizes[base] |= 1 << v
+            self.bases |= 1 << base
+            self.barren[v + 1 : self.capacity - base + 1] = NEVER
+
+    def drop(self, k: int) -> None:
+        fill = self.fill[k]
+        for v in {0, *(self.size[i] for i in self.bins[k])}:
+            base = fill - v
+            held = self.where[base, v]
+            held.discard(k)
+            if not held:
+                del self.where[base, v]
+                self.sizes[base] &= ~(1 << v)
+                if not self.sizes[base]:
+                    self.bases &= ~(1 << base)
+
+    def taker(self, total: int, least: int) -> tuple[int, int] | None:
+        """(bin, size given back) of the trade that fills a bin of at least
+        ``least`` most with ``total``; among equals the one that drains most."""
+        if total > 2 * self.capacity or self.barren[total] <= least:
+            return None
+        top = self.capacity - total
+        bases = self.bases & ((1 << (top + 1)) - 1) if top >= 0 else 0
+        while bases:
+            base = bases.bit_length() - 1
+            low = max(least - base, 0)
+            if low >= total:
+                break
+            fits = (self.sizes[base] >> low) & ((1 << (total - low)) - 1)
+            if fits:
+                v = low + (fits & -fits).bit_length() - 1
+                return min(self.where[base, v]), v
+            bases &= ~(1 << base)
+        self.barren[total] = least
+        return None
+
+
+def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
     """Drain the emptiest bins by trades that raise the sum of squared fills.
 
-    The giving bin is the emptiest underfull one not yet tried, the taking bin
-    is at least as full, and each trade moves net length from the first to the
-    second, so the sum of squares rises and the search ends.  Passes repeat
-    while one of them traded.
+    Giving bins come by rising fill; one item, or two, go to a bin at least as
+    full, which gives nothing or one smaller item back.  Net length moves from
+    the emptier to the fuller bin, so the sum of squares rises with every trade
+    and the search ends: when a pass over all bins finds no trade, or when
+    there are as few bins as the total length allows.
     """
     size = sizes.tolist()
     fill_of = lambda b: sum(size[i] for i in b)
+    least = -(-sum(size) // capacity)
     done = [b for b in bins if fill_of(b) >= capacity]
-    live = dict(enumerate(b for b in bins if fill_of(b) < capacity))
+    live = [b for b in bins if fill_of(b) < capacity]
     traded = True
-    while traded and steps > 0:
+    while traded and len(done) + len(live) > least:
         traded = False
-        fills = {k: fill_of(b) for k, b in live.items()}
-        order = sorted((f, k) for k, f in fills.items())  # bins that can still take, by fill
-        while order and steps > 0:
-            _, giver = order.pop(0)
-            moved = True
-            while moved and live[giver] and steps > 0:
-                moved = False
-                for i in sorted(live[giver], key=lambda i: -size[i]):
-                    steps -= 1
-                    # Move: the fullest bin with enough room.
-                    at = bisect_right(order, (capacity - size[i], 1 << 60)) - 1
-                    if at >= 0 and size[i]:
-                        taker, out, back = order[at][1], [i], []
-                    else:
-                        taker, out, back = _exchange(live, fills, order, giver, i, size, capacity)
-                    if taker is None:
-                        continue
-                    del order[bisect_left(order, (fills[taker], taker))]
-                    live[giver] = [x for x in live[giver] if x not in out] + back
-                    live[taker] = [x for x in live[taker] if x not in back] + out
-                    net = fill_of(out) - fill_of(back)
-                    fills[giver] -= net
-                    fills[taker] += net
-                    if fills[taker] < capacity:
-                        insort(order, (fills[taker], taker))
-                    else:
-                        done.append(live.pop(taker))
-                    moved = traded = True
-                    break
-            if not live[giver]:
-                del live[giver]
-    return done + list(live.values())
-
-
-def _exchange(live, fills, order, giver, i, size, capacity, look: int = 64):
-    """One for one: item i against a smaller item of a fuller bin.  Two for
-    one: items i and j of the giver against one smaller than both together."""
-    gives = [([i], size[i])] + [([i, j], size[i] + size[j]) for j in live[giver] if j != i][:8]
-    for out, total in gives:
-        for fill, taker in reversed(order[-look:]):
-            if fill < fills[giver]:
-                break
-            room = capacity - fill
-            best = None
-            for x in live[taker]:
-                if total - room <= size[x] < total and (best is None or size[x] < size[best]):
-                    best = x
-            if best is not None:
-                return taker, out, [best]
-    return None, [], []
-
-
-def pack_group(sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    bins = best_fit_decreasing(sizes, capacity)
+        now = Live(live, size, capacity)
+        order = sorted(range(len(live)), key=lambda k: (now.fill[k], k))
+        for k in order:
+            now.add(k)
+        for giver, after in zip(order, [*order[1:], None]):
+            before = now.fill[giver]
+            if before >= capacity:  # filled up as a taker
+                continue
+            now.drop(giver)
+            while trade := _trade(now, giver):
+                taker, out, back = trade
+                now.drop(taker)
+                swap = [next(i for i in now.bins[taker] if size[i] == back)] if back else []
+                now.bins[giver] = [i for i in now.bins[giver] if i not in out] + swap
+                now.bins[taker] = [i for i in now.bins[taker] if i not in swap] + out
+                net = fill_of(out) - back
+                now.fill[giver] -= net
+                now.fill[taker] += net
+                if now.fill[taker] < capacity:
+                    now.add(taker)
+                traded = True
+            # Later bins are at least as full; only an equal one can still give to this one.
+            if after is not None and now.fill[giver] == before == now.fill[after]:
+                now.add(giver)
+        done += [b for b, f in zip(now.bins, now.fill) if f >= capacity]
+        live = [b for b, f in zip(now.bins, now.fill) if b and f < capacity]
+    return done + live
+
+
+def _trade(now: Live, giver: int) -> tuple[int, list[int], int] | None:
+    """The first trade of a giving bin: (taker, items given, size given back)."""
+    of: dict[int, list[int]] = {}  # items by size: equal ones trade alike
+    for i in now.bins[giver]:
+        if now.size[i]:
+            of.setdefault(now.size[i], []).append(i)
+    sizes = sorted(of, reverse=True)
+    twos = ((a, b) for a, b in combinations_with_replacement(sizes, 2) if a != b or len(of[a]) > 1)
+    for given in chain(((a,) for a in sizes), twos):
+        if found := now.taker(sum(given), now.fill[giver]):
+            out = of[given[0]][:2] if len(given) == 2 and given[0] == given[1] else [of[a][0] for a in given]
+            return found[0], out, found[1]
+    return None
+
+
+def pack_group(sizes: np.ndarray, capacity: int, bins: list[list[int]] | None = None) -> list[list[int]]:
+    """Best-fit decreasing, or the bins at hand if those are no more, and the search."""
+    fresh = best_fit_decreasing(sizes, capacity)
+    if bins is None or len(fresh) < len(bins):
+        bins = fresh
     if len(bins) > -(-int(sizes.sum()) // capacity):
         bins = local_search(bins, sizes, capacity)
     return bins
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, least_gain: float = LEAST_GAIN) -> DataFrame:
     """sequence_id and offset for every piece (a written table with ``row``)."""
     schema = "row long, length long, sequence_id long, offset long, fill long"
 
-    def pack_in(round_no: int):
-        def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("row", ignore_index=True)
-            sizes = pdf["length"].to_numpy(np.int64)
-            bins = pack_group(sizes, capacity)
-            seq, off, fill = (np.zeros(len(pdf), np.int64) for _ in range(3))
-            # A bin is named by its round and its smallest row, which no other bin holds.
-            for b in bins:
-                b = np.array(sorted(b))
-                seq[b] = pdf["row"].to_numpy()[b[0]] * 64 + round_no
-                off[b] = np.cumsum(sizes[b]) - sizes[b]
-                fill[b] = sizes[b].sum()
-            return pd.DataFrame({"row": pdf["row"], "length": sizes, "sequence_id": seq, "offset": off, "fill": fill})
-
-        return pack
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row", ignore_index=True)
+        sizes, rows = pdf["length"].to_numpy(np.int64), pdf["row"].to_numpy()
+        held = None if pdf["sequence_id"].isna().any() else [b.tolist() for b in pdf.groupby("sequence_id").indices.values()]
+        seq, off, fill = (np.zeros(len(pdf), np.int64) for _ in range(3))
+        # A bin is named by its smallest row, which no other bin holds.
+        for b in pack_group(sizes, capacity, held):
+            b = np.array(sorted(b))
+            seq[b] = rows[b[0]]
+            off[b] = np.cumsum(sizes[b]) - sizes[b]
+            fill[b] = sizes[b].sum()
+        return pd.DataFrame({"row": rows, "length": sizes, "sequence_id": seq, "offset": off, "fill": fill})
 
     items = pieces.select("row", "length")
-    whole = items.where(F.col("length") >= capacity).select("row", (F.col("row") * 64 + 63).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    placed, todo, round_no = whole, items.where(F.col("length") < capacity), 0
-    n = todo.count()
+    whole = items.where(F.col("length") >= capacity).select("row", F.col("row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    place = ("row", "sequence_id", "offset")
+    placed = whole
+    todo = items.where(F.col("length") < capacity).withColumn("sequence_id", F.lit(None).cast("long"))
+    n, bins, round_no = todo.count(), None, 0
     while n:
-        groups = max(1, -(-n // group))
-        dealt = todo.select("row", "length", F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(groups)).alias("deal"))
-        result = saved(dealt.groupBy("deal").applyInPandas(pack_in(round_no), schema), "packed")
-        last = groups == 1 or round_no == 60
-        open_bin = F.lit(False) if last else F.col("fill") < int(OPEN_FILL * capacity)
-        placed = placed.unionByName(result.where(~open_bin).select("row", "sequence_id", "offset"))
-        if last:
-            break
-        todo = result.where(open_bin).select("row", "length")
-        left = todo.count()
-        # Groups that stay mostly open gain nothing from another deal.
-        if left > 0.8 * n:
-            placed = placed.unionByName(result.where(open_bin).select("row", "sequence_id", "offset"))
+        # Pieces are dealt one by one at first, afterwards bins as wholes.
+        groups = -(-n // group)
+        deal = F.pmod(F.xxhash64(F.coalesce("sequence_id", "row"), F.lit(round_no)), F.lit(groups))
+        result = saved(todo.withColumn("deal", deal).groupBy("deal").applyInPandas(pack, schema), "packed")
+        open_bins = result.where(F.col("fill") < capacity)
+        heads = F.count(F.when(F.col("row") == F.col("sequence_id"), 1))
+        left, now, full = result.select(F.count(F.when(F.col("fill") < capacity, 1)), heads, F.count(F.when((F.col("row") == F.col("sequence_id")) & (F.col("fill") >= capacity), 1))).first()
+        # A round of all groups that empties next to no bin is the last pass.
+        if groups == 1 or bins is not None and bins - now <= least_gain * bins:
+            placed = placed.unionByName(result.select(*place))
             break
-        n, round_no = left, round_no + 1
+        placed = placed.unionByName(result.where(F.col("fill") >= capacity).select(*place))
+        todo, n, bins, round_no = open_bins.select("row", "length", "sequence_id"), left, now - full, round_no + 1
     return pieces.join(placed, "row").drop("row")
 
 

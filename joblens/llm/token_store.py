@@ -138,8 +138,15 @@ class ShardReader:
                     yield doc_id, ids
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark gives it: one without a scheme lies in
+    the default file system of the cluster, not on the disk of an executor."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def open_store(path: str):
-    """(file system, path in it) of a shared folder, local or remote."""
+    """(file system, path in it) of a qualified shared folder, local or remote."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path)
@@ -152,6 +159,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
     leaves an unnamed file and never a wrong one.  ``added`` gives the added
     tokens of the tokenizer file their own ids, as the library does on whole
     texts; without it they are text like any other."""
+    path = qualified(docs.sparkSession, path)
 
     def write(batches):
         enc = worker_encoder("library", tokenizer, library_words, added)
@@ -195,6 +203,7 @@ def read_store(spark: SparkSession, path: str, wanted: list[int] | None = None,
     """Documents of a store: doc_id, start, n_tokens, ids_crc32 and, on
     request, the ids.  ``wanted`` opens only the frames that can hold them
     (``start`` is then null: the documents between are not read)."""
+    path = qualified(spark, path)
     pick = None if wanted is None else set(wanted)
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
     fields += [("ids", pa.list_(pa.int64()))] if with_ids else []

@@ -113,9 +113,15 @@ def test_frames_stand_alone_and_carry_checksums():
         list(token_store.ShardReader(io.BytesIO(bytes(bad))).documents())
 
 
+def test_store_paths_are_those_of_spark(spark, tmp_path):
+    assert token_store.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert token_store.qualified(spark, f"file://{tmp_path}") == f"file:{tmp_path}"
+    assert token_store.open_store(f"file:{tmp_path}")[1] == str(tmp_path)
+
+
 def test_bpe_equals_the_public_library_and_decodes(spark, public):
     rows = [(i, t, 7) for i, t in enumerate(texts())]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids int").drop("ids").repartition(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int").repartition(3)
     coded = byte_bpe.encode(df, RANKS).withColumn("back", byte_bpe.decoded(F.col("ids"), RANKS))
     for r in coded.collect():
         assert list(r.ids) == public.encode_ordinary(r.text or "")
@@ -215,6 +221,49 @@ def test_an_exchange_saves_a_bin():
     assert len(packing.local_search([[0, 1], [2, 3], [4]], sizes, 100)) == 2  # 12 and 18 against 25
 
 
+def trades_left(bins, sizes, capacity):
+    """Legal trades of a packing, by plain enumeration of bins and items."""
+    fills = [int(sum(sizes[i] for i in b)) for b in bins]
+    for g, f in enumerate(fills):
+        outs = [int(sizes[i]) for i in bins[g]]
+        outs += [a + b for k, a in enumerate(outs) for b in outs[k + 1 :]]
+        for t, room in enumerate(capacity - x for x in fills):
+            if t != g and f <= fills[t] < capacity:
+                backs = [0, *(int(sizes[i]) for i in bins[t])]
+                yield from ((g, t, out, back) for out in outs for back in backs if 0 < out - back <= room)
+
+
+@pytest.mark.parametrize("low,high,n,capacity", [(20, 50, 60, 100), (1, 60, 80, 100), (30, 70, 90, 128), (5, 6, 40, 17)])
+def test_the_search_ends_only_when_no_trade_is_left(low, high, n, capacity):
+    for seed in range(10):
+        sizes = np.random.default_rng(seed).integers(low, high, n)
+        out = packing.local_search(packing.best_fit_decreasing(sizes, capacity), sizes, capacity)
+        assert sorted(i for b in out for i in b) == list(range(n))
+        assert len(out) == -(-int(sizes.sum()) // capacity) or not list(trades_left(out, sizes, capacity))
+
+
+def test_bins_of_middling_pieces_are_emptied():
+    sizes = np.random.default_rng(1).integers(300, 1000, 3000)
+    start = packing.best_fit_decreasing(sizes, 2048)
+    assert len(start) == 998 and len(packing.local_search(start, sizes, 2048)) <= 988
+
+
+def test_rounds_of_bins_come_near_one_group(spark):
+    from joblens.llm.common import saved
+
+    sizes = np.random.default_rng(1).integers(300, 1000, 3000)
+    pieces = saved(spark.createDataFrame([(k, int(s)) for k, s in enumerate(sizes)], "row long, length long"), "pieces")
+    got = packing.pack_pieces(pieces.withColumn("doc_id", F.col("row")), group=500).collect()
+    spans = defaultdict(list)
+    for r in got:
+        assert r.length == sizes[r.doc_id]
+        spans[r.sequence_id].append((r.offset, r.length))
+    for own in spans.values():
+        own.sort()
+        assert [a for a, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1]] and sum(n for _, n in own) <= 2048
+    assert len(got) == 3000 and len(spans) < 998
+
+
 END = "<|endoftext|>"
 MARKED = [END, END * 2, f"a{END}b", f"x {END}  y", f"  {END}", f"a  {END}'s\n", END[:-1], END[4:], f"<|endof{END}text|>", f"é{END}漢 \x1c{END}", f"{END} " * 900]
 
