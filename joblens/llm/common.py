@@ -40,6 +40,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True where crc32 of the decimal doc_id leaves the held-out remainder (null id: False)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -15,7 +15,7 @@ so a group of copies costs rows in proportion to its size.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label, link with nothing and are their own
-component; equal vectors of one label link; vectors of different lengths
+component; labels may be numbers or texts; equal vectors of one label link; vectors of different lengths
 never link; a repeated vec_id counts each row as a vector and reports each
 row; other columns are ignored; an empty table gives an empty result.
 """
@@ -157,7 +157,7 @@ def _compare(classes: DataFrame, axes: np.ndarray, threshold: float, block: int)
                 at = part.column("lead").to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([part.column("label")[0].as_py()], pa.int64()), pa.array([float(at.min())]), pa.array([float(at.max())]),
+                        pa.array([part.column("label")[0].as_py()], pa.string()), pa.array([float(at.min())]), pa.array([float(at.max())]),
                         pa.array([part.column("cls").to_numpy().astype("<i8").tobytes()]), pa.array([part.column("members").to_numpy().astype("<i8").tobytes()]),
                         pa.array([matrix(part.column("embedding").combine_chunks()).astype("<f8").tobytes()]),
                     ],
@@ -165,8 +165,8 @@ def _compare(classes: DataFrame, axes: np.ndarray, threshold: float, block: int)
                 )
 
         for batch in batches:
-            labels = batch.column("label").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)]
+            labels = batch.column("label").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), len(labels)]
             for a, b in zip(cuts, cuts[1:]):
                 part = batch.slice(a, b - a)
                 if held and held[0].column("label")[0] != part.column("label")[0]:
@@ -182,9 +182,9 @@ def _compare(classes: DataFrame, axes: np.ndarray, threshold: float, block: int)
     schema = classes.select("label", "embedding", "cls", "members").schema.add("lead", "double")
     ordered = (
         classes.select("label", "embedding", "cls", "members").mapInArrow(leading, schema)
-        .withColumn("label", F.col("label").cast("long")).repartitionByRange("label", "lead", "cls").sortWithinPartitions("label", "lead", "cls")
+        .withColumn("label", F.col("label").cast("string")).repartitionByRange("label", "lead", "cls").sortWithinPartitions("label", "lead", "cls")
     )
-    blocks = ordered.mapInArrow(packed, "label long, low double, high double, ids binary, members binary, vectors binary")
+    blocks = ordered.mapInArrow(packed, "label string, low double, high double, ids binary, members binary, vectors binary")
     blocks = saved(blocks.withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
     # |x - y|^2 = 2 - 2 cos bounds the gap of one coordinate of linked unit vectors.
     gap = float(np.sqrt(max(2 - 2 * threshold, 0))) + 1e-6

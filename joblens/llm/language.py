@@ -10,7 +10,8 @@ Runs of non-letters count as one blank; letters are lower-cased.
 Edge cases: a null text or one without any letter is ``und`` with score 0; ties
 go to the language that sorts first; with no training rows every text is
 ``und``; very long texts are bundled whole; repeated rows are predicted one
-by one; other columns pass through untouched.
+by one; columns that have the names of the output are replaced, all others
+pass through untouched.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, release, slices, table, utf8
+from .common import free_name, held_out, release, slices, table, utf8
 from .pieces import LETTER, class_table, code_points
 from .sampling import bounded_share
 
@@ -141,8 +142,9 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
         release()
         return pa.StructArray.from_arrays([pa.array(best_of, pa.string()), pa.array(score)], names=["lang_pred", "score"])
 
-    found = docs.withColumn("_found", predicted(F.col("text")))
-    return found.withColumn(names_out[0], F.col("_found.lang_pred")).withColumn(names_out[1], F.col("_found.score")).drop("_found")
+    own = free_name(docs, "_found")
+    found = docs.withColumn(own, predicted(F.col("text")))
+    return found.withColumn(names_out[0], F.col(own)["lang_pred"]).withColumn(names_out[1], F.col(own)["score"]).drop(own)
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,7 +273,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into: str = "repeats") -> DataFrame:
     """``docs`` with one more column ``into``: a struct of kept (binary, the
     remaining bytes), readable (string, the same without the halves of
-    characters that a cut left), n_bytes, n_removed and n_spans."""
+    characters that a cut left), n_bytes, n_removed and n_spans.  A column that
+    has its name, in any case of letters, is replaced."""
     found = repeated_ranges(docs, length, gram)
     # Equal rows give the same runs: a set of them.
     runs = found.groupBy("doc", F.col("at").bitwiseAND(0xFFFFFFFF).alias("crc"), "tag").agg(
@@ -310,7 +311,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
     # The place of a row joins its runs; the row itself passes through as one struct.
     rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", *_identity("row.doc_id", "row.text"))
     joined = rows.join(runs, ["doc", "crc", "tag"], "left").select("row", strip(F.col("row.text"), "runs").alias(into))
-    return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), into)
+    return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() != into.lower()), into)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Toxicity, quality and language: held-out accuracy and edge rows."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -136,3 +137,25 @@ def test_bundles_are_sums_of_bound_letters():
     text = " ab c "
     want = sum(np.prod([np.roll(letters.vector(ord(c)), k) for k, c in enumerate(text[i : i + 3])], axis=0) for i in range(len(text) - 2))
     assert np.array_equal(v[0], want) and not v[1].any()
+
+
+def test_predictions_equal_a_plain_statement(spark):
+    rows = tongues(spark, 80)
+    profiles = language.train(spark.createDataFrame([(d, t, lang) for d, t, lang, _ in rows], "doc_id long, text string, lang string"), dimensions=128)
+    letters = language.Letters(128)
+
+    def plain(text):
+        chars = " " + re.sub("[^a-zà-öø-ÿ]+", " ", text.lower()).strip() + " "
+        total = np.zeros(128)
+        for i in range(len(chars) - 2):
+            total += np.prod([np.roll(letters.vector(ord(c)).astype(int), k) for k, c in enumerate(chars[i : i + 3])], axis=0)
+        cosine = {n: float(total @ p) / np.linalg.norm(total) / np.linalg.norm(p) for n, p in profiles.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        return best, min(max(cosine[best], 0), 1)
+
+    df = spark.createDataFrame([(d, t, "kept") for d, t, _, _ in rows], "doc_id long, text string, _found string")
+    got = language.predict(df, profiles, dimensions=128).collect()
+    assert {r._found for r in got} == {"kept"}
+    for r in got:
+        want = plain(r.text)
+        assert r.lang_pred == want[0] and abs(r.score - want[1]) < 1e-5

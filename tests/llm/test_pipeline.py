@@ -71,6 +71,29 @@ def test_near_duplicates_are_of_five_words_and_four_fifths(spark, docs):
     assert rows(kept.where("doc_id is not null")) == Counter(r for r in every if reach[r[0]] == r[0])
 
 
+def test_one_row_of_equal_rows_stays(spark, docs):
+    cols = [f.name for f in docs.schema]
+    row = lambda d, t, source="x": tuple({"doc_id": d, "text": t, "lang": "en", "source": source, "n_chars": 1}[c] for c in cols)
+    copies = [row(9200, "one row of these three", s) for s in "cab"] + [row(9200, "another text of this id")]
+    copies += [row(None, "no id but a text")] * 2 + [row(None, None)] * 2 + [row(9201, None)] * 2 + [row(9202, "")] * 2
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(copies, docs.schema).repartition(4), SF).collect()
+    got = Counter((r.doc_id, r.text) for r in kept)
+    assert got == Counter({(r[cols.index("doc_id")], r[cols.index("text")]) for r in copies})
+    assert [r.source for r in kept if r.text == "one row of these three"] == ["a"]
+
+
+def test_columns_with_the_names_used_inside_go_along(spark, docs):
+    names = ["_found", "_REPEATS", "_key", "Toxic_Score", "LANG_PRED", "Lang_score", "row", "runs", "crc", "tag", "doc", "ids", "tiles"]
+    wide = docs.select("*", *(F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out, plain = stage(spark, wide, SF), stage(spark, docs, SF)
+        if name == "packing":
+            assert sorted(map(str, out.drop("sequence_id", "offset").collect())) == sorted(map(str, plain.drop("sequence_id", "offset").collect()))
+        else:
+            assert out.columns == wide.columns and rows(out) == rows(plain)
+            assert all(r[n] == f"{n}:{'-' if r.doc_id is None else r.doc_id}" for r in out.collect() for n in names)
+
+
 def test_repeats_are_cut(spark, docs):
     cut = corpus_pipeline.cut_repeats(spark, docs, SF)
     assert cut.columns == docs.columns and cut.schema["n_chars"].dataType == docs.schema["n_chars"].dataType

@@ -92,6 +92,14 @@ def test_near_duplicates_repeated_ids_and_empty(spark):
     assert near(spark, [(4, None, None, None)]) == [(4, 0, 4, True)]
 
 
+def test_labels_may_be_texts(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (np.ones(8) + rng.normal(size=8) * 0.2).tolist(), "ab é"[i % 4] * (i % 3 + 1), "x") for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, block string").repartition(3)
+    got = embedding_dedup.near_duplicates(df, block=4).collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected(rows)
+
+
 def test_bounds_drop_no_pair():
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 64))
