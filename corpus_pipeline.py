@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joblens.llm import jaccard_join, language, packing, suffix_dedup, toxicity
-from joblens.llm.common import saved, table
+from joblens.llm.common import free_name, saved, table
 
 #: Cosine that chance reaches about once in six times in this many dimensions;
 #: a text below it has no language to speak of.
@@ -23,47 +23,53 @@ LEAST_COSINE = language.DIMENSIONS**-0.5
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` does not have."""
-    while name in docs.columns:
-        name += "_"
-    return name
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity threshold."""
+    """Documents that score below the toxicity threshold.  Null and empty texts
+    are scored like others; equal rows fare alike; without labels all stay."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    score = _free(docs, "toxic_score")
+    score = free_name(docs, "toxic_score")
     return toxicity.score(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages: those without letters, or no
     closer to any language than chance, go."""
-    lang, score = _free(docs, "lang_pred"), _free(docs, "lang_score")
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = language.predict(docs, language.train(docs), names_out=(lang, score))
     return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_COSINE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every component of linked documents; rows with a
-    null doc_id and texts without words stay."""
+    """The smallest doc_id of every component of linked documents, and one row
+    of each doc_id and text: of rows equal in both (nulls count as equal) the
+    one that comes first as JSON stays.  Other rows with a null doc_id, and
+    texts without words, stay."""
     found = jaccard_join.jaccard_join(docs, NEAR_PERCENT, NEAR_WORDS)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = saved(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Only rows whose key repeats are compared by their texts.
+    key = free_name(docs, "_key")
+    kept = kept.withColumn(key, F.xxhash64("doc_id", "text"))
+    many = saved(docs.groupBy(F.xxhash64("doc_id", "text").alias(key)).count().where("count > 1").select(key), "copies")
+    row = F.struct(*docs.columns)
+    one = kept.join(many, key, "left_semi").groupBy("doc_id", "text").agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return kept.join(many, key, "left_anti").select(*docs.columns).unionByName(one.select("row.*"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that start earlier elsewhere; a null text
     stays null, and n_chars counts what is left."""
-    cut = suffix_dedup.remove_repeats(docs, into="_repeats")
-    text = F.when(F.col("text").isNotNull(), F.col("_repeats.readable"))
+    into = free_name(docs, "_repeats")
+    cut = suffix_dedup.remove_repeats(docs, into=into)
+    text = F.when(F.col("text").isNotNull(), F.col(into)["readable"])
     columns = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return cut.withColumns(columns).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    """Pieces of all documents and their places in sequences of 2048 tokens.  A
+    null or empty text is one piece with the end id alone; equal rows are
+    packed each; without documents there are no pieces."""
     return packing.pack_pieces(saved(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True), "pieces"))
 
 
@@ -80,7 +86,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``, each written and read again."""
+    """All stages in order over ``documents``, each written and read again.
+    Extra columns go along until the last stage, whatever their names; an empty
+    table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
