@@ -1,11 +1,17 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
-Candidates are dealt into shards of a bounded size; each shard becomes one row
-that holds its ball tree.  Queries travel in blocks.  A block first searches
-one shard, whose k-th best scores are true lower bounds; then it visits the
-other shards in order of the shards, carrying the k-th scores along.  In a
-tree, nodes are ordered by the upper bound q.c + |q| r of their inner
-products, and a node no query can still use is skipped with all below it.
+A coarse tree of planes, fitted on a bounded sample, gives every row a cell of
+like vectors, and a cell is dealt by row number into shards of a bounded
+size, so a group of copies is only more shards.  Each
+shard becomes one row that holds its ball tree.  Queries travel in blocks cut
+the same way.  The roots of the shards (centre and radius, no vectors) form
+small directories.  A block first searches the shard whose centre promises
+most, whose k-th best scores are true lower bounds.  Then it is held against
+the directories, and only shards whose root bound q.c + |q| r reaches some
+query's k-th score are joined with the block; they are visited carrying the
+k-th scores along.  In a tree, nodes are ordered by the same bound, and a node
+no query can still use is skipped with all below it.  The sample decides only
+which vectors lie together: every row stands in a shard.
 
 Vectors are integers (components scaled and floored), so scores are exact.
 
@@ -24,8 +30,10 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import saved, table
 
@@ -33,6 +41,9 @@ K, SCALE, QUERY_EVERY = 5, 256, 50
 SHARD = 8192  # candidates in a shard
 QUERY_BLOCK = 512
 LEAF = 128
+CELLS = 256  # cells of the coarse tree, at most
+SAMPLE = 16384  # about so many rows fit the coarse tree
+DIRECTORY = 256  # shard roots in a directory
 EXACT = float(1 << 52)  # sums below this are exact in double precision
 LONG = (1 << 63) - 1
 
@@ -140,72 +151,219 @@ def search(q: np.ndarray, q_ids: np.ndarray, tree, x: np.ndarray, x_ids: np.ndar
             best.add(rows[some], np.where(useful[some], score[some], -LONG - 1), np.where(useful[some], x_ids[own][None, :], LONG))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score) over quantized frames (vec_id, v, dims)."""
-    spark = vectors.sparkSession
-    data, asked = saved(vectors, "vectors"), saved(queries, "queries")
-    n_shards = max(1, -(-data.count() // shard))
-    n_blocks = max(1, -(-asked.count() // query_block))
+def coarse_tree(x: np.ndarray, cells: int = CELLS) -> list[tuple[np.ndarray, float, int, int]]:
+    """Planes (direction, cut, left, right) over a sample; a negative child
+    -1 - c is cell c.  The cell with the largest sum of squared distances from
+    its centre is cut next, halfway between its far ends, until there are
+    ``cells`` or all vectors of a cell are equal."""
+    planes: list = []
+    open_cells: list = []
+    n_cells = offers = 0
+
+    def offer(rows: np.ndarray, parent: int, side: int) -> None:
+        nonlocal offers
+        offers += 1
+        own = x[rows]
+        d = ((own - own.mean(0)) ** 2).sum(1)
+        heapq.heappush(open_cells, (-float(np.nan_to_num(d.sum())), offers, rows, parent, side, own[d.argmax()]))
+
+    if len(x):
+        offer(np.arange(len(x)), -1, 0)
+    done = []
+    while open_cells:
+        _, _, rows, parent, at, far = heapq.heappop(open_cells)
+        own = x[rows]
+        other = own[((own - far) ** 2).sum(1).argmax()]
+        direction = far - other
+        cut = float((far + other) @ direction / 2)
+        low = own @ direction < cut
+        if len(done) + len(open_cells) + 1 >= cells or not low.any() or low.all():
+            done.append((parent, at))
+            continue
+        here = len(planes)
+        planes.append([direction, cut, 0, 0])
+        if parent >= 0:
+            planes[parent][at] = here
+        offer(rows[low], here, 2)
+        offer(rows[~low], here, 3)
+    for parent, at in done:
+        if parent >= 0:
+            planes[parent][at] = -1 - n_cells
+        n_cells += 1
+    return [tuple(p) for p in planes]
+
+
+def cell_of(x: np.ndarray, planes: list) -> np.ndarray:
+    """Cell of every row."""
+    cell = np.zeros(len(x), np.int64)
+    todo = [(0, np.arange(len(x)))] if planes else []
+    while todo:
+        at, rows = todo.pop()
+        if at < 0:
+            cell[rows] = -1 - at
+            continue
+        direction, cut, left, right = planes[at]
+        low = x[rows] @ direction < cut
+        todo += [(left, rows[low]), (right, rows[~low])]
+    return cell
 
-    def pack(dealt: DataFrame, name: str, n: int, with_tree: bool) -> DataFrame:
-        """One row per group and vector length: ids, components and the tree."""
-        schema = f"{name} long, dims int, ids binary, v binary, nodes binary, centres binary, radii binary"
+
+def roots_reached(q: np.ndarray, kth: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """True for balls in which some query of a block can still find a score of at least its k-th."""
+    bound = q @ centres.T + np.sqrt((q * q).sum(1))[:, None] * radii[None, :]
+    bound += 1e-9 * (np.abs(bound) + 1)
+    return ~(bound < kth[:, None]).all(0)
+
+
+def _components(column: pa.Array, dims: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _celled(rows: DataFrame, samples: dict[int, np.ndarray], cells: int) -> DataFrame:
+    """Rows with their cell; lengths that the sample has not seen are cell 0."""
+    trees = {d: coarse_tree(x, min(CELLS, cells)) for d, x in samples.items()}
+
+    def run(batches):
+        for batch in batches:
+            dims = batch.column("dims").to_numpy()
+            cell = np.zeros(len(dims), np.int64)
+            for d in np.unique(dims):
+                own = np.flatnonzero(dims == d)
+                cell[own] = cell_of(_components(batch.column("v").take(pa.array(own)), int(d)), trees.get(int(d), []))
+            yield batch.append_column("cell", pa.array(cell))
+
+    return rows.mapInArrow(run, StructType([*rows.schema, StructField("cell", LongType())]))
+
+
+class Pieces:
+    """Shards, query blocks and directories of one search, as written tables."""
+
+    def __init__(self, vectors: DataFrame, queries: DataFrame, shard: int = SHARD, query_block: int = QUERY_BLOCK):
+        n = max(1, vectors.count())
+        # Chosen by row number: repeats of one vec_id cannot swell the sample.
+        dice = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+        self.n = n
+        sample = vectors.where(dice <= int((1 << 30) * min(1.0, SAMPLE / n))).select("dims", "v").toArrow()
+        samples = {}
+        for d in sample.column("dims").unique().to_pylist():
+            own = sample.filter(pa.compute.equal(sample.column("dims"), d)).column("v").combine_chunks()
+            samples[d] = _components(own, d)
+        self.lengths = list(samples)
+        self.shards = saved(self._pack(saved(_celled(vectors, samples, -(-n // shard)), "vectors"), "shard", shard, True), "shards")
+        m = max(1, queries.count())
+        blocks = self._pack(saved(_celled(queries, samples, -(-m // query_block)), "queries"), "block", query_block, False)
+        self.blocks = saved(blocks.select("block", "dims", F.col("ids").alias("q_ids"), F.col("v").alias("q")), "query-blocks")
+        self.n_directories = max(1, -(-self.shards.count() // DIRECTORY))
+        number = F.pmod(F.xxhash64("shard"), F.lit(self.n_directories))
+        roots = self.shards.groupBy(number.alias("directory"), "dims").agg(F.collect_list(F.struct("shard", "root")).alias("roots"))
+        self.directories = saved(roots, "directories")
+
+    def _pack(self, rows: DataFrame, name: str, size: int, with_tree: bool) -> DataFrame:
+        """One row per piece and vector length: ids, components, the tree and its root."""
+        schema = f"{name} long, dims int, ids binary, v binary, nodes binary, centres binary, radii binary, root binary"
 
         def packed(key, group):
             dims = key[1].as_py()
-            x = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            x = _components(group.column("v").combine_chunks(), dims)
             ids = group.column("vec_id").to_numpy()
             by = np.lexsort((*x.T[::-1], ids))
             x, ids = x[by], ids[by].astype("<i8")
-            nodes, centres, radii = [], np.zeros(0), np.zeros(0)
+            nodes, centres, radii = [], np.zeros((0, dims)), np.zeros(0)
             if with_tree:
                 order, nodes, centres, radii = ball_tree(x)
                 x, ids = x[order], ids[order]
-            row = {name: key[0].as_py(), "dims": dims, "ids": ids.tobytes(), "v": x.astype("<f8").tobytes(), "nodes": np.array(nodes, "<i8").tobytes(), "centres": centres.tobytes(), "radii": radii.tobytes()}
-            kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 5
+            root = np.append(centres[:1].ravel(), radii[:1])
+            row = {name: key[0].as_py(), "dims": dims, "ids": ids.tobytes(), "v": x.astype("<f8").tobytes(), "nodes": np.array(nodes, "<i8").tobytes(), "centres": centres.tobytes(), "radii": radii.tobytes(), "root": root.astype("<f8").tobytes()}
+            kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
             return pa.Table.from_arrays([pa.array([c], t) for c, t in zip(row.values(), kinds)], names=list(row))
 
-        # Dealt by row number, so that a repeated row does not fill one group.
-        spread = dealt.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)))
-        return spread.groupBy(name, "dims").applyInArrow(packed, schema)
+        # At most CELLS cells for each length of the sample, so their counts are small enough to
+        # broadcast; a length the sample missed has hardly ever over 20 / SAMPLE of the rows.
+        counts = rows.where(F.col("dims").isin(self.lengths)).groupBy("dims", "cell").agg(F.ceil(F.count("*") / size).alias("parts"))
+        unseen = -(-20 * self.n // (SAMPLE * size))
+        # Dealt by row number, so that a repeated row does not fill one piece.
+        dice = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("parts", F.lit(unseen)))
+        dealt = rows.join(F.broadcast(counts), ["dims", "cell"], "left").withColumn(name, F.col("cell") * F.lit(1 << 32) + dice)
+        return dealt.select(name, "dims", "vec_id", "v").groupBy(name, "dims").applyInArrow(packed, schema)
 
-    shards = saved(pack(data, "shard", n_shards, True), "shards")
-    blocks = saved(pack(asked, "block", n_blocks, False), "query-blocks").select("block", "dims", F.col("ids").alias("q_ids"), F.col("v").alias("q"))
-    schema = "query_id long, vec_id long, score long"
+    def _against_roots(self, blocks: DataFrame, pick, schema: str) -> DataFrame:
+        """``pick`` for every block and directory: balls only, no vectors of shards."""
 
-    def searched(first: bool):
         def run(batches):
-            shared: dict[tuple, np.ndarray] = {}
             for batch in batches:
                 for t in batch.to_pylist():
-                    dims = t["dims"]
-                    q, q_ids = np.frombuffer(t["q"], "<f8").reshape(-1, dims), np.frombuffer(t["q_ids"], "<i8")
-                    x, x_ids = np.frombuffer(t["v"], "<f8").reshape(-1, dims), np.frombuffer(t["ids"], "<i8")
-                    nodes = [tuple(r) for r in np.frombuffer(t["nodes"], "<i8").reshape(-1, 3).tolist()]
-                    tree = (np.arange(len(x)), nodes, np.frombuffer(t["centres"]).reshape(len(nodes), -1), np.frombuffer(t["radii"]))
-                    best = Best(len(q), k)
-                    # The k-th score so far enters as k places no vec_id fills.
-                    floor = np.full(len(q), -LONG - 1, np.int64) if first else np.frombuffer(t["kth"], "<i8")
-                    floor = np.maximum(floor, shared.get((t["block"], dims), floor))
-                    best.score[:] = floor[:, None]
-                    search(q, q_ids, tree, x, x_ids, best)
-                    if len(shared) > 64:
-                        shared.clear()
-                    shared[t["block"], dims] = best.kth().copy()
-                    if first:
-                        yield pa.RecordBatch.from_pydict({"block": [t["block"]], "dims": pa.array([dims], pa.int32()), "kth": [best.kth().astype("<i8").tobytes()]})
-                    else:
-                        real = best.ids < LONG
-                        yield pa.RecordBatch.from_pydict({"query_id": np.broadcast_to(q_ids[:, None], real.shape)[real], "vec_id": best.ids[real], "score": best.score[real]})
-
-        return run
-
-    home = blocks.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(n_shards))).join(shards, ["shard", "dims"])
-    floors = saved(home.mapInArrow(searched(True), "block long, dims int, kth binary"), "floors")
-    ready = blocks.join(floors, ["block", "dims"], "left").withColumn("kth", F.coalesce("kth", _lowest(F.col("q_ids"))))
-    # Every block meets every shard: the stated queries against all rows, in blocks.
-    met = ready.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long")))).join(shards, ["shard", "dims"])
-    found = met.mapInArrow(searched(False), schema)
+                    q = np.frombuffer(t["q"], "<f8").reshape(-1, t["dims"])
+                    balls = np.array([np.frombuffer(r["root"], "<f8") for r in t["roots"]])
+                    shards = np.array([r["shard"] for r in t["roots"]], np.int64)
+                    yield pick(t, q, shards, balls[:, :-1], balls[:, -1])
+
+        number = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.n_directories - 1).cast("long")))
+        return blocks.withColumn("directory", number).join(self.directories, ["directory", "dims"]).mapInArrow(run, schema)
+
+    def homes(self) -> DataFrame:
+        """(block, dims, shard): the shard whose centre promises a block most."""
+
+        def pick(t, q, shards, centres, radii):
+            promise = np.nan_to_num(centres @ q.sum(0))
+            at = np.lexsort((shards, -promise))[:1]
+            return pa.RecordBatch.from_pydict({"block": pa.array([t["block"]], pa.int64()), "dims": pa.array([t["dims"]], pa.int32()), "shard": shards[at], "promise": promise[at]})
+
+        found = self._against_roots(self.blocks, pick, "block long, dims int, shard long, promise double")
+        best = F.max_by("shard", F.struct("promise", "shard")).alias("shard")
+        return found.groupBy("block", "dims").agg(best)
+
+    def reached(self, ready: DataFrame) -> DataFrame:
+        """(block, dims, shard) left by the root bounds; ``ready`` has blocks with ``kth``."""
+
+        def pick(t, q, shards, centres, radii):
+            hit = shards[roots_reached(q, np.frombuffer(t["kth"], "<i8"), centres, radii)]
+            return pa.RecordBatch.from_pydict({"block": np.full(len(hit), t["block"], np.int64), "dims": np.full(len(hit), t["dims"], np.int32), "shard": hit})
+
+        return self._against_roots(ready, pick, "block long, dims int, shard long")
+
+    def floors(self, k: int) -> DataFrame:
+        """Blocks with the k-th scores of their home shard."""
+        home = self.homes().join(self.blocks, ["block", "dims"]).join(self.shards, ["shard", "dims"])
+        kth = saved(home.mapInArrow(_searched(k, True), "block long, dims int, kth binary"), "floors")
+        return self.blocks.join(kth, ["block", "dims"], "left").withColumn("kth", F.coalesce("kth", _lowest(F.col("q_ids"))))
+
+
+def _searched(k: int, first: bool):
+    """Function over rows of a block beside a shard: its k-th scores, or what it found."""
+
+    def run(batches):
+        shared: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for t in batch.to_pylist():
+                dims = t["dims"]
+                q, q_ids = np.frombuffer(t["q"], "<f8").reshape(-1, dims), np.frombuffer(t["q_ids"], "<i8")
+                x, x_ids = np.frombuffer(t["v"], "<f8").reshape(-1, dims), np.frombuffer(t["ids"], "<i8")
+                nodes = [tuple(r) for r in np.frombuffer(t["nodes"], "<i8").reshape(-1, 3).tolist()]
+                tree = (np.arange(len(x)), nodes, np.frombuffer(t["centres"]).reshape(len(nodes), -1), np.frombuffer(t["radii"]))
+                best = Best(len(q), k)
+                # The k-th score so far enters as k places no vec_id fills.
+                floor = np.full(len(q), -LONG - 1, np.int64) if first else np.frombuffer(t["kth"], "<i8")
+                floor = np.maximum(floor, shared.get((t["block"], dims), floor))
+                best.score[:] = floor[:, None]
+                search(q, q_ids, tree, x, x_ids, best)
+                if len(shared) > 64:
+                    shared.clear()
+                shared[t["block"], dims] = best.kth().copy()
+                if first:
+                    yield pa.RecordBatch.from_pydict({"block": [t["block"]], "dims": pa.array([dims], pa.int32()), "kth": [best.kth().astype("<i8").tobytes()]})
+                else:
+                    real = best.ids < LONG
+                    yield pa.RecordBatch.from_pydict({"query_id": np.broadcast_to(q_ids[:, None], real.shape)[real], "vec_id": best.ids[real], "score": best.score[real]})
+
+    return run
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score) over quantized frames (vec_id, v, dims)."""
+    pieces = Pieces(vectors, queries, shard, query_block)
+    ready = pieces.floors(k)
+    met = pieces.reached(ready).join(ready, ["block", "dims"]).join(pieces.shards, ["shard", "dims"])
+    found = met.mapInArrow(_searched(k, False), "query_id long, vec_id long, score long")
     place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

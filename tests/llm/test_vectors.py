@@ -1,6 +1,7 @@
 """Top-k search and embedding near-duplicates."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from brute import smallest_reachable
 
@@ -46,6 +47,37 @@ def test_search_few_candidates_large_components_and_empty(spark):
     assert search(spark, []) == []
 
 
+def clustered(n, clusters, dims=16, seed=11, spread=0.05):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dims))
+    return (centres[rng.integers(0, clusters, n)] + rng.normal(size=(n, dims)) * spread).astype(np.float32)
+
+
+def test_search_joins_few_shards_on_clustered_vectors(spark):
+    x = clustered(20_000, 40)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}), "vec_id long, embedding array<float>")
+    v = topk_search.quantized(df)
+    pieces = topk_search.Pieces(v, v.where("vec_id % 50 = 0"), 250, 10)
+    n_blocks, n_shards = pieces.blocks.count(), pieces.shards.count()
+    assert n_blocks >= 40 and n_shards >= 80 and pieces.shards.selectExpr("sum(length(ids) / 8)").first()[0] == len(x)
+    pairs = pieces.reached(pieces.floors(5)).count()
+    assert n_blocks <= pairs < 0.3 * n_blocks * n_shards, (pairs, n_blocks, n_shards)
+    got = sorted(tuple(r) for r in topk_search.top_k(v, v.where("vec_id % 50 = 0"), shard=250, query_block=10).collect())
+    whole = np.floor(256 * x.astype(float))
+    score = (whole[::50] @ whole.T).astype(np.int64)
+    score[np.arange(len(score)), np.arange(0, len(x), 50)] = -(1 << 62)
+    best = np.argsort(-score, 1, kind="stable")[:, :5]
+    assert got == sorted((50 * q, r + 1, int(i), int(score[q, i])) for q, row in enumerate(best) for r, i in enumerate(row))
+
+
+def test_search_deals_copies_over_shards(spark):
+    rows = [(i, [1.0, 0.5, -2.0], 0) for i in range(300)] + [(300 + i, [float(i), 1.0, 2.0], 0) for i in range(40)]
+    v = topk_search.quantized(spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int"))
+    pieces = topk_search.Pieces(v, v.where("vec_id % 50 = 0"), 40, 2)
+    assert pieces.shards.selectExpr("max(length(ids) / 8)").first()[0] <= 80  # dealt by a hash, so not exactly 40
+    assert search(spark, rows, shard=40, query_block=2) == plain(rows)
+
+
 def near(spark, rows, **how):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, cls string")
     return sorted((tuple(r) for r in embedding_dedup.near_duplicates(df, **how).collect()), key=str)
