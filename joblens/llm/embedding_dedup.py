@@ -2,10 +2,14 @@
 
 Vectors are scaled to unit length and turned into the principal axes of the
 whole table (one 64 x 64 style moment matrix, summed over all rows).  Within
-a label they are range-sorted by the leading coordinate and cut into blocks.
-Two blocks form a tile unless their leading coordinates alone keep every
-cosine below the threshold.  In a tile the products of the leading dimensions
-are accumulated first; a pair stops as soon as its partial product plus the
+a label they are sorted by the cell of a coarse tree, fitted on a bounded
+sample, and the leading coordinate, and cut into runs; a tree over the
+principal axes cuts each run into blocks.  Runs and blocks have a centre and a
+radius.  Two runs, then two of their blocks, form a tile unless these balls
+lie further apart than linked unit vectors can.  Only then do the vectors
+travel: a block meets its partners in one other run as one row of tiles and is
+sent once for it.  In a tile the products of the leading dimensions are
+accumulated first; a pair stops as soon as its partial product plus the
 product of the two suffix norms cannot reach the threshold.  Pairs that
 survive all dimensions are computed again from the given components, in
 double precision, so the result is exact.
@@ -26,12 +30,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import saved, table
 from .graph import components
+from .topk_search import cell_of, coarse_tree
 
 THRESHOLD = 0.93
-BLOCK = 512  # vectors in a block
+BLOCK = 512  # vectors in a block, at most
+RUN = 32  # blocks' worth of vectors in a run
+SALT = 16  # parts of a label's pairs of runs
+SAMPLE = 16384  # about so many classes fit the coarse tree
 STAGES = (16, 32)  # leading dimensions after which pairs are stopped
 SLACK = 1e-9  # rounding of the rotated products
 
@@ -111,6 +120,40 @@ def spanning(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
             return root
 
 
+def ball(r: np.ndarray) -> tuple[np.ndarray, float]:
+    """Centre and radius, rounded up, of some vectors."""
+    c = r.mean(0)
+    return c, float(np.sqrt(((r - c) ** 2).sum(1).max())) + SLACK
+
+
+def axis_tree(r: np.ndarray, block: int) -> list[np.ndarray]:
+    """Row numbers of blocks of at most ``block`` vectors: the axis of largest
+    variance is cut where the variance between the two sides is largest (no
+    side under an eighth of a block), until all blocks are small.  A small
+    block is cut on while such a cut takes away a quarter of its whole variance,
+    so that vectors from two clusters do not share a block."""
+    done, todo = [], [np.arange(len(r))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) < 2:
+            done.append(rows)
+            continue
+        spread = r[rows].var(0)
+        axis = int(spread.argmax())
+        by = rows[np.argsort(r[rows, axis], kind="stable")]
+        v = r[by, axis] - r[by, axis].mean()
+        n = np.arange(1, len(by))
+        between = np.cumsum(v)[:-1] ** 2 / (n * (len(by) - n))
+        low = max(1, block // 8) if len(by) > block else 1
+        cut = low + int(between[low - 1 : len(by) - low].argmax())
+        apart = ((r[by[:cut]].mean(0) - r[by[cut:]].mean(0)) ** 2).sum() * cut * (len(by) - cut) / len(by) ** 2
+        if len(by) <= block and apart <= spread.sum() / 4 + SLACK:
+            done.append(rows)
+            continue
+        todo += [by[cut:], by[:cut]]
+    return done
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     rows = vectors.select("vec_id", "embedding", "label")
@@ -140,81 +183,125 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     return found.select("vec_id", n.alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
-def _compare(classes: DataFrame, axes: np.ndarray, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """Linked members of other classes per class, and spanning edges."""
-    lead = axes[:, 0].copy()
+def _blocks(classes: DataFrame, axes: np.ndarray, block: int) -> DataFrame:
+    """One row per block: label, run and its ball, block, its ball, ids, members and vectors."""
+    share = min(1.0, SAMPLE / max(1, classes.count()))
+    dice = F.pmod(F.xxhash64("cls"), F.lit(1 << 30))
+    sample = classes.where(dice <= int(share * (1 << 30))).select("embedding").toArrow().column(0).combine_chunks()
+    planes = coarse_tree(unit(matrix(sample)) @ axes) if len(sample) else []
 
-    def leading(batches):
+    def placed(batches):
         for batch in batches:
-            yield batch.append_column("lead", pa.array(unit(matrix(batch.column(1))) @ lead))
+            r = unit(matrix(batch.column("embedding"))) @ axes
+            yield batch.append_column("cell", pa.array(cell_of(r, planes))).append_column("lead", pa.array(r[:, 0]))
 
     def packed(batches):
-        names, held = ("label", "low", "high", "ids", "members", "vectors"), []
+        held = []
 
         def emit(rows):
-            for k in range(0, len(rows), block):
-                part = rows.slice(k, block)
-                at = part.column("lead").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part.column("label")[0].as_py()], pa.string()), pa.array([float(at.min())]), pa.array([float(at.max())]),
-                        pa.array([part.column("cls").to_numpy().astype("<i8").tobytes()]), pa.array([part.column("members").to_numpy().astype("<i8").tobytes()]),
-                        pa.array([matrix(part.column("embedding").combine_chunks()).astype("<f8").tobytes()]),
-                    ],
-                    names=names,
-                )
+            x = matrix(rows.column("embedding").combine_chunks())
+            cls, members = (rows.column(c).to_numpy().astype("<i8") for c in ("cls", "members"))
+            r = unit(x) @ axes
+            centre, radius = ball(r)
+            for own in axis_tree(r, block):
+                c, d = ball(r[own])
+                # Each class stands in one block, so its smallest class names a block, and a run.
+                values = (rows.column("label")[0].as_py(), int(cls.min()), centre.tolist(), radius, int(cls[own].min()), c.astype("<f8").tobytes(), d, cls[own].tobytes(), members[own].tobytes(), x[own].astype("<f8").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
 
         for batch in batches:
             labels = batch.column("label").to_numpy(zero_copy_only=False)
             cuts = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), len(labels)]
             for a, b in zip(cuts, cuts[1:]):
                 part = batch.slice(a, b - a)
-                if held and held[0].column("label")[0] != part.column("label")[0]:
-                    yield from emit(pa.Table.from_batches(held))
-                    held = []
-                held.append(part)
-                if sum(map(len, held)) >= 4 * block:
+                if held and (held[0].column("label")[0] != part.column("label")[0] or sum(map(len, held)) + len(part) > RUN * block):
                     yield from emit(pa.Table.from_batches(held))
                     held = []
+                for k in range(0, len(part), RUN * block):
+                    piece = part.slice(k, RUN * block)
+                    if len(piece) == RUN * block:
+                        yield from emit(pa.Table.from_batches([piece]))
+                    else:
+                        held.append(piece)
         if held:
             yield from emit(pa.Table.from_batches(held))
 
-    schema = classes.select("label", "embedding", "cls", "members").schema.add("lead", "double")
-    ordered = (
-        classes.select("label", "embedding", "cls", "members").mapInArrow(leading, schema)
-        .withColumn("label", F.col("label").cast("string")).repartitionByRange("label", "lead", "cls").sortWithinPartitions("label", "lead", "cls")
-    )
-    blocks = ordered.mapInArrow(packed, "label string, low double, high double, ids binary, members binary, vectors binary")
-    blocks = saved(blocks.withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
-    # |x - y|^2 = 2 - 2 cos bounds the gap of one coordinate of linked unit vectors.
+    schema = "label string, run long, run_centre array<double>, run_radius double, block long, centre binary, radius double, ids binary, members binary, vectors binary"
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.int64(), pa.binary(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
+    rows = classes.select(F.col("label").cast("string").alias("label"), "embedding", "cls", "members")
+    rows = rows.mapInArrow(placed, StructType([*rows.schema, StructField("cell", LongType()), StructField("lead", DoubleType())]))
+    ordered = rows.repartitionByRange("label", "cell", "lead", "cls").sortWithinPartitions("label", "cell", "lead", "cls")
+    return saved(ordered.mapInArrow(packed, schema), "vector-blocks")
+
+
+def _tiles(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(block_a, run_b, partners): the blocks of run_b that block_a has to meet; balls only, no vectors."""
+    # |x - y|^2 = 2 - 2 cos bounds the distance of linked unit vectors.
     gap = float(np.sqrt(max(2 - 2 * threshold, 0))) + 1e-6
-    left, right = (blocks.select("label", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "low", "high"))) for s in "ab")
-    tiles = left.join(right, "label").where((F.col("block_a") <= F.col("block_b")) & (F.col("low_b") - F.col("high_a") <= gap) & (F.col("low_a") - F.col("high_b") <= gap))
+    held = F.collect_list(F.struct("block", "centre", "radius")).alias("balls")
+    runs = saved(blocks.groupBy("label", "run").agg(F.first("run_centre").alias("centre"), F.first("run_radius").alias("radius"), held), "runs")
+    left, right = (runs.select("label", *(F.col(c).alias(f"{c}_{s}") for c in ("run", "centre", "radius"))) for s in "ab")
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    right = right.withColumn("salt", F.pmod(F.xxhash64("run_b"), F.lit(SALT)).cast("int"))
+    apart = F.sqrt(F.aggregate(F.zip_with("centre_a", "centre_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    near = left.join(right, ["label", "salt"]).where((F.col("run_a") <= F.col("run_b")) & (apart <= F.col("radius_a") + F.col("radius_b") + gap))
+    pairs = near.select("run_a", "run_b")
     for s in "ab":
-        tiles = tiles.join(blocks.select(F.col("block").alias(f"block_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("ids", "members", "vectors"))), f"block_{s}")
-    dims = axes.shape[0]
+        pairs = pairs.join(runs.select(F.col("run").alias(f"run_{s}"), F.col("balls").alias(f"balls_{s}")), f"run_{s}")
 
-    def compare(batches):
+    def met(batches):
         for batch in batches:
             for t in batch.to_pylist():
-                ids = [np.frombuffer(t[f"ids_{s}"], "<i8") for s in "ab"]
-                size = [np.frombuffer(t[f"members_{s}"], "<i8") for s in "ab"]
-                x, y = (np.frombuffer(t[f"vectors_{s}"], "<f8").reshape(-1, dims) for s in "ab")
+                (names_a, c_a, d_a), (names_b, c_b, d_b) = (
+                    ([o["block"] for o in t[k]], np.array([np.frombuffer(o["centre"], "<f8") for o in t[k]]), np.array([o["radius"] for o in t[k]])) for k in ("balls_a", "balls_b")
+                )
+                same = t["run_a"] == t["run_b"]
+                for k, name in enumerate(names_a):
+                    near = np.flatnonzero(np.sqrt(((c_b - c_a[k]) ** 2).sum(1)) <= d_b + d_a[k] + gap)
+                    partners = [names_b[j] for j in near if not same or names_b[j] >= name]
+                    if partners:
+                        yield pa.RecordBatch.from_pydict({"block_a": [name], "run_b": [t["run_b"]], "partners": [partners]})
+
+    return pairs.mapInArrow(met, "block_a long, run_b long, partners array<long>")
+
+
+def _compare(classes: DataFrame, axes: np.ndarray, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Linked members of other classes per class, and spanning edges."""
+    blocks = _blocks(classes, axes, block)
+    strips = saved(_tiles(blocks, threshold), "tiles")
+    payload = blocks.select("block", "ids", "members", "vectors")
+    one = strips.select(F.col("block_a").alias("block"), F.col("run_b").alias("run")).join(payload.toDF(*payload.columns), "block")
+    many = strips.select("block_a", "run_b", F.explode("partners").alias("block")).join(payload, "block")
+    dims = axes.shape[0]
+    schema = pa.schema([("cls", pa.int64()), ("others", pa.int64()), ("root", pa.int64())])
+
+    def opened(t):
+        return np.frombuffer(t["ids"], "<i8"), np.frombuffer(t["members"], "<i8"), np.frombuffer(t["vectors"], "<f8").reshape(-1, dims)
+
+    def compare(left, right):
+        out = []
+        for a in left.to_pylist():
+            ids_a, size_a, x = opened(a)
+            for k in range(right.num_rows):  # one partner at a time is unpacked
+                b = right.slice(k, 1).to_pylist()[0]
+                ids_b, size_b, y = opened(b)
                 i, j = tile_links(x, y, axes, threshold)
-                same = t["block_a"] == t["block_b"]
+                same = a["block"] == b["block"]
                 if same:
                     i, j = i[i < j], j[i < j]
                 if not len(i):
                     continue
                 off = 0 if same else len(x)
-                every, members = (ids[0], size[0]) if same else (np.concatenate(ids), np.concatenate(size))
+                every, members = (ids_a, size_a) if same else (np.concatenate([ids_a, ids_b]), np.concatenate([size_a, size_b]))
                 others = np.bincount(i, weights=members[j + off], minlength=len(every)) + np.bincount(j + off, weights=members[i], minlength=len(every))
                 root = spanning(i, j + off, len(every))
                 hit = np.flatnonzero(others)
-                yield pa.RecordBatch.from_arrays([pa.array(every[hit]), pa.array(others[hit].astype(np.int64)), pa.array(every[root[hit]])], names=["cls", "others", "root"])
+                out.append(pa.Table.from_arrays([pa.array(every[hit]), pa.array(others[hit].astype(np.int64)), pa.array(every[root[hit]])], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
 
-    part = tiles.select("block_a", "block_b", *(f"{c}_{s}" for s in "ab" for c in ("ids", "members", "vectors")))
-    found = saved(part.mapInArrow(compare, "cls long, others long, root long"), "tile-links")
+    met = one.groupBy("block", "run").cogroup(many.groupBy("block_a", "run_b"))
+    found = saved(met.applyInArrow(compare, "cls long, others long, root long"), "tile-links")
     return found.groupBy("cls").agg(F.sum("others").alias("others")), found.select(F.col("cls").alias("a"), F.col("root").alias("b"))
 
 

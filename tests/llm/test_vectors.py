@@ -132,6 +132,29 @@ def test_labels_may_be_texts(spark):
     assert sorted((tuple(r) for r in got), key=str) == expected(rows)
 
 
+def test_tiles_of_one_large_label_are_few(spark):
+    x = clustered(100_000, 200, dims=16, spread=0.04)
+    frame = pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": 7})
+    df = spark.createDataFrame(frame, "vec_id long, embedding array<float>, label int").repartition(8)
+    classes = df.selectExpr("string(label) label", "embedding", "vec_id cls", "1L members")
+    axes = embedding_dedup.principal_axes(classes, 16)
+    blocks = embedding_dedup._blocks(classes, axes, 256)
+    n = blocks.count()
+    assert blocks.selectExpr("sum(length(ids) / 8)").first()[0] == len(x) and blocks.selectExpr("max(length(ids) / 8)").first()[0] <= 256
+    tiles = embedding_dedup._tiles(blocks, 0.93).selectExpr("sum(size(partners))").first()[0]
+    assert n >= 400 and n <= tiles < 0.1 * n * n / 2, (tiles, n)
+    some = df.where("vec_id < 4000")
+    got = sorted(tuple(r) for r in embedding_dedup.near_duplicates(some, block=64).collect())
+    assert got == expected([(i, x[i].tolist(), 7, "x") for i in range(4000)])
+
+
+def test_axis_tree_keeps_every_row():
+    rng = np.random.default_rng(8)
+    for r in (rng.normal(size=(1000, 5)), np.ones((777, 3)), np.repeat(rng.normal(size=(3, 4)), 300, 0), rng.normal(size=(3, 2))):
+        parts = embedding_dedup.axis_tree(r, 2 if len(r) == 3 else 50)
+        assert sorted(np.concatenate(parts)) == list(range(len(r))) and max(map(len, parts)) <= 50
+
+
 def test_bounds_drop_no_pair():
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 64))
