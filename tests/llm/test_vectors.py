@@ -144,7 +144,7 @@ def test_tiles_of_one_large_label_are_few(spark):
     tiles = embedding_dedup._tiles(blocks, 0.93).selectExpr("sum(size(partners))").first()[0]
     assert n >= 400 and n <= tiles < 0.1 * n * n / 2, (tiles, n)
     some = df.where("vec_id < 4000")
-    got = sorted(tuple(r) for r in embedding_dedup.near_duplicates(some, block=64).collect())
+    got = sorted((tuple(r) for r in embedding_dedup.near_duplicates(some, block=64).collect()), key=str)
     assert got == expected([(i, x[i].tolist(), 7, "x") for i in range(4000)])
 
 
