@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joblens.llm import jaccard_join, language, packing, suffix_dedup, toxicity
-from joblens.llm.common import free_name, saved, table
+from joblens.llm.common import free_name, saved, small_batches, table
 
 #: Cosine that chance reaches about once in six times in this many dimensions;
 #: a text below it has no language to speak of.
@@ -74,11 +74,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("language", drop_unknown_language),
-    ("jaccard", drop_near_duplicates),
-    ("suffix_dedup", cut_repeats),
-    ("packing", pack),
+    (name, small_batches(stage))
+    for name, stage in (
+        ("toxicity", drop_toxic),
+        ("language", drop_unknown_language),
+        ("jaccard", drop_near_duplicates),
+        ("suffix_dedup", cut_repeats),
+        ("packing", pack),
+    )
 ]
 
 #: Trained classifiers and byte-level deduplication have no SQL form.

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,11 @@ from ..session import ensure_checkpoint_dir, temporary_conf
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Bytes of one Arrow batch.  10,000 texts, Spark's measure, are some 33 MB, which
+#: the JVM holds outside its heap, more than once while a buffer grows, and so
+#: does each worker; the operators work on ``STEP`` bytes at once.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 #: Fixed by the contract of the trained operators: rows with this remainder
 #: of crc32(doc_id as text) modulo 4 are held out of all training.
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
@@ -24,6 +31,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def small_batches(step: Callable) -> Callable:
+    """A query or stage whose Arrow batches hold ``BATCH_BYTES``: set for the
+    session, since its result runs after it has returned."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, *args):
+        spark.conf.set(*BATCH_BYTES)
+        return step(spark, *args)
+
+    return run
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder of ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/joblens-llm/{name}-{uuid.uuid4().hex}"

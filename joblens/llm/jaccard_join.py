@@ -170,6 +170,7 @@ def signatures(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS)
                     [batch.column(0).slice(r0, r1 - r0).cast(pa.int64()), pa.array(size), pa.array(one, pa.int64()), pa.array(two, pa.int64()), *(pa.array(c, pa.list_(pa.int64())) for c in (bits, wide, tiles))],
                     names=["doc_id", "n", "one", "two", "bits", "wide", "tiles"],
                 )
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, one long, two long, bits array<long>, wide array<long>, tiles array<long>")
 
@@ -207,6 +208,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int, words: int = WOR
                 ends = np.cumsum(size)
                 sets = [h[e - s : e].tobytes() for e, s in zip(ends, size)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(r0, r1 - r0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["doc_id", "members"])
+        release()
 
     sets = texts.mapInArrow(arrays, "doc_id long, members binary")
     # A doc_id with several texts speaks through its largest set.
@@ -229,6 +231,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: int, words: int = WOR
                     a.append(pivot)
                     b.append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        release()
 
     met = needs.join(sets, "doc_id").repartition("a", "part").sortWithinPartitions("a", "part", "role", "doc_id")
     return met.select("a", "part", "doc_id", "role", "members").mapInArrow(intersect, "a long, b long")

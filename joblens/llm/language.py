@@ -130,17 +130,19 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
     matrix = np.stack([prototypes[n] / (np.linalg.norm(prototypes[n]) or 1) for n in names], 1).round(9) if names else np.zeros((dimensions, 0))
 
     @F.arrow_udf("lang_pred string, score double")
-    def predicted(texts):
-        letters, best_of, score = Letters(dimensions), np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-        if names:
-            for a, b, v in letters.bundles(texts):
-                size = np.linalg.norm(v, axis=1)
-                cosine = (v @ matrix) / np.maximum(size, 1e-9)[:, None]
-                best = cosine.argmax(1)
-                best_of[a:b] = np.where(size > 0, np.array(names, object)[best], UNKNOWN)
-                score[a:b] = np.where(size > 0, np.clip(cosine[np.arange(b - a), best], 0, 1), 0.0)
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        letters = Letters(dimensions)
+        for texts in batches:
+            best_of, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            if names:
+                for a, b, v in letters.bundles(texts):
+                    size = np.linalg.norm(v, axis=1)
+                    cosine = (v @ matrix) / np.maximum(size, 1e-9)[:, None]
+                    best = cosine.argmax(1)
+                    best_of[a:b] = np.where(size > 0, np.array(names, object)[best], UNKNOWN)
+                    score[a:b] = np.where(size > 0, np.clip(cosine[np.arange(b - a), best], 0, 1), 0.0)
+            yield pa.StructArray.from_arrays([pa.array(best_of, pa.string()), pa.array(score)], names=["lang_pred", "score"])
         release()
-        return pa.StructArray.from_arrays([pa.array(best_of, pa.string()), pa.array(score)], names=["lang_pred", "score"])
 
     own = free_name(docs, "_found")
     found = docs.withColumn(own, predicted(F.col("text")))

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import byte_bpe, conversation, embedding_dedup, jaccard_join, language, merkle, packing, piece_bpe, quality, suffix_dedup, token_store, topk_search, toxicity
+from .common import small_batches
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_topk_search": topk_search.op3_topk_search,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op12_piece_bpe": piece_bpe.op12_piece_bpe,
         "op13_merkle_manifest": merkle.op13_merkle_manifest,
     }
+    return {name: small_batches(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

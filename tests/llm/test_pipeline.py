@@ -126,3 +126,20 @@ def test_run_packs_every_kept_document(spark):
 def test_stages_on_an_empty_table(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_stages_read_texts_in_small_batches(spark, docs):
+    """10,000 texts were one batch however long: with four copies of it an
+    executor's memory went over its limit."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    long_texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("some words "), 4000).alias("text"))  # 17.6 MB
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, SF)
+        got = long_texts.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in got) == 400 and max(r.bytes for r in got) < 5 << 20
