@@ -31,8 +31,8 @@ from .sampling import bounded_share
 SIZE = 3  # characters in an n-gram
 DIMENSIONS = 1024
 SAMPLE = 2_000  # training documents of each language
-STEP = 1 << 20  # bytes of text worked on at once
-BLOCK = 4096  # n-grams bundled at once
+STEP = 1 << 19  # bytes of text worked on at once
+BLOCK = 2048  # n-grams bundled at once
 UNKNOWN = "und"
 
 

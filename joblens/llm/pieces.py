@@ -32,7 +32,7 @@ def class_table() -> np.ndarray:
     import regex
 
     table = np.full(0x110000, OTHER, np.uint8)
-    chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    chars = np.r_[0:0xD800, 0xE000:0x110000].astype("<u4").tobytes().decode("utf-32-le")
     at = lambda i: i if i < 0xD800 else i + 0x800
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for m in regex.finditer(pattern, chars):

@@ -44,8 +44,8 @@ from .common import release, saved, slices, table, utf8
 LENGTH = 100
 GRAM = 32  # bytes under the rolling hash, a power of two below LENGTH
 HOT = 20_000  # different phrases of one trigger that one task may sort
-CHUNK = 1 << 21  # bytes in one suffix array
-STEP = 2 << 20  # bytes of text worked on at once
+CHUNK = 1 << 19  # bytes in one suffix array
+STEP = 1 << 19  # bytes of text worked on at once
 FIRST = -(1 << 63)  # stands for a null doc_id
 PLACES = "doc long, at long, tag long"  # at: start << 32 | crc32 of the text; tag: another hash of it
 _POS = np.uint64((1 << 32) - 1)
@@ -146,6 +146,7 @@ def parse(docs: DataFrame, length: int, gram: int, only_triggers: bool) -> DataF
                     [_long(trigger), _long(phrase), pa.array(ids[r0 + doc]), pa.array(at), pa.array(tag[r0 + doc]), pa.array((b - a).astype(np.int32))],
                     names=["trigger", "phrase", "doc", "at", "tag", "strings"],
                 )
+        release()
 
     schema = "trigger long, n long" if only_triggers else f"trigger long, phrase long, {PLACES}, strings int"
     return docs.select("doc", "crc", "tag", "text").mapInArrow(run, schema)

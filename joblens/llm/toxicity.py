@@ -34,7 +34,7 @@ SAMPLE = 8_000  # labelled documents in the fit
 SMOOTHING = 0.5
 PENALTY = 1.0
 THRESHOLD = 0.3
-STEP = 1 << 20  # bytes of text worked on at once
+STEP = 1 << 18  # bytes of text worked on at once
 ROWS_STEP = 1 << 20  # features worked on at once in the regression
 
 

@@ -159,3 +159,22 @@ def test_predictions_equal_a_plain_statement(spark):
     for r in got:
         want = plain(r.text)
         assert r.lang_pred == want[0] and abs(r.score - want[1]) < 1e-5
+
+
+@pytest.mark.parametrize("work, most", [(lambda texts: toxicity.present(texts, np.zeros(toxicity.BINS, np.int32)), 40 << 20), (lambda texts: language.Letters().bundles(texts), 60 << 20)])
+def test_memory_of_one_batch(work, most):
+    """Two workers an executor stay small beside a JVM whose heap is full."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 9, 5000)]
+    texts = pa.array([" ".join(words[k] for k in rng.integers(0, 5000, 400)) for _ in range(1600)])  # 4 MB
+    tracemalloc.start()
+    for _ in work(texts):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("peak MB", peak >> 20)
+    assert peak < most
