@@ -1,10 +1,12 @@
 """Listing extraction with JVM functions only (SRC6, SRC7, PRJ1).
 
-A page is cut at the start and end tags of one element name; a fold over those
-tokens keeps the depth and notes where each matching element begins and ends,
-so an element's markup is a slice of the page however its inside nests.  A
-selector (``div.a.b span.c``: tags and classes, descendants) is one such cut
-per part.  Text is rendered by the same rules as ``sources.html``.
+An element is read by one pattern, whose possessive loops follow the tags of
+its name some levels deep, so it is a slice of the page however its inside
+nests.  Text that a pattern cannot follow (nested deeper, or not closed) is cut
+at the start and end tags of that name, and a fold over those tokens keeps the
+depth and notes where each matching element begins and ends; both give the
+same.  A selector (``div.a.b span.c``: tags and classes, descendants) is one
+such cut per part.  Text is rendered by the same rules as ``sources.html``.
 
 The order of the work is a scan and narrow projections; no page leaves the
 JVM.  Limits, which the sites' selectors never meet: an element nested in
@@ -23,9 +25,10 @@ from pyspark.sql import functions as F
 from ..operators.clean import NOT_AVAILABLE
 from .html import BLOCK, CELLS, LISTING_FIELDS, SITE_SELECTORS, FieldSpec, unescape
 
-UNSEEN = r"(?is)<!--.*?-->|<(script|style|template|noscript)\b[^>]*>.*?</\1\s*>"
+UNSEEN = r"(?is)<(?:!--.*?-->|(script|style|template|noscript)\b[^>]*>.*?</\1\s*>)"
 _PART = re.compile(r"([a-zA-Z][\w-]*)?((?:\.[\w-]+)*)")
 _SPAN = "array<struct<a:int,b:int>>"
+NESTED = 8  # levels of one name that a pattern follows; the fold takes the others
 
 
 def visible(html: Column) -> Column:
@@ -38,22 +41,28 @@ def _literal(pattern: str) -> str:
     return "r'" + pattern.replace("'", r"\x27") + "'"
 
 
-def _has_classes(classes: list[str]) -> str:
-    """Pattern behind a tag's name: the class attribute has all of these."""
-    one = r"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{0}(?:\s[^"]*)?"|'(?:[^']*\s)?{0}(?:\s[^']*)?'|{0}(?=[\s>])))"""
-    return r"(?=[\s>/])" + "".join(one.format(re.escape(c)) for c in classes)
+def _has_classes(classes: list[str], stop: str = "") -> str:
+    """Pattern behind a tag's name: the class attribute has all of these;
+    ``stop`` is looked out for at every character of the attributes (lazily:
+    a greedy loop over characters of one and two units would recurse)."""
+    within, double, single = (rf"(?:{stop}[^{end}])*?" if stop else f"[^{end}]*" for end in (">", '"', "'"))
+    one = r"""(?={1}\sclass\s*=\s*(?:"(?:{2}\s)?{0}(?:\s{2})?"|'(?:{3}\s)?{0}(?:\s{3})?'|{0}(?=[\s>])))"""
+    return r"(?=[\s>/])" + "".join(one.format(re.escape(c), within, double, single) for c in classes)
 
 
-def elements(html: str, part: str) -> str:
-    """SQL for the inner markup (an array) of the outermost elements of the
-    expression ``html`` that match ``tag.class.class`` (either may be
-    missing), in document order."""
+def _part(part: str) -> tuple[str, str, list[str]]:
+    """Tag ('' when missing), the pattern of the tags to cut at, classes."""
     found = _PART.fullmatch(part)
     if not found or not part:
         raise ValueError(f"unsupported selector part: {part!r}")
     # A page is cut at the tags of one name, or, without a name, at all tags.
-    name = found.group(1) or "[a-z][a-z0-9-]*"
-    wanted = f"(?i)^<{name}" + _has_classes([c for c in found.group(2).split(".") if c])
+    return found.group(1) or "", found.group(1) or "[a-z][a-z0-9-]*", [c for c in found.group(2).split(".") if c]
+
+
+def _folded(html: str, part: str) -> str:
+    """``elements`` by a fold over all tags of the name: any nesting."""
+    _, name, classes = _part(part)
+    wanted = f"(?i)^<{name}" + _has_classes(classes)
     # One token: does it match, its tag (of this name), does it end an element?
     token = f"named_struct('wanted', x rlike {_literal(wanted)}, 'tag', lower(regexp_extract(x, {_literal(f'(?i)^</?({name})(?=[{chr(92)}s>/])')}, 1)), 'ends', startswith(x, '</'))"
     step = """named_struct(
@@ -68,6 +77,34 @@ def elements(html: str, part: str) -> str:
     return f"get(transform(array({cut}), tokens -> transform({spans}, span -> {inner})), 0)"
 
 
+def _pattern(part: str) -> tuple[str, int]:
+    """A pattern for the outermost elements that match ``part`` and the group
+    that holds each from its name to its end tag.  The group is empty, and the
+    pattern takes the rest, where an element is not closed or holds more than
+    ``NESTED`` levels of its own name.  All loops are possessive: one pass over
+    the text, and a stack that grows with the levels only."""
+    tag, name, classes = _part(part)
+    same = tag or r"\1"
+    start, end = rf"<{same}(?=[\s>/])", rf"</{same}(?=[\s>/])"
+    flat = rf"[^<]*+(?:<(?!/?{same}[\s>/])[^<]*+)*+"
+    inside = flat
+    for _ in range(NESTED):
+        inside = rf"{flat}(?:{start}{inside}{end}{flat})*+"
+    wanted = (name if tag else f"({name})") + _has_classes(classes, rf"(?!</?{name}[\s>/])")
+    return rf"(?is)<(?={wanted})(?:({same}{inside}){end}|.*)", 1 if tag else 2
+
+
+def elements(html: str, part: str) -> str:
+    """SQL for the inner markup (an array) of the outermost elements of the
+    expression ``html`` that match ``tag.class.class`` (either may be
+    missing), in document order."""
+    pattern, group = _pattern(part)
+    inner = "transform(found, x -> if(contains(x, '>'), substr(x, instr(x, '>') + 1), concat('<', x)))"
+    # An empty group: the pattern could not follow this text.
+    read = f"if(array_contains(found, ''), {_folded(html, part)}, {inner})"
+    return f"get(transform(array(regexp_extract_all({html}, {_literal(pattern)}, {group})), found -> {read}), 0)"
+
+
 def select(html: str, selector: str) -> str:
     """SQL for the inner markup of the matches of a descendant selector."""
     first, *rest = selector.split()
@@ -85,16 +122,18 @@ def field_markup(html: str, spec: FieldSpec) -> str:
 
 
 _NAMES = "|".join(sorted(BLOCK))
+_RENDERED = r"[<&\n\t\r\f\x0B\xA0]|  |^ | \z"
 
 
 def rendered(inner: Column) -> Column:
     """Text as a browser shows it: lines from blocks and ``<br>``, white space
-    collapsed within lines, blank lines dropped."""
+    collapsed within lines, blank lines dropped.  Text that has nothing to
+    render, as most fields, stays."""
     lines = F.regexp_replace(inner, rf"(?i)</?(?:{_NAMES})(?=[\s>/])[^>]*>|<br(?=[\s>/])[^>]*>", "\n")
     cells = F.regexp_replace(lines, rf"(?i)<(?:{'|'.join(sorted(CELLS))})(?=[\s>/])[^>]*>", " ")
     text = F.get(F.transform(F.array(F.regexp_replace(cells, r"<[^>]*>", "")), unescape), 0)  # evaluated once
     kept = F.transform(F.split(text, "\n"), lambda line: F.trim(F.regexp_replace(line, "[ \t\r\f\u000b ]+", " ")))
-    return F.array_join(F.filter(kept, lambda line: line != ""), "\n")
+    return F.when(~inner.rlike(_RENDERED), inner).otherwise(F.array_join(F.filter(kept, lambda line: line != ""), "\n"))
 
 
 def _by_site(value) -> Column:
@@ -112,7 +151,9 @@ def listing_cards(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_no"
     """One row per listing card: kept columns, ``source``, ``item`` (from 1), ``card``."""
     cards = _lists(pages).withColumn("_cards", _by_site(lambda site: select("_list", SITE_SELECTORS[site][1])))
     kept = dict.fromkeys([*keep, "source"])
-    return cards.select(*kept, F.posexplode("_cards").alias("item", "card")).withColumn("item", F.col("item") + 1)
+    # Before a plain explode Spark filters by the array's size, and would cut every page twice for it.
+    rows = cards.select(*kept, F.posexplode_outer("_cards").alias("item", "card")).where(F.col("item").isNotNull())
+    return rows.withColumn("item", F.col("item") + 1)
 
 
 def extract_listings(pages: DataFrame, keep: tuple[str, ...] = ("source", "page_no")) -> DataFrame:

@@ -66,15 +66,20 @@ def _escaped(name: str) -> Column:
 def site_pages(listings: DataFrame, id_col: str = "listing_id", page: Column | None = None) -> DataFrame:
     """(source, page_no, html): the sites' listings in the order of their ids,
     ``PER_PAGE`` consecutive ids of a site a page.  A listing with a null
-    company has no company element.  A page groups its own few cards."""
+    company has no company element.  A page groups its own few cards.
+
+    The listings travel, not their markup, and to a fixed number of partitions:
+    by the bytes of the shuffle too few tasks would write and read the pages."""
     page = F.floor(F.col(id_col) / (PER_PAGE * len(CARDS))).cast("int") if page is None else page
+    parts = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listings = listings.withColumn("page_no", page).repartition(parts, "source", "page_no")
     card = _pick(CARDS)
     company = F.coalesce(F.replace(_pick(COMPANY), F.lit("{0}"), _escaped("company")), F.lit(""))
     lines = F.coalesce(_pick(LINE_BREAK), F.lit("<br>"))
     texts = {"company": company, "address": F.replace(_escaped("address"), F.lit("\n"), lines)} | {c: _escaped(c) for c in ("position", "salary", "exp")}
     for name, text in texts.items():
         card = F.replace(card, F.lit("{" + name + "}"), text)
-    cards = listings.select("source", page.alias("page_no"), F.struct(F.col(id_col).alias("id"), card.alias("card")).alias("one"))
+    cards = listings.select("source", "page_no", F.struct(F.col(id_col).alias("id"), card.alias("card")).alias("one"))
     made = cards.groupBy("source", "page_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list("one")), lambda c: c["card"]), "\n").alias("cards"))
     body = F.replace(_pick(LISTS), F.lit("{0}"), F.col("cards"))
     # A script whose text looks like markup, and a card outside the list.

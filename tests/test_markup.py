@@ -1,5 +1,7 @@
 """Listing extraction in the JVM against the DOM extractor and golden pages."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from joblens.sources import html as H
@@ -55,3 +57,46 @@ def test_selector_parts(spark):
     of = lambda selector: df.select(F.expr(M.select("h", selector))).first()[0]
     assert of("div.card span") == ["1", "2", "3"] and of("div.big.card span.y.x") == ["2"] and of(".card .y") == ["2"]
     assert of("div.nope") == of("table") == of("div.car") == [] and of(".card")[1] == "<span class=x>3</span>"
+
+
+def _soup(seed: int) -> list[str]:
+    """Random markup: torn tags, other letter cases, names that begin alike, nesting around the pattern's limit."""
+    r = random.Random(seed)
+    bits = ["<div>", "<div class=\"card\">", "<div class='big card'>", "</div>", "</div>", "</div >", "<DIV class=card ", "<div/>", "<divx>", "<div", "</div", "<span class=\"x y\">", "<Span CLASS=x>", "</span>",
+            "<a class='card x'>", "</A>", "<b>", "</b>", "text", "é&amp;", "<", ">", "\"", "'", "/", "\n", " class=card", " class='a <div card'>"]
+    torn = ["".join(r.choices(bits, [r.random() ** 3 for _ in bits], k=r.randint(0, r.choice([8, 25, 80])))) for _ in range(600)]
+    deep = ["<div class=card>" * n + "x" + "</div>" * n + "<div class=card>y</div>" for n in range(1, M.NESTED + 6)]
+    wide = ["<div title='" + "a\U0001f600" * 30_000 + "' class='card'>" + "<b>a\U0001f600</b>" * 30_000 + "<div></div>" * 20_000 + "</div>"]
+    return ["", *torn, *deep, *wide]
+
+
+def test_patterns_equal_the_fold(spark):
+    df = spark.createDataFrame([(h,) for h in _soup(7)] + [(None,)], "h string").repartition(4).cache()
+    for part in ("div", "div.card", "div.big.card", "span.x", ".card", ".x.y", "a"):
+        rows = df.select("h", F.expr(M.elements("h", part)).alias("got"), F.expr(M._folded("h", part)).alias("want")).collect()
+        assert [r for r in rows if r.got != r.want] == [] and any(r.got for r in rows)
+
+
+def test_closed_elements_need_no_fold(spark, monkeypatch):
+    monkeypatch.setattr(M, "_folded", lambda html, part: "cast(raise_error('folded') as array<string>)")
+    listings = read_listings(spark, "/root/testdata/sf0.001").where("listing_id < 300")
+    assert M.extract_listings(site_pages(listings)).count() == 300
+    nest = "<div class='jobs-side-list'>" + "<div>" * 5 + "<div class='figcaption'>" * 2 + "<h2><a>In</a></h2>" + "</div>" * 8
+    assert [r.position for r in M.extract_listings(spark.createDataFrame([("careerviet", 1, nest)], PAGE)).collect()] == ["In"]
+
+
+def test_pages_are_cut_once_in_even_shares(spark):
+    pages = site_pages(read_listings(spark, "/root/testdata/sf0.001"))
+    plan = M.extract_listings(pages)._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("\n") if line.lstrip("+-: *").startswith("Filter")]
+    assert not [line for line in filters if "regexp" in line or "aggregate(" in line]  # a filter by the number of cards would cut again
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "<div" not in plan.split("Exchange", 1)[1]
+
+
+def test_plain_text_stays_as_rendered(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choices(["a", "é", " ", "  ", "\t", "\n", "\r", "\f", "\v", " ", "\u0085", " ", " ", "&amp;", "&", "<b>", ">"], [9, 5, 5, *[0.5] * 14], k=r.randint(0, 9))) for _ in range(800)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    # a line break more changes no text, but takes the long way
+    for row in df.select("t", M.rendered(F.col("t")).alias("got"), M.rendered(F.concat("t", F.lit("\n"))).alias("want")).collect():
+        assert row.got == row.want, row
